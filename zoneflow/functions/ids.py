@@ -36,13 +36,13 @@ def typed_literal(c, datatype: str) -> Column:
     """lexical form for an xsd datatype; values that do not fit -> null."""
     x = as_col(c)
     if datatype in ("integer", "long"):
-        return F.try_cast(x, "bigint").cast("string")
+        return x.try_cast("bigint").cast("string")
     if datatype == "decimal":
-        return F.try_cast(x, "decimal(18,2)").cast("string")
+        return x.try_cast("decimal(18,2)").cast("string")
     if datatype == "boolean":
-        return F.lower(F.try_cast(x, "boolean").cast("string"))
+        return F.lower(x.try_cast("boolean").cast("string"))
     if datatype == "date":
-        return F.date_format(F.try_cast(x, "date"), "yyyy-MM-dd")
+        return F.date_format(x.try_cast("date"), "yyyy-MM-dd")
     if datatype == "dateTime":
         return F.date_format(x, "yyyy-MM-dd'T'HH:mm:ss")
     return x.cast("string")
