@@ -1,3 +1,154 @@
-"""Registry queries (filled in below)."""
+"""Vector and clustering queries."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from zoneflow.functions.ids import ONT, RDF_TYPE, RES
+from zoneflow.operators import cluster as cl
+from zoneflow.operators import vectors as vx
+from zoneflow.operators.graph.sample import sample_cap
+from zoneflow.plans.registry import register, table
+from zoneflow.session import scratch_path
+from zoneflow.sources import files, sinks
+
+SEED = 7
+EPS = 0.015
+MIN_SAMPLES = 5
+
+_COS_SQL = """
+round(list_sum(list_transform(range(1, len(q.qv) + 1), lambda i: CAST(q.qv[i] AS DOUBLE) * CAST(e.embedding[i] AS DOUBLE)))
+      / (sqrt(list_sum(list_transform(range(1, len(q.qv) + 1), lambda i: CAST(e.embedding[i] AS DOUBLE) * CAST(e.embedding[i] AS DOUBLE))))
+         * sqrt(list_sum(list_transform(range(1, len(q.qv) + 1), lambda i: CAST(q.qv[i] AS DOUBLE) * CAST(q.qv[i] AS DOUBLE))))), 6)
+"""
+
+
+@register(
+    "vector_search",
+    """
+WITH q AS (SELECT vec_id AS query_id, embedding AS qv FROM embeddings ORDER BY sha256('7:' || CAST(vec_id AS VARCHAR)), vec_id LIMIT 20),
+scored AS (SELECT q.query_id, e.vec_id, """
+    + _COS_SQL
+    + """ AS score FROM embeddings e CROSS JOIN q)
+SELECT query_id, vec_id, score, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 10
+""",
+)
+def vector_search(spark, d):
+    """Top-10 cosine hits over the whole index for 20 sampled query vectors."""
+    emb = table(spark, d, "embeddings").select("vec_id", "embedding")
+    queries = sample_cap(emb, "vec_id", 20, "random", SEED).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vec"))
+    return vx.search(emb, queries, k=10, id_col="vec_id", max_queries=20)
+
+
+CLASS_BY_LABEL = {0: "User", 1: "Movie", 2: "Team"}
+
+
+@register(
+    "entity_gather",
+    f"""
+SELECT vec_id AS id, '{RES}entity_' || CAST(vec_id AS VARCHAR) AS label, CAST(len(embedding) AS BIGINT) AS dim,
+       round(sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 6) AS l2
+FROM embeddings WHERE label = 0
+""",
+)
+def entity_gather(spark, d):
+    """J7 + J8 + S8 + S9 + S12 + K12: the entity dictionary is written as a
+    gzip TSV, the typed triples as a TSV with header; both are read back,
+    users are found by ``rdf:type User`` and their vectors gathered by id."""
+    emb = table(spark, d, "embeddings")
+    label_iri = F.concat(F.lit(RES + "entity_"), F.col("vec_id").cast("string"))
+    cls = F.element_at(F.create_map(*[x for k, v in CLASS_BY_LABEL.items() for x in (F.lit(k), F.lit(ONT + v))]), F.col("label"))
+    dict_path = scratch_path(spark, "entity-dict")
+    sinks.write_tsv(emb.select(F.col("vec_id").alias("id"), label_iri.alias("label")), dict_path, compression="gzip")
+    triples_path = scratch_path(spark, "entity-types")
+    sinks.write_tsv(emb.select(label_iri.alias("subject"), F.lit(RDF_TYPE).alias("predicate"), cls.alias("object")), triples_path)
+    dictionary = files.read_dictionary(spark, dict_path)
+    triples = files.read_triples_tsv(spark, triples_path)
+    users = triples.where((F.col("predicate") == RDF_TYPE) & (F.col("object") == ONT + "User")).select(F.col("subject").alias("label"))
+    user_ids = dictionary.join(users, "label", "left_semi")  # J7
+    gathered = user_ids.join(emb.select(F.col("vec_id").alias("id"), "embedding"), "id")  # J8
+    return gathered.select(
+        "id", "label", F.size("embedding").cast("bigint").alias("dim"), F.round(vx.norm("embedding"), 6).alias("l2")
+    )
+
+
+@register(
+    "standardize",
+    """
+WITH x AS (SELECT vec_id, CAST(i - 1 AS BIGINT) AS dim, CAST(embedding[i] AS DOUBLE) AS v
+           FROM embeddings, range(1, 65) r(i) WHERE i <= len(embedding)),
+s AS (SELECT dim, avg(v) AS mu, CASE WHEN stddev_pop(v) = 0 THEN 1.0 ELSE stddev_pop(v) END AS sd FROM x GROUP BY dim)
+SELECT vec_id, dim, round((v - mu) / sd, 6) AS z FROM x JOIN s USING (dim)
+""",
+)
+def standardize(spark, d):
+    """Per-dimension z-scores (population std)."""
+    emb = table(spark, d, "embeddings").select("vec_id", "embedding")
+    scaled = cl.standardize(emb, "embedding", "z")
+    return scaled.select("vec_id", F.posexplode("z").alias("dim", "z")).select(
+        "vec_id", F.col("dim").cast("bigint").alias("dim"), F.round("z", 6).alias("z")
+    )
+
+
+@register("pca_project")
+def pca_project(spark, d):
+    """M8 + M10: standardize -> PCA(min(50, n-1, d)) -> PCA(2) (rows-only:
+    component signs are not unique)."""
+    emb = table(spark, d, "embeddings").select("vec_id", "embedding")
+    reduced = cl.reduce_dims(emb, "embedding", 50)
+    flat = cl.pca(reduced.select("vec_id", "reduced"), "reduced", 2, "xy")
+    return flat.select("vec_id", F.col("xy")[0].alias("x"), F.col("xy")[1].alias("y"))
+
+
+def _points(spark, d):
+    emb = table(spark, d, "embeddings")
+    return emb.select("vec_id", F.slice("embedding", 1, 2).alias("xy"))
+
+
+@register(
+    "eps_neighbours",
+    """
+WITH p AS (SELECT vec_id AS id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings)
+SELECT a.id AS a, b.id AS b, round(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)), 9) AS dist
+FROM p a JOIN p b ON a.id < b.id AND sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= 0.015
+""",
+)
+def eps_neighbours(spark, d):
+    """Pairs within eps on the first two dimensions (a < b)."""
+    pairs = cl.eps_pairs(_points(spark, d), "vec_id", "xy", EPS)
+    return pairs.where(F.col("a") < F.col("b")).select("a", "b", F.round("dist", 9).alias("dist"))
+
+
+@register(
+    "dbscan",
+    """
+WITH RECURSIVE pts AS (SELECT vec_id AS id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings),
+nb AS (SELECT a.id AS a, b.id AS b FROM pts a JOIN pts b ON sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= 0.015),
+deg AS (SELECT a, count(*) AS d FROM nb GROUP BY a),
+core AS (SELECT a AS id FROM deg WHERE d >= 5),
+ce AS (SELECT nb.a, nb.b FROM nb JOIN core c1 ON c1.id = nb.a JOIN core c2 ON c2.id = nb.b),
+reach(a, b) AS (SELECT a, b FROM ce UNION SELECT r.a, ce.b FROM reach r JOIN ce ON ce.a = r.b),
+comp AS (SELECT a AS id, min(b) AS root FROM reach GROUP BY a),
+lab AS (SELECT root, row_number() OVER (ORDER BY root) - 1 AS cluster FROM (SELECT DISTINCT root FROM comp)),
+core_lab AS (SELECT comp.id, lab.cluster FROM comp JOIN lab ON lab.root = comp.root),
+border AS (SELECT nb.a AS id, min(cl.cluster) AS cluster FROM nb JOIN core_lab cl ON cl.id = nb.b
+           WHERE nb.a NOT IN (SELECT id FROM core) GROUP BY nb.a)
+SELECT p.id AS vec_id, CAST(coalesce(cl.cluster, b.cluster, -1) AS BIGINT) AS cluster
+FROM pts p LEFT JOIN core_lab cl ON cl.id = p.id LEFT JOIN border b ON b.id = p.id
+""",
+)
+def dbscan(spark, d):
+    """M9 + A14: DBSCAN(eps=0.015, min_samples=5) on the first two dimensions."""
+    return cl.dbscan(spark, _points(spark, d), "vec_id", "xy", EPS, MIN_SAMPLES)
+
+
+@register("cluster_report")
+def cluster_report(spark, d):
+    """M11 + A17: cluster assignment, 2-D PCA coordinates and cluster size per point."""
+    labels = dbscan(spark, d)
+    emb = table(spark, d, "embeddings").select("vec_id", "embedding")
+    coords = cl.pca(cl.standardize(emb, "embedding", "z").select("vec_id", "z"), "z", 2, "xy").select(
+        "vec_id", F.col("xy")[0].alias("x"), F.col("xy")[1].alias("y")
+    )
+    return cl.cluster_report(labels, coords, "vec_id")
