@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zoneflow.operators.graph.sample import dense_index
+from zoneflow.session import materialize
 
 
 def standardize(df: DataFrame, vec_col: str = "embedding", out_col: str = "scaled") -> DataFrame:
@@ -97,30 +98,34 @@ def eps_pairs(points: DataFrame, id_col: str, vec_col: str, eps: float, include_
     return cand.select("a", "b", _dist(F.col("va"), F.col("vb")).alias("dist")).where(F.col("dist") <= F.lit(eps))
 
 
-def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 200) -> DataFrame:
+def connected_components(spark: SparkSession, vertices: DataFrame, edges: DataFrame, max_rounds: int = 200) -> DataFrame:
     """(id) + undirected (src, dst) edges -> (id, root = smallest id of its
-    component).  Min-label propagation + pointer jumping, checkpointed."""
-    labels = vertices.select(F.col("id"), F.col("id").alias("label"))
+    component).  Min-label propagation + pointer jumping; every round's
+    labels are written to the shared folder (lineage stays one round deep,
+    a lost executor recomputes one round)."""
+    labels = materialize(spark, vertices.select(F.col("id"), F.col("id").alias("label")), "cc-labels")
     e = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
-    e = e.checkpoint()
-    labels = labels.checkpoint()
+    e = materialize(spark, e, "cc-edges")
     for _ in range(max_rounds):
-        msgs = e.join(labels, e.src == labels.id).select(F.col("dst").alias("id"), "label")
-        new = labels.unionByName(msgs).groupBy("id").agg(F.min("label").alias("label"))
-        hop = new.select(F.col("id").alias("lid"), F.col("label").alias("l2"))
-        jumped = new.join(hop, new.label == hop.lid, "left").select(
-            "id", F.least(F.col("label"), F.coalesce(F.col("l2"), F.col("label"))).alias("label")
-        ).checkpoint()
-        changed = jumped.join(labels.withColumnRenamed("label", "old"), "id").where(F.col("label") != F.col("old")).limit(1).count()
-        labels = jumped
-        if changed == 0:
+        msgs = e.join(labels, e.src == labels.id).groupBy(F.col("dst").alias("mid")).agg(F.min("label").alias("m"))
+        new = labels.join(msgs, labels.id == msgs.mid, "left").select(
+            "id", F.col("label").alias("old"), F.least(F.col("label"), F.coalesce(F.col("m"), F.col("label"))).alias("label")
+        )
+        for _jump in range(2):  # pointer jumping: label <- label(label)
+            hop = new.select(F.col("id").alias("lid"), F.col("label").alias("l2"))
+            new = new.join(hop, new.label == hop.lid, "left").select(
+                "id", "old", F.least(F.col("label"), F.coalesce(F.col("l2"), F.col("label"))).alias("label")
+            )
+        new = materialize(spark, new, "cc-labels")
+        labels = new.select("id", "label")
+        if new.where(F.col("label") != F.col("old")).limit(1).count() == 0:
             return labels.select("id", F.col("label").alias("root"))
     raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
 
 
 def dbscan(spark: SparkSession, points: DataFrame, id_col: str, vec_col: str, eps: float, min_samples: int) -> DataFrame:
     """M9: (id, cluster) with -1 for noise; see the module docstring."""
-    pairs = eps_pairs(points, id_col, vec_col, eps, include_self=True).select("a", "b").checkpoint()
+    pairs = materialize(spark, eps_pairs(points, id_col, vec_col, eps, include_self=True).select("a", "b"), "eps-pairs")
     degree = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("deg"))
     cores = degree.where(F.col("deg") >= min_samples).select(F.col("a").alias("id"))
     core_edges = (
@@ -129,7 +134,7 @@ def dbscan(spark: SparkSession, points: DataFrame, id_col: str, vec_col: str, ep
         .join(cores.withColumnRenamed("id", "b"), "b", "left_semi")
         .select(F.col("a").alias("src"), F.col("b").alias("dst"))
     )
-    comps = connected_components(cores, core_edges)
+    comps = connected_components(spark, cores, core_edges)
     numbered = dense_index(spark, comps.select("root"), "root", "cluster")
     core_lab = comps.join(numbered, "root").select("id", "cluster")
     border = (

@@ -20,6 +20,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from zoneflow.session import materialize as write_table
+
 from zoneflow.functions.ids import RDF_TYPE
 from zoneflow.operators.graph.tbox import (
     RDF_PROPERTY,
@@ -65,7 +67,9 @@ def materialize(spark: SparkSession, abox: DataFrame, tbox: DataFrame) -> DataFr
     via_sup = base.join(sub_prop, base.predicate == sub_prop.sub).select(
         "subject", F.col("sup").alias("predicate"), "object", "object_kind", "datatype"
     )
-    t1 = base.unionByName(via_sup)
+    # t1 feeds five rule branches: write it once to the shared folder so the
+    # ABox mapping upstream is not recomputed per branch.
+    t1 = write_table(spark, base.unionByName(via_sup).distinct(), "rdfs-t1")
     # rdfs2 / rdfs3
     dom_types = t1.join(domain, t1.predicate == domain.p).select(*_iri_triple(F.col("subject"), F.lit(RDF_TYPE), F.col("c")))
     iri_obj = t1.where(F.col("object_kind") == "iri")
@@ -85,5 +89,9 @@ def materialize(spark: SparkSession, abox: DataFrame, tbox: DataFrame) -> DataFr
         tb.where(F.col("predicate").isin(RDFS_DOMAIN, RDFS_RANGE, RDFS_SUBCLASS)).select(F.col("object").alias("x"))
     ).unionByName(tb.where(F.col("predicate") == RDFS_SUBCLASS).select(F.col("subject").alias("x")))
     class_types = cls_objs.distinct().select(*_iri_triple(F.col("x"), F.lit(RDF_TYPE), F.lit(RDFS_CLASS)))
-    parts = [t1, dom_types, rng_types, sup_types, property_types, class_types]
+    # rdf:Property / rdfs:Class are themselves objects of the typing triples
+    # just made, hence classes too (needed for the result to be a fix-point).
+    meta = property_types.select(F.col("object").alias("x")).unionByName(class_types.select(F.col("object").alias("x")))
+    meta_types = meta.distinct().select(*_iri_triple(F.col("x"), F.lit(RDF_TYPE), F.lit(RDFS_CLASS)))
+    parts = [t1, dom_types, rng_types, sup_types, property_types, class_types, meta_types]
     return reduce(lambda a, b: a.unionByName(b), parts).distinct()

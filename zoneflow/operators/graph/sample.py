@@ -7,9 +7,8 @@ integer, so the same draw is reproducible in any engine that has sha256.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def h32(*parts) -> Column:
@@ -19,12 +18,26 @@ def h32(*parts) -> Column:
 
 
 def dense_index(spark: SparkSession, df: DataFrame, order_col: str, idx_col: str = "idx") -> DataFrame:
-    """0-based dense index in ``order_col`` order, computed distributed
-    (range-partitioned sort + per-partition offsets via zipWithIndex);
-    no single-partition window."""
-    ordered = df.select(order_col).distinct().orderBy(order_col)
-    schema = T.StructType([df.schema[order_col], T.StructField(idx_col, T.LongType(), False)])
-    return spark.createDataFrame(ordered.rdd.zipWithIndex().map(lambda r: (r[0][0], r[1])), schema)
+    """0-based dense index of the distinct values of ``order_col`` in sort
+    order, computed JVM-side and distributed: range-partition + sort within
+    partitions, number rows inside each partition, and add the partition's
+    offset (a running sum over the per-partition counts - one row per
+    partition, broadcast back).  No single-partition window, no Python.
+    The numbered table is written once so the ids are stable on recompute."""
+    from zoneflow.session import materialize
+
+    n_parts = max(1, spark.sparkContext.defaultParallelism)
+    ranged = df.select(order_col).distinct().repartitionByRange(n_parts, order_col).sortWithinPartitions(order_col)
+    tagged = materialize(
+        spark,
+        ranged.select(order_col, F.spark_partition_id().alias("__pid"), F.monotonically_increasing_id().alias("__mono")),
+        "dense-index",
+    )
+    counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+    w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
+    pos = F.col("__mono") - F.shiftleft(F.col("__pid").cast("bigint"), 33)
+    return tagged.join(F.broadcast(offsets), "__pid").select(order_col, (F.col("__off") + pos).cast("bigint").alias(idx_col))
 
 
 def sample_cap(df: DataFrame, key_col: str, n: int, method: str = "random", seed: int = 0) -> DataFrame:
@@ -85,18 +98,21 @@ def split_with_negatives(
     keeps at least one training triple.  The negative tail is the entity at
     index h mod n; it is dropped (null) when (s, p, neg) is a known triple.
     """
+    from zoneflow.session import materialize
+
     t = triples.where(F.col("object_kind") == "iri").select("subject", "predicate", "object").distinct()
-    t = t.withColumn("h", h32(seed, F.col("subject"), F.col("predicate"), F.col("object")))
+    t = materialize(spark, t.withColumn("h", h32(seed, F.col("subject"), F.col("predicate"), F.col("object"))), "split-triples")
     min_s = t.groupBy("subject").agg(F.min("h").alias("min_s"))
     min_o = t.groupBy("object").agg(F.min("h").alias("min_o"))
-    t = t.join(min_s, "subject").join(min_o, "object")
     is_test = (F.pmod(F.col("h"), F.lit(1000)) < test_per_mille) & (F.col("h") != F.col("min_s")) & (F.col("h") != F.col("min_o"))
-    t = t.withColumn("split", F.when(is_test, F.lit("test")).otherwise(F.lit("train")))
+    split = t.join(min_s, "subject").join(min_o, "object").withColumn(
+        "split", F.when(is_test, F.lit("test")).otherwise(F.lit("train"))
+    )
     entities = t.select(F.col("subject").alias("entity")).unionByName(t.select(F.col("object").alias("entity")))
     idx = dense_index(spark, entities, "entity")
     n = idx.count()
-    t = t.withColumn("neg_idx", F.pmod(h32(seed, "neg", F.col("subject"), F.col("predicate"), F.col("object")), F.lit(n)))
-    cand = t.join(idx.withColumnRenamed("idx", "neg_idx").withColumnRenamed("entity", "neg_object"), "neg_idx")
+    split = split.withColumn("neg_idx", F.pmod(h32(seed, "neg", F.col("subject"), F.col("predicate"), F.col("object")), F.lit(n)))
+    cand = split.join(idx.withColumnRenamed("idx", "neg_idx").withColumnRenamed("entity", "neg_object"), "neg_idx")
     known = t.select(F.col("subject").alias("ks"), F.col("predicate").alias("kp"), F.col("object").alias("ko"))
     cand = cand.join(
         known,

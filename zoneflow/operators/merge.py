@@ -38,15 +38,25 @@ def _merge_join(target: DataFrame, source: DataFrame, keys: list[str]) -> tuple[
 
 
 def merge_coalesce(
-    target: DataFrame, source: DataFrame, key_cols: str | Sequence[str], check_unique: bool = False
+    target: DataFrame,
+    source: DataFrame,
+    key_cols: str | Sequence[str],
+    check_unique: bool = False,
+    stage: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """K6: matched -> coalesce(new.c, old.c) per non-key column; unmatched source
     rows -> inserted; target rows without a match stay.  Returns
-    (snapshot, changes)."""
+    (snapshot, changes).  ``stage=True`` writes the joined rows once to the
+    shared folder so writing the snapshot and the change feed does not run
+    the full outer join twice."""
     keys = _keys(key_cols)
     if check_unique:
         assert_unique(source, keys)
     j, data_cols = _merge_join(target, source, keys)
+    if stage:
+        from zoneflow.session import materialize
+
+        j = materialize(target.sparkSession, j, "merge-join")
     matched = F.col("__in_t").isNotNull() & F.col("__in_s").isNotNull()
     key_out = [F.coalesce(F.col(f"__sk_{k}"), F.col(f"__tk_{k}")).alias(k) for k in keys]
     val_out = [F.coalesce(F.col(f"__s_{c}"), F.col(f"__t_{c}")).alias(c) for c in data_cols]

@@ -31,16 +31,26 @@ def _rank_le(df: DataFrame, part: Sequence[str], order: Sequence, k: int, name:
     return df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= k)
 
 
-def doc_terms(docs: DataFrame, id_col: str, text_cols: Sequence, group_cols: Sequence[str] = ()) -> DataFrame:
-    """(group..., doc, term, tf) over the combined, tokenized text (F11 + F20)."""
+def doc_terms(
+    docs: DataFrame, id_col: str, text_cols: Sequence, group_cols: Sequence[str] = (), lowercase: bool = True
+) -> DataFrame:
+    """(group..., doc, term, tf) over the combined, tokenized text (F11 + F20).
+
+    Stop words are removed by a broadcast anti-join against the fixed list
+    (a hash probe per token, JVM-side), and ``explode_outer`` + an explicit
+    null filter keeps the optimizer from re-evaluating the tokenizer in an
+    inferred pre-filter."""
+    combined = combined_text(text_cols)
+    if lowercase:
+        combined = F.lower(combined)
     tokens = docs.select(
         *group_cols,
         F.col(id_col).alias("doc"),
-        F.regexp_extract_all(F.lower(combined_text(text_cols)), F.lit(TOKEN_PATTERN), 0).alias("tokens"),
-    )
-    filtered = StopWordsRemover(inputCol="tokens", outputCol="terms", stopWords=stopwords.ENGLISH).transform(tokens)
-    exploded = filtered.select(*group_cols, "doc", F.explode("terms").alias("term"))
-    return exploded.groupBy(*group_cols, "doc", "term").agg(F.count(F.lit(1)).alias("tf"))
+        F.explode_outer(F.regexp_extract_all(combined, F.lit(TOKEN_PATTERN), 0)).alias("term"),
+    ).where(F.col("term").isNotNull())
+    stop = F.broadcast(docs.sparkSession.createDataFrame([(w,) for w in stopwords.ENGLISH], "term string"))
+    kept = tokens.join(stop, "term", "left_anti")
+    return kept.groupBy(*group_cols, "doc", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def corpus_keywords(
@@ -51,32 +61,57 @@ def corpus_keywords(
     group_cols: Sequence[str] = (),
     max_features: int = 5000,
     per_doc: int = 3,
-    score_digits: int = 9,
+    score_digits: int | None = None,
+    lowercase: bool = True,
+    broadcast_rows: int = 2_000_000,
+    materialize_as: str | None = "tf",
 ) -> DataFrame:
     """M1: per group, the ``top_n`` terms most often among the ``per_doc``
     best TF-IDF terms of a document -> (group..., term, n_docs, rank)."""
     g = list(group_cols)
-    tf = doc_terms(docs, id_col, text_cols, g)
+    tf = doc_terms(docs, id_col, text_cols, g, lowercase)
+    if materialize_as:
+        # tf feeds both the corpus statistics and the scoring: write it once.
+        from zoneflow.session import materialize
+
+        tf = materialize(docs.sparkSession, tf, materialize_as)
     n_docs = docs.groupBy(*g).agg(F.count(F.lit(1)).alias("N")) if g else docs.agg(F.count(F.lit(1)).alias("N"))
     stats = tf.groupBy(*g, "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
     vocab = _rank_le(stats, g, [F.desc("total"), F.asc("term")], max_features, "__vr").drop("__vr", "total")
+    # The vocabulary holds at most max_features rows per group: broadcast it
+    # when that bound (groups x max_features) is small, else shuffle-join.
+    n_groups = n_docs.count() if g else 1
+    if n_groups * max_features <= broadcast_rows:
+        vocab, n_docs = F.broadcast(vocab), F.broadcast(n_docs)
     scored = tf.join(vocab, [*g, "term"])
     scored = scored.join(n_docs, g) if g else scored.crossJoin(F.broadcast(n_docs))
     idf = F.log((F.lit(1.0) + F.col("N")) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
-    scored = scored.select(*g, "doc", "term", F.round(F.col("tf") * idf, score_digits).alias("score")).where(F.col("score") > 0)
+    score = F.col("tf") * idf
+    if score_digits is not None:
+        score = F.round(score, score_digits)
+    scored = scored.select(*g, "doc", "term", score.alias("score")).where(F.col("score") > 0)
     top = _rank_le(scored, [*g, "doc"], [F.desc("score"), F.asc("term")], per_doc, "__dr")
     counts = top.groupBy(*g, "term").agg(F.count(F.lit(1)).alias("n_docs"))
     ranked = _rank_le(counts, g, [F.desc("n_docs"), F.asc("term")], top_n)
     return ranked.select(*g, "term", "n_docs", F.col("rank").cast("bigint").alias("rank"))
 
 
-def tag_documents(docs: DataFrame, id_col: str, text_col, keywords: DataFrame, keyword_col: str = "term", on: Sequence[str] = ()) -> DataFrame:
+def tag_documents(
+    docs: DataFrame,
+    id_col: str,
+    text_col,
+    keywords: DataFrame,
+    keyword_col: str = "term",
+    on: Sequence[str] = (),
+    lowercase: bool = True,
+) -> DataFrame:
     """(doc, keyword) for every keyword that is a substring of
     the lower-cased text.  The keyword list is small by construction (top-n
     per group), so it is broadcast and the theta condition is evaluated
     map-side; ``on`` adds equi-keys (e.g. the category) to the join."""
     kw = F.broadcast(keywords.select(*on, F.col(keyword_col).alias("__kw")))
-    d = docs.select(*on, F.col(id_col).alias("__doc"), F.lower(text_col if not isinstance(text_col, str) else F.col(text_col)).alias("__text"))
+    body = F.col(text_col) if isinstance(text_col, str) else text_col
+    d = docs.select(*on, F.col(id_col).alias("__doc"), (F.lower(body) if lowercase else body).alias("__text"))
     cond = [d[c] == kw[c] for c in on] + [F.contains(d["__text"], kw["__kw"])]
     cond_all = cond[0]
     for c in cond[1:]:

@@ -20,7 +20,7 @@ from zoneflow.operators.graph.tbox import (
     values_sql,
 )
 from zoneflow.plans.registry import register, table
-from zoneflow.session import scratch_path
+from zoneflow.session import scratch_path, spread
 from zoneflow.sources import files, sinks
 
 SEED = 7
@@ -34,9 +34,9 @@ def kg_triples(spark, d):
     """G1-G3 + U4 over the test tables (nation = countries, customer = users,
     part = movies + genres, orders = matches + competitions)."""
     nation = table(spark, d, "nation")
-    customer = table(spark, d, "customer")
-    part = table(spark, d, "part")
-    orders = table(spark, d, "orders")
+    customer = spread(table(spark, d, "customer"))
+    part = spread(table(spark, d, "part"))
+    orders = spread(table(spark, d, "orders"))
     pri = F.col("o_orderpriority")
     maps = [
         (nation, gm.TableMap(_country("n_nationkey"), "Country", [gm.literal("country_name", F.lower("n_name"))])),
@@ -170,12 +170,14 @@ props AS (SELECT predicate AS x FROM t1
 classes AS (SELECT object AS x FROM types UNION SELECT object FROM suptypes
             UNION SELECT object FROM tbox WHERE predicate IN ('{DOMAIN}', '{RANGE}', '{SUBCLASS}')
             UNION SELECT subject FROM tbox WHERE predicate = '{SUBCLASS}'),
+meta AS (SELECT DISTINCT '{PROPERTY}' AS x FROM props UNION SELECT DISTINCT '{CLASS}' FROM classes),
 closure AS (SELECT DISTINCT * FROM (
   SELECT subject, predicate, object, object_kind, datatype FROM t1
   UNION ALL SELECT subject, '{TYPE}', object, 'iri', NULL FROM types
   UNION ALL SELECT subject, '{TYPE}', object, 'iri', NULL FROM suptypes
   UNION ALL SELECT x, '{TYPE}', '{PROPERTY}', 'iri', NULL FROM props
-  UNION ALL SELECT x, '{TYPE}', '{CLASS}', 'iri', NULL FROM classes))
+  UNION ALL SELECT x, '{TYPE}', '{CLASS}', 'iri', NULL FROM classes
+  UNION ALL SELECT x, '{TYPE}', '{CLASS}', 'iri', NULL FROM meta))
 """
 )
 

@@ -64,7 +64,7 @@ def merge_upsert(spark, d):
     target, batch = _orders_split(spark, d)
     vt = VersionedTable(spark, scratch_path(spark, "merge-upsert"))
     vt.create(target)
-    snapshot, changes = mg.merge_coalesce(vt.read(), batch, ["o_orderkey"], check_unique=True)
+    snapshot, changes = mg.merge_coalesce(vt.read(), batch, ["o_orderkey"], check_unique=True, stage=True)
     vt.merge(snapshot, changes)
     return vt.read()
 

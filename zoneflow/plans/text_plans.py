@@ -10,6 +10,7 @@ from zoneflow.operators import text as tx
 from zoneflow.operators import vectors as vx
 from zoneflow.operators.graph.sample import sample_cap
 from zoneflow.plans.registry import register, table
+from zoneflow.session import spread
 
 SEED = 7
 TOP_N = 15
@@ -33,7 +34,7 @@ ftok AS (SELECT * FROM tok WHERE term NOT IN (SELECT w FROM stop)),
 tf AS (SELECT lang, doc_id, term, count(*) AS tf FROM ftok GROUP BY lang, doc_id, term),
 stats AS (SELECT lang, term, count(*) AS df, sum(tf) AS total FROM tf GROUP BY lang, term),
 vocab AS (SELECT lang, term, df FROM stats QUALIFY row_number() OVER (PARTITION BY lang ORDER BY total DESC, term) <= 5000),
-scored AS (SELECT tf.lang, tf.doc_id, tf.term, round(tf.tf * (ln((1.0 + n.n) / (1.0 + v.df)) + 1.0), 9) AS score
+scored AS (SELECT tf.lang, tf.doc_id, tf.term, tf.tf * (ln((1.0 + n.n) / (1.0 + v.df)) + 1.0) AS score
            FROM tf JOIN vocab v ON v.lang = tf.lang AND v.term = tf.term JOIN n ON n.lang = tf.lang),
 top3 AS (SELECT * FROM scored WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY lang, doc_id ORDER BY score DESC, term) <= 3),
 kw AS (SELECT lang, term, count(*) AS n_docs FROM top3 GROUP BY lang, term),
@@ -43,9 +44,15 @@ keywords AS (SELECT lang, term, n_docs, rank FROM (
 )
 
 
-def _keywords(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "lang", text.normalize_text("text").alias("norm"))
-    return tx.corpus_keywords(docs, "doc_id", ["norm"], top_n=TOP_N, group_cols=["lang"])
+def _norm_docs(spark, d):
+    # spread: the text scan may be a single row group; normalization is CPU-bound.
+    return spread(table(spark, d, "documents")).select("doc_id", "lang", text.normalize_text("text").alias("norm"))
+
+
+def _keywords(spark, d, docs=None):
+    docs = docs if docs is not None else _norm_docs(spark, d)
+    # Normalized text is already lower-case.
+    return tx.corpus_keywords(docs, "doc_id", ["norm"], top_n=TOP_N, group_cols=["lang"], lowercase=False)
 
 
 register("corpus_keywords", "WITH " + KEYWORDS_CTE + "SELECT * FROM keywords")(_keywords)
@@ -61,8 +68,8 @@ SELECT d.doc_id, k.term AS keyword FROM docs d JOIN keywords k ON k.lang = d.lan
 )
 def keyword_tagging(spark, d):
     """Documents tagged with their language's corpus keywords."""
-    docs = table(spark, d, "documents").select("doc_id", "lang", text.normalize_text("text").alias("norm"))
-    return tx.tag_documents(docs, "doc_id", "norm", _keywords(spark, d), "term", on=["lang"])
+    docs = _norm_docs(spark, d)
+    return tx.tag_documents(docs, "doc_id", "norm", _keywords(spark, d, docs), "term", on=["lang"], lowercase=False)
 
 
 @register("text_vectors")

@@ -63,3 +63,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def table_path(root: str, *parts: str) -> str:
     """Zone / domain / table path convention (one helper, see SURVEY Q17)."""
     return os.path.join(root, *parts)
+
+
+def materialize(spark: SparkSession, df, name: str):
+    """Write ``df`` as a parquet table in the shared checkpoint folder and read
+    it back: cuts lineage, avoids recomputing a reused intermediate, and
+    survives executor loss (unlike localCheckpoint / cache)."""
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin repartition only when a scan yields fewer partitions than
+    the cluster's parallelism (e.g. one big row group); on large inputs it is
+    a no-op, so no extra shuffle is added at scale."""
+    sc = df.sparkSession.sparkContext
+    target = min_partitions or sc.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

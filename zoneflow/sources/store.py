@@ -60,23 +60,26 @@ class VersionedTable:
         self.commits_path = f"{self.root}/_commits"
         self.data_path = f"{self.root}/data"
         self.changes_path = f"{self.root}/changes"
+        self._history: list[Commit] | None = None  # this writer's view of the log
 
     # ------------------------------------------------------------------ S11
     def exists(self) -> bool:
-        try:
-            self.spark.read.schema(COMMIT_SCHEMA).option("recursiveFileLookup", "true").parquet(self.commits_path).limit(1).collect()
-            return True
-        except AnalysisException:
-            return False
+        return len(self.history()) > 0
 
     # ------------------------------------------------------------- metadata
-    def history(self) -> list[Commit]:
-        """The commit log (one small row per version)."""
-        if not self.exists():
-            return []
-        rows = self.spark.read.schema(COMMIT_SCHEMA).option("recursiveFileLookup", "true").parquet(self.commits_path).collect()
+    def history(self, refresh: bool = False) -> list[Commit]:
+        """The commit log (one small row per version).  Read once per
+        table object and refreshed after its own commits (single writer);
+        ``refresh=True`` re-reads it to see other writers' commits."""
+        if self._history is not None and not refresh:
+            return self._history
+        try:
+            rows = self.spark.read.schema(COMMIT_SCHEMA).option("recursiveFileLookup", "true").parquet(self.commits_path).collect()
+        except AnalysisException:
+            rows = []
         out = [Commit(r.version, r.ts, r.operation, dict(r.props or {}), r.metadata, r.base) for r in rows]
-        return sorted(out, key=lambda c: c.version)
+        self._history = sorted(out, key=lambda c: c.version)
+        return self._history
 
     def history_df(self) -> DataFrame:
         return self.spark.read.schema(COMMIT_SCHEMA).option("recursiveFileLookup", "true").parquet(self.commits_path)
@@ -163,6 +166,7 @@ class VersionedTable:
         row = (version, _dt.datetime.now(_dt.UTC).replace(tzinfo=None), operation, props or {}, json.dumps(metadata or {}), base)
         df = self.spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1)
         df.write.mode("overwrite").parquet(f"{self.commits_path}/commit-{version:020d}.parquet")
+        self._history = None
 
     def _write_version(self, df: DataFrame, version: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.data_path}/_v={version}")
@@ -215,6 +219,7 @@ class VersionedTable:
         self.spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(
             f"{self.commits_path}/backfill-{first:020d}.parquet"
         )
+        self._history = None
         return values
 
     def overwrite(self, df: DataFrame, metadata: dict | None = None) -> int:
