@@ -141,3 +141,19 @@ def union_roles(df: DataFrame, roles: Sequence[Mapping[str, str]]) -> DataFrame:
 def union_batches(batches: Sequence[DataFrame]) -> DataFrame:
     """Union by name; columns missing in a batch become null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), batches)
+
+
+def order_by(df: DataFrame, col: str, ascending: bool = True) -> DataFrame:
+    """Global order (range-partitioned sort).  Before a merge it has no
+    lasting effect; to lay files out by a column use ``sorted_within``."""
+    return df.orderBy(F.col(col).asc() if ascending else F.col(col).desc())
+
+
+def sorted_within(df: DataFrame, col: str, ascending: bool = True) -> DataFrame:
+    """T1 at write time: sort inside each partition (no global shuffle)."""
+    return df.sortWithinPartitions(F.col(col).asc() if ascending else F.col(col).desc())
+
+
+def peek(df: DataFrame, n: int = 5) -> list:
+    """The first n rows (a limit, not a full collect)."""
+    return df.limit(n).collect()

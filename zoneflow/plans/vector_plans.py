@@ -120,9 +120,7 @@ def eps_neighbours(spark, d):
     return pairs.where(F.col("a") < F.col("b")).select("a", "b", F.round("dist", 9).alias("dist"))
 
 
-@register(
-    "dbscan",
-    """
+DBSCAN_SQL = """
 WITH RECURSIVE pts AS (SELECT vec_id AS id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings),
 nb AS (SELECT a.id AS a, b.id AS b FROM pts a JOIN pts b ON sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= 0.015),
 deg AS (SELECT a, count(*) AS d FROM nb GROUP BY a),
@@ -136,8 +134,10 @@ border AS (SELECT nb.a AS id, min(cl.cluster) AS cluster FROM nb JOIN core_lab c
            WHERE nb.a NOT IN (SELECT id FROM core) GROUP BY nb.a)
 SELECT p.id AS vec_id, CAST(coalesce(cl.cluster, b.cluster, -1) AS BIGINT) AS cluster
 FROM pts p LEFT JOIN core_lab cl ON cl.id = p.id LEFT JOIN border b ON b.id = p.id
-""",
-)
+"""
+
+
+@register("dbscan", DBSCAN_SQL)
 def dbscan(spark, d):
     """M9 + A14: DBSCAN(eps=0.015, min_samples=5) on the first two dimensions."""
     return cl.dbscan(spark, _points(spark, d), "vec_id", "xy", EPS, MIN_SAMPLES)
@@ -152,3 +152,16 @@ def cluster_report(spark, d):
         "vec_id", F.col("xy")[0].alias("x"), F.col("xy")[1].alias("y")
     )
     return cl.cluster_report(labels, coords, "vec_id")
+
+
+@register(
+    "cluster_distribution",
+    DBSCAN_SQL.replace(
+        "SELECT p.id AS vec_id, CAST(coalesce(cl.cluster, b.cluster, -1) AS BIGINT) AS cluster",
+        "SELECT CAST(coalesce(cl.cluster, b.cluster, -1) AS BIGINT) AS cluster, count(*) AS n_points",
+    )
+    + " GROUP BY 1",
+)
+def cluster_distribution(spark, d):
+    """Points per cluster (noise = -1) of the DBSCAN run."""
+    return dbscan(spark, d).groupBy("cluster").agg(F.count(F.lit(1)).alias("n_points"))
