@@ -45,9 +45,32 @@ SELECT DISTINCT sub, sup FROM closure
 """
 
 
-def hierarchy_closure(spark: SparkSession, tbox: DataFrame, predicate: str, max_depth: int = 64) -> DataFrame:
-    """Transitive closure of subClassOf / subPropertyOf (cycle-safe)."""
-    return spark.sql(_CLOSURE_SQL, args={"p": predicate, "max_depth": max_depth}, ax=tbox.select("subject", "predicate", "object"))
+def hierarchy_closure(
+    spark: SparkSession, tbox: DataFrame, predicate: str, max_depth: int = 64, local_limit: int = 100_000
+) -> DataFrame:
+    """Transitive closure of subClassOf / subPropertyOf (cycle-safe).
+
+    An ontology's hierarchy is schema-sized: when it has at most
+    ``local_limit`` edges (checked with a bounded fetch) the closure is a
+    graph walk over those edges; larger hierarchies run as a recursive CTE
+    in Spark."""
+    edges = tbox.where(F.col("predicate") == predicate).select("subject", "object").limit(local_limit + 1).collect()
+    if len(edges) > local_limit:
+        return spark.sql(_CLOSURE_SQL, args={"p": predicate, "max_depth": max_depth}, ax=tbox.select("subject", "predicate", "object"))
+    children: dict[str, set[str]] = {}
+    for sub, sup in edges:
+        children.setdefault(sub, set()).add(sup)
+    pairs = set()
+    for start in children:
+        stack, seen = list(children[start]), set()
+        while stack:
+            node = stack.pop()
+            if node in seen:
+                continue
+            seen.add(node)
+            pairs.add((start, node))
+            stack.extend(children.get(node, ()))
+    return spark.createDataFrame(sorted(pairs), "sub string, sup string")
 
 
 def _iri_triple(s, p, o) -> list:
@@ -93,5 +116,13 @@ def materialize(spark: SparkSession, abox: DataFrame, tbox: DataFrame) -> DataFr
     # just made, hence classes too (needed for the result to be a fix-point).
     meta = property_types.select(F.col("object").alias("x")).unionByName(class_types.select(F.col("object").alias("x")))
     meta_types = meta.distinct().select(*_iri_triple(F.col("x"), F.lit(RDF_TYPE), F.lit(RDFS_CLASS)))
-    parts = [t1, dom_types, rng_types, sup_types, property_types, class_types, meta_types]
-    return reduce(lambda a, b: a.unionByName(b), parts).distinct()
+    # t1 is already a set: only the inferred type triples are deduplicated,
+    # and only against t1's asserted type triples, so t1 is not reshuffled.
+    inferred = reduce(
+        lambda a, b: a.unionByName(b), [dom_types, rng_types, sup_types, property_types, class_types, meta_types]
+    ).select("subject", "object").distinct()
+    asserted = t1.where(F.col("predicate") == RDF_TYPE).select("subject", "object")
+    new = inferred.join(asserted, ["subject", "object"], "left_anti").select(
+        *_iri_triple(F.col("subject"), F.lit(RDF_TYPE), F.col("object"))
+    )
+    return t1.unionByName(new)

@@ -58,25 +58,32 @@ FROM t FULL OUTER JOIN s ON s.o_orderkey = t.o_orderkey
 )
 
 
+# Trusted orders are laid out by order month; merges rewrite only the months
+# that hold matched keys.
+def order_month():
+    return F.date_format("o_orderdate", "yyyyMM").cast("int")
+
+
 @register("merge_upsert", _COALESCE_SQL)
 def merge_upsert(spark, d):
-    """K6 through the store: create the trusted table, merge the batch, read latest."""
+    """K6 through the store: create the trusted table, merge the batch
+    (partition-aware: only months with matching keys are rewritten), read latest."""
     target, batch = _orders_split(spark, d)
-    vt = VersionedTable(spark, scratch_path(spark, "merge-upsert"))
+    vt = VersionedTable(spark, scratch_path(spark, "merge-upsert"), unit=order_month())
     vt.create(target)
-    snapshot, changes = mg.merge_coalesce(vt.read(), batch, ["o_orderkey"], check_unique=True, stage=True)
-    vt.merge(snapshot, changes)
+    vt.merge_into(batch, ["o_orderkey"], "coalesce", check_unique=True)
     return vt.read()
 
 
 @register("merge_high_water", _COALESCE_SQL)
 def merge_high_water(spark, d):
-    """K7: high-water split (with the Q5/Q6 fixes the result equals K6)."""
+    """K7: high-water split at the store - rows at or below the max date are
+    merged (with the Q5/Q6 fixes), newer rows are a plain append; the result
+    equals K6."""
     target, batch = _orders_split(spark, d)
-    vt = VersionedTable(spark, scratch_path(spark, "merge-hw"))
+    vt = VersionedTable(spark, scratch_path(spark, "merge-hw"), unit=order_month())
     vt.create(target)
-    snapshot, changes = mg.merge_high_water(vt.read(), batch, ["o_orderkey"], "o_orderdate")
-    vt.merge(snapshot, changes)
+    vt.merge_high_water(batch, ["o_orderkey"], "o_orderdate")
     return vt.read()
 
 
@@ -97,9 +104,9 @@ def merge_replace(spark, d):
     batch = cust.where(F.col("c_mktsegment").isin("FURNITURE", "HOUSEHOLD")).withColumn(
         "c_acctbal", F.col("c_acctbal") - 100.0
     )
-    vt = VersionedTable(spark, scratch_path(spark, "merge-replace"))
+    vt = VersionedTable(spark, scratch_path(spark, "merge-replace"), unit=F.pmod(F.xxhash64("c_custkey"), F.lit(16)))
     vt.create(target)
-    vt.overwrite(mg.merge_replace(vt.read(), batch, ["c_custkey"]))
+    vt.merge_into(batch, ["c_custkey"], "replace")
     return vt.read()
 
 
@@ -136,14 +143,15 @@ def incremental_stream(spark, d):
     """I1 streaming twin: file stream over the versioned source, each
     micro-batch K6-merged into the trusted table; returns the final table."""
     src = _events_by_day(spark, d)
-    target = VersionedTable(spark, scratch_path(spark, "events-trusted"))
+    day = F.date_format("ts", "yyyyMMdd").cast("int")
+    target = VersionedTable(spark, scratch_path(spark, "events-trusted"), unit=day)
 
     def apply(batch, _batch_id):
+        # Idempotent per micro-batch: a replayed batch merges to the same rows.
         if not target.exists():
             target.create(batch)
             return
-        snap, changes = mg.merge_coalesce(target.read(), batch, ["event_id"])
-        target.merge(snap, changes)
+        target.merge_into(batch, ["event_id"])
 
     stream_merge(spark, src, apply, scratch_path(spark, "stream-ckpt"), max_files_per_trigger=16)
     return target.read()

@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,8 +54,12 @@ class Commit:
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, unit: Column | None = None):
+        """``unit``: optional storage-unit expression over the row (e.g. the
+        month of a timestamp, or ``pmod(xxhash64(key), n)``).  Rows are laid
+        out by unit and merges rewrite only the units holding matched keys."""
         self.spark = spark
+        self.unit = unit
         self.root = root.rstrip("/")
         self.commits_path = f"{self.root}/_commits"
         self.data_path = f"{self.root}/data"
@@ -109,7 +113,7 @@ class VersionedTable:
         return self.read().schema
 
     # ---------------------------------------------------------------- reads
-    def read(self, version: int | None = None) -> DataFrame:
+    def read(self, version: int | None = None, keep_unit: bool = False) -> DataFrame:
         """S4 (latest) / S5 (time travel, ``versionAsOf``)."""
         h = self.history()
         if not h:
@@ -118,8 +122,22 @@ class VersionedTable:
         commit = next((c for c in h if c.version == v), None)
         if commit is None:
             raise ValueError(f"version {v} does not exist (latest {h[-1].version})")
-        versions = [c.version for c in h if commit.base <= c.version <= v and c.operation in _DATA_OPS]
-        return self._read_data(versions)
+        live = [c for c in h if commit.base <= c.version <= v and c.operation in _DATA_OPS]
+        versions = [c.version for c in live]
+        if self.unit is None:
+            return self._read_data(versions)
+        # Per storage unit, rows count from the last version that rewrote the
+        # unit (a partition-aware merge) or from the base snapshot.
+        replaced: dict[str, int] = {}
+        for c in live:
+            for u in json.loads(c.metadata or "{}").get("replaced_units", []):
+                replaced[str(u)] = c.version
+        df = self._scan(versions)
+        if replaced:
+            since = F.create_map(*[x for u, ver in replaced.items() for x in (F.lit(u), F.lit(ver))])
+            df = df.where(F.col("_v") >= F.coalesce(since[F.col("_u").cast("string")], F.lit(commit.base)))
+        df = df.drop("_v")
+        return df if keep_unit else df.drop("_u")
 
     def _scan(self, versions: Sequence[int]) -> DataFrame:
         # Explicit version directories: no listing of other versions, and the
@@ -139,7 +157,7 @@ class VersionedTable:
         ts = {c.version: c.ts for c in h}
         parts = []
         if appends:
-            df = self._scan(appends)
+            df = self._scan(appends).drop("_u")
             parts.append(
                 df.withColumn("_change_type", F.lit("insert")).withColumnRenamed("_v", "_commit_version")
             )
@@ -169,7 +187,13 @@ class VersionedTable:
         self._history = None
 
     def _write_version(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.data_path}/_v={version}")
+        path = f"{self.data_path}/_v={version}"
+        if self.unit is None:
+            df.write.mode("overwrite").parquet(path)
+            return
+        if "_u" not in df.columns:
+            df = df.withColumn("_u", self.unit)
+        df.write.mode("overwrite").partitionBy("_u").parquet(path)
 
     def _next(self) -> tuple[int, int]:
         h = self.history()
@@ -208,9 +232,11 @@ class VersionedTable:
         values = sorted(r[0] for r in df.select(version_col).distinct().collect())
         if values and values != list(range(first, first + len(values))):
             raise ValueError(f"versions must be {first}..; got {values[:5]}...")
-        df.withColumnRenamed(version_col, "_v").write.mode("overwrite").partitionBy("_v").option(
-            "partitionOverwriteMode", "dynamic"
-        ).parquet(self.data_path)
+        staged = df.withColumnRenamed(version_col, "_v")
+        parts = ["_v"]
+        if self.unit is not None:
+            staged, parts = staged.withColumn("_u", self.unit), ["_v", "_u"]
+        staged.write.mode("overwrite").partitionBy(*parts).option("partitionOverwriteMode", "dynamic").parquet(self.data_path)
         rows = [
             (v, _dt.datetime.now(_dt.UTC).replace(tzinfo=None), "CREATE" if v == 0 else "WRITE",
              {CDF_PROP: "true"} if v == 0 else {}, json.dumps(metadata or {}), base)
@@ -246,5 +272,58 @@ class VersionedTable:
         self._commit(v, "MERGE", None, metadata, v)
         return v
 
+    def merge_into(
+        self, source: DataFrame, keys: Sequence[str], how: str = "coalesce", check_unique: bool = False
+    ) -> int:
+        """K6 (how="coalesce") / K8 (how="replace") into this table.
+
+        Unpartitioned tables get a new full snapshot.  With a ``unit``
+        expression only the key columns of the target are scanned to find the
+        units that hold matching keys (at most one row per unit reaches the
+        driver); only those units are read, merged and rewritten, inserts land
+        in their own units, and every other unit is carried over untouched -
+        the cost follows the batch, not the table."""
+        from zoneflow.operators.merge import merge_coalesce, merge_replace
+
+        keys = list(keys)
+        if self.unit is None:
+            target = self.read()
+            if how == "coalesce":
+                snap, changes = merge_coalesce(target, source, keys, check_unique, stage=True)
+            else:
+                snap, changes = merge_replace(target, source, keys), None
+            return self.merge(snap, changes)
+        target = self.read(keep_unit=True)
+        hits = target.select(*keys, "_u").join(source.select(*keys).distinct(), keys, "left_semi")
+        touched = sorted({r[0] for r in hits.select("_u").distinct().collect()}, key=str)
+        part = target.where(F.col("_u").isin(touched)).drop("_u") if touched else target.drop("_u").limit(0)
+        if how == "coalesce":
+            snap, changes = merge_coalesce(part, source, keys, check_unique, stage=True)
+        else:
+            snap, changes = merge_replace(part, source, keys), None
+        v, base = self._next()
+        self._write_version(snap, v)
+        if changes is not None and self.cdf_enabled():
+            changes.write.mode("overwrite").parquet(f"{self.changes_path}/_commit_version={v}")
+        self._commit(v, "MERGE", None, {"replaced_units": [str(u) for u in touched]}, base)
+        return v
+
+    def merge_high_water(self, batch: DataFrame, keys: Sequence[str], ts_col: str) -> list[int]:
+        """K7 at the store: rows at/below the table's max timestamp (and rows
+        whose key exists - Q6 - or with a null timestamp - Q5) are merged;
+        the rest is appended without touching existing data."""
+        keys = list(keys)
+        if not self.exists():
+            return [self.create(batch)]
+        target_keys = self.read().select(*keys)
+        max_ts = self.read().agg(F.max(ts_col).alias("m")).first()["m"]
+        if max_ts is None:
+            return [self.merge_into(batch, keys)]
+        late = batch.where(F.col(ts_col).isNull() | (F.col(ts_col) <= F.lit(max_ts)))
+        fresh = batch.where(F.col(ts_col) > F.lit(max_ts))
+        to_merge = late.unionByName(fresh.join(target_keys, keys, "left_semi"))
+        to_append = fresh.join(target_keys, keys, "left_anti")
+        return [self.merge_into(to_merge, keys), self.append(to_append)]
+
 
 _DATA_OPS = ("CREATE", "WRITE", "WRITE_OVERWRITE", "MERGE")
