@@ -11,9 +11,9 @@ Neighbour search is a grid join: a point's cell is ``floor(coord / eps)``
 on two coordinates; each point is matched against the 3 x 3 block of cells
 around its own (an equi-join on the cell), and the exact distance - over
 the full vector, which is never shorter than the 2-D one - filters the
-candidates.  Core connectivity is min-label propagation with pointer
-jumping; each round's labels are checkpointed to the shared checkpoint
-folder so lineage stays short and a lost executor recomputes one round.
+candidates.  Core connectivity is hook / shortcut / contract connected
+components (O(log n) rounds); each step is written to the shared
+checkpoint folder so lineage stays short.
 """
 
 from __future__ import annotations
@@ -98,28 +98,46 @@ def eps_pairs(points: DataFrame, id_col: str, vec_col: str, eps: float, include_
     return cand.select("a", "b", _dist(F.col("va"), F.col("vb")).alias("dist")).where(F.col("dist") <= F.lit(eps))
 
 
-def connected_components(spark: SparkSession, vertices: DataFrame, edges: DataFrame, max_rounds: int = 200) -> DataFrame:
+def connected_components(spark: SparkSession, vertices: DataFrame, edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     """(id) + undirected (src, dst) edges -> (id, root = smallest id of its
-    component).  Min-label propagation + pointer jumping; every round's
-    labels are written to the shared folder (lineage stays one round deep,
-    a lost executor recomputes one round)."""
+    component), in O(log n) rounds of hook / shortcut / contract:
+
+    1. hook: every vertex with an edge points to min(itself, its smallest
+       neighbour) - a forest, since pointers only go down;
+    2. shortcut: pointer jumping (p <- p(p)) until every vertex points at its
+       tree root, which is the tree's smallest id;
+    3. contract: edges are rewritten between roots, self-loops dropped, and
+       the original vertices' labels follow their root.
+    Every non-isolated super-vertex merges each round, so the graph at least
+    halves.  Each step is written to the shared folder (short lineage, a
+    lost executor recomputes one step)."""
     labels = materialize(spark, vertices.select(F.col("id"), F.col("id").alias("label")), "cc-labels")
-    e = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
-    e = materialize(spark, e, "cc-edges")
+    both = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    e = materialize(spark, both.where(F.col("src") != F.col("dst")).distinct(), "cc-edges")
     for _ in range(max_rounds):
-        msgs = e.join(labels, e.src == labels.id).groupBy(F.col("dst").alias("mid")).agg(F.min("label").alias("m"))
-        new = labels.join(msgs, labels.id == msgs.mid, "left").select(
-            "id", F.col("label").alias("old"), F.least(F.col("label"), F.coalesce(F.col("m"), F.col("label"))).alias("label")
-        )
-        for _jump in range(2):  # pointer jumping: label <- label(label)
-            hop = new.select(F.col("id").alias("lid"), F.col("label").alias("l2"))
-            new = new.join(hop, new.label == hop.lid, "left").select(
-                "id", "old", F.least(F.col("label"), F.coalesce(F.col("l2"), F.col("label"))).alias("label")
-            )
-        new = materialize(spark, new, "cc-labels")
-        labels = new.select("id", "label")
-        if new.where(F.col("label") != F.col("old")).limit(1).count() == 0:
+        if e.limit(1).count() == 0:
             return labels.select("id", F.col("label").alias("root"))
+        parent = e.groupBy(F.col("src").alias("v")).agg(F.least(F.col("src"), F.min("dst")).alias("p"))
+        parent = materialize(spark, parent.select("v", "p"), "cc-parent")
+        while True:
+            up = parent.select(F.col("v").alias("pv"), F.col("p").alias("pp"))
+            nxt = parent.join(up, parent.p == up.pv, "left").select(
+                "v", F.col("p").alias("old"), F.coalesce(F.col("pp"), F.col("p")).alias("p")
+            )
+            nxt = materialize(spark, nxt, "cc-parent")
+            parent = nxt.select("v", "p")
+            if nxt.where(F.col("p") != F.col("old")).limit(1).count() == 0:
+                break
+        ps = parent.select(F.col("v").alias("sv"), F.col("p").alias("sp"))
+        pd = parent.select(F.col("v").alias("dv"), F.col("p").alias("dp"))
+        moved = (
+            e.join(ps, e.src == ps.sv, "left")
+            .join(pd, e.dst == pd.dv, "left")
+            .select(F.coalesce("sp", "src").alias("src"), F.coalesce("dp", "dst").alias("dst"))
+        )
+        e = materialize(spark, moved.where(F.col("src") != F.col("dst")).distinct(), "cc-edges")
+        relabel = labels.join(parent, labels.label == parent.v, "left").select("id", F.coalesce("p", "label").alias("label"))
+        labels = materialize(spark, relabel, "cc-labels")
     raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
 
 

@@ -193,7 +193,9 @@ class VersionedTable:
             return
         if "_u" not in df.columns:
             df = df.withColumn("_u", self.unit)
-        df.write.mode("overwrite").partitionBy("_u").parquet(path)
+        # REBALANCE by unit: few files per unit; AQE splits a skewed unit
+        # across tasks and coalesces small ones.
+        df.hint("rebalance", "_u").write.mode("overwrite").partitionBy("_u").parquet(path)
 
     def _next(self) -> tuple[int, int]:
         h = self.history()
@@ -236,7 +238,7 @@ class VersionedTable:
         parts = ["_v"]
         if self.unit is not None:
             staged, parts = staged.withColumn("_u", self.unit), ["_v", "_u"]
-        staged.write.mode("overwrite").partitionBy(*parts).option("partitionOverwriteMode", "dynamic").parquet(self.data_path)
+        staged.hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).option("partitionOverwriteMode", "dynamic").parquet(self.data_path)
         rows = [
             (v, _dt.datetime.now(_dt.UTC).replace(tzinfo=None), "CREATE" if v == 0 else "WRITE",
              {CDF_PROP: "true"} if v == 0 else {}, json.dumps(metadata or {}), base)
