@@ -120,9 +120,15 @@ def materialize(spark: SparkSession, abox: DataFrame, tbox: DataFrame) -> DataFr
     # and only against t1's asserted type triples, so t1 is not reshuffled.
     inferred = reduce(
         lambda a, b: a.unionByName(b), [dom_types, rng_types, sup_types, property_types, class_types, meta_types]
-    ).select("subject", "object").distinct()
-    asserted = t1.where(F.col("predicate") == RDF_TYPE).select("subject", "object")
-    new = inferred.join(asserted, ["subject", "object"], "left_anti").select(
-        *_iri_triple(F.col("subject"), F.lit(RDF_TYPE), F.col("object"))
+    ).select("subject", "object", F.lit(1).alias("__new"))
+    asserted = t1.where(F.col("predicate") == RDF_TYPE).select("subject", "object", F.lit(0).alias("__new"))
+    # One aggregate (a single shuffle of the type triples) keeps the inferred
+    # pairs that are not already asserted - no join to push into the union.
+    new = (
+        inferred.unionByName(asserted)
+        .groupBy("subject", "object")
+        .agg(F.min("__new").alias("__new"))
+        .where(F.col("__new") == 1)
+        .select(*_iri_triple(F.col("subject"), F.lit(RDF_TYPE), F.col("object")))
     )
     return t1.unionByName(new)
