@@ -152,3 +152,35 @@ def test_read_ntriples_empty_raises(spark):
     spark.createDataFrame([], "value string").write.text(path)
     with pytest.raises(ValueError):
         sinks.read_ntriples(spark, path)
+
+
+def _union_find_roots(n, edges):
+    parent = list(range(n))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        ra, rb = find(a), find(b)
+        if ra != rb:
+            parent[max(ra, rb)] = min(ra, rb)
+    roots = {}
+    for v in range(n):
+        roots.setdefault(find(v), []).append(v)
+    return {v: min(members) for members in roots.values() for v in members}
+
+
+def test_connected_components_vs_union_find(spark):
+    rng = np.random.default_rng(11)
+    n = 300
+    path = [(i, i + 1) for i in range(0, 60)]  # long path: many rounds for label propagation
+    star = [(100, j) for j in range(101, 140)]
+    rand = [tuple(int(x) for x in rng.integers(150, n, 2)) for _ in range(120)]
+    edges = path + star + rand + [(299, 0)]
+    vertices = spark.range(n)
+    e = spark.createDataFrame(edges, "src long, dst long")
+    got = {r.id: r.root for r in cl.connected_components(spark, vertices, e).collect()}
+    assert got == _union_find_roots(n, edges)

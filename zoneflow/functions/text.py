@@ -26,7 +26,9 @@ def normalize_text(c) -> Column:
     x = F.lower(as_col(c))
     x = F.regexp_replace(x, URL_PATTERN, " ")
     x = F.regexp_replace(x, NON_ALNUM_SPACE, " ")
-    x = F.regexp_replace(x, NON_ASCII, "")
+    # The rule's next step (drop [^\x00-\x7F]) cannot match here: Java's \s is
+    # ASCII-only, so the previous step already turned every non-ASCII code
+    # point into a space.  Skipping it saves a full-text regex pass.
     x = F.trim(x)
     return F.nullif(x, F.lit(""))
 
