@@ -37,6 +37,7 @@ def load_all() -> None:
     """Import every plan module so its queries register."""
     from zoneflow.plans import (  # noqa: F401
         curation,
+        flow_plans,
         graph_plans,
         merging,
         text_plans,
