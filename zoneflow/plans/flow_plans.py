@@ -92,7 +92,12 @@ trusted AS (
 """
 )
 
-register("news_to_trusted", _TRUSTED_SQL + "SELECT * FROM trusted")(_run_flow)
+@register("news_to_trusted", _TRUSTED_SQL + "SELECT * FROM trusted")
+def news_to_trusted(spark, d):
+    # Zone-less timestamps in the output, like the source tables (the parsed
+    # instants are UTC wall-clock times).
+    out = _run_flow(spark, d)
+    return out.withColumn("publishedAt", F.col("publishedAt").cast("timestamp_ntz"))
 
 
 @register(

@@ -43,6 +43,23 @@ def rows_of(columns, rows, digits: int):
     return Counter(tuple(_norm(r[i], digits) for i in order) for r in rows)
 
 
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+    "float": "FLOAT",
+}
+
+
+def type_mismatches(spark_dtypes: list[tuple[str, str]], con, sql: str) -> dict:
+    duck_types = {c[0]: str(c[1]) for c in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return {c: (t, duck_types.get(c)) for c, t in spark_dtypes if SPARK_TO_DUCK.get(t, t) != duck_types.get(c)}
+
+
 def compare(spark, name: str, fn, sql: str | None, sf_dir: str, digits: int = 6) -> dict:
     df = fn(spark, sf_dir)
     s_cols = df.columns
@@ -59,6 +76,10 @@ def compare(spark, name: str, fn, sql: str | None, sf_dir: str, digits: int = 6)
     if sorted(d_cols) != sorted(s_cols):
         out["status"] = f"column mismatch spark={sorted(s_cols)} oracle={sorted(d_cols)}"
         return out
+    bad_types = type_mismatches(df.dtypes, con, sql)
+    if bad_types:
+        out["status"] = f"type mismatch {bad_types}"
+        return out
     a = rows_of(s_cols, s_rows, digits)
     b = rows_of(d_cols, d_rows, digits)
     if a == b:
