@@ -184,3 +184,21 @@ def test_connected_components_vs_union_find(spark):
     e = spark.createDataFrame(edges, "src long, dst long")
     got = {r.id: r.root for r in cl.connected_components(spark, vertices, e).collect()}
     assert got == _union_find_roots(n, edges)
+
+
+def test_dbscan_dense_cells_vs_brute_force(spark):
+    rng = np.random.default_rng(7)
+    hot = rng.normal([0, 0], 0.08, (500, 2))  # many dense cells next to each other
+    ring_t = rng.uniform(0, 2 * np.pi, 160)
+    ring = np.c_[2 + 0.5 * np.cos(ring_t), 2 + 0.5 * np.sin(ring_t)]  # thin dense ring
+    bridge = np.c_[np.linspace(0.3, 1.6, 14), np.linspace(0.3, 1.6, 14)]  # sparse chain
+    two_blobs = np.vstack([rng.normal([5, 5], 0.01, (40, 2)), rng.normal([5.13, 5], 0.01, (40, 2))])  # close, not touching
+    noise = rng.uniform(-3, 8, (40, 2))
+    pts = np.vstack([ring, hot, bridge, two_blobs, noise])
+    perm = rng.permutation(len(pts))
+    pts = pts[perm]
+    df = spark.createDataFrame([(i, [float(x), float(y)]) for i, (x, y) in enumerate(pts)], "id long, v array<double>")
+    for eps, ms in [(0.1, 5), (0.05, 8)]:
+        got = {r.id: r.cluster for r in cl.dbscan(spark, df, "id", "v", eps, ms).collect()}
+        expect = brute_dbscan(pts, eps, ms)
+        assert [got[i] for i in range(len(pts))] == list(expect), (eps, ms)

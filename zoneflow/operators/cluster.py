@@ -18,6 +18,8 @@ checkpoint folder so lineage stays short.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -141,8 +143,127 @@ def connected_components(spark: SparkSession, vertices: DataFrame, edges: DataFr
     raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
 
 
+def _dbscan_2d(spark: SparkSession, points: DataFrame, id_col: str, vec_col: str, eps: float, ms: int, k_sub: int = 4) -> DataFrame:
+    """Exact DBSCAN for 2-D points without emitting the pairs inside dense
+    regions.
+
+    Cells have side eps/sqrt(2) (shrunk by 1e-9 so rounding cannot stretch a
+    cell past eps): all points of a cell are mutual neighbours.  A cell with
+    >= min_samples points is all-core.  Point pairs are enumerated only from
+    points of sparse cells (< min_samples points) to the other cells of their
+    5 x 5 block - at most 24 * min_samples partners per dense-cell point.
+    Cores of one cell form one vertex (id = its smallest core id).  Two dense
+    neighbour cells are linked when some pair of their occupied k x k
+    sub-cells is entirely within eps; only for cell pairs without such a
+    certain link are the points of the ambiguous sub-cell pairs compared.
+    """
+    side = eps / math.sqrt(2.0) * (1.0 - 1e-9)
+    sub = side / k_sub
+    tol = eps * 1e-9
+    pts = materialize(
+        spark,
+        points.select(
+            F.col(id_col).alias("id"), F.col(vec_col)[0].cast("double").alias("x"), F.col(vec_col)[1].cast("double").alias("y")
+        ).withColumns({"cx": F.floor(F.col("x") / side), "cy": F.floor(F.col("y") / side)}),
+        "db-points",
+    )
+    cells = materialize(spark, pts.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n")), "db-cells")
+    sparse_pts = pts.join(cells.where(F.col("n") < ms).select("cx", "cy"), ["cx", "cy"], "left_semi")
+    off24 = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in range(-2, 3) for dy in range(-2, 3) if (dx, dy) != (0, 0)])
+    left = sparse_pts.select(F.col("id").alias("a"), F.col("x").alias("ax"), F.col("y").alias("ay"), "cx", "cy", F.explode(off24).alias("o")).select(
+        "a", "ax", "ay", (F.col("cx") + F.col("o.dx")).alias("ncx"), (F.col("cy") + F.col("o.dy")).alias("ncy")
+    )
+    right = pts.select(F.col("id").alias("b"), F.col("x").alias("bx"), F.col("y").alias("by"), F.col("cx").alias("ncx"), F.col("cy").alias("ncy"))
+    d_ab = F.sqrt((F.col("ax") - F.col("bx")) * (F.col("ax") - F.col("bx")) + (F.col("ay") - F.col("by")) * (F.col("ay") - F.col("by")))
+    pairs = materialize(spark, left.join(right, ["ncx", "ncy"]).where(d_ab <= F.lit(eps)).select("a", "b"), "db-pairs")
+    # Degree of sparse-cell points = own cell count + partners in other cells.
+    partner_n = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("m"))
+    sparse_deg = sparse_pts.join(cells, ["cx", "cy"]).join(partner_n, sparse_pts.id == partner_n.a, "left").select(
+        "id", "cx", "cy", (F.col("n") + F.coalesce(F.col("m"), F.lit(0))).alias("deg")
+    )
+    dense_cells = cells.where(F.col("n") >= ms).select("cx", "cy")
+    cores = materialize(
+        spark,
+        pts.join(dense_cells, ["cx", "cy"], "left_semi").select("id", "cx", "cy").unionByName(
+            sparse_deg.where(F.col("deg") >= ms).select("id", "cx", "cy")
+        ),
+        "db-cores",
+    )
+    cell_v = cores.groupBy("cx", "cy").agg(F.min("id").alias("cv"))
+    core_v = cores.join(cell_v, ["cx", "cy"]).select("id", "cv")
+    # Links through enumerated pairs (one side in a sparse cell).
+    ca = core_v.select(F.col("id").alias("a"), F.col("cv").alias("va"))
+    cb = core_v.select(F.col("id").alias("b"), F.col("cv").alias("vb"))
+    e_pairs = pairs.join(ca, "a").join(cb, "b").select(F.col("va").alias("src"), F.col("vb").alias("dst"))
+    # Links between dense neighbour cells via sub-cells.
+    dpts = pts.join(dense_cells, ["cx", "cy"], "left_semi").withColumns(
+        {"sx": F.floor(F.col("x") / sub), "sy": F.floor(F.col("y") / sub)}
+    )
+    subs = dpts.groupBy("cx", "cy", "sx", "sy").agg(F.count(F.lit(1)).alias("k"))
+    dc = dense_cells.select(F.col("cx").alias("acx"), F.col("cy").alias("acy"), F.explode(off24).alias("o")).select(
+        "acx", "acy", (F.col("acx") + F.col("o.dx")).alias("bcx"), (F.col("acy") + F.col("o.dy")).alias("bcy")
+    )
+    dc = dc.join(dense_cells.select(F.col("cx").alias("bcx"), F.col("cy").alias("bcy")), ["bcx", "bcy"], "left_semi").where(
+        (F.col("acx") < F.col("bcx")) | ((F.col("acx") == F.col("bcx")) & (F.col("acy") < F.col("bcy")))
+    )
+    sa = subs.select(F.col("cx").alias("acx"), F.col("cy").alias("acy"), F.col("sx").alias("asx"), F.col("sy").alias("asy"))
+    sb = subs.select(F.col("cx").alias("bcx"), F.col("cy").alias("bcy"), F.col("sx").alias("bsx"), F.col("sy").alias("bsy"))
+    gx, gy = F.abs(F.col("asx") - F.col("bsx")), F.abs(F.col("asy") - F.col("bsy"))
+    box_min = F.sqrt(F.greatest(gx - 1, F.lit(0)) ** 2 + F.greatest(gy - 1, F.lit(0)) ** 2) * F.lit(sub)
+    box_max = F.sqrt((gx + 1) ** 2 + (gy + 1) ** 2) * F.lit(sub)
+    sub_pairs = materialize(
+        spark,
+        dc.join(sa, ["acx", "acy"]).join(sb, ["bcx", "bcy"]).select(
+            "acx", "acy", "bcx", "bcy", "asx", "asy", "bsx", "bsy", box_min.alias("dmin"), box_max.alias("dmax")
+        ).where(F.col("dmin") <= F.lit(eps + tol)),
+        "db-subpairs",
+    )
+    cell_keys = ["acx", "acy", "bcx", "bcy"]
+    certain = sub_pairs.where(F.col("dmax") <= F.lit(eps - tol)).select(*cell_keys).distinct()
+    open_pairs = sub_pairs.join(certain, cell_keys, "left_anti")
+    pa = dpts.select(F.col("id").alias("a"), F.col("x").alias("ax"), F.col("y").alias("ay"), F.col("cx").alias("acx"), F.col("cy").alias("acy"), F.col("sx").alias("asx"), F.col("sy").alias("asy"))
+    pb = dpts.select(F.col("id").alias("b"), F.col("x").alias("bx"), F.col("y").alias("by"), F.col("cx").alias("bcx"), F.col("cy").alias("bcy"), F.col("sx").alias("bsx"), F.col("sy").alias("bsy"))
+    checked = (
+        open_pairs.join(pa, ["acx", "acy", "asx", "asy"])
+        .join(pb, ["bcx", "bcy", "bsx", "bsy"])
+        .where(d_ab <= F.lit(eps))
+        .select(*cell_keys)
+        .distinct()
+    )
+    linked = certain.unionByName(checked)
+    va = cell_v.select(F.col("cx").alias("acx"), F.col("cy").alias("acy"), F.col("cv").alias("src"))
+    vb = cell_v.select(F.col("cx").alias("bcx"), F.col("cy").alias("bcy"), F.col("cv").alias("dst"))
+    e_dense = linked.join(va, ["acx", "acy"]).join(vb, ["bcx", "bcy"]).select("src", "dst")
+    edges = e_pairs.unionByName(e_dense).where(F.col("src") != F.col("dst"))
+    comps = connected_components(spark, cell_v.select(F.col("cv").alias("id")), edges)
+    numbered = dense_index(spark, comps.select("root"), "root", "cluster")
+    cell_cluster = comps.join(numbered, "root").select(F.col("id").alias("cv"), "cluster")
+    core_lab = materialize(spark, core_v.join(cell_cluster, "cv").select("id", "cluster"), "db-core-labels")
+    # Borders: non-core points (only in sparse cells) next to a core - in
+    # their own cell (all same-cell points are neighbours) or via a pair.
+    non_core = sparse_pts.select("id", "cx", "cy").join(cores.select("id"), "id", "left_anti")
+    own_cell = non_core.join(
+        cores.join(core_lab, "id").groupBy("cx", "cy").agg(F.min("cluster").alias("cluster")), ["cx", "cy"]
+    ).select("id", "cluster")
+    via_pair = (
+        pairs.join(non_core.select(F.col("id").alias("a")), "a")
+        .join(core_lab.select(F.col("id").alias("b"), "cluster"), "b")
+        .select(F.col("a").alias("id"), "cluster")
+    )
+    border = own_cell.unionByName(via_pair).groupBy("id").agg(F.min("cluster").alias("cluster"))
+    labelled = core_lab.unionByName(border)
+    out = pts.select("id").join(labelled, "id", "left").select(
+        F.col("id").alias(id_col), F.coalesce(F.col("cluster"), F.lit(-1)).cast("bigint").alias("cluster")
+    )
+    return out
+
+
 def dbscan(spark: SparkSession, points: DataFrame, id_col: str, vec_col: str, eps: float, min_samples: int) -> DataFrame:
-    """M9: (id, cluster) with -1 for noise; see the module docstring."""
+    """M9: (id, cluster) with -1 for noise; see the module docstring.  2-D
+    inputs use the dense-cell grid (no pairs inside dense regions)."""
+    dims = points.select(F.min(F.size(vec_col)).alias("lo"), F.max(F.size(vec_col)).alias("hi")).first()
+    if dims["lo"] == 2 and dims["hi"] == 2:
+        return _dbscan_2d(spark, points, id_col, vec_col, eps, min_samples)
     pairs = materialize(spark, eps_pairs(points, id_col, vec_col, eps, include_self=True).select("a", "b"), "eps-pairs")
     degree = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("deg"))
     cores = degree.where(F.col("deg") >= min_samples).select(F.col("a").alias("id"))
