@@ -110,3 +110,63 @@ FROM trusted WHERE coalesce(content, description, title, '') <> ''
 )
 def news_to_exploitation(spark, d):
     return news.to_records(_run_flow(spark, d))
+
+
+# --------------------------------------------------------------------------
+# Movies: the part table plays the movie catalogue; p_type is the genre.
+# --------------------------------------------------------------------------
+
+
+def movies_landing(spark, d):
+    from zoneflow.operators.graph.sample import dense_index
+
+    part = table(spark, d, "part")
+    genre_idx = dense_index(spark, part, "p_type", "gid")
+    genre_db = genre_idx.select(F.col("gid").alias("GenreId"), F.col("p_type").alias("Genre"))
+    genre_db = genre_db.unionByName(genre_db.select((F.col("GenreId") + 100).alias("GenreId"), "Genre"))  # same name, other id
+    with_g = part.join(genre_idx, "p_type")
+    movie_db = with_g.select(
+        F.col("p_partkey").alias("FilmId"),
+        F.col("p_name").alias("Title"),
+        F.concat(F.lit("A "), F.lower("p_type"), F.lit(" story")).alias("Overview"),
+        F.date_add(F.lit("2020-01-01").cast("date"), F.col("p_size")).alias("Release_Date"),
+        F.lit("Released").alias("Status_"),
+    )
+    movie_genre_db = with_g.select(
+        F.col("p_partkey").alias("FilmId"), F.col("gid").alias("GenreId"), F.lit("2024-01-01 00:00:00").cast("timestamp").alias("Ingestion_Time")
+    )
+    feed = lambda cond, ts: with_g.where(cond).select(
+        F.col("p_partkey").alias("id"),
+        F.col("p_name").alias("title"),
+        F.array(F.col("gid")).alias("genre_ids"),
+        (F.col("p_retailprice") / 10).alias("popularity"),
+        F.lit(ts).cast("timestamp").alias("ingestion_time"),
+    )
+    trending = feed(F.col("p_size") > 30, "2024-02-01 00:00:00")
+    now_playing = feed(F.col("p_size").between(20, 40), "2024-03-01 00:00:00").withColumns(
+        {"begin_date": F.lit("2024-03-01"), "end_date": F.lit("2024-03-31")}
+    )
+    return movie_db, movie_genre_db, genre_db, [trending, now_playing]
+
+
+@register(
+    "movies_to_exploitation",
+    r"""
+WITH g AS (SELECT p_type AS genre_raw, dense_rank() OVER (ORDER BY p_type) - 1 AS genre_id FROM (SELECT DISTINCT p_type FROM part)),
+genre AS (SELECT genre_id, regexp_replace(regexp_replace(lower(genre_raw), 'http\S+|www\.\S+', ' ', 'g'), '[^a-zA-Z\s]', ' ', 'g') AS genre FROM g),
+movie AS (SELECT p_partkey AS film_id, p_name AS title, 'A ' || lower(p_type) || ' story' AS overview,
+                 CAST(DATE '2020-01-01' + p_size AS DATE) AS release_date FROM part),
+mg AS (SELECT DISTINCT p.p_partkey AS film_id, g.genre_id FROM part p JOIN g ON g.genre_raw = p.p_type),
+comp AS (SELECT film_id, string_agg(DISTINCT genre, ', ' ORDER BY genre) AS genres FROM mg JOIN genre USING (genre_id) GROUP BY film_id)
+SELECT 'movie_' || CAST(film_id AS VARCHAR) AS _id,
+       '"' || title || '" (released ' || strftime(release_date, '%Y-%m-%d') || ') is a ' || genres || ' film: ' || overview AS text_to_embed,
+       'movies' AS source
+FROM movie JOIN comp USING (film_id)
+""",
+)
+def movies_to_exploitation(spark, d):
+    from zoneflow.flows import movies
+
+    movie_db, movie_genre_db, genre_db, feeds = movies_landing(spark, d)
+    trusted_movies, links, genres = movies.to_trusted(movie_db, movie_genre_db, genre_db, feeds)
+    return movies.to_records(trusted_movies, links, genres)
