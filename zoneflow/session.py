@@ -33,6 +33,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # Single node: list partition directories on the driver instead of
+        # launching a listing job (clusters on object stores keep the default).
+        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
