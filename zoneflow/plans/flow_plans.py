@@ -170,3 +170,89 @@ def movies_to_exploitation(spark, d):
     movie_db, movie_genre_db, genre_db, feeds = movies_landing(spark, d)
     trusted_movies, links, genres = movies.to_trusted(movie_db, movie_genre_db, genre_db, feeds)
     return movies.to_records(trusted_movies, links, genres)
+
+
+# --------------------------------------------------------------------------
+# Sports: lineitem rows arrive as nested match records (customer = home team,
+# supplier = away team, supplier nation = venue).
+# --------------------------------------------------------------------------
+
+
+def sports_landing(spark, d):
+    li = table(spark, d, "lineitem")
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    cust = table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    supp = table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    nation = F.broadcast(table(spark, d, "nation").select("n_nationkey", "n_name"))  # 25 rows
+    j = (
+        li.join(orders, li.l_orderkey == orders.o_orderkey)
+        .join(cust, F.col("o_custkey") == F.col("c_custkey"))
+        .join(supp, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    )
+    venue_name = F.when(F.col("s_nationkey") != 0, F.concat(F.col("n_name"), F.lit(" Arena")))
+    return j.select(
+        F.struct(
+            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
+            F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss").alias("date"),
+            F.unix_timestamp(F.col("l_shipdate").cast("timestamp")).alias("timestamp"),
+            F.struct(
+                F.when(F.col("l_linestatus") == "F", F.lit("Match Finished")).otherwise(F.lit("Not Started")).alias("long"),
+                F.col("l_linestatus").alias("short"),
+            ).alias("status"),
+            F.struct(F.lit(None).cast("bigint").alias("id"), venue_name.alias("name"), F.col("n_name").alias("city")).alias("venue"),
+        ).alias("fixture"),
+        F.struct(
+            F.struct(
+                F.col("o_custkey").alias("id"),
+                F.col("c_name").alias("name"),
+                F.when(F.col("c_mktsegment") != "BUILDING", F.concat(F.lit("logo/c/"), F.col("o_custkey").cast("string"))).alias("logo"),
+            ).alias("home"),
+            F.struct(
+                (F.col("s_suppkey") + 1000000).alias("id"),
+                F.col("s_name").alias("name"),
+                F.concat(F.lit("logo/s/"), F.col("s_suppkey").cast("string")).alias("logo"),
+            ).alias("away"),
+        ).alias("teams"),
+        F.struct(F.col("l_quantity").cast("bigint").alias("home"), F.col("l_linenumber").cast("bigint").alias("away")).alias("goals"),
+    )
+
+
+_SPORTS_BASE = """
+WITH m AS (
+  SELECT o.o_custkey AS home_id, c.c_name AS home_name,
+         CASE WHEN c.c_mktsegment <> 'BUILDING' THEN 'logo/c/' || CAST(o.o_custkey AS VARCHAR) END AS home_logo,
+         s.s_suppkey + 1000000 AS away_id, s.s_name AS away_name, 'logo/s/' || CAST(s.s_suppkey AS VARCHAR) AS away_logo,
+         CASE WHEN s.s_nationkey <> 0 THEN n.n_name || ' Arena' END AS venue_name, n.n_name AS venue_city
+  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN customer c ON c.c_custkey = o.o_custkey
+  JOIN supplier s ON s.s_suppkey = l.l_suppkey JOIN nation n ON n.n_nationkey = s.s_nationkey)
+"""
+
+
+@register(
+    "sports_teams",
+    _SPORTS_BASE
+    + """
+, t AS (SELECT DISTINCT * FROM (SELECT away_id AS team_id, away_logo AS team_logo, away_name AS team_name FROM m
+                                UNION ALL SELECT home_id, home_logo, home_name FROM m))
+SELECT team_id, min(team_logo) AS team_logo, min(team_name) AS team_name FROM t GROUP BY team_id
+""",
+)
+def sports_teams(spark, d):
+    from zoneflow.flows import sports
+
+    return sports.extract_teams(sports.expand(sports_landing(spark, d)))
+
+
+@register(
+    "sports_venues",
+    _SPORTS_BASE
+    + """
+SELECT coalesce(replace(venue_name, ' ', '_'), 'unknown') AS venue_id, min(venue_name) AS venue_name, min(venue_city) AS venue_city
+FROM m GROUP BY 1
+""",
+)
+def sports_venues(spark, d):
+    from zoneflow.flows import sports
+
+    return sports.extract_venues(sports.expand(sports_landing(spark, d)))
