@@ -66,3 +66,16 @@ def test_tsv_dictionary_gzip_roundtrip(spark):
     back = files.read_dictionary(spark, path)
     assert sorted(tuple(r) for r in back.collect()) == [(0, "http://e/a"), (1, "http://e/b")]
     assert any(str(p).endswith(".gz") for p in __import__("pathlib").Path(_local(path)).iterdir())
+
+
+def test_sports_trusted_matches_and_run_parameters(spark, sf001):
+    from zoneflow.flows import sports
+    from zoneflow.operators import cluster as cl
+    from zoneflow.plans.flow_plans import sports_landing
+
+    flat = sports.expand(sports_landing(spark, sf001))
+    m = sports.trusted_matches(flat)
+    assert "venue_id" in m.columns and "team_home_name" not in m.columns and "venue_name" not in m.columns
+    assert m.where(F.col("venue_id") == "unknown").count() == flat.where(F.col("venue_name").isNull()).count()
+    params = cl.run_parameters(spark, 4.0, 5, 100, 1000, 100, "random").first()
+    assert params.eps == 4.0 and params.users_processed == 100 and params.sampling_method == "random"
