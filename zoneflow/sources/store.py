@@ -288,10 +288,13 @@ class VersionedTable:
         from zoneflow.operators.merge import merge_coalesce, merge_replace
 
         keys = list(keys)
+        # Stage the join only when both the snapshot and the change feed are
+        # written from it.
+        stage = self.cdf_enabled()
         if self.unit is None:
             target = self.read()
             if how == "coalesce":
-                snap, changes = merge_coalesce(target, source, keys, check_unique, stage=True)
+                snap, changes = merge_coalesce(target, source, keys, check_unique, stage=stage)
             else:
                 snap, changes = merge_replace(target, source, keys), None
             return self.merge(snap, changes)
@@ -300,7 +303,7 @@ class VersionedTable:
         touched = sorted({r[0] for r in hits.select("_u").distinct().collect()}, key=str)
         part = target.where(F.col("_u").isin(touched)).drop("_u") if touched else target.drop("_u").limit(0)
         if how == "coalesce":
-            snap, changes = merge_coalesce(part, source, keys, check_unique, stage=True)
+            snap, changes = merge_coalesce(part, source, keys, check_unique, stage=stage)
         else:
             snap, changes = merge_replace(part, source, keys), None
         v, base = self._next()
