@@ -2,7 +2,7 @@
 
 ``encode`` works in three Spark steps:
 
-1. every input partition is read in blocks of about 32 MB of text.  A block
+1. every input partition is read in blocks of about 12 MB of text.  A block
    numbers its distinct pre-tokens by first appearance and turns each text
    into the sequence of those numbers, which is the pre-tokens with their
    positions (a compressed array);

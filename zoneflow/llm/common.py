@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 32 << 20
+SLICE_BYTES = 12 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 

@@ -34,7 +34,7 @@ d(x + y) = floor((x + y) (q - p) / (q + p)) for sizes x and y.
 * Classes are connected components, by alternating large-star and small-star
   rounds.
 
-Sketch rows travel packed by block (about 32 MB of text) and hash bucket, and a
+Sketch rows travel packed by block (about 12 MB of text) and hash bucket, and a
 block sends one row a node and segment value however often a text repeats in
 it.  Intermediate tables lie in the shared checkpoint folder.
 

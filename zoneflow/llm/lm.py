@@ -1,7 +1,7 @@
 """N-gram language-model scores from a log-frequency Bloom filter.
 
 Training counts every unigram and bigram of every training text.  Each block of
-about 32 MB counts its own n-grams first and sends one packed row (64-bit
+about 12 MB counts its own n-grams first and sends one packed row (64-bit
 n-gram hashes and counts) to each of many segments of the hash space, so a
 very frequent n-gram is one entry a block.  A segment adds its counts up,
 quantises them on a log scale (level 1 + floor(log_base c)) and sets, for each
