@@ -20,7 +20,8 @@ d(x + y) = floor((x + y) (q - p) / (q + p)) for sizes x and y.
   out of the sketch keeps the bound, as it can only lower the difference; a
   node that is left with too many empty segments also enters a second sketch
   over all its shingles (and there, if it must, its empty segments), so two
-  such nodes meet in it.  Which shingles are common is counted over all texts.
+  such nodes meet in it.  Which shingles are common is counted over all texts,
+  in 2 ** 20 hashed counters: those far above the mean, by its Poisson spread.
 * Large groups of near copies.  The smallest set of each of the (at most
   ``max_leaders``) most frequent smallest shingles goes to all workers; a text
   with that smallest shingle is compared with it exactly where it is read.
@@ -53,14 +54,17 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from zoneflow.llm.common import ascii_words, mix64, plain_strings, string_hashes, text_slices
 from zoneflow.session import materialize
 
 SKETCH_WORDS = 16  # 64-bit words of the short bit sketch
 SEED = np.uint64(0xC2B2AE3D27D4EB4F)
+LOG_COUNTERS, LOG_CHUNK = 20, 14
 
 
 @dataclass(frozen=True)
@@ -134,8 +138,7 @@ def segment_values(shingles: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray
 def signatures(shingles: np.ndarray, common: np.ndarray, threshold: Threshold, ends: list[int]) -> np.ndarray:
     """The join keys of a set: hashes of (sketch, band, segment, value)."""
     n = len(shingles)
-    at = np.searchsorted(common, shingles)
-    rare = shingles[common[np.minimum(at, len(common) - 1)] != shingles] if len(common) else shingles
+    rare = shingles[~common[(shingles >> np.uint64(64 - LOG_COUNTERS)).astype(np.int64)]]
     own = int(np.searchsorted(ends, n))
     keys = []
     for band in (own, own + 1):
@@ -175,7 +178,7 @@ class Plan:
     width: int
     threshold: Threshold
     ends: list[int]
-    common: np.ndarray
+    common: np.ndarray  # of each hashed counter, whether its shingles are left out
     leaders: dict[int, tuple[int, np.ndarray]]
     log_buckets: int
 
@@ -189,10 +192,10 @@ DESCRIBED = "kind int, id {id}, node long, n long, sketch array<long>, low long,
 
 
 def _described(rows: DataFrame, width: int, local_share: float = 0.002, local_least: int = 8) -> DataFrame:
-    """kind 0: a row for each text; kind 1: a shingle (``node``) that ``n`` distinct sets of a block hold;
-    kind 2: the smallest node of ``n`` distinct sets of a block that have the smallest shingle ``low``."""
+    """kind 0: a row for each text; kind 1: counters of the shingles in a task's distinct sets, chunk ``node`` of task ``n``; kind 2: the smallest node of ``n`` distinct sets of a block that have the smallest shingle ``low``."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counters = np.zeros(1 << LOG_COUNTERS, np.int64)
         for batch in batches:
             for piece in text_slices(batch):
                 sets, nodes, first = _distinct_sets(piece, width)
@@ -202,10 +205,8 @@ def _described(rows: DataFrame, width: int, local_share: float = 0.002, local_le
                 if not first:
                     continue
                 least = max(local_least, local_share * len(first))
-                shingles, held = np.unique(np.concatenate([sets[i] for i in first.values()]), return_counts=True)
-                often = held >= least
-                none = pa.nulls(int(often.sum()), piece.column("id").type)
-                yield _batch(1, none, shingles[often].view(np.int64), held[often], None, None, None)
+                held = np.concatenate([sets[i] for i in first.values()]) >> np.uint64(64 - LOG_COUNTERS)
+                counters += np.bincount(held.astype(np.int64), minlength=len(counters))
                 by: dict[int, list[int]] = {}
                 for node, i in first.items():
                     by.setdefault(low[i], []).append(node)
@@ -213,7 +214,13 @@ def _described(rows: DataFrame, width: int, local_share: float = 0.002, local_le
                 if large:
                     lows, leaders, sizes = zip(*large, strict=True)
                     yield _batch(2, pa.nulls(len(large), piece.column("id").type), leaders, sizes, None, lows, [sets[first[x]].astype("<u8").tobytes() for x in leaders])
+        chunks = counters.reshape(-1, 1 << LOG_CHUNK)
+        used = np.flatnonzero(chunks.any(1))
+        if len(used):
+            none = pa.nulls(len(used), pa.null()).cast(id_type)
+            yield _batch(1, none, used, np.full(len(used), TaskContext.get().partitionId()), None, None, [chunks[c].astype("<u4").tobytes() for c in used])
 
+    id_type = to_arrow_type(rows.schema["id"].dataType)
     return rows.mapInArrow(describe, DESCRIBED.format(id=rows.schema["id"].dataType.simpleString()))
 
 
@@ -234,6 +241,23 @@ def _batch(kind: int, ids: pa.Array, node, n, sketch: np.ndarray | None, low, sh
     )
 
 
+def _common(described: DataFrame) -> np.ndarray:
+    """Of each hashed counter, whether its count is far above the mean."""
+
+    def added(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x, "<u4").astype(np.int64) for x in table.column("shingles").to_pylist())
+        return pa.table([table.column("node").slice(0, 1), table.column("n").slice(0, 1), pa.array([np.minimum(total, 0xFFFFFFFF).astype("<u4").tobytes()], pa.binary())], ["node", "n", "shingles"])
+
+    chunks = described.where("kind = 1").select("node", (F.col("n") % 256).alias("n"), "shingles")
+    for keys in (["node", "n"], ["node"]):  # by way of some tasks each, then all
+        chunks = chunks.groupBy(*keys).applyInArrow(added, "node long, n long, shingles binary")
+    counters = np.zeros((1 << (LOG_COUNTERS - LOG_CHUNK), 1 << LOG_CHUNK), np.int64)
+    for row in chunks.collect():
+        counters[row.node] = np.frombuffer(row.shingles, "<u4")
+    mean = counters.mean()
+    return (counters > mean + 8 * np.sqrt(mean) + 8).ravel()
+
+
 def _packed_signatures(rows: DataFrame, plan: Plan) -> DataFrame:
     """(bucket, keys, owners, nodes, leaders): for each block and bucket of the key space the join keys, the
     place of each key's node in ``nodes``, and the nodes' leaders (a node's own number: none).  Rows without
@@ -323,15 +347,19 @@ def _groups(packed: DataFrame, small_group: int) -> DataFrame:
     return packed.groupBy("bucket").applyInArrow(group, "kind int, a long, b long, firsts array<long>, nodes array<long>, leaders array<long>")
 
 
-def _possible(pairs: DataFrame, nodes: DataFrame, threshold: Threshold) -> DataFrame:
-    """The (a, b) pairs whose sizes and bit sketches allow a link, with their sizes."""
+def _near(n_a: Column, n_b: Column, sketch_a: Column, sketch_b: Column, threshold: Threshold) -> Column:
+    """Whether sizes and bit sketches allow a link."""
     p, q = threshold.p, threshold.q
+    distance = sum((F.bit_count(sketch_a[i].bitwiseXOR(sketch_b[i])) for i in range(SKETCH_WORDS)), F.lit(0))
+    return (F.least(n_a, n_b) * q >= F.greatest(n_a, n_b) * p) & (distance * (q + p) <= (n_a + n_b) * (q - p))
+
+
+def _possible(pairs: DataFrame, nodes: DataFrame, threshold: Threshold) -> DataFrame:
+    """The (a, b) pairs whose sizes and bit sketches allow a link."""
     left = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
     right = nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
-    distance = sum((F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i])) for i in range(SKETCH_WORDS)), F.lit(0))
     both = pairs.join(left, "a").join(right, "b")
-    near = (F.least("n_a", "n_b") * q >= F.greatest("n_a", "n_b") * p) & (distance * (q + p) <= (F.col("n_a") + F.col("n_b")) * (q - p))
-    return both.where(near).select("a", "b", "n_a", "n_b")
+    return both.where(_near(F.col("n_a"), F.col("n_b"), F.col("sketch_a"), F.col("sketch_b"), threshold)).select("a", "b")
 
 
 def _linked(pairs: DataFrame, rows: DataFrame, width: int, threshold: Threshold) -> DataFrame:
@@ -384,15 +412,17 @@ def _across_classes(groups: DataFrame, labels: DataFrame, nodes: DataFrame, thre
     firsts = left_over.select("a", F.explode("firsts").alias("node")).join(labels, "node", "left").groupBy("a").agg(F.min(class_of).alias("x"), F.max(class_of).alias("y"))
     open_groups = firsts.where("x <> y").select("a")
     members = left_over.join(open_groups, "a", "left_semi").select(F.col("a").alias("grp"), F.explode(F.arrays_zip("nodes", "leaders")).alias("m")).select("grp", F.col("m.nodes").alias("node"))
-    members = materialize(spark, members.join(labels, "node", "left").select("grp", "node", class_of.alias("component")), "jaccard-open")
+    members = materialize(spark, members.join(labels, "node", "left").select("grp", "node", class_of.alias("component")).join(nodes.select("node", "n", "sketch"), "node"), "jaccard-open")
     if members.isEmpty():
         return None
     # the largest class of a group is not compared with itself: only the others look for partners
     sizes = members.groupBy("grp", "component").count()
     largest = sizes.groupBy("grp").agg(F.max_by("component", F.struct("count", "component")).alias("largest"))
-    seekers = members.join(largest, "grp").where("component <> largest").select("grp", F.col("node").alias("u"), F.col("component").alias("u_class"), "largest")
-    pairs = seekers.join(members, "grp").where((F.col("u_class") != F.col("component")) & ((F.col("component") == F.col("largest")) | (F.col("u") < F.col("node"))))
-    return pairs.select(F.least("u", "node").alias("a"), F.greatest("u", "node").alias("b")).distinct()
+    seekers = members.join(largest, "grp").where("component <> largest").select("grp", "largest", *(F.col(c).alias(f"u_{c}") for c in ("node", "component", "n", "sketch")))
+    across = (F.col("u_component") != F.col("component")) & ((F.col("component") == F.col("largest")) | (F.col("u_node") < F.col("node")))
+    near = _near(F.col("u_n"), F.col("n"), F.col("u_sketch"), F.col("sketch"), threshold)
+    pairs = seekers.join(members, "grp").where(across & near)
+    return pairs.select(F.least("u_node", "node").alias("a"), F.greatest("u_node", "node").alias("b")).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -428,14 +458,13 @@ def similar_groups(
     width: int = 5,
     threshold: Threshold = Threshold(),
     small_group: int = 4,
-    max_common: int = 1 << 20,
     max_leaders: int = 1024,
     leader_bytes: int = 16 << 20,
 ) -> DataFrame:
     """One row a document: id, n_shingles and component_id (see the module's head).
 
-    ``max_common`` and ``max_leaders`` (and ``leader_bytes``, their sets) bound
-    what workers get; they steer the work and not the result.
+    ``max_leaders`` (and ``leader_bytes``, their sets) bounds what workers get
+    of them; it steers the work and not the result.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
@@ -446,7 +475,6 @@ def similar_groups(
     nodes = materialize(spark, filled.groupBy("node").agg(best, F.min("n").alias("n"), F.min("sketch").alias("sketch")), "jaccard-nodes")
     total, largest = nodes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
 
-    common = described.where("kind = 1").groupBy("node").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "node").limit(max_common).select("node").toArrow()
     frequent = described.where("kind = 2").groupBy("low").agg(F.sum("n").alias("n"), F.min_by(F.struct("node", "shingles"), "node").alias("first"))
     leaders, held = {}, 0
     for row in frequent.orderBy(F.desc("n"), "low").limit(max_leaders).collect():
@@ -454,7 +482,7 @@ def similar_groups(
         if held > leader_bytes:
             break
         leaders[row.low] = (row.first.node, np.frombuffer(row.first.shingles, "<u8"))
-    plan = Plan(width, threshold, threshold.bands(max(1, largest)), np.sort(common.column("node").to_numpy().view(np.uint64)), leaders, int(min(20, max(4, np.ceil(np.log2(total / (1 << 15) + 1))))))
+    plan = Plan(width, threshold, threshold.bands(max(1, largest)), _common(described), leaders, int(min(20, max(4, np.ceil(np.log2(total / (1 << 15) + 1))))))
 
     groups = materialize(spark, _groups(_packed_signatures(rows, plan), small_group), "jaccard-groups")
     edges = groups.where("kind = 1").select("a", "b").distinct()
@@ -463,7 +491,7 @@ def similar_groups(
     labels = components(links)
     across = _across_classes(groups, labels, nodes, threshold)
     if across is not None:
-        more = materialize(spark, _possible(across.join(pairs, ["a", "b"], "left_anti"), nodes, threshold), "jaccard-pairs")
+        more = materialize(spark, across.join(pairs, ["a", "b"], "left_anti"), "jaccard-pairs")
         if not more.isEmpty():
             links = materialize(spark, links.unionByName(_linked(more, rows, width, threshold)), "jaccard-links")
             labels = components(links)
