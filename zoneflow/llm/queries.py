@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.llm import bpe, jaccard, langid, lm, quality, toxicity
+from zoneflow.llm import bpe, chat, decontam, jaccard, langid, lm, quality, topk, toxicity, urlgraph
 from zoneflow.llm.common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,26 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, fitted, keep=("held_out",))
 
 
+OP2_SQL = """
+WITH sound AS (
+  SELECT vec_id, min(list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))) IS NOT FALSE
+  GROUP BY vec_id
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM sound q JOIN sound c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@_register("op2_exact_topk", OP2_SQL)
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @_register("op3_quality")
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out("doc_id", 3, 1))
@@ -54,6 +74,91 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model, keep=("held_out",))
 
 
+URL_RULES = [
+    urlgraph.Rule("allow", "com", "/"),
+    urlgraph.Rule("block", "example.com", "/en/"),
+    urlgraph.Rule("allow", "www.example.com", "/en/"),
+    urlgraph.Rule("block", "net", "/es/"),
+    urlgraph.Rule("block", "net", "/fr/"),
+]
+
+
+def _url_sql(rules: list[urlgraph.Rule], rounds: int = 12, damping: float = 0.6, threshold: float = 0.5) -> str:
+    """The rounds of the spread as one table expression each."""
+    fits = " UNION ALL ".join(f"SELECT '{r.action}' AS action, '{r.host}' AS r_host, '{r.path}' AS r_path" for r in rules)
+    steps = "".join(
+        f"""
+, r{k} AS (
+  SELECT b.host, {1 - damping} * b.t0 + {damping} * coalesce(f.t, 0) AS t, {1 - damping} * b.d0 + {damping} * coalesce(g.d, 0) AS d
+  FROM base b
+  LEFT JOIN (SELECT s.target AS host, sum(r.t * s.forward) AS t FROM shares s JOIN r{k - 1} r ON r.host = s.source GROUP BY 1) f ON f.host = b.host
+  LEFT JOIN (SELECT s.source AS host, sum(r.d * s.backward) AS d FROM shares s JOIN r{k - 1} r ON r.host = s.target GROUP BY 1) g ON g.host = b.host
+)"""
+        for k in range(1, rounds + 1)
+    )
+    link = urlgraph.LINK.replace("'", "''")
+    return f"""
+WITH rules AS ({fits}), parsed AS (
+  SELECT row_number() OVER () AS n, page_id, html,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{urlgraph.UPPER}', '{urlgraph.LOWER}') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages
+), fitting AS (
+  SELECT p.n, arg_max(r.r_host || r.r_path, length(r.r_host || r.r_path)) AS rule, arg_max(r.action, length(r.r_host || r.r_path)) AS action
+  FROM parsed p JOIN rules r ON (p.host = r.r_host OR ends_with(p.host, '.' || r.r_host)) AND starts_with(p.path, r.r_path) GROUP BY p.n
+), judged AS (
+  SELECT p.*, f.rule, f.action FROM parsed p LEFT JOIN fitting f USING (n)
+), links AS (
+  SELECT host AS source, translate(unnest(regexp_extract_all(html, '{link}', 1)), '{urlgraph.UPPER}', '{urlgraph.LOWER}') AS target FROM parsed
+), edges AS (
+  SELECT source, target, count(*) AS links FROM links WHERE source <> target AND source <> '' GROUP BY 1, 2
+), shares AS (
+  SELECT source, target, links / sum(links) OVER (PARTITION BY source) AS forward, links / sum(links) OVER (PARTITION BY target) AS backward FROM edges
+), seeds AS (
+  SELECT host, avg(CASE WHEN action = 'allow' THEN 1.0 ELSE 0.0 END) AS t0, avg(CASE WHEN action = 'block' THEN 1.0 ELSE 0.0 END) AS d0 FROM judged GROUP BY host
+), base AS (
+  SELECT host, coalesce(t0, 0) AS t0, coalesce(d0, 0) AS d0 FROM seeds FULL JOIN (SELECT source AS host FROM edges UNION SELECT target FROM edges) e USING (host)
+), r0 AS (SELECT host, {1 - damping} * t0 AS t, {1 - damping} * d0 AS d FROM base){steps}
+SELECT j.page_id, j.host, j.path, j.rule, coalesce(j.action, CASE WHEN r.t + r.d > 0 AND r.d >= {threshold} * (r.t + r.d) THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged j LEFT JOIN r{rounds} r ON r.host = j.host
+"""
+
+
+@_register("op4_url_filters", _url_sql(URL_RULES))
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlgraph.judge(table(spark, sf_dir, "pages"), URL_RULES).drop("trust", "distrust")
+
+
+OP5_SQL = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS n, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), item AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item, least(len(w), 13) AS size, array_to_string(w[i:i + least(len(w), 13) - 1], ' ') AS s
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 13, 0) + 2)) AS i FROM item WHERE len(w) > 0)
+), places AS (
+  SELECT n, size, i, array_to_string(w[i:i + size - 1], ' ') AS s
+  FROM (SELECT n, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM doc CROSS JOIN (SELECT DISTINCT size FROM windows))
+), met AS (
+  SELECT n, item, i, size FROM places JOIN windows USING (size, s)
+), hit AS (
+  SELECT n, count(DISTINCT p) AS n_hit FROM (SELECT n, unnest(range(i, i + size)) AS p FROM met) GROUP BY n
+), items AS (
+  SELECT n, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT n, item FROM met) GROUP BY n
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN hit USING (n) LEFT JOIN items USING (n)
+"""
+
+
+@_register("op5_decontamination", OP5_SQL)
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
 @_register("op6_lm_scoring")
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"), held_out=held_out("doc_id", 5, 1))
@@ -66,6 +171,47 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, keep=("held_out",))
 
 
+OP8_SQL = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), sized AS (
+  SELECT *, length(replace(replace(replace(text, '\', '\b'), '#', '\h'), '<', '\l')) AS text_chars,
+    length(replace(replace(replace(replace(replace(role, '\', '\b'), '#', '\h'), '<', '\l'), ':', '\c'), chr(10), '\n')) AS role_chars
+  FROM rows
+), per AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+    coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '') AS loss, sum(4 + role_chars + 2 + text_chars + 8) AS chars
+  FROM sized GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars FROM per
+"""
+
+
+@_register("op8_chat_format", OP8_SQL)
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(r"\### Assistant: </turn> ok").alias("text")
+    )
+    turns = F.transform(
+        F.sort_array(F.collect_list(F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")))), lambda r: F.struct(r["turn"], r["role"], r["text"])
+    )
+    records = rows.unionByName(tricky).groupBy("conv_id").agg(turns.alias("rows")).select("conv_id", F.struct("rows").alias("record"))
+    out = chat.format_turns(chat.canonical_turns(records, "record"))
+    read, loss = chat.read_turns(F.col("formatted")), chat.read_loss(F.col("formatted"), F.col("loss_spans"))
+    whole = F.array_join(F.transform("read", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    out = out.select("conv_id", "formatted", read.alias("read"), loss.alias("loss"))
+    return out.select(
+        "conv_id",
+        F.size("read").cast("long").alias("n_turns"),
+        F.sha2(whole, 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 OP9_SQL = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
