@@ -2,21 +2,21 @@
 
 ``encode`` works in three Spark steps:
 
-1. every input partition is read in blocks of about 12 MB of text.  A block
+1. every input partition is read in blocks of about 8 MB of text.  A block
    numbers its distinct pre-tokens by first appearance and turns each text
    into the sequence of those numbers, which is the pre-tokens with their
    positions (a compressed array);
-2. the (block, number, pre-token) rows are shuffled by pre-token and sorted,
-   so each distinct pre-token of the corpus is encoded exactly once, next to
-   all blocks that ask for it.  A pre-token has at most one row a block
+2. a block's distinct pre-tokens go, packed by hash bucket, to the task of their
+   bucket, where each distinct pre-token of the corpus is encoded exactly once
+   for all blocks that ask for it.  A pre-token is asked for once a block
    however often it occurs, which is what keeps very frequent ones small;
 3. the ids go back to their block, meet its texts (co-grouped by block) and
    are put together by position.
 
 Blocks are derived twice, once for the texts and once for the pre-tokens, from
-the same deterministic scan instead of being stored; both sides carry a
-digest of the block's pre-tokens and the job stops if they disagree (an input
-whose rows change order between two reads: write it as a table first).
+the same deterministic scan instead of being stored.  A block's number is a
+digest of its place and its pre-tokens, so the job stops if the two disagree (an
+input whose rows change order between two reads: write it as a table first).
 
 Defined results: a null or empty text has no ids and decodes to no bytes; every
 input row yields one output row, so repeated rows and repeated ids stay;
@@ -38,9 +38,9 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
-from zoneflow.llm.common import plain_strings, text_slices
+from zoneflow.llm.common import plain_strings, string_hashes, text_slices
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -57,8 +57,8 @@ class PieceEncoder:
 
         self._core = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})._core_bpe
 
-    def __call__(self, piece: str) -> list[int]:
-        return self._core.encode_single_piece(piece.encode())
+    def __call__(self, piece: bytes) -> list[int]:
+        return self._core.encode_single_piece(piece)
 
 
 def _flat_gather(codes: np.ndarray, offsets: np.ndarray, flat: np.ndarray) -> np.ndarray:
@@ -116,75 +116,104 @@ def _unpack(blob: bytes) -> np.ndarray:
     return low.astype(np.int64) | (high.astype(np.int64) << 16)
 
 
-def _digest(words: list[str]) -> int:
-    h = hashlib.blake2b(digest_size=8)
-    for w in words:
-        h.update(w.encode() + b"\0")
-    return int.from_bytes(h.digest(), "little", signed=True)
-
-
-def _blocks(batches, pattern_text: str):
+def _blocks(batches: Iterator[pa.RecordBatch], pattern_text: str):
+    """(block, rows, distinct pre-tokens, numbers of each text) of a task's blocks."""
     pattern, seq, part = regex.compile(pattern_text), 0, TaskContext.get().partitionId()
     for batch in batches:
-        for piece in text_slices(batch):
+        for piece in text_slices(batch, max_bytes=8 << 20):
             words, codes = block_pretokens(plain_strings(piece.column("text")), pattern)
-            yield (part << 32) | seq, piece, words, codes
+            h = hashlib.blake2b(f"{part} {seq} {len(words)}".encode(), digest_size=8)
+            h.update("\0".join(words).encode())
+            yield int.from_bytes(h.digest(), "little", signed=True), piece, words, codes
             seq += 1
 
 
+def _pack_lists(lists: list[bytes]) -> bytes:
+    sizes = np.fromiter(map(len, lists), "<u4", len(lists))
+    return zstandard.compress(np.array([len(lists)], "<u4").tobytes() + sizes.tobytes() + b"".join(lists), 3)
+
+
+def _unpack_lists(blob: bytes) -> list[bytes]:
+    raw = zstandard.decompress(blob)
+    n = int(np.frombuffer(raw, "<u4", 1)[0])
+    ends = np.cumsum(np.frombuffer(raw, "<u4", n, 4), dtype=np.int64) + 4 + 4 * n
+    starts = np.concatenate([[4 + 4 * n], ends[:-1]])
+    return [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Rows of ``keep`` columns plus ``n_tokens`` and ``ids`` (little-endian 32-bit ids)."""
     spark = docs.sparkSession
     ranks = spark.sparkContext.broadcast(load_ranks(ranks_path))
     rows = docs.select(F.struct(*keep).alias("key"), F.col(text).alias("text"))
     key_type = rows.schema["key"].dataType
+    # a task holds the distinct pre-tokens of one bucket at a time
+    buckets = 1 << max(6, min(16, (4 * rows.rdd.getNumPartitions() - 1).bit_length()))
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, piece, words, codes in _blocks(batches, pattern):
             n = piece.num_rows
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block] * n, pa.int64()), piece.column("key"), pa.array([_digest(words)] * n, pa.int64()), pa.array([_pack(c) for c in codes], pa.binary())],
-                ["block", "key", "digest", "codes"],
+                [pa.array([block] * n, pa.int64()), piece.column("key"), pa.array([len(words)] * n, pa.int32()), pa.array([_pack(c) for c in codes], pa.binary())], ["block", "key", "words", "codes"]
             )
 
     def pretokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, _, words, _ in _blocks(batches, pattern):
-            digest = _digest(words)
-            for a in range(0, len(words), 50_000):
-                part = words[a : a + 50_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block] * len(part), pa.int64()), pa.array([digest] * len(part), pa.int64()), pa.array(range(a, a + len(part)), pa.int32()), pa.array(part, pa.string())],
-                    ["block", "digest", "number", "word"],
-                )
+            if not words:
+                continue
+            bucket = (string_hashes(pa.array(words, pa.string())) >> np.uint64(40)).astype(np.int64) % buckets
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            used = np.flatnonzero(np.diff(cuts)).tolist()
+            numbers = [order[cuts[b] : cuts[b + 1]] for b in used]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([block] * len(used), pa.int64()),
+                    pa.array(used, pa.int32()),
+                    pa.array([_pack(x) for x in numbers], pa.binary()),
+                    pa.array([_pack_lists([words[i].encode() for i in x]) for x in numbers], pa.binary()),
+                ],
+                ["block", "bucket", "numbers", "words"],
+            )
 
     def ids_of_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, last, ids = PieceEncoder(ranks.value, pattern), None, b""
+        encoder, last, known = PieceEncoder(ranks.value, pattern), None, {}
         for batch in batches:
             found = []
-            for word in batch.column("word").to_pylist():
-                if word != last:
-                    last, ids = word, np.array(encoder(word), "<u4").tobytes()
-                found.append(ids)
-            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("digest"), batch.column("number"), pa.array(found, pa.binary())], ["block", "digest", "number", "ids"])
+            for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("words"), strict=True):
+                if bucket != last:
+                    last, known = bucket, {}
+                words = _unpack_lists(blob.as_py())
+                for word in words:
+                    if word not in known:
+                        known[word] = np.array(encoder(word), "<u4").tobytes()
+                found.append(_pack_lists([known[w] for w in words]))
+            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("numbers"), pa.array(found, pa.binary())], ["block", "numbers", "ids"])
 
     def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
-        lists = [b""] * right.num_rows
-        for number, ids in zip(right.column("number").to_pylist(), right.column("ids").to_pylist(), strict=True):
-            lists[number] = ids
-        if len(set(left.column("digest").to_pylist()) | set(right.column("digest").to_pylist())) > 1:
+        asked = left.column("words").to_pylist()
+        lists = [b""] * (asked[0] if asked else 0)
+        answered = 0
+        for numbers, blob in zip(right.column("numbers"), right.column("ids"), strict=True):
+            for number, ids in zip(_unpack(numbers.as_py()).tolist(), _unpack_lists(blob.as_py()), strict=True):
+                lists[number] = ids
+                answered += 1
+        if answered != len(lists):
             raise RuntimeError("the input rows changed order between two reads; write them as a table first")
         sizes = np.fromiter((len(x) // 4 for x in lists), np.int64, len(lists))
         starts, pool = np.concatenate([[0], np.cumsum(sizes)]), np.frombuffer(b"".join(lists), "<u4")
-        found = [_flat_gather(_unpack(blob), starts, pool) for blob in left.column("codes").to_pylist()]
-        return pa.table([left.column("key"), pa.array([len(x) for x in found], pa.int64()), pa.array([x.tobytes() for x in found], pa.binary())], ["key", "n_tokens", "ids"])
-
-    blocks_t = StructType([StructField("block", LongType()), StructField("key", key_type), StructField("digest", LongType()), StructField("codes", BinaryType())])
-    words_t = StructType([StructField("block", LongType()), StructField("digest", LongType()), StructField("number", IntegerType()), StructField("word", StringType())])
-    ids_t = StructType([StructField("block", LongType()), StructField("digest", LongType()), StructField("number", IntegerType()), StructField("ids", BinaryType())])
+        n, out = [], []
+        for blob in left.column("codes"):
+            ids = _flat_gather(_unpack(blob.as_py()), starts, pool)
+            n.append(len(ids))
+            out.append(ids.tobytes())
+        return pa.table([left.column("key"), pa.array(n, pa.int64()), pa.array(out, pa.binary())], ["key", "n_tokens", "ids"])
+
+    blocks_t = StructType([StructField("block", LongType()), StructField("key", key_type), StructField("words", IntegerType()), StructField("codes", BinaryType())])
     out_t = StructType([StructField("key", key_type), StructField("n_tokens", LongType()), StructField("ids", BinaryType())])
 
-    asked = rows.mapInArrow(pretokens, words_t).repartition("word").sortWithinPartitions("word")
-    answered = asked.mapInArrow(ids_of_words, ids_t)
+    asked = rows.mapInArrow(pretokens, "block long, bucket int, numbers binary, words binary").repartition("bucket").sortWithinPartitions("bucket")
+    answered = asked.mapInArrow(ids_of_words, "block long, numbers binary, ids binary")
     out = rows.mapInArrow(texts, blocks_t).groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(assemble, out_t)
     return out.select("key.*", "n_tokens", "ids")
 

@@ -54,9 +54,11 @@ def text_slices(batch: pa.RecordBatch, column: str = "text", max_bytes: int = SL
     for i, size in enumerate(sizes.tolist()):
         if i > start and held + size > max_bytes:
             yield batch.slice(start, i - start)
+            pa.default_memory_pool().release_unused()
             start, held = i, 0
         held += size
     yield batch.slice(start)
+    pa.default_memory_pool().release_unused()
 
 
 def plain_strings(column: pa.Array) -> pa.Array:
