@@ -22,11 +22,6 @@ from zoneflow.session import scratch_path
 ORACLE_SQL = None
 
 
-def _keeping(docs: DataFrame, scored: DataFrame, columns: list[str]) -> DataFrame:
-    """The kept rows in the columns and the order of columns of ``docs``."""
-    return scored.select(*columns)
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier does not reject; it learns from the labelled rows that may train."""
     marked = docs.withColumn("held_out", held_out("doc_id", 5, 0))
@@ -54,8 +49,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold too much of the benchmark go."""
-    found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"), keep=tuple(c for c in docs.columns if c != "doc_id"))
-    return found.where(~F.col("contaminated")).select(*docs.columns)
+    return decontam.without_contaminated(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -61,6 +61,19 @@ def text_slices(batch: pa.RecordBatch, column: str = "text", max_bytes: int = SL
     pa.default_memory_pool().release_unused()
 
 
+def keyed_rows(docs: DataFrame, id_column: str, keep: tuple[str, ...], text: str) -> DataFrame:
+    """key (a struct of the id and the kept columns, so that no name can clash) and, unless it is among them, text."""
+    key = F.struct(id_column, *keep).alias("key")
+    return docs.select(key) if text in keep else docs.select(key, F.col(text).alias("text"))
+
+
+def keyed_slices(batch: pa.RecordBatch, text: str, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """(key, texts without nulls) of the pieces of a batch of ``keyed_rows``."""
+    own = batch.column("text") if "text" in batch.schema.names else batch.column("key").field(text)
+    for piece in text_slices(pa.RecordBatch.from_arrays([batch.column("key"), own], ["key", "text"]), max_bytes=max_bytes):
+        yield piece.column("key"), plain_strings(piece.column("text"))
+
+
 def plain_strings(column: pa.Array) -> pa.Array:
     """Texts without nulls (null: empty) as an Arrow string array."""
     return pc.fill_null(column.cast(pa.string()), "")

@@ -28,7 +28,7 @@ Defined results: null and empty texts have no words and are not contaminated;
 repeated rows all get their result; several items of one text are all listed,
 items without a word match nothing, a null item_id is listed as an empty name;
 an empty benchmark contaminates nothing.  Other columns are ignored or, if
-named in ``keep``, carried along.
+kept as they are by ``without_contaminated``.
 """
 
 from __future__ import annotations
@@ -64,17 +64,36 @@ def _shingle_places(docs: DataFrame, k: int, known: DataFrame) -> DataFrame:
     parts = [F.col("all") if i == 0 else F.slice("all", F.lit(i + 1), F.greatest(F.size("all") - i, F.lit(0))) for i in range(k)]
     names = [f"w{i}" for i in range(k)]
     zipped = F.arrays_zip(*(p.alias(n) for p, n in zip(parts, names, strict=True)))
-    spread = docs.select("key_id", "key_hash", F.posexplode(zipped).alias("pos", "z")).select("key_id", "key_hash", "pos", *(F.col("z")[n].alias(n) for n in names))
+    spread = docs.select("key_id", "key_hash", F.size("all").alias("all_words"), F.posexplode(zipped).alias("pos", "z")).select("key_id", "key_hash", "all_words", "pos", *(F.col("z")[n].alias(n) for n in names))
     spread = spread.where(F.col(names[-1]).isNotNull()).withColumn("hash", F.xxhash64(*names))
     other = known.select("hash", "shingle", *(F.col(n).alias(f"i_{n}") for n in names))
     same = reduce(lambda a, b: a & b, (F.col(n) == F.col(f"i_{n}") for n in names))
-    return spread.join(other, "hash").where(same).select("key_id", "key_hash", F.lit(k).alias("k"), "pos", "shingle")
+    return spread.join(other, "hash").where(same).select("key_id", "key_hash", "all_words", F.lit(k).alias("k"), "pos", "shingle")
 
 
 def _bounded(df: DataFrame, rows: int, limit: int) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
 
+def _text_key(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, id_column: str, text: str, item_id: str, item_text: str, window: int, width: int, broadcast_rows: int) -> DataFrame | None:
+    """(hit_id, hit_hash, n_hit, items, all_words) of the documents in which a window occurs, or None for an empty benchmark."""
+    spark = docs.sparkSession
+    windows = materialize(spark, item_windows(benchmark, item_id, item_text, window, width), "decontam-windows")
+    known = windows.select("k", F.explode("shingles").alias("shingle")).distinct()
+    sizes = {r["k"]: r["count"] for r in known.groupBy("k").count().collect()}
+    keyed = docs.select(F.col(id_column).alias("key_id"), _text_key(F.col(text)).alias("key_hash"), words(F.col(text)).alias("all"))
+    found = []
+    for k in sorted(sizes):
+        parts = F.split("shingle", " ")
+        own = known.where(F.col("k") == k).select("shingle", *(parts[i].alias(f"w{i}") for i in range(k))).withColumn("hash", F.xxhash64(*(f"w{i}" for i in range(k))))
+        found.append(_shingle_places(keyed, k, _bounded(own, sizes[k], broadcast_rows)))
+    return _hits(spark, reduce(DataFrame.unionByName, found), windows, window, broadcast_rows) if found else None
+
+
 def contamination(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -86,32 +105,30 @@ def contamination(
     width: int = 3,
     one_in: int = 20,
     broadcast_rows: int = 500_000,
-    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """id, ``keep`` columns, n_words, n_hit, n_items, items (sorted names) and contaminated (``one_in`` * n_hit >= n_words > 0)."""
-    spark = docs.sparkSession
-    windows = materialize(spark, item_windows(benchmark, item_id, item_text, window, width), "decontam-windows")
-    known = windows.select("k", F.explode("shingles").alias("shingle")).distinct()
-    sizes = {r["k"]: r["count"] for r in known.groupBy("k").count().collect()}
-    keyed = docs.select(F.col(id_column).alias("key_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("key_hash"), words(F.col(text)).alias("all"))
-    found = []
-    for k in sorted(sizes):
-        parts = F.split("shingle", " ")
-        own = known.where(F.col("k") == k).select("shingle", *(parts[i].alias(f"w{i}") for i in range(k))).withColumn("hash", F.xxhash64(*(f"w{i}" for i in range(k))))
-        found.append(_shingle_places(keyed, k, _bounded(own, sizes[k], broadcast_rows)))
-    rows = docs.select(F.col(id_column).alias("key_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("key_hash"), F.size(words(F.col(text))).cast("long").alias("n_words"), *(F.col(c).alias(f"keep_{c}") for c in keep))
-    if found:
-        hits = _hits(spark, reduce(DataFrame.unionByName, found), windows, window, width, broadcast_rows)
-        rows = rows.join(hits, rows["key_id"].eqNullSafe(hits["hit_id"]) & (rows["key_hash"] == hits["hit_hash"]), "left")
+    """id, n_words, n_hit, n_items, items (sorted names) and contaminated (``one_in`` * n_hit >= n_words > 0) of every document."""
+    hits = _found(docs, benchmark, id_column, text, item_id, item_text, window, width, broadcast_rows)
+    rows = docs.select(F.col(id_column).alias("key_id"), _text_key(F.col(text)).alias("key_hash"), F.size(words(F.col(text))).cast("long").alias("n_words"))
+    if hits is not None:
+        rows = rows.join(hits.drop("all_words"), rows["key_id"].eqNullSafe(hits["hit_id"]) & (rows["key_hash"] == hits["hit_hash"]), "left")
     else:
         rows = rows.withColumns({"n_hit": F.lit(0).cast("long"), "items": F.array().cast("array<string>")})
     n_hit, items = F.coalesce("n_hit", F.lit(0)).cast("long"), F.coalesce("items", F.array().cast("array<string>"))
-    out = rows.select(F.col("key_id").alias(id_column), *(F.col(f"keep_{c}").alias(c) for c in keep), "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"), items.alias("items"))
+    out = rows.select(F.col("key_id").alias(id_column), "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"), items.alias("items"))
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (one_in * F.col("n_hit") >= F.col("n_words")))
 
 
-def _hits(spark, places: DataFrame, windows: DataFrame, window: int, width: int, broadcast_rows: int) -> DataFrame:
-    """(hit_id, hit_hash, n_hit, items) of the documents in which a window occurs."""
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 13, width: int = 3, one_in: int = 20, broadcast_rows: int = 500_000) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with all their columns; only documents with hits are counted and joined."""
+    hits = _found(docs, benchmark, id_column, text, item_id, item_text, window, width, broadcast_rows)
+    if hits is None:
+        return docs
+    spoilt = materialize(docs.sparkSession, hits.where(one_in * F.col("n_hit") >= F.col("all_words")).select("hit_id", "hit_hash"), "decontam-spoilt")
+    return docs.join(spoilt, docs[id_column].eqNullSafe(spoilt["hit_id"]) & (_text_key(docs[text]) == spoilt["hit_hash"]), "left_anti")
+
+
+def _hits(spark, places: DataFrame, windows: DataFrame, window: int, broadcast_rows: int) -> DataFrame:
+    """(hit_id, hit_hash, n_hit, items, all_words) of the documents in which a window occurs."""
     places = materialize(spark, places, "decontam-places")
     rarity = places.groupBy("k", "shingle").count()
     spread = windows.select("w", "k", F.posexplode("shingles").alias("offset", "shingle")).join(rarity, ["k", "shingle"], "left")
@@ -128,10 +145,10 @@ def _hits(spark, places: DataFrame, windows: DataFrame, window: int, width: int,
     count = F.size("shingles")
     here = F.transform(F.filter("around", lambda x: (x["pos"] >= start) & (x["pos"] < start + count)), lambda x: x["s"])
     met = context.join(_bounded(prefix, prefix.count(), broadcast_rows), ["k", "shingle"]).where((start >= 0) & (here == F.col("shingles")))
-    spans = met.select("key_id", "key_hash", start.alias("a"), (start + F.col("length")).alias("b"), "items")
+    spans = met.select("key_id", "key_hash", start.alias("a"), (start + F.col("length")).alias("b"), "items", "all_words")
 
     # the union of a document's spans, from what each adds to those that start before it
     before = Window.partitionBy("key_id", "key_hash").orderBy("a", "b").rowsBetween(Window.unboundedPreceding, -1)
     added = F.greatest(F.col("b") - F.greatest("a", F.coalesce(F.max("b").over(before), F.col("a"))), F.lit(0))
-    summed = spans.withColumn("added", added).groupBy("key_id", "key_hash").agg(F.sum("added").alias("n_hit"), F.flatten(F.collect_set("items")).alias("items"))
-    return summed.select(F.col("key_id").alias("hit_id"), F.col("key_hash").alias("hit_hash"), "n_hit", F.array_sort(F.array_distinct("items")).alias("items"))
+    summed = spans.withColumn("added", added).groupBy("key_id", "key_hash").agg(F.sum("added").alias("n_hit"), F.flatten(F.collect_set("items")).alias("items"), F.max("all_words").alias("all_words"))
+    return summed.select(F.col("key_id").alias("hit_id"), F.col("key_hash").alias("hit_hash"), "n_hit", F.array_sort(F.array_distinct("items")).alias("items"), "all_words")

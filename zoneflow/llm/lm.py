@@ -105,49 +105,48 @@ def bigram_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
 
 
 def _token_blocks(batches: Iterator[pa.RecordBatch]):
-    """Block number, rows, and the tokens of a block: row offsets, codes (the end token included), distinct tokens."""
+    """Block, rows, and the tokens of a block: row offsets, codes (the end token included), distinct tokens and their hashes.
+
+    A block's number is a digest of its place and its tokens, so two scans that
+    disagree about a block do not meet.
+    """
     seq, part = 0, TaskContext.get().partitionId()
     for batch in batches:
         for piece in text_slices(batch):
             offsets, codes, words = ascii_words(pc.ascii_lower(plain_strings(piece.column("text"))))
             words = pa.concat_arrays([words.cast(pa.string()), pa.array([END])])
             codes = np.insert(codes, offsets[1:], len(words) - 1)
-            yield (part << 32) | seq, piece, offsets + np.arange(len(offsets)), codes, words
+            hashes = string_hashes(words)
+            h = hashlib.blake2b(f"{part} {seq}".encode() + hashes.tobytes(), digest_size=8)
+            yield int.from_bytes(h.digest(), "little", signed=True), piece, offsets + np.arange(len(offsets)), codes, words, hashes
             seq += 1
 
 
-def _digest(words: pa.Array) -> int:
-    h = hashlib.blake2b(string_hashes(words).tobytes(), digest_size=8)
-    return int.from_bytes(h.digest(), "little", signed=True)
-
-
 def _block_counts(rows: DataFrame) -> DataFrame:
-    """(block, digest, number, word, n): each block's distinct tokens and their counts in its training rows."""
+    """(block, number, word, n): each block's distinct tokens and their counts in its training rows."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, piece, offsets, codes, words in _token_blocks(batches):
+        for block, piece, offsets, codes, words, _ in _token_blocks(batches):
             train = ~piece.column("held_out").to_numpy(zero_copy_only=False)
             n = np.bincount(codes, weights=train[row_of(offsets)], minlength=len(words)).astype(np.int64)
-            digest = _digest(words)
             for a in range(0, len(words), 50_000):
                 part = words.slice(a, 50_000)
                 k = len(part)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([block] * k, pa.int64()), pa.array([digest] * k, pa.int64()), pa.array(np.arange(a, a + k), pa.int32()), part, pa.array(n[a : a + k])],
-                    ["block", "digest", "number", "word", "n"],
+                    [pa.array([block] * k, pa.int64()), pa.array(np.arange(a, a + k), pa.int32()), part, pa.array(n[a : a + k])],
+                    ["block", "number", "word", "n"],
                 )
 
-    return rows.mapInArrow(count, "block long, digest long, number int, word string, n long")
+    return rows.mapInArrow(count, "block long, number int, word string, n long")
 
 
 def _filter_slices(rows: DataFrame, shape: FilterShape, bits_needed: float) -> DataFrame:
     """(segment, bits): the filter's slices over all training n-grams."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, piece, offsets, codes, words in _token_blocks(batches):
+        for _, piece, offsets, codes, words, hashes in _token_blocks(batches):
             train = ~piece.column("held_out").to_numpy(zero_copy_only=False)
             keep = train[row_of(offsets)]
-            hashes = string_hashes(words)
             tokens = hashes[codes]
             before = np.empty_like(tokens)
             before[1:] = tokens[:-1]
@@ -228,7 +227,7 @@ def score(
 
     word = Window.partitionBy("word")
     counted = _block_counts(rows).repartition("word").withColumn("c", F.sum("n").over(word)).withColumn("first", F.col("block") == F.min("block").over(word))
-    counts = materialize(spark, counted.select("block", "digest", "number", "n", "c", "first"), "lm-counts")
+    counts = materialize(spark, counted.select("block", "number", "n", "c", "first"), "lm-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum((F.col("first") & (F.col("c") > 0)).cast("long")), F.lit(0))).first()
 
     log_bits = int(np.ceil(np.log2(max(1 << 16, min(max_bits, bits_per_ngram * max(total, 1))))))
@@ -239,24 +238,25 @@ def score(
     if total:
         for row in _filter_slices(rows, shape, bits_needed=4.0).collect():  # as large as the filter, no larger
             bits[row.segment * width : (row.segment + 1) * width] = np.frombuffer(row.bits, np.uint8)
-    shared: Broadcast = spark.sparkContext.broadcast(bits.tobytes())
+    shared: Broadcast = spark.sparkContext.broadcast(bits)
+    del bits
     floor = np.log10(total + 0.5 * (distinct + 1))
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, piece, offsets, codes, words in _token_blocks(batches):
+        for block, piece, offsets, codes, _, hashes in _token_blocks(batches):
             n = piece.num_rows
-            hashes = [string_hashes(words).tobytes()] + [b""] * (n - 1)
+            hashes = [hashes.tobytes()] + [b""] * (n - 1)
             packed = [_pack(codes[offsets[i] : offsets[i + 1]]) for i in range(n)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block] * n, pa.int64()), pa.array([_digest(words)] * n, pa.int64()), piece.column("id"), piece.column("held_out"), pa.array(packed, pa.binary()), pa.array(hashes, pa.binary())],
-                ["block", "digest", "id", "held_out", "codes", "hashes"],
+                [pa.array([block] * n, pa.int64()), piece.column("id"), piece.column("held_out"), pa.array(packed, pa.binary()), pa.array(hashes, pa.binary())],
+                ["block", "id", "held_out", "codes", "hashes"],
             )
 
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
-        if len(set(left.column("digest").to_pylist()) | set(right.column("digest").to_pylist())) > 1:
-            raise RuntimeError("the input rows changed order between two reads; write them as a table first")
-        filter_bits = np.frombuffer(shared.value, np.uint8)
         hashes = np.frombuffer(b"".join(left.column("hashes").to_pylist()), np.uint64)
+        if len(hashes) != right.num_rows:
+            raise RuntimeError("the input rows changed order between two reads; write them as a table first")
+        filter_bits = shared.value
         c = np.zeros(len(hashes), np.int64)
         c[right.column("number").to_numpy()] = right.column("c").to_numpy()
         base = np.log10(c + 0.5) - floor
@@ -292,8 +292,8 @@ def score(
             ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
         )
 
-    blocks = rows.mapInArrow(texts, f"block long, digest long, id {id_type}, held_out boolean, codes binary, hashes binary")
-    out = blocks.groupBy("block").cogroup(counts.select("block", "digest", "number", "c").groupBy("block")).applyInArrow(
+    blocks = rows.mapInArrow(texts, f"block long, id {id_type}, held_out boolean, codes binary, hashes binary")
+    out = blocks.groupBy("block").cogroup(counts.select("block", "number", "c").groupBy("block")).applyInArrow(
         scored, f"id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
     return out.withColumnRenamed("id", id_column)

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zoneflow.llm.common import ascii_words, hash_share, plain_strings, row_of, text_slices
+from zoneflow.llm.common import ascii_words, hash_share, keyed_rows, keyed_slices, plain_strings, row_of, text_slices
 
 BINS = 16
 #: Byte classes whose shares of a text are statistics.
@@ -237,7 +237,6 @@ def _measured(rows: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_column: str = "doc_id", text: str = "text", max_rows: int = 20_000, seed: int = 303) -> QualityModel | None:
     """Fit on ``docs`` that may train and on ``labels``; at most about ``max_rows`` positives and as many unlabelled documents."""
-    spark = docs.sparkSession
     trusted = labels.where(F.col(label) == 1).select(F.col(id_column).alias("id")).distinct()
     rows = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
     n_docs, n_trusted = rows.count(), trusted.count()
@@ -249,7 +248,6 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_column: s
     table = _measured(positive.unionByName(unlabelled)).toArrow()
     x = np.array(table.column("x").to_pylist()).reshape(-1, len(FEATURES))
     is_positive = np.array(table.column("key").to_pylist(), bool)
-    del spark
     if not is_positive.any() or is_positive.all():
         return None
     return train(x[is_positive], x[~is_positive])
@@ -257,15 +255,15 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_column: s
 
 def score(docs: DataFrame, model: QualityModel | None, id_column: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """id, ``keep`` columns, score (0 to 1) and predicted (1 if score >= 0.5)."""
-    rows = docs.select(F.struct(id_column, *keep).alias("key"), F.col(text).alias("text"))
+    rows = keyed_rows(docs, id_column, keep, text)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = rows.select("key", F.lit(0.0).alias("score"), F.lit(0).alias("predicted")).schema
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            for piece in text_slices(batch):
-                s = m.score(statistics(plain_strings(piece.column("text")))) if m else np.full(piece.num_rows, 0.5)
-                yield pa.RecordBatch.from_arrays([piece.column("key"), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], schema.fieldNames())
+            for key, texts in keyed_slices(batch, text):
+                s = m.score(statistics(texts)) if m else np.full(len(key), 0.5)
+                yield pa.RecordBatch.from_arrays([key, pa.array(s), pa.array((s >= 0.5).astype(np.int32))], schema.fieldNames())
 
     return rows.mapInArrow(judge, schema).select("key.*", "score", "predicted")

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zoneflow.llm.common import ascii_words, bounded_sample, mix64, ngram_hashes, plain_strings, row_of, text_slices, word_points
+from zoneflow.llm.common import ascii_words, bounded_sample, keyed_rows, keyed_slices, mix64, ngram_hashes, plain_strings, row_of, text_slices, word_points
 
 
 @dataclass(frozen=True)
@@ -186,14 +186,14 @@ def fit(
 
 def score(docs: DataFrame, model: ToxicityModel, id_column: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """id, ``keep`` columns, score (0 to 1) and predicted (1 if score >= 0.5)."""
-    rows = docs.select(F.struct(id_column, *keep).alias("key"), F.col(text).alias("text"))
+    rows = keyed_rows(docs, id_column, keep, text)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = rows.select("key", F.lit(0.0).alias("score"), F.lit(0).alias("predicted")).schema
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in text_slices(batch, max_bytes=16 << 20):
-                s = shared.value.score(plain_strings(piece.column("text")))
-                yield pa.RecordBatch.from_arrays([piece.column("key"), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], schema.fieldNames())
+            for key, texts in keyed_slices(batch, text, max_bytes=8 << 20):
+                s = shared.value.score(texts)
+                yield pa.RecordBatch.from_arrays([key, pa.array(s), pa.array((s >= 0.5).astype(np.int32))], schema.fieldNames())
 
     return rows.mapInArrow(judge, schema).select("key.*", "score", "predicted")
