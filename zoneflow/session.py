@@ -51,12 +51,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     base = spark.conf.get(_CKPT_KEY, None) or sc.getConf().get(_CKPT_KEY, None)
     if not base:
-        # Only reached in tests / local runs: clusters name a shared folder.
-        base = tempfile.mkdtemp(prefix="zoneflow-ckpt-")
+        base = local_scratch(sc.master)
     sc.setCheckpointDir(base)
     return sc.getCheckpointDir()
 
 
+def local_scratch(master: str) -> str:
+    """A machine-local folder, for a single-machine session only: executors of a
+    cluster would each write to a disk of their own."""
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError(f"{_CKPT_KEY} has to name a folder that all executors share")
+    return tempfile.mkdtemp(prefix="zoneflow-ckpt-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh directory under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
