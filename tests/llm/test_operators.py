@@ -378,6 +378,8 @@ def test_toxicity(spark):
     assert [out[i].predicted for i in range(250, 500)] == [int(i % 5 == 0) for i in range(250, 500)]
     assert out[500].score == out[501].score < 0.5 < out[502].score
     assert {r.predicted for r in toxicity.score(docs, toxicity.fit(docs, labels.limit(0))).collect()} == {0}
+    few = spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, toxic int")  # no n-gram stands out
+    assert {r.score for r in toxicity.score(docs, toxicity.fit(docs, few)).collect()} == {0.5}
     share = toxicity.log_count_ratios(np.array([0]), np.array([0]), 10, 90)
     assert share[0] == pytest.approx(0)
 

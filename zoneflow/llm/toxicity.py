@@ -115,7 +115,7 @@ def fit_weights(row: np.ndarray, feature: np.ndarray, y: np.ndarray, ratios: np.
         margin = w[-1] + np.bincount(row, weights=x * w[feature], minlength=n)
         error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y) / n
         g = np.empty_like(w)
-        g[:-1] = np.bincount(feature, weights=x * error[row], minlength=len(ratios)) + l2 / len(ratios) * w[:-1]
+        g[:-1] = np.bincount(feature, weights=x * error[row], minlength=len(ratios)) + l2 / max(1, len(ratios)) * w[:-1]
         g[-1] = error.sum()
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
