@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from zoneflow.operators import merge as mg
 from zoneflow.session import scratch_path
 from zoneflow.sources.store import VersionedTable
-from zoneflow.streaming.incremental import ControlTable, IncrementalLoader
+from zoneflow.streaming.incremental import ControlTable, IncrementalLoader, stream_merge
 
 SCHEMA = "k int, a string, b int"
 
@@ -152,3 +152,76 @@ def test_store_high_water(spark):
     vs = vt.merge_high_water(spark.createDataFrame([(2, None, 12), (3, "new", 20), (4, "nots", None), (1, "upd", 3)], "k int, a string, ts int"), ["k"], "ts")
     assert len(vs) == 2
     assert rows(vt.read()) == [(1, "upd", 3), (2, "two", 12), (3, "new", 20), (4, "nots", None)]
+
+
+def test_merge_into_a_null_unit(spark):
+    vt = VersionedTable(spark, scratch_path(spark, "t-null-unit"), unit=F.col("b") % 2)
+    vt.create(spark.createDataFrame([(1, "x", None), (2, "y", 2), (3, "z", None)], SCHEMA))
+    vt.merge_into(spark.createDataFrame([(1, "new", None), (2, None, 3)], SCHEMA), ["k"])
+    assert rows(vt.read()) == [(1, "new", None), (2, "y", 3), (3, "z", None)]
+    vt.merge_into(spark.createDataFrame([(3, "r", 1)], SCHEMA), ["k"], "replace")
+    assert rows(vt.read()) == [(1, "new", None), (2, "y", 3), (3, "r", 1)]
+
+
+def test_repeated_source_keys_raise(spark):
+    t = spark.createDataFrame([(1, "x", 1)], SCHEMA)
+    twice = spark.createDataFrame([(2, "a", 5), (2, "b", 6)], SCHEMA)
+    vt = VersionedTable(spark, scratch_path(spark, "t-twice"))
+    vt.create(t)
+    for merge in (
+        lambda: mg.merge_coalesce(t, twice, ["k"]),
+        lambda: mg.merge_replace(t, twice, ["k"]),
+        lambda: mg.merge_high_water(t, twice, ["k"], "b"),
+        lambda: vt.merge_into(twice, ["k"]),
+        lambda: vt.merge_into(twice, ["k"], "replace"),
+        lambda: vt.merge_high_water(twice, ["k"], "b"),
+    ):
+        with pytest.raises(ValueError):
+            merge()
+    assert rows(vt.read()) == [(1, "x", 1)]
+
+
+def test_loader_sees_overwrites_and_replace_merges(spark):
+    src = VersionedTable(spark, scratch_path(spark, "t-seen"))
+    src.create(spark.createDataFrame([(1, "a", 1)], SCHEMA))
+    control = ControlTable(spark, scratch_path(spark, "t-seen-control"))
+    control.update("src", 0)
+    src.overwrite(spark.createDataFrame([(7, "o", 7)], SCHEMA))
+    src.merge_into(spark.createDataFrame([(7, "p", 8), (8, "q", 8)], SCHEMA), ["k"], "replace")
+    loader = IncrementalLoader(spark, control, "src", src)
+    assert rows(loader.get_new_data(("insert", "update_postimage"))) == [(7, "o", 7), (7, "p", 8), (8, "q", 8)]
+    assert loader.mode == "changes"
+    # a merge without change rows cannot be read as changes: full load
+    src.merge(spark.createDataFrame([(9, "s", 9)], SCHEMA), None)
+    full = IncrementalLoader(spark, control, "src", src)
+    assert rows(full.get_new_data()) == [(9, "s", 9)] and full.mode == "full"
+    with pytest.raises(ValueError):
+        src.read_changes(1, 3)
+
+
+def test_stream_reads_committed_versions_only(spark):
+    src = VersionedTable(spark, scratch_path(spark, "t-stream"))
+    src.create(spark.createDataFrame([(1, "a", 1)], SCHEMA))
+    spark.createDataFrame([(99, "orphan", 1)], SCHEMA).write.parquet(f"{src.data_path}/_v=1")  # a write that failed before its commit
+    target = VersionedTable(spark, scratch_path(spark, "t-stream-to"))
+    apply = lambda df, _: target.merge_into(df, ["k"]) if target.exists() else target.create(df)
+    checkpoint = scratch_path(spark, "t-stream-ckpt")
+    stream_merge(spark, src, apply, checkpoint)
+    assert rows(target.read()) == [(1, "a", 1)]
+    src.append(spark.createDataFrame([(2, "b", 2)], SCHEMA))
+    stream_merge(spark, src, apply, checkpoint)
+    assert rows(target.read()) == [(1, "a", 1), (2, "b", 2)]
+
+
+def test_retry_replaces_a_partial_attempt(spark):
+    vt = VersionedTable(spark, scratch_path(spark, "t-retry"), unit=F.col("k") % 3)
+    vt._write_version(spark.createDataFrame([(1, "failed", 1), (2, "failed", 2)], SCHEMA), 0)
+    vt.create(spark.createDataFrame([(1, "a", 1)], SCHEMA))
+    assert rows(vt.read()) == [(1, "a", 1)]
+
+
+def test_backfill_with_missing_versions(spark):
+    vt = VersionedTable(spark, scratch_path(spark, "t-gaps"))
+    made = vt.append_versions(spark.createDataFrame([(1, "a", 1, 0), (2, "b", 2, 3)], SCHEMA + ", v long"), "v")
+    assert made == [0, 3] and vt.latest_version() == 3
+    assert rows(vt.read()) == [(1, "a", 1), (2, "b", 2)] and rows(vt.read_changes(1, 3)) == [(2, "b", 2)]

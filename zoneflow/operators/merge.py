@@ -20,6 +20,23 @@ def _keys(k) -> list[str]:
     return [k] if isinstance(k, str) else list(k)
 
 
+def check_source(source: DataFrame, keys: Sequence[str]) -> None:
+    """Raise if a key without nulls repeats in a merge source."""
+    assert_unique(source.dropna(subset=list(keys)), keys)
+
+
+def replace_changes(target: DataFrame, source: DataFrame, key_cols: str | Sequence[str]) -> DataFrame:
+    """The change rows of a K8 merge: pre- and post-images of replaced rows, inserts of new ones."""
+    keys = _keys(key_cols)
+    source = source.select(*target.columns)
+    held = target.select(*keys).distinct()
+    return (
+        source.join(held, keys, "left_semi").select(*target.columns, F.lit("update_postimage").alias("_change_type"))
+        .unionByName(source.join(held, keys, "left_anti").select(*target.columns, F.lit("insert").alias("_change_type")))
+        .unionByName(target.join(source.select(*keys), keys, "left_semi").select(*target.columns, F.lit("update_preimage").alias("_change_type")))
+    )
+
+
 def _merge_join(target: DataFrame, source: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
     data_cols = [c for c in target.columns if c not in keys]
     t = target.select(
@@ -41,17 +58,19 @@ def merge_coalesce(
     target: DataFrame,
     source: DataFrame,
     key_cols: str | Sequence[str],
-    check_unique: bool = False,
+    check_unique: bool = True,
     stage: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """K6: matched -> coalesce(new.c, old.c) per non-key column; unmatched source
     rows -> inserted; target rows without a match stay.  Returns
-    (snapshot, changes).  ``stage=True`` writes the joined rows once to the
+    (snapshot, changes).  A key that repeats in the source raises, as a MERGE
+    with two matches for one row does (``check_unique=False`` if the caller
+    knows better; null keys never match and may repeat).  ``stage=True`` writes the joined rows once to the
     shared folder so writing the snapshot and the change feed does not run
     the full outer join twice."""
     keys = _keys(key_cols)
     if check_unique:
-        assert_unique(source, keys)
+        check_source(source, keys)
     j, data_cols = _merge_join(target, source, keys)
     if stage:
         from zoneflow.session import materialize
@@ -84,14 +103,15 @@ def merge_high_water(
     merge branch (Q5); above-max rows whose key already exists are merged,
     not appended as duplicates (Q6).  The max is one scalar (A5/P12)."""
     keys = _keys(key_cols)
+    check_source(batch, keys)
     max_ts = target.agg(F.max(ts_col).alias("m")).first()["m"]
     if max_ts is None:
-        return merge_coalesce(target, batch, keys)
+        return merge_coalesce(target, batch, keys, check_unique=False)
     late = batch.where(F.col(ts_col).isNull() | (F.col(ts_col) <= F.lit(max_ts)))
     fresh = batch.where(F.col(ts_col) > F.lit(max_ts))
     existing = fresh.join(target.select(*keys), keys, "left_semi")
     appended = fresh.join(target.select(*keys), keys, "left_anti")
-    merged, changes = merge_coalesce(target, late.unionByName(existing), keys)
+    merged, changes = merge_coalesce(target, late.unionByName(existing), keys, check_unique=False)
     appended = appended.select(*target.columns)
     return (
         merged.unionByName(appended),
@@ -99,9 +119,12 @@ def merge_high_water(
     )
 
 
-def merge_replace(target: DataFrame, source: DataFrame, key_cols: str | Sequence[str]) -> DataFrame:
+def merge_replace(target: DataFrame, source: DataFrame, key_cols: str | Sequence[str], check_unique: bool = True) -> DataFrame:
     """K8 / M4: whole-row upsert (update all / insert all): target rows whose
-    key is in the source are replaced, new keys inserted."""
+    key is in the source are replaced, new keys inserted; a key that repeats
+    in the source raises."""
     keys = _keys(key_cols)
+    if check_unique:
+        check_source(source, keys)
     kept = target.join(source.select(*keys), keys, "left_anti")
     return kept.unionByName(source.select(*target.columns))

@@ -12,7 +12,7 @@ Layout under ``root``::
 A snapshot at version v is the union of ``data/_v`` in [base(v), v] read as
 one scan with partition pruning.  The commit row is written last, so a
 failed or retried job leaves no visible version; a version directory is
-written with overwrite, so a retry replaces a partial attempt.  Single
+written with static overwrite, so a retry replaces a partial attempt.  Single
 writer per table, as in the scheduled jobs this serves.
 """
 
@@ -40,6 +40,7 @@ COMMIT_SCHEMA = T.StructType(
 )
 
 CDF_PROP = "enableChangeDataFeed"
+NULL_UNIT = "__null__"  # names the null storage unit in a commit
 CHANGE_COLS = ("_change_type", "_commit_version", "_commit_timestamp")
 
 
@@ -135,7 +136,8 @@ class VersionedTable:
         df = self._scan(versions)
         if replaced:
             since = F.create_map(*[x for u, ver in replaced.items() for x in (F.lit(u), F.lit(ver))])
-            df = df.where(F.col("_v") >= F.coalesce(since[F.col("_u").cast("string")], F.lit(commit.base)))
+            unit = F.coalesce(F.col("_u").cast("string"), F.lit(NULL_UNIT))
+            df = df.where(F.col("_v") >= F.coalesce(since[unit], F.lit(commit.base)))
         df = df.drop("_v")
         return df if keep_unit else df.drop("_u")
 
@@ -149,15 +151,18 @@ class VersionedTable:
         return self._scan(versions).drop("_v")
 
     def read_changes(self, start: int, end: int, change_types: Sequence[str] = ("insert",), keep_meta: bool = False) -> DataFrame:
-        """Change rows of versions [start, end].  Appends contribute their
-        rows as inserts, merges their recorded change rows."""
+        """Change rows of versions [start, end].  Appends and overwrites
+        contribute their rows as inserts, merges their recorded change rows; a
+        merge that recorded none raises (``changes_recorded`` tells)."""
         h = [c for c in self.history() if start <= c.version <= end]
-        appends = [c.version for c in h if c.operation in ("WRITE", "CREATE")]
+        if not self.changes_recorded(start, end):
+            raise ValueError(f"a merge among versions {start} to {end} recorded no change rows; read a snapshot")
+        appends = [c.version for c in h if c.operation in ("WRITE", "CREATE", "WRITE_OVERWRITE")]
         merges = [c.version for c in h if c.operation == "MERGE"]
         ts = {c.version: c.ts for c in h}
         parts = []
         if appends:
-            df = self._scan(appends).drop("_u")
+            df = self._scan(appends).drop(*(["_u"] if self.unit is not None else []))
             parts.append(
                 df.withColumn("_change_type", F.lit("insert")).withColumnRenamed("_v", "_commit_version")
             )
@@ -168,13 +173,18 @@ class VersionedTable:
             return self.empty()
         out = parts[0]
         for p in parts[1:]:
-            out = out.unionByName(p)
+            out = out.unionByName(p, allowMissingColumns=True)
         out = out.where(F.col("_change_type").isin(list(change_types)))
         ts_map = F.create_map(*[x for v in sorted(ts) for x in (F.lit(v), F.lit(ts[v]))])
         out = out.withColumn("_commit_version", F.col("_commit_version").cast("long"))
         out = out.withColumn("_commit_timestamp", ts_map[F.col("_commit_version")])
         return out if keep_meta else out.drop(*CHANGE_COLS)
 
+    def changes_recorded(self, start: int, end: int) -> bool:
+        """Whether every merge of versions [start, end] wrote its change rows."""
+        merges = [c for c in self.history() if start <= c.version <= end and c.operation == "MERGE"]
+        return all(json.loads(c.metadata or "{}").get("changes", False) for c in merges)
+
     def empty(self) -> DataFrame:
         """No rows, the table's own schema (Q4)."""
         return self.spark.createDataFrame([], self.read().schema)
@@ -195,7 +205,7 @@ class VersionedTable:
             df = df.withColumn("_u", self.unit)
         # REBALANCE by unit: few files per unit; AQE splits a skewed unit
         # across tasks and coalesces small ones.
-        df.hint("rebalance", "_u").write.mode("overwrite").partitionBy("_u").parquet(path)
+        df.hint("rebalance", "_u").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("_u").parquet(path)
 
     def _next(self) -> tuple[int, int]:
         h = self.history()
@@ -228,20 +238,23 @@ class VersionedTable:
 
     def append_versions(self, df: DataFrame, version_col: str, metadata: dict | None = None) -> list[int]:
         """Backfill: append many versions in ONE write job, one version per
-        distinct value of ``version_col`` (values must be consecutive ints
-        following the current latest version)."""
+        distinct value of ``version_col`` (ints above the current latest
+        version; versions that hold no row may be left out)."""
         first, base = self._next()
         values = sorted(r[0] for r in df.select(version_col).distinct().collect())
-        if values and values != list(range(first, first + len(values))):
-            raise ValueError(f"versions must be {first}..; got {values[:5]}...")
+        if values and (values[0] is None or values[0] < first):
+            raise ValueError(f"versions must start at {first} or above; got {values[:5]}...")
+        created = not self.exists()
+        if created and values:
+            base = values[0]
         staged = df.withColumnRenamed(version_col, "_v")
         parts = ["_v"]
         if self.unit is not None:
             staged, parts = staged.withColumn("_u", self.unit), ["_v", "_u"]
         staged.hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).option("partitionOverwriteMode", "dynamic").parquet(self.data_path)
         rows = [
-            (v, _dt.datetime.now(_dt.UTC).replace(tzinfo=None), "CREATE" if v == 0 else "WRITE",
-             {CDF_PROP: "true"} if v == 0 else {}, json.dumps(metadata or {}), base)
+            (v, _dt.datetime.now(_dt.UTC).replace(tzinfo=None), "CREATE" if created and v == base else "WRITE",
+             {CDF_PROP: "true"} if created and v == base else {}, json.dumps(metadata or {}), base)
             for v in values
         ]
         self.spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(
@@ -269,13 +282,17 @@ class VersionedTable:
         """Commit a merge result (new full snapshot + change rows)."""
         v, _ = self._next()
         self._write_version(snapshot, v)
-        if changes is not None and self.cdf_enabled():
-            changes.write.mode("overwrite").parquet(f"{self.changes_path}/_commit_version={v}")
-        self._commit(v, "MERGE", None, metadata, v)
+        self._commit(v, "MERGE", None, {**(metadata or {}), "changes": self._write_changes(changes, v)}, v)
         return v
 
+    def _write_changes(self, changes: DataFrame | None, version: int) -> bool:
+        if changes is None or not self.cdf_enabled():
+            return False
+        changes.write.mode("overwrite").parquet(f"{self.changes_path}/_commit_version={version}")
+        return True
+
     def merge_into(
-        self, source: DataFrame, keys: Sequence[str], how: str = "coalesce", check_unique: bool = False
+        self, source: DataFrame, keys: Sequence[str], how: str = "coalesce", check_unique: bool = True
     ) -> int:
         """K6 (how="coalesce") / K8 (how="replace") into this table.
 
@@ -285,50 +302,58 @@ class VersionedTable:
         driver); only those units are read, merged and rewritten, inserts land
         in their own units, and every other unit is carried over untouched -
         the cost follows the batch, not the table."""
-        from zoneflow.operators.merge import merge_coalesce, merge_replace
+        from zoneflow.operators.merge import check_source, merge_coalesce, merge_replace, replace_changes
 
         keys = list(keys)
+        if check_unique:
+            check_source(source, keys)
         # Stage the join only when both the snapshot and the change feed are
         # written from it.
         stage = self.cdf_enabled()
         if self.unit is None:
             target = self.read()
             if how == "coalesce":
-                snap, changes = merge_coalesce(target, source, keys, check_unique, stage=stage)
+                snap, changes = merge_coalesce(target, source, keys, False, stage=stage)
             else:
-                snap, changes = merge_replace(target, source, keys), None
+                snap, changes = merge_replace(target, source, keys, False), replace_changes(target, source, keys)
             return self.merge(snap, changes)
         target = self.read(keep_unit=True)
         hits = target.select(*keys, "_u").join(source.select(*keys).distinct(), keys, "left_semi")
         touched = sorted({r[0] for r in hits.select("_u").distinct().collect()}, key=str)
-        part = target.where(F.col("_u").isin(touched)).drop("_u") if touched else target.drop("_u").limit(0)
+        # a null unit (e.g. the month of a null timestamp) is a unit too
+        in_touched = F.col("_u").isin([u for u in touched if u is not None])
+        if None in touched:
+            in_touched = in_touched | F.col("_u").isNull()
+        part = target.where(in_touched).drop("_u") if touched else target.drop("_u").limit(0)
         if how == "coalesce":
-            snap, changes = merge_coalesce(part, source, keys, check_unique, stage=stage)
+            snap, changes = merge_coalesce(part, source, keys, False, stage=stage)
         else:
-            snap, changes = merge_replace(part, source, keys), None
+            snap, changes = merge_replace(part, source, keys, False), replace_changes(part, source, keys)
         v, base = self._next()
         self._write_version(snap, v)
-        if changes is not None and self.cdf_enabled():
-            changes.write.mode("overwrite").parquet(f"{self.changes_path}/_commit_version={v}")
-        self._commit(v, "MERGE", None, {"replaced_units": [str(u) for u in touched]}, base)
+        replaced = [NULL_UNIT if u is None else str(u) for u in touched]
+        self._commit(v, "MERGE", None, {"replaced_units": replaced, "changes": self._write_changes(changes, v)}, base)
         return v
 
     def merge_high_water(self, batch: DataFrame, keys: Sequence[str], ts_col: str) -> list[int]:
         """K7 at the store: rows at/below the table's max timestamp (and rows
         whose key exists - Q6 - or with a null timestamp - Q5) are merged;
         the rest is appended without touching existing data."""
+        from zoneflow.operators.merge import check_source
+
         keys = list(keys)
+        check_source(batch, keys)
         if not self.exists():
             return [self.create(batch)]
         target_keys = self.read().select(*keys)
         max_ts = self.read().agg(F.max(ts_col).alias("m")).first()["m"]
         if max_ts is None:
-            return [self.merge_into(batch, keys)]
+            return [self.merge_into(batch, keys, check_unique=False)]
         late = batch.where(F.col(ts_col).isNull() | (F.col(ts_col) <= F.lit(max_ts)))
         fresh = batch.where(F.col(ts_col) > F.lit(max_ts))
         to_merge = late.unionByName(fresh.join(target_keys, keys, "left_semi"))
         to_append = fresh.join(target_keys, keys, "left_anti")
-        return [self.merge_into(to_merge, keys), self.append(to_append)]
+        return [self.merge_into(to_merge, keys, check_unique=False), self.append(to_append)]
 
 
 _DATA_OPS = ("CREATE", "WRITE", "WRITE_OVERWRITE", "MERGE")

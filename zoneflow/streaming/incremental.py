@@ -3,16 +3,18 @@ Structured Streaming twin.
 
 Batch rule: the source table's change feed is on *and* the last processed
 version is at or after the version where it was switched on -> read change
-rows of versions (last, latest]; otherwise switch the feed on and do a full
+rows of versions (last, latest] (an overwrite's rows count as inserts);
+otherwise, or if a merge in between recorded no change rows, switch the feed on and do a full
 load of the latest snapshot.  "Never processed" is its own state (null), not
 version 0 (Q21), and the range starts after the last processed version, not
 at it (Q1).  The control row is written only after the caller's merge
 succeeded (``commit``): at-least-once delivery made idempotent by the merge.
 
-Streaming twin: a file-source ``readStream`` over the table's data
-directories, ``foreachBatch`` applying a merge, ``trigger(availableNow)``
-and a checkpoint in the shared folder; the file source's own log replaces
-the control table.
+Streaming twin: a file-source ``readStream`` over the table's commit rows
+(each is written last, so only committed versions are seen),
+``foreachBatch`` applying a merge to their change rows,
+``trigger(availableNow)`` and a checkpoint in the shared folder; the file
+source's own log replaces the control table.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from zoneflow.operators.merge import merge_replace
-from zoneflow.sources.store import VersionedTable
+from zoneflow.sources.store import COMMIT_SCHEMA, VersionedTable
 
 CONTROL_SCHEMA = T.StructType(
     [
@@ -76,7 +78,7 @@ class IncrementalLoader:
         last = self.control.last_processed(self.name)
         latest = self.source.latest_version()
         cdf_from = self.source.cdf_start_version()
-        if last is not None and cdf_from is not None and last >= cdf_from:
+        if last is not None and cdf_from is not None and last >= cdf_from and self.source.changes_recorded(last + 1, latest):
             self.pending_version = latest
             if last >= latest:
                 self.mode = "none"
@@ -102,18 +104,26 @@ def stream_merge(
     apply_batch: Callable[[DataFrame, int], None],
     checkpoint: str,
     max_files_per_trigger: int | None = None,
+    change_types: Sequence[str] = ("insert", "update_postimage"),
 ) -> None:
-    """Streaming twin of I1: every new data file of ``source`` flows through
-    ``apply_batch(batch_df, batch_id)`` (typically a K6 merge into a target
-    VersionedTable).  Runs until all available files are processed."""
-    schema = source.read().schema
-    reader = spark.readStream.schema(schema).option("basePath", source.data_path)
+    """Streaming twin of I1: the change rows of every newly committed version
+    of ``source`` flow through ``apply_batch(batch_df, batch_id)`` (typically
+    a K6 merge into a target VersionedTable); ``max_files_per_trigger`` bounds
+    the commit files of a micro-batch.  Runs until all commits are processed."""
+    reader = spark.readStream.schema(COMMIT_SCHEMA).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = reader.parquet(f"{source.data_path}/_v=*")
+
+    def apply_commits(commits: DataFrame, batch_id: int) -> None:
+        # the versions of one micro-batch are consecutive: commit files are taken oldest first
+        span = commits.where(F.col("operation") != "SET TBLPROPERTIES").agg(F.min("version"), F.max("version")).first()
+        if span[0] is not None:
+            source.history(refresh=True)
+            apply_batch(source.read_changes(span[0], span[1], change_types), batch_id)
+
     query = (
-        stream.select(*schema.names)
-        .writeStream.foreachBatch(apply_batch)
+        reader.parquet(source.commits_path)
+        .writeStream.foreachBatch(apply_commits)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
