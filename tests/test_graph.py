@@ -102,3 +102,22 @@ def test_split_keeps_every_entity_in_train(spark, sf001):
     covered = train.select(F.col("subject").alias("e")).union(train.select(F.col("object").alias("e"))).distinct()
     assert ents.subtract(covered).count() == 0
     assert out.where(F.col("split") == "test").count() > 0
+
+
+def test_hierarchy_closure_deep_chain_and_cycle(spark):
+    p = tbox.RDFS_SUBCLASS
+    chain = [(f"c{i:03d}", p, f"c{i + 1:03d}") for i in range(200)]
+    ring = [(f"r{i}", p, f"r{j}") for i in range(6) for j in range(6) if i != j]
+    edges = spark.createDataFrame(chain + ring, "subject string, predicate string, object string")
+    got = {tuple(r) for r in rdfs.hierarchy_closure(spark, edges, p).collect()}
+    above = {(f"c{i:03d}", f"c{j:03d}") for i in range(201) for j in range(i + 1, 201)}
+    assert got == above | {(f"r{i}", f"r{j}") for i in range(6) for j in range(6)}
+    assert rdfs.hierarchy_closure(spark, edges, "other").count() == 0
+
+
+def test_sample_k_per_key_with_a_wide_range(spark):
+    keys = spark.range(50).withColumnRenamed("id", "k")
+    items = spark.range(40).withColumnRenamed("id", "item")
+    out = sample.sample_k_per_key(spark, keys, "k", items, "item", 0, 30, seed=4).groupBy("k").agg(F.count("item").alias("n"), F.count_distinct("item").alias("d"))
+    assert all(r.n == r.d <= 30 for r in out.collect())
+    assert sample.sample_k_per_key(spark, keys, "k", items.limit(0), "item", 1, 3).count() == 0

@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,3 +80,25 @@ def test_sports_trusted_matches_and_run_parameters(spark, sf001):
     assert m.where(F.col("venue_id") == "unknown").count() == flat.where(F.col("venue_name").isNull()).count()
     params = cl.run_parameters(spark, 4.0, 5, 100, 1000, 100, "random").first()
     assert params.eps == 4.0 and params.users_processed == 100 and params.sampling_method == "random"
+
+
+TEXTS = ["plain", "", " both ends ", "a\\nb", "line\nbreak", "cr\rlf\r\n", "tab\there", 'quote " \\" end', "\\", "\\\\", 'x"^^<y> .', "\\t\t\\\t", "\u2028 \u0085", "z" * 50_000 + "\\n\n" * 20_000]
+
+
+def test_triple_codecs_are_identities(spark):
+    rows = [(f"http://e/{i}", "http://e/p", t, "literal", kind) for i, t in enumerate(TEXTS) for kind in (None, "string")]
+    triples = spark.createDataFrame(rows, "subject string, predicate string, object string, object_kind string, datatype string")
+    nt, tsv = scratch_path(spark, "t-nt"), scratch_path(spark, "t-tsv")
+    sinks.write_ntriples(triples, nt)
+    assert sorted(map(tuple, sinks.read_ntriples(spark, nt).collect()), key=str) == sorted(rows, key=str)
+    sinks.write_tsv(triples.select("subject", "predicate", "object"), tsv)
+    assert sorted(map(tuple, files.read_triples_tsv(spark, tsv).collect())) == sorted(r[:3] for r in rows)
+
+
+def test_malformed_ntriples_raise(spark):
+    path = scratch_path(spark, "t-bad-nt")
+    spark.createDataFrame([("<a> <b> <c> .",), ("# note",), ("",)], "value string").write.text(path)
+    assert sinks.read_ntriples(spark, path).count() == 1
+    spark.createDataFrame([("<a> <b> c .",)], "value string").write.mode("append").text(path)
+    with pytest.raises(Exception, match="not a triple"):
+        sinks.read_ntriples(spark, path).collect()

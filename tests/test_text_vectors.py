@@ -202,3 +202,14 @@ def test_dbscan_dense_cells_vs_brute_force(spark):
         got = {r.id: r.cluster for r in cl.dbscan(spark, df, "id", "v", eps, ms).collect()}
         expect = brute_dbscan(pts, eps, ms)
         assert [got[i] for i in range(len(pts))] == list(expect), (eps, ms)
+
+
+def test_search_in_query_blocks_and_zero_vectors(spark):
+    vecs = [(i, [float(i % 5), float(i % 3), 1.0]) for i in range(30)] + [(30, [0.0, 0.0, 0.0])]
+    index = spark.createDataFrame(vecs, "id long, embedding array<float>")
+    queries = index.select(F.col("id").alias("query_id"), F.col("embedding").alias("query_vec"))
+    whole = sorted(map(str, vx.search(index, queries, k=4, exclude_self=True).collect()))
+    assert whole == sorted(map(str, vx.search(index, queries, k=4, exclude_self=True, max_queries=7).collect()))
+    last = [r for r in vx.search(index, queries.where("query_id = 1"), k=31).collect() if r.id == 30]
+    assert last[0].score is None and last[0]["rank"] == 31
+    assert vx.search(index, queries.limit(0), k=4).count() == 0

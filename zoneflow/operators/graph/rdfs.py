@@ -1,23 +1,24 @@
 """G4 + J12: RDFS materialisation of instance triples against a TBox.
 
 Rules (RDF 1.1 Semantics, RDFS entailment): rdfs5/rdfs11 (hierarchy
-closures, computed on the TBox with a recursive CTE), rdfs7 (sub-property),
+closures, computed on the TBox), rdfs7 (sub-property),
 rdfs2 (domain), rdfs3 (range, IRI objects only - literals never get a type),
 rdfs9 (sub-class); plus the typing that the RDFS axiomatic triples imply:
 every predicate in use and every subject/object of domain, range and
 subPropertyOf statements is an rdf:Property, every object of rdf:type,
 domain and range and both sides of subClassOf is an rdfs:Class.
 
-The instance side streams through broadcast joins against TBox-derived
-tables whose size is bounded by the ontology (not the data); the only
-shuffle is the final set ``distinct``.  The result is a fix-point.
+The instance side is written once and read three times: for the types it
+implies (one pass, joined with schema-sized tables), for the predicates and
+classes in use, and for the result.  The only shuffles of instance triples are
+the set ``distinct`` and that of the type pairs.  The result is a fix-point.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zoneflow.session import materialize as write_table
@@ -33,44 +34,23 @@ from zoneflow.operators.graph.tbox import (
     TRIPLE_COLS,
 )
 
-_CLOSURE_SQL = """
-WITH RECURSIVE closure(sub, sup, depth) AS (
-  SELECT subject, object, 1 FROM {ax} WHERE predicate = :p
-  UNION ALL
-  SELECT c.sub, a.object, c.depth + 1
-  FROM closure c JOIN {ax} a ON a.subject = c.sup AND a.predicate = :p
-  WHERE c.depth < :max_depth
-)
-SELECT DISTINCT sub, sup FROM closure
-"""
 
+def hierarchy_closure(spark: SparkSession, tbox: DataFrame, predicate: str) -> DataFrame:
+    """Transitive closure (sub, sup) of subClassOf / subPropertyOf.
 
-def hierarchy_closure(
-    spark: SparkSession, tbox: DataFrame, predicate: str, max_depth: int = 64, local_limit: int = 100_000
-) -> DataFrame:
-    """Transitive closure of subClassOf / subPropertyOf (cycle-safe).
-
-    An ontology's hierarchy is schema-sized: when it has at most
-    ``local_limit`` edges (checked with a bounded fetch) the closure is a
-    graph walk over those edges; larger hierarchies run as a recursive CTE
-    in Spark."""
-    edges = tbox.where(F.col("predicate") == predicate).select("subject", "object").limit(local_limit + 1).collect()
-    if len(edges) > local_limit:
-        return spark.sql(_CLOSURE_SQL, args={"p": predicate, "max_depth": max_depth}, ax=tbox.select("subject", "predicate", "object"))
-    children: dict[str, set[str]] = {}
-    for sub, sup in edges:
-        children.setdefault(sub, set()).add(sup)
-    pairs = set()
-    for start in children:
-        stack, seen = list(children[start]), set()
-        while stack:
-            node = stack.pop()
-            if node in seen:
-                continue
-            seen.add(node)
-            pairs.add((start, node))
-            stack.extend(children.get(node, ()))
-    return spark.createDataFrame(sorted(pairs), "sub string, sup string")
+    Path doubling: each round joins the pairs found so far with themselves, so
+    a chain of depth d takes about log2(d) rounds; pairs are a set, so a cycle
+    ends it too (its members then are above themselves).  Each round is a
+    table in the shared folder."""
+    statements = tbox.where(F.col("predicate") == predicate)
+    pairs = write_table(spark, statements.select(F.col("subject").alias("sub"), F.col("object").alias("sup")).distinct(), "rdfs-closure")
+    known, before = pairs.count(), -1
+    while known != before:
+        further = pairs.select(F.col("sub").alias("sup"), F.col("sup").alias("above"))
+        longer = pairs.join(further, "sup").select("sub", F.col("above").alias("sup"))
+        pairs = write_table(spark, pairs.unionByName(longer).distinct(), "rdfs-closure")
+        known, before = pairs.count(), known
+    return pairs
 
 
 def _iri_triple(s, p, o) -> list:
@@ -79,53 +59,84 @@ def _iri_triple(s, p, o) -> list:
 
 def materialize(spark: SparkSession, abox: DataFrame, tbox: DataFrame) -> DataFrame:
     """Return TBox + ABox + all inferred triples, as a set."""
-    tb = tbox.select(*TRIPLE_COLS)
-    sub_prop = F.broadcast(hierarchy_closure(spark, tb, RDFS_SUBPROPERTY))
-    sub_cls = F.broadcast(hierarchy_closure(spark, tb, RDFS_SUBCLASS))
-    domain = F.broadcast(tb.where(F.col("predicate") == RDFS_DOMAIN).select(F.col("subject").alias("p"), F.col("object").alias("c")))
-    rng = F.broadcast(tb.where(F.col("predicate") == RDFS_RANGE).select(F.col("subject").alias("p"), F.col("object").alias("c")))
+    # Schema-sized tables are written first: their size is then known, and Spark
+    # broadcasts them below its threshold and shuffles beyond it.
+    tb = write_table(spark, tbox.select(*TRIPLE_COLS), "rdfs-tbox")
+    sub_prop = hierarchy_closure(spark, tb, RDFS_SUBPROPERTY)
+    sub_cls = hierarchy_closure(spark, tb, RDFS_SUBCLASS)
+    supers = write_table(spark, sub_cls.groupBy("sub").agg(F.collect_set("sup").alias("supers")), "rdfs-supers")
+
+    def classes_by(rule: str, prefix: str) -> DataFrame:
+        """Per predicate the classes that ``rule`` implies, superclasses included."""
+        direct = tb.where(F.col("predicate") == rule).select(F.col("subject").alias("p"), F.col("object").alias("c"))
+        above = direct.join(sub_cls, direct.c == sub_cls.sub).select("p", F.col("sup").alias("c"))
+        grouped = direct.unionByName(above).groupBy("p").agg(F.collect_set("c").alias(f"{prefix}_classes"))
+        return write_table(spark, grouped.withColumnRenamed("p", f"{prefix}_p"), f"rdfs-{prefix}")
+
+    domain, rng = classes_by(RDFS_DOMAIN, "dom"), classes_by(RDFS_RANGE, "rng")
 
     base = abox.select(*TRIPLE_COLS).unionByName(tb)
     # rdfs7: (s p o), p subPropertyOf* q -> (s q o)
     via_sup = base.join(sub_prop, base.predicate == sub_prop.sub).select(
         "subject", F.col("sup").alias("predicate"), "object", "object_kind", "datatype"
     )
-    # t1 feeds five rule branches: write it once to the shared folder so the
-    # ABox mapping upstream is not recomputed per branch.
+    # t1 is read three times below: write it once to the shared folder so the
+    # ABox mapping upstream is not recomputed.
     t1 = write_table(spark, base.unionByName(via_sup).distinct(), "rdfs-t1")
-    # rdfs2 / rdfs3
-    dom_types = t1.join(domain, t1.predicate == domain.p).select(*_iri_triple(F.col("subject"), F.lit(RDF_TYPE), F.col("c")))
-    iri_obj = t1.where(F.col("object_kind") == "iri")
-    rng_types = iri_obj.join(rng, iri_obj.predicate == rng.p).select(*_iri_triple(F.col("object"), F.lit(RDF_TYPE), F.col("c")))
-    types = t1.where(F.col("predicate") == RDF_TYPE).unionByName(dom_types).unionByName(rng_types)
-    # rdfs9: (s type C), C subClassOf* D -> (s type D)
-    sup_types = types.join(sub_cls, types.object == sub_cls.sub).select(*_iri_triple(F.col("subject"), F.lit(RDF_TYPE), F.col("sup")))
-    # Schema typing implied by the RDFS axiomatic triples.
-    props_in_use = t1.select(F.col("predicate").alias("x"))
-    tb_props = tb.where(F.col("predicate").isin(RDFS_DOMAIN, RDFS_RANGE, RDFS_SUBPROPERTY)).select(F.col("subject").alias("x"))
-    tb_sup_props = tb.where(F.col("predicate") == RDFS_SUBPROPERTY).select(F.col("object").alias("x"))
-    property_types = props_in_use.unionByName(tb_props).unionByName(tb_sup_props).distinct().select(
-        *_iri_triple(F.col("x"), F.lit(RDF_TYPE), F.lit(RDF_PROPERTY))
+    is_type, is_iri = F.col("predicate") == RDF_TYPE, F.col("object_kind") == "iri"
+
+    # rdfs2 / rdfs3 / rdfs9 in one pass: every triple hands out the types that
+    # its predicate's domain and range and its own class imply; asserted types
+    # come along flagged, to be taken out of the inferred ones again.
+    none = F.array().cast("array<string>")
+
+    def typed(x: str, classes) -> Column:
+        return F.transform(F.coalesce(classes, none), lambda c: F.struct(F.col(x).alias("subject"), c.alias("object"), F.lit(1).alias("__new")))
+
+    own = F.array(F.struct("subject", "object", F.lit(0).alias("__new")))
+    types = F.concat(
+        typed("subject", F.col("dom_classes")),
+        typed("object", F.when(is_iri, F.col("rng_classes"))),
+        typed("subject", F.when(is_type, F.col("supers"))),
+        F.filter(own, lambda _: is_type),
+    )
+    widened = (
+        t1.join(domain, t1.predicate == domain.dom_p, "left")
+        .join(rng, t1.predicate == rng.rng_p, "left")
+        .join(supers, is_type & (t1.object == supers["sub"]), "left")
+    )
+    typings = widened.select(F.inline(types))
+
+    # Schema typing implied by the RDFS axiomatic triples, from the predicates
+    # and asserted classes in use (a schema-sized aggregate of t1).
+    usage = t1.select("predicate", F.when(is_type, F.col("object")).alias("cls"), is_iri.alias("on_iri")).distinct()
+    usage = write_table(spark, usage, "rdfs-usage")
+    props = (
+        usage.select(F.col("predicate").alias("x"))
+        .unionByName(tb.where(F.col("predicate").isin(RDFS_DOMAIN, RDFS_RANGE, RDFS_SUBPROPERTY)).select(F.col("subject").alias("x")))
+        .unionByName(tb.where(F.col("predicate") == RDFS_SUBPROPERTY).select(F.col("object").alias("x")))
     )
-    all_types = types.unionByName(sup_types)
-    cls_objs = all_types.select(F.col("object").alias("x")).unionByName(
-        tb.where(F.col("predicate").isin(RDFS_DOMAIN, RDFS_RANGE, RDFS_SUBCLASS)).select(F.col("object").alias("x"))
-    ).unionByName(tb.where(F.col("predicate") == RDFS_SUBCLASS).select(F.col("subject").alias("x")))
-    class_types = cls_objs.distinct().select(*_iri_triple(F.col("x"), F.lit(RDF_TYPE), F.lit(RDFS_CLASS)))
+    named = usage.where("cls is not null").select(F.col("cls").alias("x"))
+    classes = [
+        named,
+        named.join(sub_cls, named.x == sub_cls["sub"]).select(F.col("sup").alias("x")),
+        usage.join(domain, usage.predicate == domain.dom_p).select(F.explode("dom_classes").alias("x")),
+        usage.where("on_iri").join(rng, F.col("predicate") == rng.rng_p).select(F.explode("rng_classes").alias("x")),
+        tb.where(F.col("predicate").isin(RDFS_DOMAIN, RDFS_RANGE, RDFS_SUBCLASS)).select(F.col("object").alias("x")),
+        tb.where(F.col("predicate") == RDFS_SUBCLASS).select(F.col("subject").alias("x")),
+    ]
+    property_types = props.distinct().select(F.col("x").alias("subject"), F.lit(RDF_PROPERTY).alias("object"), F.lit(1).alias("__new"))
+    class_types = reduce(DataFrame.unionByName, classes).distinct().select(F.col("x").alias("subject"), F.lit(RDFS_CLASS).alias("object"), F.lit(1).alias("__new"))
     # rdf:Property / rdfs:Class are themselves objects of the typing triples
     # just made, hence classes too (needed for the result to be a fix-point).
-    meta = property_types.select(F.col("object").alias("x")).unionByName(class_types.select(F.col("object").alias("x")))
-    meta_types = meta.distinct().select(*_iri_triple(F.col("x"), F.lit(RDF_TYPE), F.lit(RDFS_CLASS)))
-    # t1 is already a set: only the inferred type triples are deduplicated,
-    # and only against t1's asserted type triples, so t1 is not reshuffled.
-    inferred = reduce(
-        lambda a, b: a.unionByName(b), [dom_types, rng_types, sup_types, property_types, class_types, meta_types]
-    ).select("subject", "object", F.lit(1).alias("__new"))
-    asserted = t1.where(F.col("predicate") == RDF_TYPE).select("subject", "object", F.lit(0).alias("__new"))
-    # One aggregate (a single shuffle of the type triples) keeps the inferred
-    # pairs that are not already asserted - no join to push into the union.
+    meta = property_types.select("object").unionByName(class_types.select("object")).distinct()
+    meta_types = meta.select(F.col("object").alias("subject"), F.lit(RDFS_CLASS).alias("object"), F.lit(1).alias("__new"))
+    # t1 is already a set: only the type pairs are deduplicated (one shuffle of
+    # them), and those already asserted are left out; t1 is not reshuffled.
     new = (
-        inferred.unionByName(asserted)
+        typings.unionByName(property_types)
+        .unionByName(class_types)
+        .unionByName(meta_types)
         .groupBy("subject", "object")
         .agg(F.min("__new").alias("__new"))
         .where(F.col("__new") == 1)

@@ -63,27 +63,24 @@ def sample_k_per_key(
     """Every key draws k ~ U[lo, hi] (capped by the number of
     items m) distinct items uniformly without replacement.
 
-    Floyd's algorithm unrolled into ``hi`` column expressions: for
-    j = m-k .. m-1 draw t in [0, j]; take t unless already taken, else j.
+    Floyd's algorithm folded over the steps with ``aggregate`` (the plan has
+    one size for any ``hi``): for j = m-k .. m-1 draw t in [0, j]; take t unless already taken, else j.
     It needs no cross join and no candidate cap, and the work per key is
     O(hi); the chosen item indices are equi-joined to the indexed items.
     """
     idx = dense_index(spark, items, item_col)
     m = idx.count()
     k_raw = F.lit(lo) + F.pmod(h32(seed, F.col(key_col), "k"), F.lit(hi - lo + 1))
-    # Each step is its own projection over named columns so the plan stays
-    # linear in ``hi`` (no re-nesting of the previous step's expression).
-    state = keys.select(
-        F.col(key_col),
-        F.least(k_raw, F.lit(m)).alias("__k"),
-        F.array().cast("array<bigint>").alias("__s"),
-        *[h32(seed, F.col(key_col), i).alias(f"__h{i}") for i in range(hi)],
-    )
-    for i in range(hi):
-        j = F.lit(m) - F.col("__k") + F.lit(i)
-        t = F.pmod(F.col(f"__h{i}"), j + 1)
-        step = F.when(F.array_contains("__s", t), F.array_append("__s", j)).otherwise(F.array_append("__s", t))
-        state = state.withColumn("__s", F.when(F.lit(i) < F.col("__k"), step).otherwise(F.col("__s")))
+    none = F.array().cast("array<bigint>")
+
+    def draw(taken: Column, i: Column) -> Column:
+        j = F.lit(m) - F.col("__k") + i
+        t = F.pmod(h32(seed, F.col(key_col), i.cast("string")), j + 1)
+        return F.array_append(taken, F.when(F.array_contains(taken, t), j).otherwise(t))
+
+    steps = F.when(F.col("__k") > 0, F.sequence(F.lit(0).cast("bigint"), F.col("__k") - 1)).otherwise(none)
+    state = keys.select(F.col(key_col), F.least(k_raw, F.lit(m)).cast("bigint").alias("__k"))
+    state = state.select(F.col(key_col), F.aggregate(steps, none, draw).alias("__s"))
     drawn = state.select(F.col(key_col), F.explode("__s").alias("idx"))
     return drawn.join(idx, "idx").select(key_col, item_col)
 

@@ -6,6 +6,8 @@ functions (``zip_with`` + ``aggregate``), in double precision.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,8 +23,10 @@ def norm(a) -> Column:
     return F.sqrt(dot(a, a))
 
 
-def cosine(a, b) -> Column:
-    return dot(a, b) / (norm(a) * norm(b))
+def cosine(a, b, norm_a=None, norm_b=None) -> Column:
+    """Null where a vector has no direction (zero norm); norms may be given."""
+    lengths = (norm(a) if norm_a is None else as_col(norm_a)) * (norm(b) if norm_b is None else as_col(norm_b))
+    return F.try_divide(dot(a, b), lengths)
 
 
 def search(
@@ -40,20 +44,22 @@ def search(
 ) -> DataFrame:
     """Exact top-k per query -> (query_id, id, score, rank).
 
-    The query set is broadcast (its size is checked against
-    ``max_queries``) and the index is streamed past it once, map-side; the
-    per-query top-k is a window rank with a ``<= k`` filter, which Spark
+    Queries are taken in blocks of about ``max_queries`` (by hash of their id),
+    each of which is broadcast while the index is streamed past it, map-side;
+    norms are computed once a row.  A score that does not exist (zero or null
+    vector) is null and ranks last.  The per-query top-k is a window rank with a ``<= k`` filter, which Spark
     limits per partition before the shuffle, so a query's final task only
     sees k rows per input partition.  Scores are rounded to ``digits``
     before ranking; ties go to the smaller id."""
-    n_q = queries.count()
-    if n_q > max_queries:
-        raise ValueError(f"{n_q} queries exceed the broadcast bound {max_queries}; batch them")
-    q = F.broadcast(queries.select(F.col(query_id_col), F.col(query_vec_col)))
-    pairs = index.select(F.col(id_col), F.col(vec_col)).crossJoin(q)
+    q = queries.select(query_id_col, query_vec_col, norm(query_vec_col).alias("__norm_q"))
+    rows = index.select(id_col, vec_col, norm(vec_col).alias("__norm"))
+    blocks = -(-queries.count() // max_queries) or 1
+    block = F.pmod(F.xxhash64(query_id_col), F.lit(blocks))
+    parts = [rows.crossJoin(F.broadcast(q.where(block == b) if blocks > 1 else q)) for b in range(blocks)]
+    pairs = reduce(DataFrame.unionByName, parts)
     if exclude_self:
         pairs = pairs.where(F.col(id_col) != F.col(query_id_col))
-    sim = cosine(vec_col, query_vec_col) if metric == "cosine" else dot(vec_col, query_vec_col)
+    sim = cosine(vec_col, query_vec_col, "__norm", "__norm_q") if metric == "cosine" else dot(vec_col, query_vec_col)
     scored = pairs.select(query_id_col, id_col, F.round(sim, digits).alias("score"))
     w = Window.partitionBy(query_id_col).orderBy(F.desc("score"), F.asc(id_col))
     ranked = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from zoneflow.sources.escapes import LINE, unescape
+
 TRIPLE_SCHEMA = T.StructType(
     [T.StructField("subject", T.StringType()), T.StructField("predicate", T.StringType()), T.StructField("object", T.StringType())]
 )
@@ -48,10 +50,13 @@ def read_table_file(spark: SparkSession, path: str, fmt: str = "csv", schema: T.
 
 
 def read_triples_tsv(spark: SparkSession, path: str) -> DataFrame:
-    """TSV triples with a header row (Q3: the header is read as a header)."""
-    return spark.read.schema(TRIPLE_SCHEMA).option("sep", "\t").option("header", "true").option("quote", "").csv(path)
+    """TSV triples with a header row (Q3: the header is read as a header);
+    texts are unescaped, an empty field is the empty text."""
+    out = spark.read.schema(TRIPLE_SCHEMA).option("sep", "\t").option("header", "true").option("quote", "").csv(path)
+    return out.select(*[unescape(F.coalesce(F.col(c), F.lit("")), LINE).alias(c) for c in out.columns])
 
 
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
     """(id, label) TSV, gzip-compressed files are decompressed by extension."""
-    return spark.read.schema(DICT_SCHEMA).option("sep", "\t").option("header", "true").option("quote", "").csv(path)
+    out = spark.read.schema(DICT_SCHEMA).option("sep", "\t").option("header", "true").option("quote", "").csv(path)
+    return out.select(*[unescape(F.col(c), LINE).alias(c) if kind == "string" else F.col(c) for c, kind in out.dtypes])

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zoneflow.functions.ids import XSD
+from zoneflow.sources.escapes import LINE, QUOTED, escape, unescape
 from zoneflow.sources.files import TRIPLE_SCHEMA
 
 RESULT_SCHEMA = "_id string, status string, error string"
@@ -49,7 +50,7 @@ def batched_upsert(df: DataFrame, client_factory: Callable[[], IndexClient], bat
                         client.upsert([r])
                         out.append((r.get(id_col), "sent", None))
                     except Exception as e:  # noqa: BLE001
-                        out.append((r.get(id_col), "failed", repr(e)[:200]))
+                        out.append((r.get(id_col), "failed", repr(e)))
             return pd.DataFrame(out, columns=["_id", "status", "error"])
 
         for frame in frames:
@@ -89,27 +90,23 @@ def reset_namespace(spark: SparkSession, records: DataFrame) -> DataFrame:
 
 
 def write_tsv(df: DataFrame, path: str, compression: str | None = None) -> None:
-    """Tab-separated export with a header line."""
-    w = df.write.mode("overwrite").option("sep", "\t").option("header", "true").option("quote", "")
+    """Tab-separated export with a header line; backslash, tab and line
+    breaks in texts are escaped, null and the empty text are an empty field."""
+    texts = {name for name, kind in df.dtypes if kind == "string"}
+    df = df.select(*[escape(F.col(c), LINE).alias(c) if c in texts else F.col(c) for c in df.columns])
+    w = df.write.mode("overwrite").option("sep", "\t").option("header", "true").option("quote", "").option("emptyValue", "")
+    w = w.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
     if compression:
         w = w.option("compression", compression)
     w.csv(path)
 
 
-def _escape(c):
-    # N-Triples string escapes: backslash, quote, newline, carriage return.
-    x = F.replace(c, F.lit("\\"), F.lit("\\\\"))
-    x = F.replace(x, F.lit('"'), F.lit('\\"'))
-    x = F.replace(x, F.lit("\n"), F.lit("\\n"))
-    return F.replace(x, F.lit("\r"), F.lit("\\r"))
-
-
 def ntriples_lines(triples: DataFrame) -> DataFrame:
     """One N-Triples line per triple (N-Triples is a subset of Turtle)."""
     obj = F.when(F.col("object_kind") == "iri", F.concat(F.lit("<"), F.col("object"), F.lit(">"))).otherwise(
         F.concat(
             F.lit('"'),
-            _escape(F.col("object")),
+            escape(F.col("object"), QUOTED),
             F.lit('"'),
             F.when(F.col("datatype").isNotNull(), F.concat(F.lit("^^<"), F.lit(XSD), F.col("datatype"), F.lit(">"))).otherwise(F.lit("")),
         )
@@ -122,18 +119,21 @@ def write_ntriples(triples: DataFrame, path: str) -> None:
     ntriples_lines(triples).write.mode("overwrite").text(path)
 
 
-_NT = r'^<([^>]*)> <([^>]*)> (?:<([^>]*)>|"((?:[^"\\]|\\.)*)"(?:\^\^<([^>]*)>)?) \.$'
+# The literal runs to the last quote of the line: a datatype holds none.
+_NT = r'(?s)^<([^>]*)> <([^>]*)> (?:<([^>]*)>|"(.*)"(?:\^\^<([^>"]*)>)?) \.$'
 
 
 def read_ntriples(spark: SparkSession, path: str, require_rows: bool = True) -> DataFrame:
     """Parse N-Triples lines back into the triples table; an empty
-    input raises (the bulk-load empty-file check)."""
-    lines = spark.read.text(path)
+    input raises (the bulk-load empty-file check), and so does a line that is
+    neither a triple nor blank nor a comment."""
+    lines = spark.read.text(path).where(~F.col("value").rlike(r"^\s*(#.*)?$"))
     if require_rows and lines.limit(1).count() == 0:
         raise ValueError(f"no triples in {path}")
     g = lambda i: F.regexp_extract("value", _NT, i)
-    lit = g(4)
-    unescaped = F.replace(F.replace(F.replace(F.replace(lit, F.lit("\\r"), F.lit("\r")), F.lit("\\n"), F.lit("\n")), F.lit('\\"'), F.lit('"')), F.lit("\\\\"), F.lit("\\"))
+    is_triple = F.col("value").rlike(_NT)
+    lines = lines.where(F.when(is_triple, F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("not a triple: "), F.col("value"))).cast("boolean")))
+    unescaped = unescape(g(4), QUOTED)
     is_iri = g(3) != ""
     return lines.select(
         g(1).alias("subject"),

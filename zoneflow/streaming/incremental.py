@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable, Sequence
+from itertools import groupby
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -109,7 +110,9 @@ def stream_merge(
     """Streaming twin of I1: the change rows of every newly committed version
     of ``source`` flow through ``apply_batch(batch_df, batch_id)`` (typically
     a K6 merge into a target VersionedTable); ``max_files_per_trigger`` bounds
-    the commit files of a micro-batch.  Runs until all commits are processed."""
+    the commit files of a micro-batch.  Versions that only add rows are taken
+    together; a merge or an overwrite is a batch of its own, so that a key's
+    old and new rows do not meet in one.  Runs until all commits are processed."""
     reader = spark.readStream.schema(COMMIT_SCHEMA).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -118,8 +121,11 @@ def stream_merge(
         # the versions of one micro-batch are consecutive: commit files are taken oldest first
         span = commits.where(F.col("operation") != "SET TBLPROPERTIES").agg(F.min("version"), F.max("version")).first()
         if span[0] is not None:
-            source.history(refresh=True)
-            apply_batch(source.read_changes(span[0], span[1], change_types), batch_id)
+            log = [c for c in source.history(refresh=True) if span[0] <= c.version <= span[1]]
+            for _, run in groupby(log, key=lambda c: c.version if c.operation in ("MERGE", "WRITE_OVERWRITE") else -1):
+                versions = [c.version for c in run if c.operation != "SET TBLPROPERTIES"]
+                if versions:
+                    apply_batch(source.read_changes(versions[0], versions[-1], change_types), batch_id)
 
     query = (
         reader.parquet(source.commits_path)
