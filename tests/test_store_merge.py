@@ -225,3 +225,18 @@ def test_backfill_with_missing_versions(spark):
     made = vt.append_versions(spark.createDataFrame([(1, "a", 1, 0), (2, "b", 2, 3)], SCHEMA + ", v long"), "v")
     assert made == [0, 3] and vt.latest_version() == 3
     assert rows(vt.read()) == [(1, "a", 1), (2, "b", 2)] and rows(vt.read_changes(1, 3)) == [(2, "b", 2)]
+
+
+def test_movie_feeds_keep_known_values_and_take_the_newest(spark):
+    from zoneflow.flows import movies
+
+    day = lambda n: F.to_timestamp(F.lit(f"2024-01-0{n}"))
+    db = spark.createDataFrame([(1, "Old", 120)], "FilmId long, Title string, Runtime int")
+    feed = lambda rows, n: spark.createDataFrame(rows, "id long, title string, genre_ids array<long>, popularity double").withColumn("ingestion_time", day(n))
+    feeds = [feed([(1, "Late", [5], None), (2, "Two", [5], 2.0)], 3), feed([(1, "Early", [5], 7.0)], 2)]
+    links = spark.createDataFrame([(1, 5)], "FilmId long, GenreId long").withColumn("Ingestion_Time", day(1))
+    genres = spark.createDataFrame([(5, "Drama")], "GenreId long, Genre string")
+    out, _, _ = movies.to_trusted(db, links, genres, feeds)
+    got = {r.film_id: (r.title, r.runtime, r.popularity) for r in out.collect()}
+    # no feed has a runtime: film 1 keeps its own, the new film 2 gets the default
+    assert got == {1: ("Late", 120, 7.0), 2: ("Two", 0, 2.0)}

@@ -5,7 +5,8 @@ and one row per name (W1, smallest id); the movie dump and every category
 feed are conformed to one schema (P1-P3); category feeds are unioned by name
 (U2, their columns differ) and the film-genre links are deduplicated (A1)
 and merged per (film, genre), newest ingestion first (A3); category films
-are merged into the movie table (K6).  Exploitation: genres compacted per
+are merged per film the same way and then into the movie table (K6): columns
+that no feed has stay as they are and get their default in new films only.  Exploitation: genres compacted per
 film (J1 + A6), joined to films (J2), a sentence per film (F10) and
 embedding records (P18).
 """
@@ -46,13 +47,15 @@ def trusted_movies(movie_db: DataFrame) -> DataFrame:
 
 
 def category_links(feeds: Sequence[DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """(movies, film-genre links) from the category feeds."""
+    """(one row a film with the columns that the feeds have, film-genre links) from the category feeds."""
     conformed, links = [], []
     for feed in feeds:
         f = shape.rename_present(shape.lower_columns(feed), RENAMES, fallback={"id": "film_id"})
         conformed.append(f)
         links.append(f.select(F.col("film_id").cast("bigint").alias("film_id"), F.explode("genre_ids").alias("genre_id"), "ingestion_time"))
-    movies = shape.conform(shape.union_batches(conformed), MOVIE_SCHEMA)
+    films = shape.union_batches(conformed)
+    films = films.select(*[f.name for f in MOVIE_SCHEMA if f.name in films.columns], "ingestion_time")
+    movies = quality.merge_elements(films, ["film_id"], ["ingestion_time"], desc=True).drop("ingestion_time")
     movie_genre = quality.merge_elements(quality.dedupe(shape.union_batches(links)), ["film_id", "genre_id"], ["ingestion_time"], desc=True)
     return movies, movie_genre
 
@@ -61,7 +64,9 @@ def to_trusted(movie_db: DataFrame, movie_genre_db: DataFrame, genre_db: DataFra
     genres = trusted_genres(genre_db)
     movies = trusted_movies(movie_db)
     feed_movies, feed_links = category_links(feeds)
-    movies, _changes = merge.merge_coalesce(movies, feed_movies.dropDuplicates(["film_id"]), ["film_id"])
+    new_films = shape.absent_defaults(feed_movies, MOVIE_SCHEMA)
+    feed_movies = shape.conform(feed_movies, MOVIE_SCHEMA, defaults=False)
+    movies, _changes = merge.merge_coalesce(movies, feed_movies, ["film_id"], insert_defaults=new_films)
     db_links = shape.rename_present(shape.lower_columns(movie_genre_db), RENAMES).select("film_id", "genre_id", "ingestion_time")
     links = quality.merge_elements(quality.dedupe(db_links.unionByName(feed_links)), ["film_id", "genre_id"], ["ingestion_time"], desc=True)
     return movies, links, genres

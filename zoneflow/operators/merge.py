@@ -8,9 +8,9 @@ in a SQL MERGE), so null-key source rows are inserted.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zoneflow.operators.quality import assert_unique
@@ -60,6 +60,7 @@ def merge_coalesce(
     key_cols: str | Sequence[str],
     check_unique: bool = True,
     stage: bool = False,
+    insert_defaults: Mapping[str, Column] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """K6: matched -> coalesce(new.c, old.c) per non-key column; unmatched source
     rows -> inserted; target rows without a match stay.  Returns
@@ -67,7 +68,8 @@ def merge_coalesce(
     with two matches for one row does (``check_unique=False`` if the caller
     knows better; null keys never match and may repeat).  ``stage=True`` writes the joined rows once to the
     shared folder so writing the snapshot and the change feed does not run
-    the full outer join twice."""
+    the full outer join twice.  ``insert_defaults`` fills nulls of these
+    columns in inserted rows only."""
     keys = _keys(key_cols)
     if check_unique:
         check_source(source, keys)
@@ -78,7 +80,11 @@ def merge_coalesce(
         j = materialize(target.sparkSession, j, "merge-join")
     matched = F.col("__in_t").isNotNull() & F.col("__in_s").isNotNull()
     key_out = [F.coalesce(F.col(f"__sk_{k}"), F.col(f"__tk_{k}")).alias(k) for k in keys]
-    val_out = [F.coalesce(F.col(f"__s_{c}"), F.col(f"__t_{c}")).alias(c) for c in data_cols]
+    inserted = F.col("__in_t").isNull()
+    old = {c: F.col(f"__t_{c}") for c in data_cols}
+    for c, default in (insert_defaults or {}).items():
+        old[c] = F.when(inserted, default.cast(target.schema[c].dataType)).otherwise(old[c])
+    val_out = [F.coalesce(F.col(f"__s_{c}"), old[c]).alias(c) for c in data_cols]
     ordered = [F.col(c) for c in target.columns]
     snapshot = j.select(*key_out, *val_out).select(*ordered)
 

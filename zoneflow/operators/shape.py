@@ -39,18 +39,25 @@ def _typed_default(dtype: T.DataType, now: Column | None) -> Column:
     return F.lit(None).cast(dtype)
 
 
-def conform(df: DataFrame, schema: T.StructType, now: Column | None = None) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType, now: Column | None = None, defaults: bool = True) -> DataFrame:
     """Select the target schema; missing columns get a *typed* default
-    (timestamp -> now, numeric -> 0, else null; Q7), present ones are cast."""
+    (timestamp -> now, numeric -> 0, else null; Q7), present ones are cast.
+    A source of a coalescing merge is conformed with ``defaults=False``: a
+    default there would overwrite real values (see ``absent_defaults``)."""
     cols = []
     for f in schema.fields:
         if f.name in df.columns:
             cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
         else:
-            cols.append(_typed_default(f.dataType, now).alias(f.name))
+            cols.append((_typed_default(f.dataType, now) if defaults else F.lit(None).cast(f.dataType)).alias(f.name))
     return df.select(*cols)
 
 
+def absent_defaults(df: DataFrame, schema: T.StructType, now: Column | None = None) -> dict[str, Column]:
+    """Q7's typed defaults of the columns of ``schema`` that ``df`` lacks, for rows that a merge inserts."""
+    return {f.name: _typed_default(f.dataType, now) for f in schema.fields if f.name not in df.columns}
+
+
 def flatten(df: DataFrame, mapping: Mapping[str, str], keep: Sequence[str] = (), drop_parents: bool = True) -> DataFrame:
     """Nested paths -> named columns in one projection.
 
