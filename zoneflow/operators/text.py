@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from zoneflow.functions import stopwords
 from zoneflow.functions.text import TOKEN_PATTERN, combined_text
+from zoneflow.session import materialize
 
 
 def _rank_le(df: DataFrame, part: Sequence[str], order: Sequence, k: int, name: str = "rank") -> DataFrame:
@@ -63,7 +64,6 @@ def corpus_keywords(
     per_doc: int = 3,
     score_digits: int | None = None,
     lowercase: bool = True,
-    broadcast_rows: int = 2_000_000,
     materialize_as: str | None = "tf",
 ) -> DataFrame:
     """M1: per group, the ``top_n`` terms most often among the ``per_doc``
@@ -72,17 +72,14 @@ def corpus_keywords(
     tf = doc_terms(docs, id_col, text_cols, g, lowercase)
     if materialize_as:
         # tf feeds both the corpus statistics and the scoring: write it once.
-        from zoneflow.session import materialize
-
         tf = materialize(docs.sparkSession, tf, materialize_as)
     n_docs = docs.groupBy(*g).agg(F.count(F.lit(1)).alias("N")) if g else docs.agg(F.count(F.lit(1)).alias("N"))
     stats = tf.groupBy(*g, "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
     vocab = _rank_le(stats, g, [F.desc("total"), F.asc("term")], max_features, "__vr").drop("__vr", "total")
-    # The vocabulary holds at most max_features rows per group: broadcast it
-    # when that bound (groups x max_features) is small, else shuffle-join.
-    n_groups = n_docs.count() if g else 1
-    if n_groups * max_features <= broadcast_rows:
-        vocab, n_docs = F.broadcast(vocab), F.broadcast(n_docs)
+    # The vocabulary (at most max_features rows per group) is written first:
+    # its size is then known, and Spark broadcasts it below its threshold.
+    vocab = materialize(docs.sparkSession, vocab, "vocabulary")
+    n_docs = materialize(docs.sparkSession, n_docs, "group-sizes")
     scored = tf.join(vocab, [*g, "term"])
     scored = scored.join(n_docs, g) if g else scored.crossJoin(F.broadcast(n_docs))
     idf = F.log((F.lit(1.0) + F.col("N")) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
@@ -106,10 +103,10 @@ def tag_documents(
     lowercase: bool = True,
 ) -> DataFrame:
     """(doc, keyword) for every keyword that is a substring of
-    the lower-cased text.  The keyword list is small by construction (top-n
-    per group), so it is broadcast and the theta condition is evaluated
-    map-side; ``on`` adds equi-keys (e.g. the category) to the join."""
-    kw = F.broadcast(keywords.select(*on, F.col(keyword_col).alias("__kw")))
+    the lower-cased text.  The keyword list is written first, so that Spark
+    knows its size and broadcasts it below its threshold (top-n lists are far
+    below); ``on`` adds equi-keys (e.g. the category) to the join."""
+    kw = materialize(docs.sparkSession, keywords.select(*on, F.col(keyword_col).alias("__kw")), "keywords")
     body = F.col(text_col) if isinstance(text_col, str) else text_col
     d = docs.select(*on, F.col(id_col).alias("__doc"), (F.lower(body) if lowercase else body).alias("__text"))
     cond = [d[c] == kw[c] for c in on] + [F.contains(d["__text"], kw["__kw"])]
