@@ -311,6 +311,18 @@ def test_lm_base_is_exact_and_the_model_prefers_what_it_read(spark):
     assert (nothing.train_tokens, nothing.n_known, nothing.n_tokens) == (0, 0, 3)
 
 
+def test_lm_keeps_every_trained_ngram(spark):
+    texts = [" ".join(f"w{i}" for i in range(10_900)), " ".join(f"w{i}" for i in range(0, 10_900, 2))]
+    out = lm.score(table(spark, texts), held_out=F.col("doc_id") == 1).where("doc_id = 1").first()
+    n, v = 10_901, 10_901
+    assert (out.n_tokens, out.n_known, out.train_tokens) == (5_451, 5_451, n)
+    # every word and the end token are known once, no bigram but the first; the filter may add to counts, never take away
+    once = math.log10(1.5 / (n + 0.5 * (v + 1)))
+    assert out.score / out.n_tokens == pytest.approx(once, abs=0.2) and out.score / out.n_tokens > once - 0.001
+    for tokens in (1, 10**6, 10**9, 10**11):
+        assert tokens * 6 <= 1 << lm.filter_shape(tokens, 6.0).log_bits < max(1 << 17, tokens * 12)
+
+
 def test_filter_returns_quantised_counts():
     shape = lm.FilterShape(20, 4)
     rng = np.random.default_rng(6)

@@ -6,14 +6,16 @@ n-gram hashes and counts) to each of many segments of the hash space, so a
 very frequent n-gram is one entry a block.  A segment adds its counts up,
 quantises them on a log scale (level 1 + floor(log_base c)) and sets, for each
 level up to its own, the bits of (n-gram, level) in its slice of the filter.
-The slices are the filter; it is what workers get.
+The slices together are the filter.
 
-Its size is a parameter: ``bits_per_ngram`` times the training tokens, rounded
-up to a power of two, and at most ``max_bits``.  Where a segment's n-grams need
-more than its bits allow, it leaves out the rarest ones (an n-gram model pruned
-by count to a fixed size); the base scores below stay exact at any size.
+Its size is a parameter, ``bits_per_ngram`` times the training tokens, rounded
+up to a power of two: it grows with the training text without a bound, and every
+n-gram that was read in training is in it (where a segment's n-grams need more
+bits, its slice is doubled until they fit).  No process holds more of it than the
+slice of a segment: a block's rows carry its held-out n-grams too (count 0), and
+the segment answers each of them with the levels that its slice returns.
 
-Scoring reads a count by probing level 1, 2, ... until a level is missing, and
+A count is read by probing level 1, 2, ... until a level is missing; scoring
 smooths it with a Dirichlet prior over the unigram model:
 
     P(w | v) = (c(v w) + mu P(w)) / (c(v) + mu),
@@ -34,12 +36,12 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import Broadcast, TaskContext
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,6 +51,7 @@ from zoneflow.session import materialize
 
 END = "\x20"  # cannot be a word: words hold no white space
 START_HASH = np.uint64(0x5357415254)
+BITS_NEEDED = 4.0  # of a slice for each (n-gram, level) in it
 
 
 @dataclass(frozen=True)
@@ -83,21 +86,32 @@ class FilterShape:
         return np.where(levels == 0, 0.0, np.where(levels == 1, 1.0, (low + np.maximum(low * self.base - 1, low)) / 2))
 
 
+def filter_shape(tokens: int, bits_per_ngram: float) -> FilterShape:
+    """The filter for so many training tokens: ``bits_per_ngram`` bits or more for each of them, at any number."""
+    log_bits = int(np.ceil(np.log2(max(1 << 16, bits_per_ngram * tokens))))
+    return FilterShape(log_bits, max(0, min(log_bits - 9, int(np.ceil(np.log2(max(tokens, 1) / (1 << 16) + 1))) + 2)))
+
+
 def probe(bits: np.ndarray, shape: FilterShape, ngrams: np.ndarray, most: int = 60) -> np.ndarray:
-    """Stored counts of n-grams (0: not stored) by probing rising levels."""
+    """Stored counts of n-grams (0: not stored)."""
+    return shape.count_of(stored_levels(bits, shape, ngrams, most=most))
+
+
+def stored_levels(bits: np.ndarray, shape: FilterShape, ngrams: np.ndarray, first: int = 0, most: int = 60) -> np.ndarray:
+    """Levels of n-grams (0: not stored) by probing rising levels; ``bits`` holds the slices from segment ``first`` on."""
     levels = np.zeros(len(ngrams), np.int64)
     alive = np.arange(len(ngrams))
     for level in range(1, most + 1):
         if not len(alive):
             break
-        found, offset = ngrams[alive], shape.segments(ngrams[alive]) * shape.slice_bits
+        found, offset = ngrams[alive], (shape.segments(ngrams[alive]) - first) * shape.slice_bits
         ok = np.ones(len(alive), bool)
         for place in shape.places(found, level):
             at = offset + place
             ok &= (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
         alive = alive[ok]
         levels[alive] = level
-    return shape.count_of(levels)
+    return levels
 
 
 def bigram_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -140,24 +154,28 @@ def _block_counts(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(count, "block long, number int, word string, n long")
 
 
-def _filter_slices(rows: DataFrame, shape: FilterShape, bits_needed: float) -> DataFrame:
-    """(segment, bits): the filter's slices over all training n-grams."""
+def _block_ngrams(offsets: np.ndarray, codes: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of a block's n-grams (its distinct bigrams in order, its distinct tokens, the start mark) and for each token its bigram among them."""
+    tokens = hashes[codes]
+    before = np.empty_like(tokens)
+    before[1:] = tokens[:-1]
+    before[offsets[:-1]] = START_HASH
+    pairs, own = np.unique(bigram_hashes(before, tokens), return_inverse=True)
+    return np.concatenate([pairs, mix64(hashes), mix64(np.array([START_HASH], np.uint64))]), own
+
+
+def _stored(rows: DataFrame, shape: FilterShape) -> DataFrame:
+    """(block, segment, levels): what the filter over all training n-grams returns for a block's n-grams of a segment, by hash."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, piece, offsets, codes, words, hashes in _token_blocks(batches):
+        for block, piece, offsets, codes, words, hashes in _token_blocks(batches):
             train = ~piece.column("held_out").to_numpy(zero_copy_only=False)
             keep = train[row_of(offsets)]
-            tokens = hashes[codes]
-            before = np.empty_like(tokens)
-            before[1:] = tokens[:-1]
-            before[offsets[:-1]] = START_HASH
-            pairs, pair_counts = np.unique(bigram_hashes(before, tokens)[keep], return_counts=True)
-            single = np.bincount(codes[keep], minlength=len(words))
-            starts = int(train.sum())
-            ngrams = np.concatenate([pairs, mix64(hashes[single > 0]), mix64(np.array([START_HASH], np.uint64))])
-            counts = np.concatenate([pair_counts, single[single > 0], [starts]])
+            ngrams, own = _block_ngrams(offsets, codes, hashes)
+            pairs = len(ngrams) - len(words) - 1
+            counts = np.concatenate([np.bincount(own[keep], minlength=pairs), np.bincount(codes[keep], minlength=len(words)), [train.sum()]])
             order = np.argsort(ngrams, kind="stable")
-            ngrams, counts = ngrams[order], np.minimum(counts[order], 0xFFFFFFFF).astype("<u4")
+            ngrams, counts = ngrams[order], counts[order]
             segments = shape.segments(ngrams)
             cuts = np.searchsorted(segments, np.arange((1 << shape.log_segments) + 1))
             used = np.flatnonzero(np.diff(cuts))
@@ -165,44 +183,45 @@ def _filter_slices(rows: DataFrame, shape: FilterShape, bits_needed: float) -> D
                 some = used[a : a + 1024]
                 yield pa.RecordBatch.from_arrays(
                     [
+                        pa.array([block] * len(some), pa.int64()),
                         pa.array(some, pa.int32()),
                         pa.array([ngrams[cuts[s] : cuts[s + 1]].astype("<u8").tobytes() for s in some], pa.binary()),
                         pa.array([_pack_counts(counts[cuts[s] : cuts[s + 1]]) for s in some], pa.binary()),
                     ],
-                    ["segment", "ngrams", "counts"],
+                    ["block", "segment", "ngrams", "counts"],
                 )
 
-    def fill(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        ngrams = np.concatenate([np.frombuffer(x, "<u8") for x in table.column("ngrams").to_pylist()])
+    def answer(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        ngrams = [np.frombuffer(x, "<u8") for x in table.column("ngrams").to_pylist()]
+        ends = np.cumsum([len(x) for x in ngrams])
         counts = np.concatenate([_unpack_counts(x) for x in table.column("counts").to_pylist()])
-        ngrams, at = np.unique(ngrams, return_inverse=True)
+        ngrams, at = np.unique(np.concatenate(ngrams), return_inverse=True)
         counts = np.bincount(at, weights=counts)
-        ngrams, counts = ngrams[counts > 0], counts[counts > 0]
-        levels = shape.levels(counts)
-        least = 1
-        while levels[levels >= least].sum() * bits_needed > shape.slice_bits:
-            least += 1
-        ngrams, levels = ngrams[levels >= least], levels[levels >= least]
-        bits = np.zeros(shape.slice_bits, bool)
+        trained, levels = ngrams[counts > 0], shape.levels(counts[counts > 0])
+        own = shape
+        while levels.sum() * BITS_NEEDED > own.slice_bits:
+            own = replace(own, log_bits=own.log_bits + 1)
+        bits = np.zeros(own.slice_bits, bool)
         for level in range(1, int(levels.max(initial=0)) + 1):
-            for place in shape.places(ngrams[levels >= level], level):
+            for place in own.places(trained[levels >= level], level):
                 bits[place] = True
-        return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], ["segment", "bits"])
+        found = stored_levels(np.packbits(bits, bitorder="little"), own, ngrams, first=key[0].as_py()).astype(np.uint8)[at]
+        return pa.table([table.column("block"), table.column("segment"), pa.array([x.tobytes() for x in np.split(found, ends[:-1])], pa.binary())], ["block", "segment", "levels"])
 
-    packed = rows.mapInArrow(count, "segment int, ngrams binary, counts binary")
-    return packed.groupBy("segment").applyInArrow(fill, "segment int, bits binary")
+    packed = rows.mapInArrow(count, "block long, segment int, ngrams binary, counts binary")
+    return packed.groupBy("segment").applyInArrow(answer, "block long, segment int, levels binary")
 
 
 def _pack_counts(counts: np.ndarray) -> bytes:
-    """Counts, nearly all of them 1, as the places and values of the others."""
-    other = np.flatnonzero(counts != 1).astype("<u4")
-    return np.array([len(counts), len(other)], "<u4").tobytes() + other.tobytes() + counts[other].astype("<u4").tobytes()
+    """Counts, nearly all of them small, as a byte each and the values of those from 255 on."""
+    small = np.minimum(counts, 255).astype(np.uint8)
+    return np.array([len(counts)], "<u4").tobytes() + small.tobytes() + counts[small == 255].astype("<u8").tobytes()
 
 
 def _unpack_counts(blob: bytes) -> np.ndarray:
-    x = np.frombuffer(blob, "<u4")
-    out = np.ones(x[0], np.float64)
-    out[x[2 : 2 + x[1]]] = x[2 + x[1] :]
+    n = int(np.frombuffer(blob, "<u4", 1)[0])
+    out = np.frombuffer(blob, np.uint8, n, 4).astype(np.float64)
+    out[out == 255] = np.frombuffer(blob, "<u8", offset=4 + n)
     return out
 
 
@@ -213,12 +232,11 @@ def score(
     held_out=None,
     mu: float = 1000.0,
     bits_per_ngram: float = 6.0,
-    max_bits: int = 1 << 29,
 ) -> DataFrame:
     """One row a document: n_tokens, n_known, train_tokens, base_score, score (see the module's head).
 
     ``held_out`` is a boolean column of the rows that do not train (default:
-    none).  ``max_bits`` bounds the broadcast filter (64 MB by default).
+    none).
     """
     spark = docs.sparkSession
     flag = F.lit(False) if held_out is None else held_out
@@ -230,16 +248,7 @@ def score(
     counts = materialize(spark, counted.select("block", "number", "n", "c", "first"), "lm-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum((F.col("first") & (F.col("c") > 0)).cast("long")), F.lit(0))).first()
 
-    log_bits = int(np.ceil(np.log2(max(1 << 16, min(max_bits, bits_per_ngram * max(total, 1))))))
-    log_bits = min(log_bits, int(np.log2(max_bits)))
-    shape = FilterShape(log_bits, max(0, min(log_bits - 9, int(np.ceil(np.log2(max(total, 1) / (1 << 16) + 1))) + 2)))
-    bits = np.zeros(1 << (shape.log_bits - 3), np.uint8)
-    width = shape.slice_bits >> 3
-    if total:
-        for row in _filter_slices(rows, shape, bits_needed=4.0).collect():  # as large as the filter, no larger
-            bits[row.segment * width : (row.segment + 1) * width] = np.frombuffer(row.bits, np.uint8)
-    shared: Broadcast = spark.sparkContext.broadcast(bits)
-    del bits
+    shape = filter_shape(total, bits_per_ngram)
     floor = np.log10(total + 0.5 * (distinct + 1))
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,38 +263,31 @@ def score(
 
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
         hashes = np.frombuffer(b"".join(left.column("hashes").to_pylist()), np.uint64)
-        if len(hashes) != right.num_rows:
+        words = right.filter(pc.is_valid(right.column("number")))
+        held = [_unpack(blob) for blob in left.column("codes").to_pylist()]
+        offsets, codes = np.concatenate([[0], np.cumsum([len(x) for x in held])]), np.concatenate(held)
+        del held
+        ngrams, own = _block_ngrams(offsets, codes, hashes)
+        answers = right.filter(pc.is_valid(right.column("segment"))).select(["segment", "levels"]).sort_by("segment")
+        levels = np.frombuffer(b"".join(answers.column("levels").to_pylist()), np.uint8)
+        if len(hashes) != words.num_rows or len(ngrams) != len(levels):
             raise RuntimeError("the input rows changed order between two reads; write them as a table first")
-        filter_bits = shared.value
         c = np.zeros(len(hashes), np.int64)
-        c[right.column("number").to_numpy()] = right.column("c").to_numpy()
+        c[words.column("number").to_numpy()] = words.column("c").to_numpy()
         base = np.log10(c + 0.5) - floor
-        kept = probe(filter_bits, shape, mix64(hashes))
+        stored = np.empty(len(ngrams))
+        stored[np.argsort(ngrams, kind="stable")] = shape.count_of(levels.astype(np.int64))
+        pairs = len(ngrams) - len(hashes) - 1
+        kept, start = stored[pairs:-1], stored[-1]
         unigram = (kept + 0.5) / (total + 0.5 * (distinct + 1))
-        start = probe(filter_bits, shape, mix64(np.array([START_HASH], np.uint64)))[0]
-        out, held, size = [], [], 0
-        blobs = left.column("codes").to_pylist()
-        for i, blob in enumerate(blobs):  # some texts at a time
-            held.append(_unpack(blob))
-            size += len(held[-1])
-            if size < 1_000_000 and i + 1 < len(blobs):
-                continue
-            codes = np.concatenate(held)
-            starts = np.concatenate([[0], np.cumsum([len(x) for x in held])])[:-1]
-            tokens = hashes[codes]
-            before, context = np.empty_like(tokens), np.empty(len(codes))
-            before[1:], context[1:] = tokens[:-1], kept[codes[:-1]]
-            before[starts], context[starts] = START_HASH, start
-            # a bigram cannot be known if either of its words is not
-            pair = np.zeros(len(codes))
-            possible = np.flatnonzero((context > 0) & (kept[codes] > 0))
-            pair[possible] = probe(filter_bits, shape, bigram_hashes(before[possible], tokens[possible]))
-            pair = np.minimum(pair, np.minimum(context, kept[codes]))
-            p = np.log10((pair + mu * unigram[codes]) / (context + mu))
-            sums = (np.add.reduceat(x, starts) for x in ((c[codes] > 0).astype(np.int64), base[codes], p))
-            out += zip(map(len, held), *(x.tolist() for x in sums), strict=True)
-            held, size = [], 0
-        n, known, base_score, model = zip(*out, strict=True)
+        context = np.empty(len(codes))
+        context[1:] = kept[codes[:-1]]
+        context[offsets[:-1]] = start
+        # a bigram cannot be known more often than either of its words
+        pair = np.minimum(stored[own], np.minimum(context, kept[codes]))
+        p = np.log10((pair + mu * unigram[codes]) / (context + mu))
+        n = np.diff(offsets)
+        known, base_score, model = (np.add.reduceat(x, offsets[:-1]) for x in ((c[codes] > 0).astype(np.int64), base[codes], p))
         k = left.num_rows
         return pa.table(
             [left.column("id"), left.column("held_out"), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array([int(total)] * k, pa.int64()), pa.array(base_score), pa.array(model)],
@@ -293,7 +295,8 @@ def score(
         )
 
     blocks = rows.mapInArrow(texts, f"block long, id {id_type}, held_out boolean, codes binary, hashes binary")
-    out = blocks.groupBy("block").cogroup(counts.select("block", "number", "c").groupBy("block")).applyInArrow(
+    known = counts.select("block", "number", "c").unionByName(_stored(rows, shape), allowMissingColumns=True)
+    out = blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
         scored, f"id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
     return out.withColumnRenamed("id", id_column)
