@@ -102,6 +102,31 @@ def test_dbscan_expected_counts_sf001(spark, sf01):
     assert counts[True] == 85 + 68 and counts[False] == 347
 
 
+def test_whole_vector_clustering_vs_brute_force(spark, tmp_path):
+    from zoneflow.plans import vector_plans as vp
+
+    rng = np.random.default_rng(9)
+    x = rng.normal(0, 1, (150, 64))
+    for k in range(3):  # groups that the first two dimensions do not tell apart
+        x[k * 30 : k * 30 + 25, 2:] = rng.normal(0, 1, 62) * 2 + rng.normal(0, 0.3, (25, 62))
+        x[k * 30 : k * 30 + 25, :2] *= 0.1
+    x = x[rng.permutation(len(x))]
+    x[100:108] = x[100]
+    spark.createDataFrame([(i, [float(a) for a in v], 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    z = (x - x.mean(0)) / x.std(0)
+    pts = z @ np.linalg.svd(z, full_matrices=False)[2][:50].T
+    expect = brute_dbscan(pts, 4.0, 5)
+    assert expect.max() >= 2 and (expect == -1).any()
+    d = str(tmp_path)
+    assert {r.vec_id: r.cluster for r in vp.dbscan_whole(spark, d).collect()} == dict(enumerate(expect))
+    assert {r.vec_id: (r.cluster, r.cluster_size) for r in vp.cluster_report(spark, d).collect()} == {i: (c, (expect == c).sum()) for i, c in enumerate(expect)}
+    assert {r.cluster: r.n_points for r in vp.cluster_distribution_whole(spark, d).collect()} == Counter(expect.tolist())
+    dist = np.sqrt(((pts[:, None] - pts[None]) ** 2).sum(-1))
+    pairs = {(r.a, r.b): r.dist for r in vp.eps_neighbours_whole(spark, d).collect()}
+    assert set(pairs) == {(a, b) for a, b in np.argwhere(dist <= 4.0).tolist() if a <= b}
+    assert all(abs(dist[k] - v) < 1e-6 for k, v in pairs.items())
+
+
 def test_eps_pairs_vs_brute_force(spark):
     rng = np.random.default_rng(1)
     pts = rng.uniform(0, 1, (150, 3))

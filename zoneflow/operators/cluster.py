@@ -7,7 +7,7 @@ cores within ``eps`` of each other share a cluster; clusters are numbered
 0, 1, ... in the order of their smallest core id; a non-core point within
 ``eps`` of a core takes the smallest adjacent cluster; the rest is -1.
 
-Neighbour search is a grid join: a point's cell is ``floor(coord / eps)``
+Neighbour search in two dimensions is a grid join: a point's cell is ``floor(coord / eps)``
 on two coordinates; each point is matched against the 3 x 3 block of cells
 around its own (an equi-join on the cell), and the exact distance - over
 the full vector, which is never shorter than the 2-D one - filters the
@@ -19,7 +19,11 @@ checkpoint folder so lineage stays short.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -100,6 +104,118 @@ def eps_pairs(points: DataFrame, id_col: str, vec_col: str, eps: float, include_
     return cand.select("a", "b", _dist(F.col("va"), F.col("vb")).alias("dist")).where(F.col("dist") <= F.lit(eps))
 
 
+def _near(x: np.ndarray, y: np.ndarray, eps: float) -> np.ndarray:
+    """Which rows of x and y lie within eps: by the scalar product, and by the differences where rounding could decide."""
+    nx, ny = (x * x).sum(1), (y * y).sum(1)
+    square = nx[:, None] + ny[None, :] - 2 * (x @ y.T)
+    near = square <= eps * eps
+    unsure = np.abs(square - eps * eps) <= 1e-11 * (nx.max(initial=0) + ny.max(initial=0) + eps * eps)
+    for a, b in (np.argwhere(unsure)[i : i + 10_000].T for i in range(0, int(unsure.sum()), 10_000)):
+        near[a, b] = np.sqrt(((x[a] - y[b]) ** 2).sum(1)) <= eps
+    return near
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    flat = column.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)
+    return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 1))
+
+
+def _against_blocks(points: DataFrame, others: DataFrame, eps: float, work: Callable, schema: str, block_rows: int = 8192) -> DataFrame:
+    """``work`` over every piece of ``points`` (id, v, ...) and block of ``others`` (id, v): every pair is
+    compared on the whole vector, blocks of about ``block_rows`` are broadcast one by one and nothing is shuffled."""
+    sc = points.sparkSession.sparkContext
+    count = -(-others.count() // block_rows) or 1
+    number = F.pmod(F.xxhash64("id"), F.lit(count))
+
+    def against(shared) -> Callable:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            ids, y = shared.value
+            for batch in batches:
+                for at in range(0, batch.num_rows if len(ids) else 0, 1024):
+                    piece = batch.slice(at, 1024)
+                    yield from work(piece, ids, y, _near(_matrix(piece.column("v")), y, eps))
+
+        return run
+
+    parts = []
+    for b in range(count):
+        block = others.where(number == b).select("id", "v").toArrow().combine_chunks()
+        ids = block.column("id").combine_chunks()
+        parts.append(points.mapInArrow(against(sc.broadcast((ids, _matrix(block.column("v").combine_chunks())))), schema))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _vectors(points: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    """(id, v) of the points that have a vector, dealt out by id."""
+    p = points.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("v")).where("v IS NOT NULL AND id IS NOT NULL")
+    tasks = max(points.sparkSession.sparkContext.defaultParallelism, p.count() // 2048)
+    return materialize(points.sparkSession, p.repartition(tasks, "id"), "vectors")
+
+
+def near_pairs(points: DataFrame, id_col: str, vec_col: str, eps: float) -> DataFrame:
+    """J10 for vectors of one length with many dimensions, where a grid on two of them leaves
+    out next to nothing: all (a, b, dist) with a <= b and
+    distance(a, b) <= eps, a point being its own neighbour as in DBSCAN."""
+    p = _vectors(points, id_col, vec_col)
+
+    def work(piece: pa.RecordBatch, ids: pa.Array, y: np.ndarray, near: np.ndarray) -> Iterator[pa.RecordBatch]:
+        x = _matrix(piece.column("v"))
+        a, b = np.nonzero(near)
+        for i in range(0, len(a), 10_000):
+            k, m = a[i : i + 10_000], b[i : i + 10_000]
+            dist = np.sqrt(((x[k] - y[m]) ** 2).sum(1))
+            yield pa.RecordBatch.from_arrays([piece.column("id").take(pa.array(k)), ids.take(pa.array(m)), pa.array(dist)], ["a", "b", "dist"])
+
+    kind = p.schema["id"].dataType.simpleString()
+    return _against_blocks(p, p, eps, work, f"a {kind}, b {kind}, dist double").where("a <= b")
+
+
+def _components(near: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, columns) of each connected part of a bipartite graph."""
+    rows = near.any(1)
+    columns = np.ones(near.shape[1], bool)
+    for r in range(len(near)):
+        if not rows[r]:
+            continue
+        new, in_rows, in_columns = np.array([r]), [], []
+        while len(new):
+            rows[new] = False
+            in_rows.append(new)
+            reached = np.flatnonzero(near[new].any(0) & columns)
+            columns[reached] = False
+            in_columns.append(reached)
+            new = np.flatnonzero(near[:, reached].any(1) & rows) if len(reached) else reached
+        yield np.concatenate(in_rows), np.concatenate(in_columns)
+
+
+def _dbscan_pieces(spark: SparkSession, points: DataFrame, id_col: str, vec_col: str, eps: float, min_samples: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Cores (id), edges (src, dst) that connect them as their neighbourhoods do, and (a, b) of the other points with
+    the cores near them (fewer than ``min_samples`` each).  Pieces report sums and spanning edges, never all pairs."""
+    p = _vectors(points, id_col, vec_col)
+    kind = p.schema["id"].dataType.simpleString()
+
+    def degrees(piece: pa.RecordBatch, ids: pa.Array, y: np.ndarray, near: np.ndarray) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([piece.column("id"), pa.array(near.sum(1).astype(np.int64))], ["id", "deg"])
+
+    degree = _against_blocks(p, p, eps, degrees, f"id {kind}, deg long").groupBy("id").agg(F.sum("deg").alias("deg"))
+    marked = materialize(spark, p.join(degree.where(F.col("deg") >= min_samples).select("id", F.lit(True).alias("core")), "id", "left").select("id", "v", F.coalesce("core", F.lit(False)).alias("core")), "dbscan-cores")
+    cores = marked.where("core")
+
+    def links(piece: pa.RecordBatch, ids: pa.Array, y: np.ndarray, near: np.ndarray) -> Iterator[pa.RecordBatch]:
+        core = piece.column("core").to_numpy(zero_copy_only=False)
+        own = piece.column("id")
+        for rows, columns in _components(near & core[:, None]):
+            members = pa.concat_arrays([own.take(pa.array(rows)), ids.take(pa.array(columns))])
+            first = pa.concat_arrays([members.slice(0, 1)] * len(members))
+            yield pa.RecordBatch.from_arrays([first, members, pa.array([True] * len(members))], ["a", "b", "core"])
+        a, b = np.nonzero(near & ~core[:, None])
+        yield pa.RecordBatch.from_arrays([own.take(pa.array(a)), ids.take(pa.array(b)), pa.array([False] * len(a), pa.bool_())], ["a", "b", "core"])
+
+    found = materialize(spark, _against_blocks(marked, cores, eps, links, f"a {kind}, b {kind}, core boolean"), "dbscan-links")
+    edges = found.where("core AND a <> b").select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct()
+    return cores.select("id"), edges, found.where("NOT core").select("a", "b")
+
+
 def connected_components(spark: SparkSession, vertices: DataFrame, edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     """(id) + undirected (src, dst) edges -> (id, root = smallest id of its
     component), in O(log n) rounds of hook / shortcut / contract:
@@ -260,25 +376,29 @@ def _dbscan_2d(spark: SparkSession, points: DataFrame, id_col: str, vec_col: str
 
 def dbscan(spark: SparkSession, points: DataFrame, id_col: str, vec_col: str, eps: float, min_samples: int) -> DataFrame:
     """M9: (id, cluster) with -1 for noise; see the module docstring.  2-D
-    inputs use the dense-cell grid (no pairs inside dense regions)."""
+    inputs use the dense-cell grid (no pairs inside dense regions), longer ones
+    blocks of whole vectors; vectors of differing lengths are never neighbours."""
     dims = points.select(F.min(F.size(vec_col)).alias("lo"), F.max(F.size(vec_col)).alias("hi")).first()
     if dims["lo"] == 2 and dims["hi"] == 2:
         return _dbscan_2d(spark, points, id_col, vec_col, eps, min_samples)
-    pairs = materialize(spark, eps_pairs(points, id_col, vec_col, eps, include_self=True).select("a", "b"), "eps-pairs")
-    degree = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("deg"))
-    cores = degree.where(F.col("deg") >= min_samples).select(F.col("a").alias("id"))
-    core_edges = (
-        pairs.where(F.col("a") < F.col("b"))
-        .join(cores.withColumnRenamed("id", "a"), "a", "left_semi")
-        .join(cores.withColumnRenamed("id", "b"), "b", "left_semi")
-        .select(F.col("a").alias("src"), F.col("b").alias("dst"))
-    )
+    if dims["lo"] == dims["hi"] and (dims["lo"] or 0) > 2:
+        cores, core_edges, border_pairs = _dbscan_pieces(spark, points, id_col, vec_col, eps, min_samples)
+    else:
+        pairs = materialize(spark, eps_pairs(points, id_col, vec_col, eps, include_self=True).select("a", "b"), "eps-pairs")
+        degree = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("deg"))
+        cores = degree.where(F.col("deg") >= min_samples).select(F.col("a").alias("id"))
+        core_edges = (
+            pairs.where(F.col("a") < F.col("b"))
+            .join(cores.withColumnRenamed("id", "a"), "a", "left_semi")
+            .join(cores.withColumnRenamed("id", "b"), "b", "left_semi")
+            .select(F.col("a").alias("src"), F.col("b").alias("dst"))
+        )
+        border_pairs = pairs.join(cores.withColumnRenamed("id", "a"), "a", "left_anti")
     comps = connected_components(spark, cores, core_edges)
     numbered = dense_index(spark, comps.select("root"), "root", "cluster")
     core_lab = comps.join(numbered, "root").select("id", "cluster")
     border = (
-        pairs.join(cores.withColumnRenamed("id", "a"), "a", "left_anti")
-        .join(core_lab.withColumnRenamed("id", "b"), "b")
+        border_pairs.join(core_lab.withColumnRenamed("id", "b"), "b")
         .groupBy("a")
         .agg(F.min("cluster").alias("cluster"))
         .select(F.col("a").alias("id"), "cluster")

@@ -9,11 +9,12 @@ from zoneflow.operators import cluster as cl
 from zoneflow.operators import vectors as vx
 from zoneflow.operators.graph.sample import sample_cap
 from zoneflow.plans.registry import register, table
-from zoneflow.session import scratch_path
+from zoneflow.session import materialize, scratch_path
 from zoneflow.sources import files, sinks
 
 SEED = 7
 EPS = 0.015
+WHOLE_EPS = 4.0
 MIN_SAMPLES = 5
 
 _COS_SQL = """
@@ -143,14 +144,37 @@ def dbscan(spark, d):
     return cl.dbscan(spark, _points(spark, d), "vec_id", "xy", EPS, MIN_SAMPLES)
 
 
+def _reduced(spark, d):
+    """The whole vectors, standardized and reduced by PCA to min(50, n - 1, d) components."""
+    emb = table(spark, d, "embeddings").select("vec_id", "embedding")
+    return materialize(spark, cl.reduce_dims(emb, "embedding", 50).select("vec_id", "reduced"), "reduced")
+
+
+@register("eps_neighbours_whole")
+def eps_neighbours_whole(spark, d):
+    """Pairs within eps = 4.0 on the reduced whole vectors (a <= b: each point is
+    its own neighbour, as in DBSCAN; PCA has no SQL form)."""
+    return cl.near_pairs(_reduced(spark, d), "vec_id", "reduced", WHOLE_EPS).select("a", "b", F.round("dist", 9).alias("dist"))
+
+
+@register("dbscan_whole")
+def dbscan_whole(spark, d):
+    """M9 + A14: DBSCAN(eps=4.0, min_samples=5) on the reduced whole vectors."""
+    return cl.dbscan(spark, _reduced(spark, d), "vec_id", "reduced", WHOLE_EPS, MIN_SAMPLES)
+
+
+@register("cluster_distribution_whole")
+def cluster_distribution_whole(spark, d):
+    """Points per cluster (noise = -1) of the run on the reduced whole vectors."""
+    return dbscan_whole(spark, d).groupBy("cluster").agg(F.count(F.lit(1)).alias("n_points"))
+
+
 @register("cluster_report")
 def cluster_report(spark, d):
-    """M11 + A17: cluster assignment, 2-D PCA coordinates and cluster size per point."""
-    labels = dbscan(spark, d)
-    emb = table(spark, d, "embeddings").select("vec_id", "embedding")
-    coords = cl.pca(cl.standardize(emb, "embedding", "z").select("vec_id", "z"), "z", 2, "xy").select(
-        "vec_id", F.col("xy")[0].alias("x"), F.col("xy")[1].alias("y")
-    )
+    """M11 + A17: cluster assignment on the reduced whole vectors, 2-D PCA coordinates and cluster size per point."""
+    reduced = _reduced(spark, d)
+    labels = cl.dbscan(spark, reduced, "vec_id", "reduced", WHOLE_EPS, MIN_SAMPLES)
+    coords = cl.pca(reduced, "reduced", 2, "xy").select("vec_id", F.col("xy")[0].alias("x"), F.col("xy")[1].alias("y"))
     return cl.cluster_report(labels, coords, "vec_id")
 
 
