@@ -12,13 +12,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.llm import bpe, chat, decontam, jaccard, langid, lm, quality, topk, toxicity, urlgraph
+from zoneflow.llm import bpe, chat, decontam, jaccard, langid, lm, packing, quality, topk, toxicity, urlgraph
 from zoneflow.llm.common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _register(name: str, sql: str | None = None):
@@ -252,3 +253,10 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode(table(spark, sf_dir, "documents"), BPE_RANKS, public_tokenizers.PATTERN)
     return bpe.decode(encoded, BPE_RANKS, digests=True)
+
+
+@_register("op11_packing")
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(WORD_TOKENIZER, encoding="utf-8") as file:
+        pieces = packing.pack(table(spark, sf_dir, "documents"), file.read())
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
