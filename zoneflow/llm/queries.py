@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.llm import bpe, chat, decontam, jaccard, langid, lm, packing, quality, topk, toxicity, urlgraph
+from zoneflow.llm import bpe, chat, decontam, jaccard, langid, lexical, lm, packing, quality, topk, toxicity, urlgraph
 from zoneflow.llm.common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -260,3 +260,34 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(WORD_TOKENIZER, encoding="utf-8") as file:
         pieces = packing.pack(table(spark, sf_dir, "documents"), file.read())
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+OP12_SQL = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS n, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents WHERE text IS NOT NULL
+), item AS (
+  SELECT row_number() OVER () AS i, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), asked AS (
+  SELECT i, any_value(item_id) AS item_id, term, count(*) AS times FROM item GROUP BY i, term
+), total AS (
+  SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(len(w)) AS BIGINT) AS terms FROM doc WHERE len(w) > 0
+), place AS (
+  SELECT n, term, count(*) AS tf FROM (SELECT n, unnest(w) AS term FROM doc) GROUP BY n, term
+), weight AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS weight
+  FROM place CROSS JOIN total WHERE term IN (SELECT term FROM asked) GROUP BY term
+), scored AS (
+  SELECT a.i, any_value(a.item_id) AS item_id, p.n, d.doc_id,
+    CAST(sum(a.times * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * len(d.w) * docs) // total.terms)))) AS BIGINT) AS score
+  FROM asked a JOIN place p USING (term) JOIN weight USING (term) JOIN doc d ON d.n = p.n CROSS JOIN total GROUP BY a.i, p.n, d.doc_id
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS FIRST) AS INTEGER) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@_register("op12_lexical_search", OP12_SQL)
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical.build_index(table(spark, sf_dir, "documents"))
+    return lexical.search(index, table(spark, sf_dir, "benchmark"))
