@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneflow.llm import bpe, chat, decontam, jaccard, langid, lexical, lm, packing, quality, topk, toxicity, urlgraph
+from zoneflow.llm import bpe, chat, decontam, jaccard, langid, lexical, lm, packing, quality, repair, topk, toxicity, urlgraph
 from zoneflow.llm.common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -291,3 +291,62 @@ SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = lexical.build_index(table(spark, sf_dir, "documents"))
     return lexical.search(index, table(spark, sf_dir, "benchmark"))
+
+
+def _repair_sql() -> str:
+    """The damage (with CRC-32 byte by byte), the faults, and the edits by a left-to-right search over the four states."""
+    white = r"[^\x20\x09-\x0D]"
+    return rf"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce(range(8), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i) ORDER BY i) AS t FROM range(256) r(i)
+), coded AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda c: CAST(ascii(c) AS BIGINT))) AS bytes
+  FROM conversations
+), hit AS (
+  SELECT conv_id, turn, role, text, xor(list_reduce(bytes, lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8)), 4294967295) % 20 AS h FROM coded CROSS JOIN crc_table
+), damaged AS (
+  SELECT conv_id, turn, CASE h WHEN 4 THEN 'user' ELSE role END AS role, CASE h WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM hit, range(CASE h WHEN 3 THEN 2 ELSE 1 END) WHERE h <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, regexp_extract(text, '(?s)({white})[\x20\x09-\x0D]*$', 1) AS final FROM damaged
+), seen AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS seen FROM placed
+), judged AS (
+  SELECT *, left(role, 1) AS initial, CASE WHEN final = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate' WHEN final NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM seen
+), counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+    count(*) FILTER (WHERE fault = 'truncated') AS truncated, count(*) FILTER (WHERE i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM judged GROUP BY conv_id
+), inserts(p, q, cost, audit, said) AS (
+  VALUES (0, 0, 0, '', ''), (1, 1, 0, '', ''), (2, 2, 0, '', ''), (3, 3, 0, '', ''), (0, 2, 5, 'I', 'user:\n'), (1, 2, 5, 'I', 'user:\n'), (3, 2, 5, 'I', 'user:\n'), (2, 3, 5, 'I', 'assistant:\n'),
+    (0, 3, 10, 'II', 'user:\nassistant:\n'), (1, 3, 10, 'II', 'user:\nassistant:\n')
+), edits(p, q, edit, cost, role) AS (
+  VALUES (0, 0, 'D', 2, ''), (1, 1, 'D', 2, ''), (2, 2, 'D', 2, ''), (3, 3, 'D', 2, ''), (0, 2, 'R', 1, 'user'), (1, 2, 'R', 1, 'user'), (3, 2, 'R', 1, 'user'), (2, 3, 'R', 1, 'assistant'),
+    (0, 1, 'K', 0, 's'), (0, 2, 'K', 0, 'u'), (1, 2, 'K', 0, 'u'), (3, 2, 'K', 0, 'u'), (2, 3, 'K', 0, 'a')
+), moves AS (
+  SELECT j.conv_id, j.i, e.p, t.q, e.cost + t.cost + CASE WHEN e.edit <> 'D' AND j.fault = 'truncated' THEN 5 ELSE 0 END AS cost, e.edit || t.audit AS audit,
+    CASE e.edit WHEN 'D' THEN '' WHEN 'R' THEN e.role || ':' || j.text || chr(10) ELSE j.role || ':' || j.text || chr(10) END || replace(t.said, '\n', chr(10)) AS said
+  FROM judged j JOIN edits e ON (e.edit = 'D' OR j.fault NOT IN ('blank', 'duplicate')) AND (e.edit <> 'K' OR e.role = j.initial) JOIN inserts t ON t.p = e.q
+), search AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, t.q, t.cost, t.audit, replace(t.said, '\n', chr(10)) AS said FROM counted, inserts t WHERE t.p = 0
+  UNION ALL
+  SELECT conv_id, i, q, min(cost), arg_min(audit, (cost, audit)), arg_min(said, (cost, audit))
+  FROM (SELECT m.conv_id, m.i, m.q, s.cost + m.cost AS cost, s.audit || m.audit AS audit, s.said || m.said AS said
+        FROM search s JOIN moves m ON m.conv_id IS NOT DISTINCT FROM s.conv_id AND m.i = s.i + 1 AND m.p = s.q)
+  GROUP BY conv_id, i, q
+), best AS (
+  SELECT s.conv_id, min(s.cost) AS cost, arg_min(s.audit, (s.cost, s.audit)) AS audit, arg_min(s.said, (s.cost, s.audit)) AS said
+  FROM search s JOIN counted c ON c.conv_id IS NOT DISTINCT FROM s.conv_id AND c.n = s.i WHERE s.q IN (0, 3) GROUP BY s.conv_id
+)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+  CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost, coalesce(audit, '') AS audit, sha256(CASE WHEN coalesce(said, '') = '' THEN '' ELSE left(said, length(said) - 1) END) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
+@_register("op13_conversation_repair", _repair_sql())
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damaged(table(spark, sf_dir, "conversations"))).withColumnRenamed("conv", "conv_id")
