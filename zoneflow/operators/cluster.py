@@ -7,7 +7,8 @@ cores within ``eps`` of each other share a cluster; clusters are numbered
 0, 1, ... in the order of their smallest core id; a non-core point within
 ``eps`` of a core takes the smallest adjacent cluster; the rest is -1.
 
-Neighbour search in two dimensions is a grid join: a point's cell is ``floor(coord / eps)``
+Neighbour search in many dimensions is a metric partition over all of them
+(``operators.metric``).  In two dimensions it is a grid join: a point's cell is ``floor(coord / eps)``
 on two coordinates; each point is matched against the 3 x 3 block of cells
 around its own (an equi-join on the cell), and the exact distance - over
 the full vector, which is never shorter than the 2-D one - filters the
@@ -19,18 +20,19 @@ checkpoint folder so lineage stays short.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
-from functools import reduce
+from collections.abc import Iterator
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from zoneflow.operators.graph.sample import dense_index
+from zoneflow.operators.graph.sample import dense_index, sample_cap
+from zoneflow.operators.metric import matrix, partition
 from zoneflow.session import materialize
 
 
@@ -104,70 +106,59 @@ def eps_pairs(points: DataFrame, id_col: str, vec_col: str, eps: float, include_
     return cand.select("a", "b", _dist(F.col("va"), F.col("vb")).alias("dist")).where(F.col("dist") <= F.lit(eps))
 
 
-def _near(x: np.ndarray, y: np.ndarray, eps: float) -> np.ndarray:
-    """Which rows of x and y lie within eps: by the scalar product, and by the differences where rounding could decide."""
-    nx, ny = (x * x).sum(1), (y * y).sum(1)
-    square = nx[:, None] + ny[None, :] - 2 * (x @ y.T)
-    near = square <= eps * eps
-    unsure = np.abs(square - eps * eps) <= 1e-11 * (nx.max(initial=0) + ny.max(initial=0) + eps * eps)
-    for a, b in (np.argwhere(unsure)[i : i + 10_000].T for i in range(0, int(unsure.sum()), 10_000)):
-        near[a, b] = np.sqrt(((x[a] - y[b]) ** 2).sum(1)) <= eps
-    return near
-
-
-def _matrix(column: pa.Array) -> np.ndarray:
-    flat = column.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)
-    return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 1))
-
-
-def _against_blocks(points: DataFrame, others: DataFrame, eps: float, work: Callable, schema: str, block_rows: int = 8192) -> DataFrame:
-    """``work`` over every piece of ``points`` (id, v, ...) and block of ``others`` (id, v): every pair is
-    compared on the whole vector, blocks of about ``block_rows`` are broadcast one by one and nothing is shuffled."""
-    sc = points.sparkSession.sparkContext
-    count = -(-others.count() // block_rows) or 1
-    number = F.pmod(F.xxhash64("id"), F.lit(count))
-
-    def against(shared) -> Callable:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            ids, y = shared.value
-            for batch in batches:
-                for at in range(0, batch.num_rows if len(ids) else 0, 1024):
-                    piece = batch.slice(at, 1024)
-                    yield from work(piece, ids, y, _near(_matrix(piece.column("v")), y, eps))
-
-        return run
-
-    parts = []
-    for b in range(count):
-        block = others.where(number == b).select("id", "v").toArrow().combine_chunks()
-        ids = block.column("id").combine_chunks()
-        parts.append(points.mapInArrow(against(sc.broadcast((ids, _matrix(block.column("v").combine_chunks())))), schema))
-    return reduce(DataFrame.unionByName, parts)
-
-
 def _vectors(points: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(id, v) of the points that have a vector, dealt out by id."""
-    p = points.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("v")).where("v IS NOT NULL AND id IS NOT NULL")
+    """(id, v) of the points that have an id and a vector of finite components, dealt out by id."""
+    v = F.col(vec_col).cast("array<double>")
+    p = points.select(F.col(id_col).alias("id"), v.alias("v")).where("id IS NOT NULL AND v IS NOT NULL")
+    p = p.where(F.forall("v", lambda x: x.isNotNull() & (F.abs(x) < float("inf"))))
     tasks = max(points.sparkSession.sparkContext.defaultParallelism, p.count() // 2048)
-    return materialize(points.sparkSession, p.repartition(tasks, "id"), "vectors")
+    return p.repartition(tasks, "id")
 
 
 def near_pairs(points: DataFrame, id_col: str, vec_col: str, eps: float) -> DataFrame:
-    """J10 for vectors of one length with many dimensions, where a grid on two of them leaves
-    out next to nothing: all (a, b, dist) with a <= b and
-    distance(a, b) <= eps, a point being its own neighbour as in DBSCAN."""
-    p = _vectors(points, id_col, vec_col)
+    """J10 for vectors of one length with many dimensions, by a metric partition over all of
+    them: all (a, b, dist) with a <= b and distance(a, b) <= eps, a point being its
+    own neighbour as in DBSCAN.  Points with a null or non-finite component have no neighbour."""
+    p = partition(_vectors(points, id_col, vec_col), eps)
 
-    def work(piece: pa.RecordBatch, ids: pa.Array, y: np.ndarray, near: np.ndarray) -> Iterator[pa.RecordBatch]:
-        x = _matrix(piece.column("v"))
+    def work(left: pa.Table, right: pa.Table, near: np.ndarray, same: bool) -> Iterator[pa.RecordBatch]:
+        x, y = matrix(left.column("v")), matrix(right.column("v"))
         a, b = np.nonzero(near)
         for i in range(0, len(a), 10_000):
             k, m = a[i : i + 10_000], b[i : i + 10_000]
             dist = np.sqrt(((x[k] - y[m]) ** 2).sum(1))
-            yield pa.RecordBatch.from_arrays([piece.column("id").take(pa.array(k)), ids.take(pa.array(m)), pa.array(dist)], ["a", "b", "dist"])
+            ids = (left.column("id").combine_chunks().take(pa.array(k)), right.column("id").combine_chunks().take(pa.array(m)))
+            yield pa.RecordBatch.from_arrays([*ids, pa.array(dist), pa.array([same] * len(k))], ["a", "b", "dist", "same"])
+
+    kind = p.homes.schema["id"].dataType.simpleString()
+    found = p.compared(work, f"a {kind}, b {kind}, dist double, same boolean", skip_dense=False)
+    return found.where("a <= b OR NOT same").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "dist")
 
-    kind = p.schema["id"].dataType.simpleString()
-    return _against_blocks(p, p, eps, work, f"a {kind}, b {kind}, dist double").where("a <= b")
+
+def k_distance(points: DataFrame, id_col: str, vec_col: str, k: int, quantile: float, sample_points: int = 200, seed: int = 7) -> float:
+    """The ``quantile`` of the distances to the k-th nearest point (itself the first), over a
+    bounded sample of points against all of them: a radius for DBSCAN with min_samples = k,
+    rounded to hundredths and moved off them, so that no distance sits on the edge."""
+    p = _vectors(points, id_col, vec_col)
+    asked = sample_cap(p, "id", sample_points, "random", seed).toArrow()
+    shared = points.sparkSession.sparkContext.broadcast(matrix(asked.column("v")))
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q = shared.value
+        best = np.full((len(q), k), np.inf)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                x = matrix(batch.slice(at, 2048).column("v"))
+                d = np.stack([np.sqrt(((x - row) ** 2).sum(1)) for row in q])
+                best = np.sort(np.concatenate([best, d], 1), 1)[:, :k]
+        row, place = np.nonzero(np.isfinite(best))
+        yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(best[row, place])], ["q", "dist"])
+
+    found = p.mapInArrow(nearest, "q long, dist double")
+    rank = F.row_number().over(Window.partitionBy("q").orderBy("dist"))
+    kth = found.withColumn("rank", rank).where(F.col("rank") == k)
+    at = kth.agg(F.expr(f"percentile_disc({quantile}) WITHIN GROUP (ORDER BY dist)")).first()[0]
+    return (round(at, 2) if at is not None else 0.0) + 0.005
 
 
 def _components(near: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -190,30 +181,58 @@ def _components(near: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 def _dbscan_pieces(spark: SparkSession, points: DataFrame, id_col: str, vec_col: str, eps: float, min_samples: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Cores (id), edges (src, dst) that connect them as their neighbourhoods do, and (a, b) of the other points with
-    the cores near them (fewer than ``min_samples`` each).  Pieces report sums and spanning edges, never all pairs."""
-    p = _vectors(points, id_col, vec_col)
-    kind = p.schema["id"].dataType.simpleString()
+    the cores near them (fewer than ``min_samples`` each).
 
-    def degrees(piece: pa.RecordBatch, ids: pa.Array, y: np.ndarray, near: np.ndarray) -> Iterator[pa.RecordBatch]:
-        yield pa.RecordBatch.from_arrays([piece.column("id"), pa.array(near.sum(1).astype(np.int64))], ["id", "deg"])
-
-    degree = _against_blocks(p, p, eps, degrees, f"id {kind}, deg long").groupBy("id").agg(F.sum("deg").alias("deg"))
-    marked = materialize(spark, p.join(degree.where(F.col("deg") >= min_samples).select("id", F.lit(True).alias("core")), "id", "left").select("id", "v", F.coalesce("core", F.lit(False)).alias("core")), "dbscan-cores")
-    cores = marked.where("core")
-
-    def links(piece: pa.RecordBatch, ids: pa.Array, y: np.ndarray, near: np.ndarray) -> Iterator[pa.RecordBatch]:
-        core = piece.column("core").to_numpy(zero_copy_only=False)
-        own = piece.column("id")
-        for rows, columns in _components(near & core[:, None]):
-            members = pa.concat_arrays([own.take(pa.array(rows)), ids.take(pa.array(columns))])
+    Equal vectors are one point with a weight.  Cells of the partition report sums and spanning edges, never all
+    pairs; the points of a dense leaf are neighbours of each other without a look.
+    """
+    whole = materialize(spark, _vectors(points, id_col, vec_col), "vectors")
+    distinct = whole.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("w"))
+    p = partition(distinct, eps)
+    kind = whole.schema["id"].dataType.simpleString()
+    dense = p.leaves.where("dense").select("leaf")
+
+    def degrees(left: pa.Table, right: pa.Table, near: np.ndarray, same: bool) -> Iterator[pa.RecordBatch]:
+        sides = [(left, near @ right.column("w").to_numpy())]
+        if not same:
+            sides.append((right, near.T @ left.column("w").to_numpy()))
+        for rows, found in sides:
+            yield pa.RecordBatch.from_arrays([rows.column("id").combine_chunks(), pa.array(found, pa.int64())], ["id", "deg"])
+
+    own = p.homes.join(F.broadcast(dense), "leaf")  # leaves of the tree, which its sample bounds
+    own = own.join(F.broadcast(own.groupBy("leaf").agg(F.sum("w").alias("deg"))), "leaf").select("id", "deg")
+    degree = p.compared(degrees, f"id {kind}, deg long", columns=("id", "v", "w")).unionByName(own).groupBy("id").agg(F.sum("deg").alias("deg"))
+    core = materialize(spark, degree.where(F.col("deg") >= min_samples).select("id", F.lit(True).alias("core")), "dbscan-cores")
+    marked = lambda rows: rows.join(core, "id", "left").withColumn("core", F.coalesce("core", F.lit(False)))
+    p = replace(p, homes=materialize(spark, marked(p.homes), "dbscan-homes"), guests=materialize(spark, marked(p.guests), "dbscan-guests"))
+
+    def links(left: pa.Table, right: pa.Table, near: np.ndarray, same: bool) -> Iterator[pa.RecordBatch]:
+        a_ids, b_ids = left.column("id").combine_chunks(), right.column("id").combine_chunks()
+        a_core, b_core = left.column("core").to_numpy(), right.column("core").to_numpy()
+        for rows, columns in _components(near & a_core[:, None] & b_core[None, :]):
+            members = pa.concat_arrays([a_ids.take(pa.array(rows)), b_ids.take(pa.array(columns))])
             first = pa.concat_arrays([members.slice(0, 1)] * len(members))
             yield pa.RecordBatch.from_arrays([first, members, pa.array([True] * len(members))], ["a", "b", "core"])
-        a, b = np.nonzero(near & ~core[:, None])
-        yield pa.RecordBatch.from_arrays([own.take(pa.array(a)), ids.take(pa.array(b)), pa.array([False] * len(a), pa.bool_())], ["a", "b", "core"])
-
-    found = materialize(spark, _against_blocks(marked, cores, eps, links, f"a {kind}, b {kind}, core boolean"), "dbscan-links")
-    edges = found.where("core AND a <> b").select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct()
-    return cores.select("id"), edges, found.where("NOT core").select("a", "b")
+        a, b = np.nonzero(near & ~a_core[:, None] & b_core[None, :])
+        yield pa.RecordBatch.from_arrays([a_ids.take(pa.array(a)), b_ids.take(pa.array(b)), pa.array([False] * len(a), pa.bool_())], ["a", "b", "core"])
+        if not same:
+            a, b = np.nonzero(near & a_core[:, None] & ~b_core[None, :])
+            yield pa.RecordBatch.from_arrays([b_ids.take(pa.array(b)), a_ids.take(pa.array(a)), pa.array([False] * len(a), pa.bool_())], ["a", "b", "core"])
+
+    found = materialize(spark, p.compared(links, f"a {kind}, b {kind}, core boolean", columns=("id", "v", "core")), "dbscan-links")
+    # in a dense leaf all cores, and so all points near a core, go with its smallest core
+    inside = p.homes.join(F.broadcast(dense), "leaf")
+    least = inside.where("core").groupBy("leaf").agg(F.min("id").alias("least"))
+    inside = inside.join(F.broadcast(least), "leaf").select(F.col("id").alias("a"), F.col("least").alias("b"), "core")
+    # equal vectors share the core and the cluster of the one that stands for them
+    copies = whole.join(p.homes.select("v", F.col("id").alias("stands"), "core"), "v").where("id <> stands")
+    copies = copies.select(F.col("id").alias("a"), F.col("stands").alias("b"), "core")
+    found = found.unionByName(inside)
+    cores = core.select("id").unionByName(copies.where("core").select(F.col("a").alias("id")))
+    edges = found.unionByName(copies).where("core AND a <> b").select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct()
+    border = found.where("NOT core").select("a", "b")
+    of_copies = copies.where("NOT core").join(border.select(F.col("a").alias("s"), F.col("b").alias("near")), F.col("b") == F.col("s")).select("a", F.col("near").alias("b"))
+    return cores, edges, border.unionByName(of_copies)
 
 
 def connected_components(spark: SparkSession, vertices: DataFrame, edges: DataFrame, max_rounds: int = 64) -> DataFrame:
@@ -377,7 +396,8 @@ def _dbscan_2d(spark: SparkSession, points: DataFrame, id_col: str, vec_col: str
 def dbscan(spark: SparkSession, points: DataFrame, id_col: str, vec_col: str, eps: float, min_samples: int) -> DataFrame:
     """M9: (id, cluster) with -1 for noise; see the module docstring.  2-D
     inputs use the dense-cell grid (no pairs inside dense regions), longer ones
-    blocks of whole vectors; vectors of differing lengths are never neighbours."""
+    the metric partition (there, points with a null or non-finite component are noise);
+    vectors of differing lengths are never neighbours."""
     dims = points.select(F.min(F.size(vec_col)).alias("lo"), F.max(F.size(vec_col)).alias("hi")).first()
     if dims["lo"] == 2 and dims["hi"] == 2:
         return _dbscan_2d(spark, points, id_col, vec_col, eps, min_samples)

@@ -14,7 +14,6 @@ from zoneflow.sources import files, sinks
 
 SEED = 7
 EPS = 0.015
-WHOLE_EPS = 4.0
 MIN_SAMPLES = 5
 
 _COS_SQL = """
@@ -144,36 +143,85 @@ def dbscan(spark, d):
     return cl.dbscan(spark, _points(spark, d), "vec_id", "xy", EPS, MIN_SAMPLES)
 
 
-def _reduced(spark, d):
-    """The whole vectors, standardized and reduced by PCA to min(50, n - 1, d) components."""
+WHOLE_CTE = """
+WITH RECURSIVE x AS (SELECT vec_id, i, CAST(embedding[i] AS DOUBLE) AS v FROM embeddings, range(1, 65) r(i) WHERE i <= len(embedding)),
+s AS (SELECT i, avg(v) AS mu, CASE WHEN stddev_pop(v) = 0 THEN 1.0 ELSE stddev_pop(v) END AS sd FROM x GROUP BY i),
+pts AS (SELECT vec_id AS id, list((v - mu) / sd ORDER BY i) AS z FROM x JOIN s USING (i) GROUP BY vec_id),
+asked AS (SELECT id, z FROM pts ORDER BY sha256('7:' || CAST(id AS VARCHAR)), id LIMIT 200),
+kth AS (SELECT a.id, list_sort(list(list_distance(a.z, p.z)))[5] AS dist FROM asked a CROSS JOIN pts p GROUP BY a.id),
+radius AS (SELECT round(quantile_disc(dist, 0.1), 2) + 0.005 AS eps FROM kth),
+nb AS (SELECT a.id AS a, b.id AS b, list_distance(a.z, b.z) AS dist FROM pts a CROSS JOIN pts b WHERE list_distance(a.z, b.z) <= (SELECT eps FROM radius)),
+deg AS (SELECT a, count(*) AS d FROM nb GROUP BY a),
+core AS (SELECT a AS id FROM deg WHERE d >= 5),
+ce AS (SELECT nb.a, nb.b FROM nb JOIN core c1 ON c1.id = nb.a JOIN core c2 ON c2.id = nb.b),
+reach(a, b) AS (SELECT a, b FROM ce UNION SELECT r.a, ce.b FROM reach r JOIN ce ON ce.a = r.b),
+comp AS (SELECT a AS id, min(b) AS root FROM reach GROUP BY a),
+lab AS (SELECT root, row_number() OVER (ORDER BY root) - 1 AS cluster FROM (SELECT DISTINCT root FROM comp)),
+core_lab AS (SELECT comp.id, lab.cluster FROM comp JOIN lab ON lab.root = comp.root),
+border AS (SELECT nb.a AS id, min(cl.cluster) AS cluster FROM nb JOIN core_lab cl ON cl.id = nb.b
+           WHERE nb.a NOT IN (SELECT id FROM core) GROUP BY nb.a),
+label AS (SELECT p.id AS vec_id, CAST(coalesce(cl.cluster, b.cluster, -1) AS BIGINT) AS cluster
+          FROM pts p LEFT JOIN core_lab cl ON cl.id = p.id LEFT JOIN border b ON b.id = p.id)
+"""
+
+
+def _scaled(spark, d):
+    """The whole vectors, standardized."""
     emb = table(spark, d, "embeddings").select("vec_id", "embedding")
-    return materialize(spark, cl.reduce_dims(emb, "embedding", 50).select("vec_id", "reduced"), "reduced")
+    return materialize(spark, cl.standardize(emb, "embedding", "z").select("vec_id", "z"), "scaled")
+
 
+def _radius(points, vec_col):
+    """A radius at which a tenth of the points are cores, by the distances to their fifth neighbours."""
+    return cl.k_distance(points, "vec_id", vec_col, MIN_SAMPLES, 0.1, seed=SEED)
 
-@register("eps_neighbours_whole")
+
+@register("eps_neighbours_whole", WHOLE_CTE + "SELECT a, b, round(dist, 6) AS dist FROM nb WHERE a <= b")
 def eps_neighbours_whole(spark, d):
-    """Pairs within eps = 4.0 on the reduced whole vectors (a <= b: each point is
-    its own neighbour, as in DBSCAN; PCA has no SQL form)."""
-    return cl.near_pairs(_reduced(spark, d), "vec_id", "reduced", WHOLE_EPS).select("a", "b", F.round("dist", 9).alias("dist"))
+    """Pairs within the k-distance radius on the standardized whole vectors (a <= b: each
+    point is its own neighbour, as in DBSCAN)."""
+    points = _scaled(spark, d)
+    return cl.near_pairs(points, "vec_id", "z", _radius(points, "z")).select("a", "b", F.round("dist", 6).alias("dist"))
 
 
-@register("dbscan_whole")
+@register("dbscan_whole", WHOLE_CTE + "SELECT vec_id, cluster FROM label")
 def dbscan_whole(spark, d):
-    """M9 + A14: DBSCAN(eps=4.0, min_samples=5) on the reduced whole vectors."""
-    return cl.dbscan(spark, _reduced(spark, d), "vec_id", "reduced", WHOLE_EPS, MIN_SAMPLES)
+    """M9 + A14: DBSCAN(min_samples=5) on the standardized whole vectors, eps from their k-distances."""
+    points = _scaled(spark, d)
+    return cl.dbscan(spark, points, "vec_id", "z", _radius(points, "z"), MIN_SAMPLES)
 
 
-@register("cluster_distribution_whole")
+@register("cluster_distribution_whole", WHOLE_CTE + "SELECT cluster, count(*) AS n_points FROM label GROUP BY cluster")
 def cluster_distribution_whole(spark, d):
-    """Points per cluster (noise = -1) of the run on the reduced whole vectors."""
+    """Points per cluster (noise = -1) of the run on the whole vectors."""
     return dbscan_whole(spark, d).groupBy("cluster").agg(F.count(F.lit(1)).alias("n_points"))
 
 
+@register(
+    "cluster_run",
+    WHOLE_CTE
+    + """SELECT (SELECT eps FROM radius) AS eps, 5 AS min_samples, 0 AS max_users, count(*) AS total_users_available, count(*) AS users_processed, 'random' AS sampling_method,
+       count(DISTINCT cluster) FILTER (WHERE cluster >= 0) AS n_clusters, count(*) FILTER (WHERE cluster < 0) AS n_noise FROM label""",
+)
+def cluster_run(spark, d):
+    """The parameters of a clustering run over all users (cap 0: none), and what came out."""
+    users = table(spark, d, "embeddings").select("vec_id", "embedding")
+    capped = sample_cap(users, "vec_id", 0, "random", SEED)
+    points = materialize(spark, cl.standardize(capped, "embedding", "z").select("vec_id", "z"), "scaled")
+    eps = _radius(points, "z")
+    labels = cl.dbscan(spark, points, "vec_id", "z", eps, MIN_SAMPLES)
+    found = labels.agg(F.countDistinct(F.when(F.col("cluster") >= 0, F.col("cluster"))).alias("n_clusters"), F.count_if(F.col("cluster") < 0).alias("n_noise"))
+    run = cl.run_parameters(spark, eps, MIN_SAMPLES, 0, users.count(), points.count(), "random")
+    return run.crossJoin(found)  # one row each
+
+
 @register("cluster_report")
 def cluster_report(spark, d):
-    """M11 + A17: cluster assignment on the reduced whole vectors, 2-D PCA coordinates and cluster size per point."""
-    reduced = _reduced(spark, d)
-    labels = cl.dbscan(spark, reduced, "vec_id", "reduced", WHOLE_EPS, MIN_SAMPLES)
+    """M8-M11 + A17: users -> standardized -> PCA to min(50, n - 1, d) -> DBSCAN at their k-distance radius
+    -> one row a point with 2-D PCA coordinates and cluster size (PCA has no SQL form)."""
+    emb = table(spark, d, "embeddings").select("vec_id", "embedding")
+    reduced = materialize(spark, cl.reduce_dims(emb, "embedding", 50).select("vec_id", "reduced"), "reduced")
+    labels = cl.dbscan(spark, reduced, "vec_id", "reduced", _radius(reduced, "reduced"), MIN_SAMPLES)
     coords = cl.pca(reduced, "reduced", 2, "xy").select("vec_id", F.col("xy")[0].alias("x"), F.col("xy")[1].alias("y"))
     return cl.cluster_report(labels, coords, "vec_id")
 
