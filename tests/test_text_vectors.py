@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from zoneflow.functions import stopwords
@@ -113,18 +114,28 @@ def test_whole_vector_clustering_vs_brute_force(spark, tmp_path):
     x = x[rng.permutation(len(x))]
     x[100:108] = x[100]
     spark.createDataFrame([(i, [float(a) for a in v], 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    d = str(tmp_path)
     z = (x - x.mean(0)) / x.std(0)
     pts = z @ np.linalg.svd(z, full_matrices=False)[2][:50].T
-    expect = brute_dbscan(pts, 4.0, 5)
-    assert expect.max() >= 2 and (expect == -1).any()
-    d = str(tmp_path)
-    assert {r.vec_id: r.cluster for r in vp.dbscan_whole(spark, d).collect()} == dict(enumerate(expect))
-    assert {r.vec_id: (r.cluster, r.cluster_size) for r in vp.cluster_report(spark, d).collect()} == {i: (c, (expect == c).sum()) for i, c in enumerate(expect)}
-    assert {r.cluster: r.n_points for r in vp.cluster_distribution_whole(spark, d).collect()} == Counter(expect.tolist())
-    dist = np.sqrt(((pts[:, None] - pts[None]) ** 2).sum(-1))
-    pairs = {(r.a, r.b): r.dist for r in vp.eps_neighbours_whole(spark, d).collect()}
-    assert set(pairs) == {(a, b) for a, b in np.argwhere(dist <= 4.0).tolist() if a <= b}
-    assert all(abs(dist[k] - v) < 1e-6 for k, v in pairs.items())
+    for points, column, frame in ((z, "z", vp._scaled(spark, d)), (pts, "reduced", None)):
+        dist = np.sqrt(((points[:, None] - points[None]) ** 2).sum(-1))
+        radius = lambda q, dist=dist: round(np.sort(np.sort(dist, 1)[:, 4])[int(np.ceil(q * 150)) - 1], 2) + 0.005
+        eps = radius(0.1)
+        expect = brute_dbscan(points, eps, 5)
+        assert (expect == -1).any() and expect.max() >= 0
+        if frame is None:
+            assert {r.vec_id: (r.cluster, r.cluster_size) for r in vp.cluster_report(spark, d).collect()} == {i: (c, (expect == c).sum()) for i, c in enumerate(expect)}
+            continue
+        assert {r.vec_id: r.cluster for r in vp.dbscan_whole(spark, d).collect()} == dict(enumerate(expect))
+        assert {r.cluster: r.n_points for r in vp.cluster_distribution_whole(spark, d).collect()} == Counter(expect.tolist())
+        wide = radius(0.5)  # half of the points are cores
+        assert cl.k_distance(frame, "vec_id", column, 5, 0.5) == pytest.approx(wide)
+        pairs = {(r.a, r.b): r.dist for r in cl.near_pairs(frame, "vec_id", column, wide).collect()}
+        assert set(pairs) == {(a, b) for a, b in np.argwhere(dist <= wide).tolist() if a <= b}
+        assert all(abs(dist[k] - v) < 1e-9 for k, v in pairs.items())
+        expect = brute_dbscan(points, wide, 5)
+        assert expect.max() >= 2
+        assert {r.vec_id: r.cluster for r in cl.dbscan(spark, frame, "vec_id", column, wide, 5).collect()} == dict(enumerate(expect))
 
 
 def test_eps_pairs_vs_brute_force(spark):
@@ -234,7 +245,7 @@ def test_search_in_query_blocks_and_zero_vectors(spark):
     index = spark.createDataFrame(vecs, "id long, embedding array<float>")
     queries = index.select(F.col("id").alias("query_id"), F.col("embedding").alias("query_vec"))
     whole = sorted(map(str, vx.search(index, queries, k=4, exclude_self=True).collect()))
-    assert whole == sorted(map(str, vx.search(index, queries, k=4, exclude_self=True, max_queries=7).collect()))
+    assert whole == sorted(map(str, vx.search(index, queries, k=4, exclude_self=True, block_bytes=7 * 24).collect()))
     last = [r for r in vx.search(index, queries.where("query_id = 1"), k=31).collect() if r.id == 30]
     assert last[0].score is None and last[0]["rank"] == 31
     assert vx.search(index, queries.limit(0), k=4).count() == 0

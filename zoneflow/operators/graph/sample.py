@@ -7,9 +7,13 @@ integer, so the same draw is reproducible in any engine that has sha256.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from zoneflow.session import materialize
+
 
 def h32(*parts) -> Column:
     """Keyed 32-bit hash of ':'-joined parts."""
@@ -17,27 +21,25 @@ def h32(*parts) -> Column:
     return F.conv(F.substring(F.sha2(s, 256), 1, 8), 16, 10).cast("bigint")
 
 
-def dense_index(spark: SparkSession, df: DataFrame, order_col: str, idx_col: str = "idx") -> DataFrame:
-    """0-based dense index of the distinct values of ``order_col`` in sort
-    order, computed JVM-side and distributed: range-partition + sort within
-    partitions, number rows inside each partition, and add the partition's
-    offset (a running sum over the per-partition counts - one row per
-    partition, broadcast back).  No single-partition window, no Python.
-    The numbered table is written once so the ids are stable on recompute."""
-    from zoneflow.session import materialize
-
-    n_parts = max(1, spark.sparkContext.defaultParallelism)
-    ranged = df.select(order_col).distinct().repartitionByRange(n_parts, order_col).sortWithinPartitions(order_col)
-    tagged = materialize(
-        spark,
-        ranged.select(order_col, F.spark_partition_id().alias("__pid"), F.monotonically_increasing_id().alias("__mono")),
-        "dense-index",
-    )
+def positions(spark: SparkSession, df: DataFrame, order_cols: list, name: str = "pos") -> DataFrame:
+    """``df`` with each row's place in the order of ``order_cols`` (0, 1, ..., over all rows).
+
+    Range partitions are sorted and numbered on their own, and a partition's
+    offset is a running sum over one row a partition: no window holds all rows,
+    and no key needs to fit a task.  The numbered table is written once, so the
+    numbers are stable on recompute."""
+    ranged = df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
+    tagged = materialize(spark, ranged.withColumns({"__pid": F.spark_partition_id(), "__mono": F.monotonically_increasing_id()}), "positions")
     counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
-    pos = F.col("__mono") - F.shiftleft(F.col("__pid").cast("bigint"), 33)
-    return tagged.join(F.broadcast(offsets), "__pid").select(order_col, (F.col("__off") + pos).cast("bigint").alias(idx_col))
+    pos = F.col("__off") + F.col("__mono") - F.shiftleft(F.col("__pid").cast("bigint"), 33)
+    return tagged.join(offsets, "__pid").withColumn(name, pos.cast("bigint")).drop("__pid", "__mono", "__off")
+
+
+def dense_index(spark: SparkSession, df: DataFrame, order_col: str, idx_col: str = "idx") -> DataFrame:
+    """0-based dense index of the distinct values of ``order_col`` in sort order."""
+    return positions(spark, df.select(order_col).distinct(), [order_col], idx_col).select(order_col, idx_col)
 
 
 def sample_cap(df: DataFrame, key_col: str, n: int, method: str = "random", seed: int = 0) -> DataFrame:
@@ -85,36 +87,91 @@ def sample_k_per_key(
     return drawn.join(idx, "idx").select(key_col, item_col)
 
 
-def split_with_negatives(
-    spark: SparkSession, triples: DataFrame, test_per_mille: int = 100, seed: int = 0
-) -> DataFrame:
-    """train/test split of IRI triples plus one corrupted tail per triple.
+def _indexed(spark: SparkSession, triples: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(entity, idx), (predicate, pidx) and the distinct IRI triples as numbers (s, p, o)."""
+    t = triples.where(F.col("object_kind") == "iri").select("subject", "predicate", "object").distinct()
+    t = materialize(spark, t, "iri-triples")
+    entities = materialize(spark, dense_index(spark, t.select(F.col("subject").alias("entity")).unionByName(t.select(F.col("object").alias("entity"))), "entity"), "entities")
+    predicates = materialize(spark, dense_index(spark, t, "predicate", "p"), "predicates")
+    numbered = t.join(entities.select(F.col("entity").alias("subject"), F.col("idx").alias("s")), "subject")
+    numbered = numbered.join(entities.select(F.col("entity").alias("object"), F.col("idx").alias("o")), "object").join(predicates, "predicate")
+    return entities, predicates, materialize(spark, numbered.select("s", "p", "o", h32_of("subject", "predicate", "object")), "numbered-triples")
+
+
+def h32_of(*cols: str) -> Column:
+    """The columns' texts, joined: what a triple's draws are keyed by."""
+    return F.concat_ws(":", *cols).alias("text")
+
+
+def negatives(spark: SparkSession, triples: DataFrame, known: DataFrame, n_entities: int, seed: int = 0, rounds: int = 6) -> DataFrame:
+    """One corrupted triple for each (s, p, o) of ``triples``: columns ns and no, of which one is replaced.
+
+    Bernoulli corruption: a head is replaced with the odds of the predicate's
+    distinct tails to its distinct heads, so that a predicate with many heads
+    for a tail has its head replaced less often.  A replacement is drawn from
+    all entities and drawn again, by an anti-join with the known triples, until
+    it is not known; what ``rounds`` draws leave open (almost all entities are
+    known there) draws among the entities that are not, by counting in their
+    order.  Null only if every entity makes a known triple."""
+    heads = known.select("p", "s").distinct().groupBy("p").agg(F.count("*").alias("ds"))
+    tails = known.select("p", "o").distinct().groupBy("p").agg(F.count("*").alias("do"))
+    key = lambda what: h32(seed, what, F.col("s").cast("string"), F.col("p").cast("string"), F.col("o").cast("string"))
+    rest = triples.join(heads.join(tails, "p"), "p").withColumn("head", F.pmod(key("side"), F.col("ds") + F.col("do")) < F.col("do"))
+    rest = materialize(spark, rest.select("s", "p", "o", "head"), "neg-rest")
+    have = known.select(F.col("s").alias("ns"), "p", F.col("o").alias("no"), F.lit(True).alias("known"))
+    done = []
+    put = lambda df, neg: df.withColumns({"ns": F.when(F.col("head"), neg).otherwise(F.col("s")), "no": F.when(F.col("head"), F.col("o")).otherwise(neg)})
+    for r in range(rounds):
+        drawn = put(rest, F.pmod(key(f"neg{r}"), F.lit(n_entities)))
+        drawn = materialize(spark, drawn.join(have, ["ns", "p", "no"], "left"), "neg-drawn")
+        done.append(drawn.where("known IS NULL").select("s", "p", "o", "ns", "no"))
+        rest = drawn.where("known").select("s", "p", "o", "head")
+        if rest.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+    return reduce(DataFrame.unionByName, [*done, _unknown_ones(spark, materialize(spark, rest, "neg-rest"), known, n_entities, key("last"), put)])
+
+
+def _unknown_ones(spark: SparkSession, rest: DataFrame, known: DataFrame, n_entities: int, draw: Column, put) -> DataFrame:
+    """A draw among the entities that make no known triple: the j-th missing number of each anchor's known ones.
+
+    If an anchor's known numbers are k_0 < k_1 < ..., then k_i - i are missing
+    before k_i, so the j-th missing one is j + the count of k_i - i <= j.  The
+    counts are places in one order, whatever the size of an anchor."""
+    anchor = ["head", "p", "a"]
+    rest = rest.withColumn("a", F.when(F.col("head"), F.col("o")).otherwise(F.col("s")))
+    sides = known.select(F.lit(True).alias("head"), "p", F.col("o").alias("a"), F.col("s").alias("k")).unionByName(known.select(F.lit(False).alias("head"), "p", F.col("s").alias("a"), F.col("o").alias("k")))
+    sides = positions(spark, sides.join(rest.select(*anchor).distinct(), anchor, "left_semi").distinct(), [*anchor, "k"])
+    totals = sides.groupBy(*anchor).agg(F.min("pos").alias("start"), F.count("*").alias("m"))
+    gaps = sides.join(totals, anchor).select(*anchor, (F.col("k") - (F.col("pos") - F.col("start"))).alias("value"), F.lit(0).alias("asks"))
+    asked = rest.join(totals.select(*anchor, "m"), anchor).withColumn("value", F.pmod(draw, F.greatest(F.lit(n_entities) - F.col("m"), F.lit(1))))
+    asked = materialize(spark, asked, "neg-asked")
+    open_ = positions(spark, asked.where(F.col("m") < n_entities).withColumn("asks", F.lit(1)), [*anchor, "value", "s", "o"], "own")
+    both = gaps.withColumns({c: F.lit(None).cast("bigint") for c in ("s", "o", "own")}).unionByName(open_.select(*anchor, "value", "asks", "s", "o", "own"))
+    both = positions(spark, both, [*anchor, "value", "asks", "s", "o"])
+    starts = both.groupBy(*anchor).agg(F.min("pos").alias("start"), F.min("own").alias("own_start"))
+    found = both.where("asks = 1").join(starts, anchor)
+    before = (F.col("pos") - F.col("start")) - (F.col("own") - F.col("own_start"))
+    found = put(found, F.col("value") + before)
+    none = asked.where(F.col("m") >= n_entities).withColumns({"ns": F.lit(None).cast("bigint"), "no": F.lit(None).cast("bigint")})
+    return found.select("s", "p", "o", "ns", "no").unionByName(none.select("s", "p", "o", "ns", "no"))
+
+
+def split_with_negatives(spark: SparkSession, triples: DataFrame, test_per_mille: int = 100, seed: int = 0) -> DataFrame:
+    """train/test split of IRI triples and one corrupted triple for each.
 
     A triple goes to test when its hash falls in the test share, unless it
     is the minimum-hash triple of its subject or of its object: every entity
-    keeps at least one training triple.  The negative tail is the entity at
-    index h mod n; it is dropped (null) when (s, p, neg) is a known triple.
-    """
-    from zoneflow.session import materialize
-
-    t = triples.where(F.col("object_kind") == "iri").select("subject", "predicate", "object").distinct()
-    t = materialize(spark, t.withColumn("h", h32(seed, F.col("subject"), F.col("predicate"), F.col("object"))), "split-triples")
-    min_s = t.groupBy("subject").agg(F.min("h").alias("min_s"))
-    min_o = t.groupBy("object").agg(F.min("h").alias("min_o"))
+    keeps at least one training triple.  Entities and predicates are numbered
+    once and joined as numbers; see ``negatives`` for (neg_subject, neg_object),
+    which are null only where every entity makes a known triple."""
+    entities, predicates, t = _indexed(spark, triples)
+    t = materialize(spark, t.select("s", "p", "o", h32(seed, F.col("text")).alias("h")), "split-triples")
+    min_s = t.groupBy("s").agg(F.min("h").alias("min_s"))
+    min_o = t.groupBy("o").agg(F.min("h").alias("min_o"))
     is_test = (F.pmod(F.col("h"), F.lit(1000)) < test_per_mille) & (F.col("h") != F.col("min_s")) & (F.col("h") != F.col("min_o"))
-    split = t.join(min_s, "subject").join(min_o, "object").withColumn(
-        "split", F.when(is_test, F.lit("test")).otherwise(F.lit("train"))
-    )
-    entities = t.select(F.col("subject").alias("entity")).unionByName(t.select(F.col("object").alias("entity")))
-    idx = dense_index(spark, entities, "entity")
-    n = idx.count()
-    split = split.withColumn("neg_idx", F.pmod(h32(seed, "neg", F.col("subject"), F.col("predicate"), F.col("object")), F.lit(n)))
-    cand = split.join(idx.withColumnRenamed("idx", "neg_idx").withColumnRenamed("entity", "neg_object"), "neg_idx")
-    known = t.select(F.col("subject").alias("ks"), F.col("predicate").alias("kp"), F.col("object").alias("ko"))
-    cand = cand.join(
-        known,
-        (cand.subject == known.ks) & (cand.predicate == known.kp) & (cand.neg_object == known.ko),
-        "left",
-    )
-    neg = F.when(F.col("ks").isNull(), F.col("neg_object"))
-    return cand.select("subject", "predicate", "object", "split", neg.alias("neg_object"))
+    split = t.join(min_s, "s").join(min_o, "o").select("s", "p", "o", F.when(is_test, F.lit("test")).otherwise(F.lit("train")).alias("split"))
+    drawn = negatives(spark, t.select("s", "p", "o"), t.select("s", "p", "o"), entities.count(), seed)
+    out = split.join(drawn, ["s", "p", "o"]).join(predicates, "p")
+    for column, number in (("subject", "s"), ("object", "o"), ("neg_subject", "ns"), ("neg_object", "no")):
+        out = out.join(entities.select(F.col("entity").alias(column), F.col("idx").alias(number)), number, "left")
+    return out.select("subject", "predicate", "object", "split", "neg_subject", "neg_object")

@@ -357,6 +357,32 @@ def sample_cap(spark, d):
     return sample.sample_cap(emb, "vec_id", 100, "random", SEED)
 
 
+NEG_ROUNDS = 6
+
+
+def _draw(what: str, row: str) -> str:
+    return f"('0x' || substr(sha256('7:{what}:' || {row}.s || ':' || {row}.p || ':' || {row}.o), 1, 8))::BIGINT"
+
+
+def _rounds_sql() -> str:
+    """Each round's draws, and those that made a known triple; then a draw among the entities that make none."""
+    steps = "".join(
+        f""",
+d{r} AS (SELECT c.s, c.p, c.o, c.head, CASE WHEN c.head THEN {_draw(f"neg{r}", "c")} % n.n ELSE c.s END AS ns, CASE WHEN c.head THEN c.o ELSE {_draw(f"neg{r}", "c")} % n.n END AS no FROM c{r} c CROSS JOIN n),
+c{r + 1} AS (SELECT s, p, o, head FROM d{r} d WHERE EXISTS (SELECT 1 FROM tb k WHERE k.s = d.ns AND k.p = d.p AND k.o = d.no))"""
+        for r in range(NEG_ROUNDS)
+    )
+    done = " UNION ALL ".join(f"SELECT s, p, o, ns, no FROM d{r} d WHERE NOT EXISTS (SELECT 1 FROM tb k WHERE k.s = d.ns AND k.p = d.p AND k.o = d.no)" for r in range(NEG_ROUNDS))
+    return f"""{steps},
+free AS (SELECT c.s, c.p, c.o, c.head, e.idx, row_number() OVER w - 1 AS j, count(*) OVER (PARTITION BY c.s, c.p, c.o) AS free
+         FROM c{NEG_ROUNDS} c CROSS JOIN ent e
+         WHERE NOT EXISTS (SELECT 1 FROM tb k WHERE k.p = c.p AND k.s = CASE WHEN c.head THEN e.idx ELSE c.s END AND k.o = CASE WHEN c.head THEN c.o ELSE e.idx END)
+         WINDOW w AS (PARTITION BY c.s, c.p, c.o ORDER BY e.idx)),
+last AS (SELECT c.s, c.p, c.o, CASE WHEN f.idx IS NOT NULL THEN CASE WHEN c.head THEN f.idx ELSE c.s END END AS ns, CASE WHEN f.idx IS NOT NULL THEN CASE WHEN c.head THEN c.o ELSE f.idx END END AS no
+         FROM c{NEG_ROUNDS} c LEFT JOIN free f ON f.s = c.s AND f.p = c.p AND f.o = c.o AND f.j = {_draw("last", "f")} % f.free),
+drawn AS ({done} UNION ALL SELECT * FROM last)"""
+
+
 @register(
     "triple_split_negatives",
     _sql(
@@ -364,25 +390,80 @@ def sample_cap(spark, d):
         + ABOX_CTE
         + """,
 t AS (SELECT DISTINCT subject, predicate, object FROM abox WHERE object_kind = 'iri'),
-th AS (SELECT *, ('0x' || substr(sha256('7:' || subject || ':' || predicate || ':' || object), 1, 8))::BIGINT AS h FROM t),
-ms AS (SELECT subject, min(h) AS min_s FROM th GROUP BY subject),
-mo AS (SELECT object, min(h) AS min_o FROM th GROUP BY object),
-sp AS (SELECT th.subject, th.predicate, th.object, th.h,
-              CASE WHEN h % 1000 < 100 AND h <> min_s AND h <> min_o THEN 'test' ELSE 'train' END AS split
-       FROM th JOIN ms ON ms.subject = th.subject JOIN mo ON mo.object = th.object),
 ent AS (SELECT entity, row_number() OVER (ORDER BY entity) - 1 AS idx FROM (SELECT subject AS entity FROM t UNION SELECT object FROM t)),
+pre AS (SELECT predicate, row_number() OVER (ORDER BY predicate) - 1 AS p FROM (SELECT DISTINCT predicate FROM t)),
 n AS (SELECT count(*) AS n FROM ent),
-cand AS (SELECT sp.*, e.entity AS neg FROM sp CROSS JOIN n
-         JOIN ent e ON e.idx = ('0x' || substr(sha256('7:neg:' || sp.subject || ':' || sp.predicate || ':' || sp.object), 1, 8))::BIGINT % n.n)
-SELECT c.subject, c.predicate, c.object, c.split, CASE WHEN k.subject IS NULL THEN c.neg END AS neg_object
-FROM cand c LEFT JOIN t k ON k.subject = c.subject AND k.predicate = c.predicate AND k.object = c.neg
+tb AS (SELECT es.idx AS s, pre.p, eo.idx AS o, t.*, ('0x' || substr(sha256('7:' || subject || ':' || predicate || ':' || object), 1, 8))::BIGINT AS h
+       FROM t JOIN ent es ON es.entity = t.subject JOIN ent eo ON eo.entity = t.object JOIN pre USING (predicate)),
+ms AS (SELECT s, min(h) AS min_s FROM tb GROUP BY s),
+mo AS (SELECT o, min(h) AS min_o FROM tb GROUP BY o),
+stat AS (SELECT p, count(DISTINCT s) AS ds, count(DISTINCT o) AS dob FROM tb GROUP BY p),
+c0 AS (SELECT c.s, c.p, c.o, """
+        + _draw("side", "c")
+        + """ % (ds + dob) < dob AS head FROM tb c JOIN stat USING (p))"""
+        + _rounds_sql()
+        + """
+SELECT tb.subject, tb.predicate, tb.object, CASE WHEN h % 1000 < 100 AND h <> min_s AND h <> min_o THEN 'test' ELSE 'train' END AS split, es.entity AS neg_subject, eo.entity AS neg_object
+FROM tb JOIN ms USING (s) JOIN mo USING (o) JOIN drawn d ON d.s = tb.s AND d.p = tb.p AND d.o = tb.o LEFT JOIN ent es ON es.idx = d.ns LEFT JOIN ent eo ON eo.idx = d.no
 """
     ),
 )
 def triple_split_negatives(spark, d):
+    """Hash split, and a corrupted head or tail for every triple that makes no known one."""
     return sample.split_with_negatives(spark, kg_triples(spark, d), 100, SEED)
 
 
+RANK_CTE = """
+WITH e AS (SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+known AS (SELECT a.id AS h, a.label AS r, a.id + j AS t, j FROM e a, range(1, 4) x(j) WHERE EXISTS (SELECT 1 FROM e b WHERE b.id = a.id + j)),
+asked AS (
+  SELECT k.h, k.r, k.t, 'tail' AS side, list_transform(a.v, lambda x: x + 0.01 * (k.r + 1)) AS q, k.t AS truth FROM known k JOIN e a ON a.id = k.h WHERE k.j = 1
+  UNION ALL SELECT k.h, k.r, k.t, 'head', list_transform(b.v, lambda x: x - 0.01 * (k.r + 1)), k.h FROM known k JOIN e b ON b.id = k.t WHERE k.j = 1
+), own AS (SELECT a.*, list_distance(a.q, e.v) AS own FROM asked a JOIN e ON e.id = a.truth),
+met AS (
+  SELECT o.h, o.r, o.t, o.side, o.own, list_distance(o.q, e.v) AS other FROM own o JOIN e ON e.id <> o.truth
+  WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.r = o.r AND k.h = CASE WHEN o.side = 'tail' THEN o.h ELSE e.id END AND k.t = CASE WHEN o.side = 'tail' THEN e.id ELSE o.t END)
+), ranks AS (
+  SELECT h AS head, 'rel_' || CAST(r AS VARCHAR) AS relation, t AS tail, side, 1 + count(*) FILTER (WHERE other < own) AS optimistic, 1 + count(*) FILTER (WHERE other <= own) AS pessimistic
+  FROM met GROUP BY ALL
+)
+"""
+
+
+def _ranks(spark, d):
+    """Successors up to three places on are known tails; the next one is asked for."""
+    emb = table(spark, d, "embeddings")
+    entities = emb.select(F.col("vec_id").alias("id"), "embedding")
+    known = emb.select(F.col("vec_id").alias("head"), F.concat(F.lit("rel_"), F.col("label").cast("string")).alias("relation"), F.explode(F.array(*(F.col("vec_id") + j for j in (1, 2, 3)))).alias("tail"))
+    return score.link_ranking(known.where("tail = head + 1"), known, entities, _relations(emb))
+
+
+def _relations(emb):
+    """A relation for each label, with a fixed vector: 0.01 * (label + 1) in every dimension."""
+    dims = emb.groupBy("label").agg(F.max(F.size("embedding")).alias("dim"))
+    return dims.select(F.concat(F.lit("rel_"), F.col("label").cast("string")).alias("id"), F.array_repeat(F.lit(0.01) * (F.col("label") + 1), F.col("dim")).alias("embedding"))
+
+
+@register("link_ranking", RANK_CTE + "SELECT *, (optimistic + pessimistic) / 2.0 AS realistic FROM ranks")
+def link_ranking(spark, d):
+    """Filtered head and tail ranks among all entities."""
+    return _ranks(spark, d)
+
+
+@register(
+    "link_metrics",
+    RANK_CTE
+    + """, sided AS (SELECT unnest([side, 'both']) AS side, (optimistic + pessimistic) / 2.0 AS rank FROM ranks)
+SELECT side, count(*) AS n, round(avg(rank), 6) AS mean_rank, round(avg(1.0 / rank), 6) AS mrr, round(avg(CASE WHEN rank <= 1 THEN 1.0 ELSE 0.0 END), 6) AS hits_at_1,
+       round(avg(CASE WHEN rank <= 3 THEN 1.0 ELSE 0.0 END), 6) AS hits_at_3, round(avg(CASE WHEN rank <= 10 THEN 1.0 ELSE 0.0 END), 6) AS hits_at_10
+FROM sided GROUP BY side""",
+)
+def link_metrics(spark, d):
+    """Mean rank, MRR and hits@k of the filtered ranks, for each side and both."""
+    out = score.ranking_metrics(_ranks(spark, d))
+    return out.select("side", "n", *(F.round(c, 6).alias(c) for c in ("mean_rank", "mrr", "hits_at_1", "hits_at_3", "hits_at_10")))
+
+
 @register(
     "transe_score",
     """
@@ -402,10 +483,6 @@ def transe_score(spark, d):
         F.concat(F.lit("rel_"), F.col("label").cast("string")).alias("relation"),
         (F.col("vec_id") + 1).alias("tail"),
     )
-    relations = emb.groupBy("label").agg(F.max(F.size("embedding")).alias("dim")).select(
-        F.concat(F.lit("rel_"), F.col("label").cast("string")).alias("id"),
-        F.array_repeat(F.lit(0.01) * (F.col("label") + 1), F.col("dim")).alias("embedding"),
-    )
     entities = emb.select(F.col("vec_id").alias("id"), "embedding")
-    scored = score.transe_score(triples, entities, relations, id_col="id")
+    scored = score.transe_score(triples, entities, _relations(emb), id_col="id")
     return scored.select("head", "relation", "tail", F.round("score", 6).alias("score"))

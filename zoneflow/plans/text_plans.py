@@ -8,11 +8,9 @@ from pyspark.sql import functions as F
 from zoneflow.functions import stopwords, text
 from zoneflow.operators import text as tx
 from zoneflow.operators import vectors as vx
-from zoneflow.operators.graph.sample import sample_cap
 from zoneflow.plans.registry import register, table
 from zoneflow.session import spread
 
-SEED = 7
 TOP_N = 15
 
 _NORM_SQL = (
@@ -102,7 +100,7 @@ PROMPT_PARTS = ("Read this passage: \"", "\"\nAsk one question a curious reader
 @register(
     "interest_prompts",
     """
-WITH q AS (SELECT vec_id AS interest_id, embedding AS qv FROM embeddings ORDER BY sha256('7:' || CAST(vec_id AS VARCHAR)), vec_id LIMIT 20),
+WITH q AS (SELECT vec_id AS interest_id, embedding AS qv FROM embeddings WHERE vec_id % 50 = 0),
 idx AS (SELECT e.vec_id, e.embedding, d.text FROM embeddings e JOIN documents d ON d.doc_id = e.vec_id),
 scored AS (
   SELECT q.interest_id, idx.vec_id, idx.text,
@@ -116,15 +114,13 @@ FROM scored QUALIFY row_number() OVER (PARTITION BY interest_id ORDER BY score D
 """,
 )
 def interest_prompts(spark, d):
-    """20 sampled interests -> best other hit (k = 1) among the
-    vectors that have a document -> prompt around the hit's full text."""
+    """Every interest whose id is divisible by 50 -> best other hit (k = 1)
+    among the vectors that have a document -> prompt around the hit's full text."""
     emb = table(spark, d, "embeddings")
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("vec_id"), "text")
     index = emb.join(docs, "vec_id")
-    interests = sample_cap(emb.select("vec_id", "embedding"), "vec_id", 20, "random", SEED).select(
-        F.col("vec_id").alias("interest_id"), F.col("embedding").alias("query_vec")
-    )
-    hits = vx.search(index, interests, k=1, id_col="vec_id", query_id_col="interest_id", exclude_self=True, max_queries=20)
+    interests = emb.where(F.col("vec_id") % 50 == 0).select(F.col("vec_id").alias("interest_id"), F.col("embedding").alias("query_vec"))
+    hits = vx.search(index.select("vec_id", "embedding"), interests, k=1, id_col="vec_id", query_id_col="interest_id", exclude_self=True)
     with_text = hits.join(docs, "vec_id")
     return with_text.select(
         "interest_id",

@@ -26,7 +26,7 @@ round(list_sum(list_transform(range(1, len(q.qv) + 1), lambda i: CAST(q.qv[i] AS
 @register(
     "vector_search",
     """
-WITH q AS (SELECT vec_id AS query_id, embedding AS qv FROM embeddings ORDER BY sha256('7:' || CAST(vec_id AS VARCHAR)), vec_id LIMIT 20),
+WITH q AS (SELECT vec_id AS query_id, embedding AS qv FROM embeddings WHERE vec_id % 50 = 0),
 scored AS (SELECT q.query_id, e.vec_id, """
     + _COS_SQL
     + """ AS score FROM embeddings e CROSS JOIN q)
@@ -35,10 +35,27 @@ SELECT query_id, vec_id, score, rank FROM (
 """,
 )
 def vector_search(spark, d):
-    """Top-10 cosine hits over the whole index for 20 sampled query vectors."""
+    """Top-10 cosine hits over the whole index for every vector whose id is divisible by 50."""
     emb = table(spark, d, "embeddings").select("vec_id", "embedding")
-    queries = sample_cap(emb, "vec_id", 20, "random", SEED).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vec"))
-    return vx.search(emb, queries, k=10, id_col="vec_id", max_queries=20)
+    queries = emb.where(F.col("vec_id") % 50 == 0).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vec"))
+    return vx.search(emb, queries, k=10, id_col="vec_id")
+
+
+@register(
+    "vector_upsert",
+    """
+SELECT vec_id, label, round(sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))) * CASE WHEN vec_id % 3 = 0 THEN 2 ELSE 1 END, 6) AS l2,
+       CASE WHEN vec_id % 3 = 0 THEN 'new' ELSE 'old' END AS origin
+FROM embeddings WHERE label < 8 OR vec_id % 3 = 0
+""",
+)
+def vector_upsert(spark, d):
+    """M4: the vectors of labels below 8 are the index; every third vector of the table, doubled, is upserted by id."""
+    emb = table(spark, d, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("embedding"))
+    index = emb.where("label < 8").withColumn("origin", F.lit("old"))
+    records = emb.where("vec_id % 3 = 0").withColumn("embedding", F.transform("embedding", lambda x: 2 * x)).withColumn("origin", F.lit("new"))
+    out = vx.upsert_vectors(index, records, "vec_id")
+    return out.select("vec_id", "label", F.round(vx.norm("embedding"), 6).alias("l2"), "origin")
 
 
 CLASS_BY_LABEL = {0: "User", 1: "Movie", 2: "Team"}
