@@ -7,6 +7,8 @@ dir) and returns the resulting snapshot as a DataFrame.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from zoneflow.operators import merge as mg
@@ -14,7 +16,7 @@ from zoneflow.plans.registry import register, table
 from zoneflow.session import scratch_path
 from zoneflow.sources import sinks
 from zoneflow.sources.store import VersionedTable
-from zoneflow.streaming.incremental import ControlTable, IncrementalLoader, stream_merge
+from zoneflow.streaming import arrivals
 
 ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
@@ -90,7 +92,7 @@ def merge_high_water(spark, d):
 @register(
     "merge_replace",
     """
-WITH t AS (SELECT * FROM customer WHERE c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE')),
+WITH t AS (SELECT * FROM customer WHERE c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'MACHINERY')),
      s AS (SELECT c_custkey, c_name, c_nationkey, c_acctbal - 100.0 AS c_acctbal, c_mktsegment
            FROM customer WHERE c_mktsegment IN ('FURNITURE', 'HOUSEHOLD'))
 SELECT * FROM t WHERE c_custkey NOT IN (SELECT c_custkey FROM s)
@@ -100,7 +102,7 @@ UNION ALL SELECT * FROM s
 def merge_replace(spark, d):
     """K8 / M4: whole-row replace upsert."""
     cust = table(spark, d, "customer")
-    target = cust.where(F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING", "FURNITURE"))
+    target = cust.where(F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING", "FURNITURE", "MACHINERY"))
     batch = cust.where(F.col("c_mktsegment").isin("FURNITURE", "HOUSEHOLD")).withColumn(
         "c_acctbal", F.col("c_acctbal") - 100.0
     )
@@ -110,17 +112,6 @@ def merge_replace(spark, d):
     return vt.read()
 
 
-def _events_by_day(spark, d):
-    """Backfill: one version per event day (version = day index, from 0),
-    written in one job."""
-    ev = table(spark, d, "events")
-    day0 = ev.agg(F.min(F.to_date("ts")).alias("d0")).first()["d0"]
-    versioned = ev.withColumn("__version", F.datediff(F.to_date("ts"), F.lit(day0)).cast("long"))
-    vt = VersionedTable(spark, scratch_path(spark, "events-versions"))
-    vt.append_versions(versioned, "__version")
-    return vt
-
-
 @register(
     "incremental_versions",
     """
@@ -128,33 +119,28 @@ SELECT * FROM events WHERE CAST(ts AS DATE) >= (SELECT min(CAST(ts AS DATE)) FRO
 """,
 )
 def incremental_versions(spark, d):
-    """I1 + S6 + S7: the first ten day-versions are already processed; the
-    loader returns exactly the inserts of the later versions."""
-    src = _events_by_day(spark, d)
-    control = ControlTable(spark, scratch_path(spark, "control"))
-    control.update("events", 9)
-    loader = IncrementalLoader(spark, control, "events", src)
-    new_rows = loader.get_new_data()
-    return new_rows
+    """I1 + P12: ten days of events have arrived and are loaded, then the others; the second
+    run goes on from the checkpoint, and the increment is read by its units."""
+    events, day = table(spark, d, "events"), F.to_date("ts")
+    source, target, checkpoint = (scratch_path(spark, n) for n in ("events-in", "events-loaded", "events-checkpoint"))
+    first = events.agg(F.min(day)).first()[0]
+    early = day < F.date_add(F.lit(first), 10)
+    for rows in (events.where(early), events.where(~early)):
+        arrivals.deliver(rows, day, source)
+        arrivals.load_arrivals(spark, source, events.schema, target, checkpoint, ["event_id"], day)
+    return arrivals.read_units(spark, target, after=first + timedelta(days=9)).select(*events.columns)
 
 
 @register("incremental_stream", "SELECT * FROM events")
 def incremental_stream(spark, d):
-    """I1 streaming twin: file stream over the versioned source, each
-    micro-batch K6-merged into the trusted table; returns the final table."""
-    src = _events_by_day(spark, d)
-    day = F.date_format("ts", "yyyyMMdd").cast("int")
-    target = VersionedTable(spark, scratch_path(spark, "events-trusted"), unit=day)
-
-    def apply(batch, _batch_id):
-        # Idempotent per micro-batch: a replayed batch merges to the same rows.
-        if not target.exists():
-            target.create(batch)
-            return
-        target.merge_into(batch, ["event_id"])
-
-    stream_merge(spark, src, apply, scratch_path(spark, "stream-ckpt"), max_files_per_trigger=16)
-    return target.read()
+    """I1 as a stream: daily folders arrive, a seventh of the events is delivered twice; micro-batches
+    of bounded size append what is new to daily Parquet."""
+    events, day = table(spark, d, "events"), F.to_date("ts")
+    source, target, checkpoint = (scratch_path(spark, n) for n in ("events-in", "events-loaded", "events-checkpoint"))
+    arrivals.deliver(events, day, source)
+    arrivals.deliver(events.where("event_id % 7 = 0"), day, source)
+    arrivals.load_arrivals(spark, source, events.schema, target, checkpoint, ["event_id"], day, max_files_per_trigger=64)
+    return arrivals.read_units(spark, target).select(*events.columns)
 
 
 @register("snapshot_read", "SELECT * FROM orders WHERE o_orderstatus = 'F'")
