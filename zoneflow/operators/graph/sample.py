@@ -73,16 +73,9 @@ def sample_k_per_key(
     idx = dense_index(spark, items, item_col)
     m = idx.count()
     k_raw = F.lit(lo) + F.pmod(h32(seed, F.col(key_col), "k"), F.lit(hi - lo + 1))
-    none = F.array().cast("array<bigint>")
-
-    def draw(taken: Column, i: Column) -> Column:
-        j = F.lit(m) - F.col("__k") + i
-        t = F.pmod(h32(seed, F.col(key_col), i.cast("string")), j + 1)
-        return F.array_append(taken, F.when(F.array_contains(taken, t), j).otherwise(t))
-
-    steps = F.when(F.col("__k") > 0, F.sequence(F.lit(0).cast("bigint"), F.col("__k") - 1)).otherwise(none)
     state = keys.select(F.col(key_col), F.least(k_raw, F.lit(m)).cast("bigint").alias("__k"))
-    state = state.select(F.col(key_col), F.aggregate(steps, none, draw).alias("__s"))
+    drawn_idx = _floyd(F.lit(m), F.col("__k"), lambda i: h32(seed, F.col(key_col), i.cast("string")))
+    state = state.select(F.col(key_col), drawn_idx.alias("__s"))
     drawn = state.select(F.col(key_col), F.explode("__s").alias("idx"))
     return drawn.join(idx, "idx").select(key_col, item_col)
 
@@ -98,6 +91,40 @@ def _indexed(spark: SparkSession, triples: DataFrame) -> tuple[DataFrame, DataFr
     return entities, predicates, materialize(spark, numbered.select("s", "p", "o", h32_of("subject", "predicate", "object")), "numbered-triples")
 
 
+def draw_from_pools(spark: SparkSession, keys: DataFrame, key_col: str, pools: DataFrame, limits: dict[str, tuple[int, int]], seed: int = 0) -> DataFrame:
+    """(key, kind, item): every key draws k ~ U[lo, hi] distinct items of each kind, uniformly without replacement.
+
+    ``pools`` (kind, item) holds all kinds' items, ``limits`` the (lo, hi) of each
+    kind.  The items are numbered once, kind after kind, so one draw and one
+    join serve all pools: a kind is an offset and a size.  A kind with fewer
+    items than k gives them all, one without items none."""
+    numbered = materialize(spark, positions(spark, pools.select("kind", "item").dropna().distinct(), ["kind", "item"], "idx"), "pools")
+    spans = numbered.groupBy("kind").agg(F.min("idx").alias("offset"), F.count("*").alias("m"))
+    bounds = spark.createDataFrame([(k, lo, hi) for k, (lo, hi) in limits.items()], "kind string, lo int, hi int")
+    kinds = [tuple(r) for r in spans.join(bounds, "kind").select("kind", "offset", "m", "lo", "hi").collect()]  # one row a kind
+    if not kinds:
+        return keys.select(key_col).limit(0).crossJoin(numbered.select("kind", "item").limit(0))
+    each = F.array(*(F.struct(F.lit(k).alias("kind"), F.lit(o).cast("bigint").alias("offset"), F.lit(m).cast("bigint").alias("m"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi")) for k, o, m, lo, hi in kinds))
+    asked = keys.select(F.col(key_col), F.explode(each).alias("p")).select(key_col, "p.*")
+    k = F.col("lo") + F.pmod(h32(seed, F.col("kind"), F.col(key_col), "k"), F.col("hi") - F.col("lo") + 1)
+    asked = asked.withColumn("__k", F.least(k, F.col("m")).cast("bigint"))
+    drawn = asked.select(key_col, "kind", "offset", F.explode(_floyd(F.col("m"), F.col("__k"), lambda i: h32(seed, F.col("kind"), F.col(key_col), i.cast("string")))).alias("t"))
+    return drawn.withColumn("idx", F.col("offset") + F.col("t")).join(numbered.select("idx", "item"), "idx").select(key_col, "kind", "item")
+
+
+def _floyd(m: Column, k: Column, draw) -> Column:
+    """k distinct numbers below m, uniformly: for j = m-k .. m-1 draw t in [0, j]; take t unless taken, else j."""
+    none = F.array().cast("array<bigint>")
+
+    def step(taken: Column, i: Column) -> Column:
+        j = m - k + i
+        t = F.pmod(draw(i), j + 1)
+        return F.array_append(taken, F.when(F.array_contains(taken, t), j).otherwise(t))
+
+    steps = F.when(k > 0, F.sequence(F.lit(0).cast("bigint"), k - 1)).otherwise(none)
+    return F.aggregate(steps, none, step)
+
+
 def h32_of(*cols: str) -> Column:
     """The columns' texts, joined: what a triple's draws are keyed by."""
     return F.concat_ws(":", *cols).alias("text")

@@ -36,6 +36,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def load_all() -> None:
     """Import every plan module so its queries register."""
     from zoneflow.plans import (  # noqa: F401
+        abox_plans,
         curation,
         flow_plans,
         graph_plans,

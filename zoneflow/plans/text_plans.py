@@ -9,7 +9,7 @@ from zoneflow.functions import stopwords, text
 from zoneflow.operators import text as tx
 from zoneflow.operators import vectors as vx
 from zoneflow.plans.registry import register, table
-from zoneflow.session import spread
+from zoneflow.session import materialize, spread
 
 TOP_N = 15
 
@@ -66,7 +66,7 @@ SELECT d.doc_id, k.term AS keyword FROM docs d JOIN keywords k ON k.lang = d.lan
 )
 def keyword_tagging(spark, d):
     """Documents tagged with their language's corpus keywords."""
-    docs = _norm_docs(spark, d)
+    docs = materialize(spark, _norm_docs(spark, d), "normalized")  # normalized once, for the keywords and the tags
     return tx.tag_documents(docs, "doc_id", "norm", _keywords(spark, d, docs), "term", on=["lang"], lowercase=False)
 
 
