@@ -168,7 +168,7 @@ def test_batched_upsert_retries(spark):
     recs = spark.createDataFrame(
         [(f"d{i}", "x" * (50 if i == 3 else 5), "s") for i in range(10)], "_id string, text_to_embed string, source string"
     ).coalesce(1)
-    out = {r._id: r.status for r in sinks.batched_upsert(recs, lambda: sinks.SizeLimitedClient(10), batch_size=4).collect()}
+    out = {r._id: r.status for r in sinks.batched_upsert(recs, lambda: sinks.Preflight(10), batch_size=4).collect()}
     assert out["d3"] == "failed" and sum(1 for s in out.values() if s == "sent") == 9
 
 

@@ -9,12 +9,13 @@ shuffle instead of landing whole in one task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from zoneflow.operators.shape import any_null
+from zoneflow.session import materialize
 
 
 def _keys(k) -> list[str]:
@@ -28,6 +29,22 @@ def dedupe(df: DataFrame, subset: Sequence[str] | None = None, metrics: Observat
     return src.dropDuplicates(list(subset)) if subset else src.dropDuplicates()
 
 
+def counted_stages(spark: SparkSession, df: DataFrame, stages: Sequence[tuple[str, Callable[[DataFrame], DataFrame]]]) -> tuple[DataFrame, DataFrame]:
+    """The result of ``stages`` and a table (stage, place, rows_in, rows_out, removed, added).
+
+    A stage's result is written once; both counts are observed while that job
+    runs, so counting takes no pass of its own.  ``removed`` and ``added`` are
+    the two sides of the difference."""
+    counts = []
+    for place, (name, stage) in enumerate(stages):
+        before, after = Observation(), Observation()
+        count = F.count(F.lit(1)).alias("n")
+        df = materialize(spark, stage(df.observe(before, count)).observe(after, count), f"stage-{place}")
+        n_in, n_out = before.get["n"], after.get["n"]
+        counts.append((name, place, n_in, n_out, max(0, n_in - n_out), max(0, n_out - n_in)))
+    return df, spark.createDataFrame(counts, "stage string, place int, rows_in bigint, rows_out bigint, removed bigint, added bigint")
+
+
 def merge_elements(
     df: DataFrame,
     key_cols: str | Sequence[str],

@@ -133,6 +133,25 @@ def prepare_records(
     return records, registry
 
 
+def write_records(df: DataFrame, path: str, key_col: str, text_cols: Sequence, source: str, date_col: str, key_prefix: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """P18's two outputs in one pass: (records, registry), written below ``path`` and read back.
+
+    A row becomes a registry row (key, date) and, if it has a text, a record;
+    both are laid out by kind in the one write, so the input is read once."""
+    from zoneflow.functions.text import first_non_null
+
+    key, date = F.col(key_col).cast("string"), df.schema[date_col].dataType
+    text = first_non_null(text_cols)
+    record = F.struct(
+        F.lit("records").alias("kind"), (F.concat(F.lit(key_prefix), key) if key_prefix else key).alias("_id"), text.alias("text_to_embed"), F.lit(source).alias("source"), F.lit(None).cast(date).alias(date_col)
+    )
+    entry = F.struct(F.lit("registry").alias("kind"), key.alias("_id"), F.lit(None).cast("string").alias("text_to_embed"), F.lit(None).cast("string").alias("source"), F.col(date_col))
+    rows = df.select(F.explode(F.array(entry, F.when(text != "", record))).alias("r")).where("r IS NOT NULL").select("r.*")
+    rows.write.partitionBy("kind").parquet(path)
+    both = df.sparkSession.read.schema(rows.schema).parquet(path)
+    return both.where("kind = 'records'").select("_id", "text_to_embed", "source"), both.where("kind = 'registry'").select(F.col("_id").alias(key_col), date_col)
+
+
 def union_roles(df: DataFrame, roles: Sequence[Mapping[str, str]]) -> DataFrame:
     """One row per role from a single scan.
 

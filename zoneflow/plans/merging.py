@@ -11,6 +11,7 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
+from zoneflow.operators import evolve, quality, shape
 from zoneflow.operators import merge as mg
 from zoneflow.plans.registry import register, table
 from zoneflow.session import scratch_path
@@ -155,14 +156,88 @@ def snapshot_read(spark, d):
     return vt.read(version=1)
 
 
-@register("batched_sink_report")
+@register(
+    "batched_sink_report",
+    """
+SELECT 'doc_' || CAST(doc_id AS VARCHAR) AS _id, CASE WHEN length(text) > 20000 THEN 'failed' ELSE 'sent' END AS status,
+       CASE WHEN length(text) > 20000 THEN 'ValueError(''more than 20000 characters'')' END AS error
+FROM documents
+""",
+)
 def batched_sink_report(spark, d):
-    """Every document record goes through the batched sink; records over
-    the service's size limit fail their batch and are then retried alone."""
+    """A dry run of every document record through the batched sink: records over the
+    service's limit fail their batch, are retried alone and are reported."""
     docs = table(spark, d, "documents")
     records = docs.select(
         F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("_id"),
         F.col("text").alias("text_to_embed"),
         F.lit("documents").alias("source"),
     )
-    return sinks.batched_upsert(records, lambda: sinks.SizeLimitedClient(20000), batch_size=95)
+    return sinks.batched_upsert(records, lambda: sinks.Preflight(20000), batch_size=95)
+
+
+@register(
+    "append_evolved",
+    """
+SELECT o_orderkey, CAST(CAST(o_totalprice AS FLOAT) AS DOUBLE) AS price, CAST(NULL AS VARCHAR) AS priority, CAST(o_orderdate AS DATE)::TIMESTAMP AS placed, NULL AS customer_id, NULL AS customer_segment FROM orders WHERE o_orderkey % 3 = 0
+UNION ALL SELECT o_orderkey, o_totalprice, o_orderpriority, o_orderdate, o_custkey, NULL FROM orders WHERE o_orderkey % 3 = 1
+UNION ALL SELECT o_orderkey, o_totalprice, NULL, NULL, o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 3 = 2
+""",
+)
+def append_evolved(spark, d):
+    """K2 + K4 + P3: three batches of orders whose schema drifts: narrower numbers and dates first, then new
+    columns and a new struct, then a new field in the struct and columns that are gone."""
+    orders = table(spark, d, "orders")
+    part = lambda k: orders.where(F.col("o_orderkey") % 3 == k)
+    batches = [
+        part(0).select(F.col("o_orderkey").cast("int").alias("o_orderkey"), F.col("o_totalprice").cast("float").alias("price"), F.col("o_orderdate").cast("date").alias("placed")),
+        part(1).select("o_orderkey", F.col("o_totalprice").alias("price"), F.col("o_orderpriority").alias("priority"), F.col("o_orderdate").alias("placed"), F.struct(F.col("o_custkey").cast("int").alias("id")).alias("customer")),
+        part(2).select("o_orderkey", F.col("o_totalprice").alias("price"), F.struct(F.col("o_custkey").alias("id"), F.col("o_orderstatus").alias("segment")).alias("customer")),
+    ]
+    evolving = evolve.EvolvingTable(spark, scratch_path(spark, "evolving"))
+    for batch in batches:
+        evolving.append(batch)
+    return evolving.read().select("o_orderkey", "price", "priority", "placed", F.col("customer.id").alias("customer_id"), F.col("customer.segment").alias("customer_segment"))
+
+
+@register(
+    "stage_deltas",
+    """
+WITH a AS (SELECT DISTINCT text, lang, source FROM documents), b AS (SELECT * FROM a WHERE length(text) >= 200), c AS (SELECT DISTINCT text FROM b), e AS (SELECT text, unnest([1, 2]) AS role FROM c)
+SELECT 'dedupe' AS stage, 0 AS place, (SELECT count(*) FROM documents) AS rows_in, (SELECT count(*) FROM a) AS rows_out, (SELECT count(*) FROM documents) - (SELECT count(*) FROM a) AS removed, CAST(0 AS BIGINT) AS added
+UNION ALL SELECT 'long texts', 1, (SELECT count(*) FROM a), (SELECT count(*) FROM b), (SELECT count(*) FROM a) - (SELECT count(*) FROM b), 0
+UNION ALL SELECT 'merge', 2, (SELECT count(*) FROM b), (SELECT count(*) FROM c), (SELECT count(*) FROM b) - (SELECT count(*) FROM c), 0
+UNION ALL SELECT 'roles', 3, (SELECT count(*) FROM c), (SELECT count(*) FROM e), 0, (SELECT count(*) FROM e) - (SELECT count(*) FROM c)
+""",
+)
+def stage_deltas(spark, d):
+    """Rows in, out, removed and added of each stage of a cleaning job, counted while the stages run."""
+    docs = table(spark, d, "documents").select("text", "lang", "source")
+    stages = [
+        ("dedupe", quality.dedupe),
+        ("long texts", lambda df: df.where(F.length("text") >= 200)),
+        ("merge", lambda df: quality.merge_elements(df, ["text"])),
+        ("roles", lambda df: df.select("text", F.explode(F.array(F.lit(1), F.lit(2))).alias("role"))),
+    ]
+    return quality.counted_stages(spark, docs, stages)[1]
+
+
+@register(
+    "records_and_registry",
+    """
+WITH r AS (SELECT o_orderkey, nullif(CASE WHEN o_orderstatus = 'P' THEN '' ELSE o_orderpriority END, '4-NOT SPECIFIED') AS first, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderstatus END AS second, CAST(o_orderdate AS DATE) AS placed FROM orders)
+SELECT 'records' AS kind, 'order_' || CAST(o_orderkey AS VARCHAR) AS id, coalesce(first, second) AS text, CAST(NULL AS DATE) AS placed FROM r WHERE coalesce(first, second, '') <> ''
+UNION ALL SELECT 'registry', CAST(o_orderkey AS VARCHAR), NULL, placed FROM r
+""",
+)
+def records_and_registry(spark, d):
+    """Records and the key/date registry of orders, from one pass, both read back."""
+    orders = table(spark, d, "orders").select(
+        "o_orderkey",
+        F.nullif(F.when(F.col("o_orderstatus") == "P", "").otherwise(F.col("o_orderpriority")), F.lit("4-NOT SPECIFIED")).alias("first"),
+        F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderstatus")).alias("second"),
+        F.to_date("o_orderdate").alias("placed"),
+    )
+    records, registry = shape.write_records(orders, scratch_path(spark, "records"), "o_orderkey", ["first", "second"], "orders", "placed", "order_")
+    left = records.select(F.lit("records").alias("kind"), F.col("_id").alias("id"), F.col("text_to_embed").alias("text"), F.lit(None).cast("date").alias("placed"))
+    return left.unionByName(registry.select(F.lit("registry").alias("kind"), F.col("o_orderkey").alias("id"), F.lit(None).cast("string").alias("text"), "placed"))

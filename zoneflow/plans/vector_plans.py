@@ -118,6 +118,26 @@ def pca_project(spark, d):
     return flat.select("vec_id", F.col("xy")[0].alias("x"), F.col("xy")[1].alias("y"))
 
 
+@register(
+    "pca_invariants",
+    """
+WITH x AS (SELECT vec_id, i, CAST(embedding[i] AS DOUBLE) AS v FROM embeddings, range(1, 65) r(i) WHERE i <= len(embedding)),
+s AS (SELECT i, avg(v) AS mu, CASE WHEN stddev_pop(v) = 0 THEN 1.0 ELSE stddev_pop(v) END AS sd FROM x GROUP BY i),
+pts AS (SELECT vec_id, list((v - mu) / sd ORDER BY i) AS z FROM x JOIN s USING (i) GROUP BY vec_id)
+SELECT p.vec_id, round(list_distance(p.z, list_transform(p.z, lambda x: 0.0)), 6) AS length, round(list_distance(p.z, q.z), 6) AS to_next FROM pts p LEFT JOIN pts q ON q.vec_id = p.vec_id + 1
+""",
+)
+def pca_invariants(spark, d):
+    """M8 + M10: what a projection on all principal components keeps, whatever their signs: every vector's
+    length and its distance to the next (fails if components are not orthonormal or not all there)."""
+    points = _scaled(spark, d)
+    dim = points.select(F.max(F.size("z"))).first()[0]
+    pcs = materialize(spark, cl.pca(points, "z", dim, "pcs").select("vec_id", "pcs"), "pcs")
+    nexts = pcs.select((F.col("vec_id") - 1).alias("vec_id"), F.col("pcs").alias("other"))
+    away = F.zip_with("pcs", "other", lambda a, b: a - b)
+    return pcs.join(nexts, "vec_id", "left").select("vec_id", F.round(vx.norm("pcs"), 6).alias("length"), F.round(vx.norm(away), 6).alias("to_next"))
+
+
 def _points(spark, d):
     emb = table(spark, d, "embeddings")
     return emb.select("vec_id", F.slice("embedding", 1, 2).alias("xy"))

@@ -11,7 +11,7 @@ import math
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,41 +33,34 @@ def _clean(rec: dict) -> dict:
 
 def batched_upsert(df: DataFrame, client_factory: Callable[[], IndexClient], batch_size: int = 95, id_col: str = "_id") -> DataFrame:
     """Partition-parallel batched upsert; a failed batch is retried
-    record by record; returns (_id, status sent|failed, error)."""
+    record by record.  (_id, status sent|failed, error) of every record: written
+    as a table, its failed rows are what to send again."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         client = client_factory()
-        buffer: list[dict] = []
-
-        def flush(records: list[dict]) -> pd.DataFrame:
-            out = []
-            try:
-                client.upsert(records)
-                out = [(r.get(id_col), "sent", None) for r in records]
-            except Exception:  # batch failed: retry one by one
-                for r in records:
-                    try:
-                        client.upsert([r])
-                        out.append((r.get(id_col), "sent", None))
-                    except Exception as e:  # noqa: BLE001
-                        out.append((r.get(id_col), "failed", repr(e)))
-            return pd.DataFrame(out, columns=["_id", "status", "error"])
-
-        for frame in frames:
-            for rec in frame.to_dict("records"):
-                buffer.append(_clean(rec))
-                if len(buffer) >= batch_size:
-                    yield flush(buffer)
-                    buffer = []
-        if buffer:
-            yield flush(buffer)
-
-    return df.mapInPandas(run, RESULT_SCHEMA)
-
-
-class SizeLimitedClient:
-    """Stand-in service client: rejects any request containing a record whose
-    text exceeds ``max_chars`` (like a metadata size limit); accepts others."""
+        for batch in batches:
+            for at in range(0, batch.num_rows, batch_size):
+                piece = batch.slice(at, batch_size)
+                records = [_clean(r) for r in piece.to_pylist()]
+                errors: list[str | None] = [None] * len(records)
+                try:
+                    client.upsert(records)
+                except Exception:  # batch failed: retry one by one
+                    for i, r in enumerate(records):
+                        try:
+                            client.upsert([r])
+                        except Exception as e:  # noqa: BLE001
+                            errors[i] = repr(e)
+                status = ["sent" if e is None else "failed" for e in errors]
+                yield pa.RecordBatch.from_arrays([piece.column(id_col).cast(pa.string()), pa.array(status), pa.array(errors, pa.string())], ["_id", "status", "error"])
+
+    return df.mapInArrow(run, RESULT_SCHEMA)
+
+
+class Preflight:
+    """A client that sends nothing and refuses what the service would: a dry run before a load.
+
+    A request fails if one of its texts is longer than ``max_chars``."""
 
     def __init__(self, max_chars: int, text_field: str = "text_to_embed"):
         self.max_chars = max_chars
@@ -76,7 +69,7 @@ class SizeLimitedClient:
     def upsert(self, records: list[dict]) -> None:
         for r in records:
             if len(r.get(self.text_field, "")) > self.max_chars:
-                raise ValueError(f"record {r.get('_id')} exceeds {self.max_chars} chars")
+                raise ValueError(f"more than {self.max_chars} characters")
 
 
 def namespace_stats(records: DataFrame) -> DataFrame:
