@@ -13,7 +13,7 @@ embedding records (P18).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,12 +24,23 @@ from zoneflow.operators import enrich, merge, quality, shape
 
 MOVIE_SCHEMA = T.StructType(
     [
-        T.StructField("film_id", T.LongType()),
-        T.StructField("title", T.StringType()),
-        T.StructField("overview", T.StringType()),
-        T.StructField("release_date", T.DateType()),
-        T.StructField("runtime", T.IntegerType()),
-        T.StructField("popularity", T.DoubleType()),
+        T.StructField(name, kind)
+        for name, kind in (
+            ("film_id", T.LongType()),
+            ("title", T.StringType()),
+            ("original_title", T.StringType()),
+            ("original_language", T.StringType()),
+            ("overview", T.StringType()),
+            ("release_date", T.DateType()),
+            ("revenue", T.DoubleType()),
+            ("budget", T.DoubleType()),
+            ("runtime", T.IntegerType()),
+            ("adult", T.BooleanType()),
+            ("popularity", T.DoubleType()),
+            ("vote_average", T.DoubleType()),
+            ("vote_count", T.LongType()),
+            ("ingestion_time", T.TimestampType()),
+        )
     ]
 )
 RENAMES = {"filmid": "film_id", "genreid": "genre_id", "collectionid": "collection_id", "status_": "status"}
@@ -42,8 +53,9 @@ def trusted_genres(genre_db: DataFrame) -> DataFrame:
 
 
 def trusted_movies(movie_db: DataFrame) -> DataFrame:
+    """The catalogue in the trusted schema, one row a film: copies are merged, what was ingested last first."""
     m = shape.rename_present(shape.lower_columns(movie_db), RENAMES, fallback={"id": "film_id"})
-    return shape.conform(m, MOVIE_SCHEMA)
+    return quality.merge_elements(quality.dedupe(shape.conform(m, MOVIE_SCHEMA)), ["film_id"], ["ingestion_time"], desc=True).select(*MOVIE_SCHEMA.fieldNames())
 
 
 def category_links(feeds: Sequence[DataFrame]) -> tuple[DataFrame, DataFrame]:
@@ -54,16 +66,25 @@ def category_links(feeds: Sequence[DataFrame]) -> tuple[DataFrame, DataFrame]:
         conformed.append(f)
         links.append(f.select(F.col("film_id").cast("bigint").alias("film_id"), F.explode("genre_ids").alias("genre_id"), "ingestion_time"))
     films = shape.union_batches(conformed)
-    films = films.select(*[f.name for f in MOVIE_SCHEMA if f.name in films.columns], "ingestion_time")
-    movies = quality.merge_elements(films, ["film_id"], ["ingestion_time"], desc=True).drop("ingestion_time")
+    films = films.select(*[f.name for f in MOVIE_SCHEMA if f.name in films.columns])
+    movies = quality.merge_elements(films, ["film_id"], ["ingestion_time"], desc=True)
     movie_genre = quality.merge_elements(quality.dedupe(shape.union_batches(links)), ["film_id", "genre_id"], ["ingestion_time"], desc=True)
     return movies, movie_genre
 
 
-def to_trusted(movie_db: DataFrame, movie_genre_db: DataFrame, genre_db: DataFrame, feeds: Sequence[DataFrame]):
+def category_films(feeds: Mapping[str, DataFrame]) -> DataFrame:
+    """(category, film_id) of the category feeds, in which films may be listed again and again."""
+    ids = [shape.rename_present(shape.lower_columns(f), RENAMES, fallback={"id": "film_id"}).select(F.lit(name).alias("category"), F.col("film_id").cast("bigint").alias("film_id")) for name, f in feeds.items()]
+    return quality.dedupe(shape.union_batches(ids))
+
+
+def to_trusted(movie_db: DataFrame, movie_genre_db: DataFrame, genre_db: DataFrame, feeds: Sequence[DataFrame], normalize: Sequence[str] = ()):
+    """Trusted movies, film-genre links and genres; ``normalize``: texts of the films to clean (F1)."""
     genres = trusted_genres(genre_db)
     movies = trusted_movies(movie_db)
     feed_movies, feed_links = category_links(feeds)
+    clean = lambda df: df.withColumns({c: text.normalize_text(c) for c in normalize if c in df.columns})
+    movies, feed_movies = clean(movies), clean(feed_movies)
     new_films = shape.absent_defaults(feed_movies, MOVIE_SCHEMA)
     feed_movies = shape.conform(feed_movies, MOVIE_SCHEMA, defaults=False)
     movies, _changes = merge.merge_coalesce(movies, feed_movies, ["film_id"], insert_defaults=new_films)

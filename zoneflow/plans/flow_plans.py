@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from zoneflow.flows import news
 from zoneflow.plans.registry import register, table
-from zoneflow.session import scratch_path
+from zoneflow.session import materialize, scratch_path
 from zoneflow.sources.store import VersionedTable
 from zoneflow.streaming.incremental import ControlTable, IncrementalLoader
 
@@ -256,3 +256,142 @@ def sports_venues(spark, d):
     from zoneflow.flows import sports
 
     return sports.extract_venues(sports.expand(sports_landing(spark, d)))
+
+
+# --------------------------------------------------------------------------
+# Sports, the whole flow: match facts over two loads, leagues and countries.
+# --------------------------------------------------------------------------
+
+
+def sports_records(spark, d):
+    """Orders as nested match records with all their facts, and the tenth that is delivered again, knowing less."""
+    o = table(spark, d, "orders")
+    key, seconds = F.col("o_orderkey"), F.unix_timestamp(F.col("o_orderdate").cast("timestamp"))
+    done = F.col("o_orderstatus") == "F"
+    price = F.expr("CAST(o_totalprice AS BIGINT)")
+    team = lambda k, winner: F.struct(k.alias("id"), F.concat(F.lit("Team #"), k.cast("string")).alias("name"), F.lit("logo").alias("logo"), winner.alias("winner"))
+    full = o.select(
+        F.struct(
+            key.alias("id"),
+            F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("date"),
+            seconds.alias("timestamp"),
+            F.struct(seconds.alias("first"), (seconds + 3600).alias("second")).alias("periods"),
+            F.when(key % 7 != 0, F.concat(F.lit("Ref. No"), (key % 90).cast("string"))).alias("referee"),
+            F.struct(F.when(done, "Match Finished!").otherwise("Not Started").alias("long"), F.col("o_orderstatus").alias("short"), F.when(done, 90).alias("elapsed")).alias("status"),
+            F.struct(F.when(F.col("o_custkey") % 9 != 0, F.concat(F.lit("Arena "), (F.col("o_custkey") % 25).cast("string"))).alias("name"), F.lit("Some City").alias("city")).alias("venue"),
+        ).alias("fixture"),
+        F.struct((key % 25).alias("id")).alias("league"),
+        F.struct(team(F.col("o_custkey"), price % 5 > price % 4).alias("home"), team(F.col("o_custkey") + 1, price % 5 < price % 4).alias("away")).alias("teams"),
+        F.struct((price % 5).alias("home"), (price % 4).alias("away")).alias("goals"),
+    )
+    again = full.where(F.col("fixture.id") % 10 == 1).withColumns(
+        {"fixture": F.col("fixture").withField("referee", F.lit(None).cast("string")), "goals": F.col("goals").withField("home", F.lit(None).cast("bigint"))}
+    )
+    return full, again
+
+
+@register(
+    "sports_matches_trusted",
+    """
+WITH m AS (SELECT *, o_orderkey AS fixture_id, CAST(trunc(o_totalprice) AS BIGINT) % 5 AS goals_home, CAST(trunc(o_totalprice) AS BIGINT) % 4 AS goals_away, epoch(o_orderdate)::BIGINT AS match_epoch FROM orders)
+SELECT fixture_id, CASE WHEN o_orderstatus = 'F' THEN 'match finished' ELSE 'not started' END AS status_long, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS fixture_date, match_epoch, match_epoch + 3600 AS second_epoch,
+  CASE WHEN fixture_id % 7 <> 0 THEN 'ref  no' || CAST(fixture_id % 90 AS VARCHAR) END AS referee, CASE WHEN o_orderstatus = 'F' THEN 90 END AS status_elapsed, fixture_id % 25 AS league, goals_home, goals_away,
+  o_custkey AS team_home_id, o_custkey + 1 AS team_away_id, goals_home > goals_away AS team_home_winner, CASE WHEN o_custkey % 9 <> 0 THEN 'arena_' || CAST(o_custkey % 25 AS VARCHAR) ELSE 'unknown' END AS venue_id
+FROM m
+""",
+)
+def sports_matches_trusted(spark, d):
+    """A1 + A3 + F1 + F4 + F7 + K7: trusted matches after a load of the earlier matches and one of the
+    later ones with some of the earlier again; copies that know less lose nothing."""
+    from zoneflow.flows import sports
+
+    full, again = sports_records(spark, d)
+    batch = lambda df: sports.trusted_matches(sports.expand(df, sports.SPOKEN))
+    facts = batch(full.unionByName(again).unionByName(again))
+    cut = F.lit("1995-06-01").cast("timestamp")
+    trusted = materialize(spark, sports.load_matches(None, facts.where(F.col("timestamp") < cut)), "matches")
+    second = facts.where(F.col("timestamp") >= cut).unionByName(batch(again).where(F.col("timestamp") < cut))
+    out = sports.load_matches(trusted, materialize(spark, second, "matches-batch"))
+    return out.select(
+        "fixture_id", "status_long", "fixture_date", F.unix_timestamp("timestamp").alias("match_epoch"), F.unix_timestamp("period_second").alias("second_epoch"),
+        "referee", "status_elapsed", "league", "goals_home", "goals_away", "team_home_id", "team_away_id", "team_home_winner", "venue_id",
+    )
+
+
+_LEAGUES_SQL = """
+WITH l AS (
+  SELECT n_nationkey AS id, n_name AS name, CASE WHEN n_nationkey % 2 = 0 THEN 'Cup' ELSE 'League' END AS type, 'logo/l/' || CAST(n_nationkey AS VARCHAR) AS logo,
+    CASE WHEN n_regionkey = 0 THEN 'World' ELSE r_name END AS country, CASE WHEN n_regionkey = 1 THEN NULL ELSE 'C' || CAST(n_regionkey // 2 AS VARCHAR) END AS code, 'Flag/' || CAST(n_regionkey AS VARCHAR) AS flag
+  FROM nation JOIN region ON r_regionkey = n_regionkey)
+"""
+
+
+def league_records(spark, d):
+    """Nations as leagues, with regions as their countries; every season brings a league's record again."""
+    nation, region = table(spark, d, "nation"), table(spark, d, "region")
+    rows = nation.join(region, F.col("r_regionkey") == F.col("n_regionkey"))
+    league = F.struct(
+        F.col("n_nationkey").alias("id"),
+        F.col("n_name").alias("name"),
+        F.when(F.col("n_nationkey") % 2 == 0, "Cup").otherwise("League").alias("type"),
+        F.concat(F.lit("logo/l/"), F.col("n_nationkey").cast("string")).alias("logo"),
+    )
+    country = F.struct(
+        F.when(F.col("n_regionkey") == 0, "World").otherwise(F.col("r_name")).alias("name"),
+        F.when(F.col("n_regionkey") != 1, F.concat(F.lit("C"), F.expr("n_regionkey div 2").cast("string"))).alias("code"),
+        F.concat(F.lit("Flag/"), F.col("n_regionkey").cast("string")).alias("flag"),
+    )
+    return rows.select(league.alias("league"), country.alias("country"), F.explode(F.sequence(F.lit(2020), F.lit(2023))).alias("season"))
+
+
+@register("sports_leagues", _LEAGUES_SQL + "SELECT id AS league_id, country AS country_name, lower(name) AS league_name, lower(type) AS league_type, logo AS league_logo FROM l")
+def sports_leagues(spark, d):
+    """W2 + A1: one row a league, whatever the number of its season records."""
+    from zoneflow.flows import sports
+
+    out = sports.leagues(league_records(spark, d))
+    return out.select("league_id", F.col("country.name").alias("country_name"), "league_name", "league_type", "league_logo")
+
+
+@register(
+    "sports_countries",
+    _LEAGUES_SQL
+    + """, c AS (SELECT DISTINCT CASE WHEN country = 'World' THEN 'wrd' ELSE coalesce(lower(code), lower(country)) END AS code, lower(country) AS name, lower(flag) AS flag FROM l)
+SELECT CASE WHEN count(*) OVER (PARTITION BY code) > 1 THEN code || '-' || name ELSE code END AS country_code, name AS country_name, flag AS country_flag FROM c""",
+)
+def sports_countries(spark, d):
+    """the countries of the leagues; a code that several share gets the name added."""
+    from zoneflow.flows import sports
+
+    return sports.countries(league_records(spark, d))
+
+
+# --------------------------------------------------------------------------
+# Movies: the trusted tables.
+# --------------------------------------------------------------------------
+
+
+@register(
+    "movies_trusted",
+    r"""
+WITH m AS (
+  SELECT p_partkey AS film_id, p_name AS title, 'a ' || lower(p_type) || ' story' AS overview, CAST(DATE '2020-01-01' + p_size AS DATE) AS release_date, p_size, p_retailprice / 10 AS price FROM part)
+SELECT film_id, trim(regexp_replace(lower(title), '[^a-zA-Z0-9\s]', ' ', 'g')) AS title, overview, release_date, CASE WHEN p_size >= 20 THEN price ELSE CAST(0 AS DOUBLE) END AS popularity,
+  CAST(0 AS DOUBLE) AS revenue, CAST(0 AS DOUBLE) AS budget, 0 AS runtime, CAST(0 AS BIGINT) AS vote_count, CASE WHEN p_size BETWEEN 20 AND 40 THEN '2024-03-01' WHEN p_size > 30 THEN '2024-02-01' ELSE '2023-01-01' END AS ingested,
+  p_size > 30 AS trending, p_size BETWEEN 20 AND 40 AS now_playing
+FROM m
+""",
+)
+def movies_trusted(spark, d):
+    """P1-P3 + A1 + A3 + F1 + U2 + K6: the trusted films in their whole schema, with the categories that list them."""
+    from zoneflow.flows import movies
+
+    movie_db, movie_genre_db, genre_db, feeds = movies_landing(spark, d)
+    movie_db = movie_db.withColumn("Ingestion_Time", F.lit("2023-01-01 00:00:00").cast("timestamp"))
+    # the catalogue lists some films twice
+    films, _, _ = movies.to_trusted(movie_db.unionByName(movie_db.where("FilmId % 4 = 0")), movie_genre_db, genre_db, feeds, normalize=("title", "overview"))
+    listed = movies.category_films({"trending": feeds[0].unionByName(feeds[0]), "now_playing": feeds[1]})
+    has = listed.groupBy("film_id").agg(*(F.max(F.col("category") == c).alias(c) for c in ("trending", "now_playing")))
+    out = films.join(has, "film_id", "left")
+    flags = [F.coalesce(c, F.lit(False)).alias(c) for c in ("trending", "now_playing")]
+    return out.select("film_id", "title", "overview", "release_date", "popularity", "revenue", "budget", "runtime", "vote_count", F.date_format("ingestion_time", "yyyy-MM-dd").alias("ingested"), *flags)
