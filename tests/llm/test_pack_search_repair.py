@@ -43,7 +43,7 @@ def library_ids(text):
 @pytest.mark.parametrize("length", [1, 7, 64, 100])
 def test_packing_cuts_one_row_of_ids(spark, length):
     rng = random.Random(length)
-    texts = [None, "", " \t\n", "It's  5 o'clock, we'll", "é é ÀÉ x", "<|endoftext|> a<|startoftext|>", "x" * 3000, "a b " * 500, *(" ".join(rng.choice(["ab", "cde", "12", "?!"]) for _ in range(rng.randint(0, 60))) for _ in range(60))]
+    texts = [None, "", " \t\n", "Word, word; (WORD) word- J\u030c. j\u030c, don't!' A-b.", "It's  5 o'clock, we'll", "é é ÀÉ x", "<|endoftext|> a<|startoftext|>", "x" * 3000, "\x01 a\x01b \x01\x01", "a b " * 500, *(" ".join(rng.choice(["ab", "cde", "12", "?!"]) for _ in range(rng.randint(0, 60))) for _ in range(60))]
     docs = table(spark, texts).repartition(5)
     pieces = packing.pack(docs, tokenizer_json(), length=length)
     rows = pieces.collect()
