@@ -41,6 +41,7 @@ def load_all() -> None:
         flow_plans,
         graph_plans,
         merging,
+        scan_plans,
         text_plans,
         vector_plans,
     )
