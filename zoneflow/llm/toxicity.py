@@ -42,16 +42,24 @@ class Grams:
     log_buckets: int = 20
 
 
-def word_features(words: list[str], grams: Grams) -> tuple[np.ndarray, np.ndarray]:
-    """(word, place) of every n-gram of every word."""
-    points, word, place = word_points(words)
-    found_words, found = [], []
-    for n, hashes in enumerate(ngram_hashes(points, grams.high), 1):
-        if n >= grams.low:
-            ok = place >= n - 1
-            found_words.append(word[ok])
-            found.append((mix64(hashes[ok]) >> np.uint64(64 - grams.log_buckets)).astype(np.int64))
-    return (np.concatenate(found_words), np.concatenate(found)) if found else (np.zeros(0, np.int64),) * 2
+def word_features(words: list[str], grams: Grams, numbers: np.ndarray | None = None, words_a_time: int = 1 << 14) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (word, feature) pairs of the words' n-grams, sorted; ``numbers`` maps places to features (-1: none), default: every place."""
+    pairs = []
+    for begin in range(0, len(words), words_a_time):  # every n-gram of so many words is held at once
+        points, word, place = word_points(words[begin : begin + words_a_time])
+        found = []
+        for n, hashes in enumerate(ngram_hashes(points, grams.high), 1):
+            if n >= grams.low:
+                ok = place >= n - 1
+                feature = (mix64(hashes[ok]) >> np.uint64(64 - grams.log_buckets)).astype(np.int64)
+                own = word[ok]
+                if numbers is not None:
+                    feature = numbers[feature]
+                    own, feature = own[feature >= 0], feature[feature >= 0]
+                found.append((own + begin) * (1 << 32) + feature)
+        pairs.append(np.unique(np.concatenate(found)))
+    own = np.concatenate(pairs) if pairs else np.zeros(0, np.int64)
+    return own >> 32, own & 0xFFFFFFFF
 
 
 def document_features(texts: pa.Array, grams: Grams, numbers: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -59,12 +67,7 @@ def document_features(texts: pa.Array, grams: Grams, numbers: np.ndarray | None
     offsets, codes, words = ascii_words(pc.utf8_lower(texts))
     pairs = np.unique(row_of(offsets) * max(len(words), 1) + codes)
     row, code = pairs // max(len(words), 1), pairs % max(len(words), 1)
-    word, feature = word_features(words.to_pylist(), grams)
-    if numbers is not None:
-        feature = numbers[feature]
-        word, feature = word[feature >= 0], feature[feature >= 0]
-    own = np.unique(word * (1 << 32) + feature)
-    word, feature = own >> 32, own & 0xFFFFFFFF
+    word, feature = word_features(words.to_pylist(), grams, numbers)
     starts = np.searchsorted(word, np.arange(len(words) + 1))
     sizes = np.diff(starts)[code]
     keep = sizes > 0
@@ -89,9 +92,9 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
 
 
-def log_count_ratios(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
-    """Smoothed log ratio of the document rates of each place; 0 where nothing is known."""
-    share = n_toxic / (n_toxic + n_clean)
+def log_count_ratios(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int, share: float | None = None) -> np.ndarray:
+    """Smoothed log ratio of the document rates of each place; 0 where nothing is known.  ``share``: of toxic documents, default: as counted."""
+    share = n_toxic / (n_toxic + n_clean) if share is None else share
     return np.log((toxic + share) / n_toxic) - np.log((clean + 1 - share) / n_clean)
 
 
@@ -105,15 +108,16 @@ def g_statistic(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int
     return 2 * out
 
 
-def fit_weights(row: np.ndarray, feature: np.ndarray, y: np.ndarray, ratios: np.ndarray, l2: float = 0.02, steps: int = 200) -> tuple[np.ndarray, float]:
-    """Logistic regression on features of value ``ratios``, both classes weighted by their rows, by Adam."""
+def fit_weights(row: np.ndarray, feature: np.ndarray, y: np.ndarray, ratios: np.ndarray, share: float, l2: float = 0.02, steps: int = 200) -> tuple[np.ndarray, float]:
+    """Logistic regression on features of value ``ratios`` by Adam; the rows of each class weigh together as much as its ``share`` (of class 1)."""
     x, n = ratios[feature], len(y)
-    w, b = np.zeros(len(ratios) + 1), np.log(y.mean() / (1 - y.mean()))
+    weigh = np.where(y > 0, share / y.mean(), (1 - share) / (1 - y.mean())) / n
+    w, b = np.zeros(len(ratios) + 1), np.log(share / (1 - share))
     w[-1] = b
     m, v = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, steps + 1):
         margin = w[-1] + np.bincount(row, weights=x * w[feature], minlength=n)
-        error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y) / n
+        error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y) * weigh
         g = np.empty_like(w)
         g[:-1] = np.bincount(feature, weights=x * error[row], minlength=len(ratios)) + l2 / max(1, len(ratios)) * w[:-1]
         g[-1] = error.sum()
@@ -133,9 +137,15 @@ def fit(
     max_features: int = 4096,
     least_g: float = 25.0,
 ) -> ToxicityModel:
-    """Fit on the documents of ``docs`` that ``labels`` marks; two passes over the bounded sample."""
+    """Fit on the documents of ``docs`` that ``labels`` marks; two passes over the bounded sample.
+
+    The sample thins each class by its own rate, so its rows are weighted back
+    to the shares of all labelled rows: the decision does not move with the bound.
+    """
     sc = docs.sparkSession.sparkContext
     marked = labels.where(F.col(label).isNotNull() & F.col(id_column).isNotNull()).groupBy(F.col(id_column).alias("id")).agg(F.max(label).cast("int").alias("y"))
+    totals = {r.y: r["count"] for r in marked.groupBy("y").count().collect()}
+    true_share = totals.get(1, 0) / max(1, sum(totals.values()))
     sample = bounded_sample(marked, "id", "y", max_rows, F.lit(1), seed=404)  # bounded, so it may be broadcast
     rows = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text")).join(F.broadcast(sample), "id").select("y", "text")
 
@@ -164,7 +174,7 @@ def fit(
     order = np.lexsort((place, -g))[:max_features]
     order = order[g[order] >= least_g]
     numbers[place[order]] = np.arange(len(order))
-    ratios = log_count_ratios(toxic[order], clean[order], n_toxic, n_clean)
+    ratios = log_count_ratios(toxic[order], clean[order], n_toxic, n_clean, true_share)
     shared = sc.broadcast(numbers)
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,7 +190,7 @@ def fit(
     starts = lists.offsets.to_numpy()
     feature = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
     y = table.column("y").to_numpy().astype(float)
-    weights, bias = fit_weights(row_of(starts - starts[0]), feature, y, ratios)
+    weights, bias = fit_weights(row_of(starts - starts[0]), feature, y, ratios, true_share)
     return ToxicityModel(grams, numbers, weights, bias)
 
 
@@ -192,7 +202,7 @@ def score(docs: DataFrame, model: ToxicityModel, id_column: str = "doc_id", text
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, texts in keyed_slices(batch, text, max_bytes=8 << 20):
+            for key, texts in keyed_slices(batch, text, max_bytes=4 << 20):
                 s = shared.value.score(texts)
                 yield pa.RecordBatch.from_arrays([key, pa.array(s), pa.array((s >= 0.5).astype(np.int32))], schema.fieldNames())
 
