@@ -31,7 +31,9 @@ d(x + y) = floor((x + y) (q - p) / (q + p)) for sizes x and y.
   all.  Pairs pass the bounds of the sizes and of a short bit sketch (its
   Hamming distance also lower-bounds the difference) before sets are fetched
   and the similarity is computed exactly.  A group whose families are all in
-  one class then is settled; the nodes of others are compared across classes.
+  one class then is settled.  In the others, nodes outside the largest class are
+  compared with a few of its nodes first, and what still is apart then is
+  compared across classes.
 * Classes are connected components, by alternating large-star and small-star
   rounds.
 
@@ -55,7 +57,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -217,7 +219,7 @@ def _described(rows: DataFrame, width: int, local_share: float = 0.002, local_le
         chunks = counters.reshape(-1, 1 << LOG_CHUNK)
         used = np.flatnonzero(chunks.any(1))
         if len(used):
-            none = pa.nulls(len(used), pa.null()).cast(id_type)
+            none = pa.nulls(len(used), id_type)
             yield _batch(1, none, used, np.full(len(used), TaskContext.get().partitionId()), None, None, [chunks[c].astype("<u4").tobytes() for c in used])
 
     id_type = to_arrow_type(rows.schema["id"].dataType)
@@ -398,30 +400,39 @@ def _linked(pairs: DataFrame, rows: DataFrame, width: int, threshold: Threshold)
             ok = [linked(np.frombuffer(x.as_py(), "<u8"), np.frombuffer(y.as_py(), "<u8"), threshold) for x, y in zip(batch.column("set_a"), batch.column("set_b"), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    sets = rows.mapInArrow(sets_of, "node long, shingles binary").dropDuplicates(["node"])
+    sets = materialize(spark, rows.mapInArrow(sets_of, "node long, shingles binary").dropDuplicates(["node"]), "jaccard-sets")
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
     return pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "set_a", "set_b").mapInArrow(intersect, "a long, b long")
 
 
-def _across_classes(groups: DataFrame, labels: DataFrame, nodes: DataFrame, threshold: Threshold) -> DataFrame | None:
-    """Pairs of nodes of different classes in the groups that their firsts have not settled, or None without such a group."""
-    spark = groups.sparkSession
+def _open_members(groups: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame | None:
+    """The nodes of the groups that their firsts have not settled (several classes), with their classes; None without such a group."""
     left_over = groups.where("kind = 2").dropDuplicates(["a"])
     class_of = F.coalesce("component", "node")
     firsts = left_over.select("a", F.explode("firsts").alias("node")).join(labels, "node", "left").groupBy("a").agg(F.min(class_of).alias("x"), F.max(class_of).alias("y"))
     open_groups = firsts.where("x <> y").select("a")
     members = left_over.join(open_groups, "a", "left_semi").select(F.col("a").alias("grp"), F.explode(F.arrays_zip("nodes", "leaders")).alias("m")).select("grp", F.col("m.nodes").alias("node"))
-    members = materialize(spark, members.join(labels, "node", "left").select("grp", "node", class_of.alias("component")).join(nodes.select("node", "n", "sketch"), "node"), "jaccard-open")
-    if members.isEmpty():
-        return None
+    members = members.join(labels, "node", "left").select("grp", "node", class_of.alias("component")).join(nodes.select("node", "n", "sketch"), "node")
+    members = materialize(groups.sparkSession, members, "jaccard-open")
+    return None if members.isEmpty() else members
+
+
+def _across_classes(members: DataFrame, threshold: Threshold, centres: int | None = None) -> DataFrame:
+    """Pairs of nodes of different classes in open groups; with ``centres``, only those with one of so many nodes of the group's largest class."""
     # the largest class of a group is not compared with itself: only the others look for partners
     sizes = members.groupBy("grp", "component").count()
     largest = sizes.groupBy("grp").agg(F.max_by("component", F.struct("count", "component")).alias("largest"))
-    seekers = members.join(largest, "grp").where("component <> largest").select("grp", "largest", *(F.col(c).alias(f"u_{c}") for c in ("node", "component", "n", "sketch")))
+    known = members.join(largest, "grp")
+    seekers = known.where("component <> largest").select("grp", "largest", *(F.col(c).alias(f"u_{c}") for c in ("node", "component", "n", "sketch")))
+    partners = members
+    if centres:
+        # the smallest nodes of a class: nodes are hashes, and groups that share members share centres
+        place = F.row_number().over(Window.partitionBy("grp").orderBy("node"))
+        partners = known.where("component = largest").withColumn("place", place).where(F.col("place") <= centres).drop("place", "largest")
     across = (F.col("u_component") != F.col("component")) & ((F.col("component") == F.col("largest")) | (F.col("u_node") < F.col("node")))
     near = _near(F.col("u_n"), F.col("n"), F.col("u_sketch"), F.col("sketch"), threshold)
-    pairs = seekers.join(members, "grp").where(across & near)
+    pairs = seekers.join(partners, "grp").where(across & near)
     return pairs.select(F.least("u_node", "node").alias("a"), F.greatest("u_node", "node").alias("b")).distinct()
 
 
@@ -458,6 +469,7 @@ def similar_groups(
     width: int = 5,
     threshold: Threshold = Threshold(),
     small_group: int = 4,
+    centres: int = 8,
     max_leaders: int = 1024,
     leader_bytes: int = 16 << 20,
 ) -> DataFrame:
@@ -489,11 +501,15 @@ def similar_groups(
     pairs = materialize(spark, _possible(groups.where("kind = 0").select("a", "b").distinct(), nodes, threshold), "jaccard-pairs")
     links = materialize(spark, edges.unionByName(_linked(pairs, rows, width, threshold)), "jaccard-links")
     labels = components(links)
-    across = _across_classes(groups, labels, nodes, threshold)
-    if across is not None:
-        more = materialize(spark, across.join(pairs, ["a", "b"], "left_anti"), "jaccard-pairs")
+    # a few nodes of a group's largest class settle most of what is left; the last step compares the rest with all
+    for some in (centres, None):
+        members = _open_members(groups, labels, nodes)
+        if members is None:
+            break
+        more = materialize(spark, _across_classes(members, threshold, some).join(pairs, ["a", "b"], "left_anti"), "jaccard-pairs")
         if not more.isEmpty():
             links = materialize(spark, links.unionByName(_linked(more, rows, width, threshold)), "jaccard-links")
+            pairs = pairs.unionByName(more)
             labels = components(links)
 
     named = nodes.select("node", "best").join(labels, "node")
