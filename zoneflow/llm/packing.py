@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,25 +42,60 @@ from zoneflow.llm.bpe import _flat_gather
 from zoneflow.llm.common import ascii_words, keyed_rows, keyed_slices
 from zoneflow.session import materialize
 
-WORDS_A_CALL = 8192
+WORDS_A_CALL, KEPT_WORDS = 8192, 400_000
+# ASCII punctuation without the apostrophe, after an ASCII letter
+ENDING = r"([A-Za-z])[!-&(-/:-@\[-`{-~]+$"
 BROADCAST_PARTITIONS = 1 << 20
 
 
-def word_ids(tokenizer, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of each word, one after the other, and where each word's begin."""
-    lists = [e.ids for i in range(0, len(words), WORDS_A_CALL) for e in tokenizer.encode_batch_fast(words[i : i + WORDS_A_CALL], add_special_tokens=False)]
-    starts = np.concatenate([[0], np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)))])
-    return np.fromiter((i for ids in lists for i in ids), np.int64, int(starts[-1])), starts
+class WordIds:
+    """Ids of words, kept for the words to come as long as there are at most ``KEPT_WORDS``."""
 
+    def __init__(self, tokenizer):
+        self.tokenizer, self.known = tokenizer, {}
 
-def encode_texts(tokenizer, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The words' ids, one after the other, and where each word's begin (one more than words)."""
+        new = [w for w in words if w not in self.known]
+        if len(self.known) + len(new) > KEPT_WORDS:
+            self.known, new = {}, words
+        for i in range(0, len(new), WORDS_A_CALL):
+            some = new[i : i + WORDS_A_CALL]
+            for word, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                self.known[word] = np.array(found.ids, "<u4").tobytes()
+        lists = [self.known[w] for w in words]
+        starts = np.concatenate([[0], np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)))]) // 4
+        return np.frombuffer(b"".join(lists), "<u4").astype(np.int64), starts
+
+
+def word_units(words: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Words as stems and endings: the distinct units, the units of all words (one after the other), and where each word's begin.
+
+    The tokenizer lower-cases and always cuts between an ASCII letter and
+    ASCII punctuation without an apostrophe, so "Word" and "word," share a unit.
+    Only ASCII words are lower-cased here: others compose first.
+    """
+    words = pc.if_else(pc.string_is_ascii(words), pc.ascii_lower(words), words)
+    stems = pc.replace_substring_regex(words, ENDING, r"\1")
+    ended = np.flatnonzero(pc.not_equal(pc.binary_length(stems), pc.binary_length(words)).to_numpy(zero_copy_only=False))
+    endings = pc.replace_substring_regex(words.take(pa.array(ended)), "^.*[A-Za-z]", "")
+    units = pa.concat_arrays([stems, endings]).dictionary_encode()
+    codes = units.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    n = len(words)
+    return units.dictionary, np.insert(codes[:n], ended + 1, codes[n:]), np.arange(n + 1) + np.searchsorted(ended, np.arange(n + 1))
+
+
+def encode_texts(word_ids: WordIds, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """All texts' ids (little-endian, 32 bits), each text closed by ``end_id``, and the place where each begins (one more than texts).
 
     The tokenizer drops white space and never joins over it, so each distinct
     word is encoded once.
     """
     offsets, codes, words = ascii_words(texts)
-    flat, starts = word_ids(tokenizer, words.to_pylist())
+    units, parts, first = word_units(words)
+    flat, starts = word_ids(units.to_pylist())
+    sizes = np.concatenate([[0], np.cumsum(np.diff(starts)[parts])])
+    flat, starts = _flat_gather(parts, starts, flat), sizes[first]
     ends = np.concatenate([[0], np.cumsum(np.diff(starts)[codes])])[offsets]
     ids = np.insert(_flat_gather(codes, starts, flat), ends[1:], end_id).astype("<u4")
     return ids, ends + np.arange(len(ends))
@@ -81,10 +117,11 @@ def encode(docs: DataFrame, tokenizer_json: str, end_id: int, text: str = "text"
 
         tokenizer = Tokenizer.from_str(shared.value)
         tokenizer.encode_special_tokens = True
+        word_ids = WordIds(tokenizer)
         part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for key, texts in keyed_slices(batch, text, max_bytes=4 << 20):
-                ids, places = encode_texts(tokenizer, texts, end_id)
+            for key, texts in keyed_slices(batch, text, max_bytes=8 << 20):
+                ids, places = encode_texts(word_ids, texts, end_id)
                 n = len(texts)
                 blobs = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((4 * places).astype(np.int32).tobytes()), pa.py_buffer(ids.tobytes())])
                 yield pa.RecordBatch.from_arrays([pa.array([part] * n, pa.int32()), key, pa.array(before + places[:-1], pa.int64()), pa.array(np.diff(places), pa.int64()), blobs], schema.names)
