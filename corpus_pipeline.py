@@ -20,6 +20,7 @@ from zoneflow.llm.queries import BPE_RANKS, table, without_labels
 from zoneflow.session import scratch_path
 
 ORACLE_SQL = None
+KEY = "near_copy_key__"
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,12 +40,18 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one whose id names the group, one row of it."""
-    groups = jaccard.similar_groups(docs)
-    # rows whose id is null, or whose text has no shingle and so no group, stay as they are
-    drop = groups.where("n_shingles > 0 and doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(drop, "doc_id", "left_anti")
-    return kept.select(*docs.columns)
+    """One row of each group of near copies: that of the smallest id (null only if there is no other).
+
+    Rows are told apart by id and text, so ids may repeat or be null.  Texts
+    without a shingle belong to no group and stay.
+    """
+    keyed = docs.withColumn(KEY, F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text")))
+    groups = jaccard.similar_groups(keyed, id_column=KEY).where("n_shingles > 0")
+    lost = groups.where(F.col(KEY) != F.col("component_id")).select(KEY).distinct()
+    repeated = groups.where(F.col(KEY) == F.col("component_id")).groupBy(KEY).count().where("count > 1").select(KEY)
+    kept = keyed.join(lost, KEY, "left_anti")
+    once = kept.join(repeated, KEY, "left_semi").dropDuplicates([KEY])
+    return kept.join(repeated, KEY, "left_anti").unionByName(once).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
