@@ -144,6 +144,42 @@ def incremental_stream(spark, d):
     return arrivals.read_units(spark, target).select(*events.columns)
 
 
+def _loaded_events(spark, d):
+    """Events as daily folders, loaded into daily Parquet; the first day."""
+    events, day = table(spark, d, "events"), F.to_date("ts")
+    source, target, checkpoint = (scratch_path(spark, n) for n in ("events-in", "events-loaded", "events-checkpoint"))
+    arrivals.deliver(events, day, source)
+    arrivals.load_arrivals(spark, source, events.schema, target, checkpoint, ["event_id"], day)
+    return events.columns, target, events.agg(F.min(day)).first()[0]
+
+
+@register("units_as_of", "SELECT * FROM events WHERE CAST(ts AS DATE) <= (SELECT min(CAST(ts AS DATE)) FROM events) + INTERVAL 14 DAY")
+def units_as_of(spark, d):
+    """S5 + S4: the loaded table as it was after its fifteenth day, by pruned partitions."""
+    columns, target, first = _loaded_events(spark, d)
+    return arrivals.read_units(spark, target, upto=first + timedelta(days=14)).select(*columns)
+
+
+@register(
+    "units_range",
+    "SELECT * FROM events WHERE CAST(ts AS DATE) > (SELECT min(CAST(ts AS DATE)) FROM events) + INTERVAL 5 DAY AND CAST(ts AS DATE) <= (SELECT min(CAST(ts AS DATE)) FROM events) + INTERVAL 12 DAY",
+)
+def units_range(spark, d):
+    """What came after one unit and up to another."""
+    columns, target, first = _loaded_events(spark, d)
+    return arrivals.read_units(spark, target, after=first + timedelta(days=5), upto=first + timedelta(days=12)).select(*columns)
+
+
+@register(
+    "units_history",
+    "SELECT CAST(ts AS DATE) AS unit, count(*) AS n_rows, CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events) AS is_latest FROM events GROUP BY CAST(ts AS DATE)",
+)
+def units_history(spark, d):
+    """S7 + T5: what each load brought, and the latest."""
+    _, target, _ = _loaded_events(spark, d)
+    return arrivals.unit_history(spark, target)
+
+
 @register("snapshot_read", "SELECT * FROM orders WHERE o_orderstatus = 'F'")
 def snapshot_read(spark, d):
     """S5 + K3 + K1: v0 all orders, v1 overwrite with finished orders, v2

@@ -6,7 +6,8 @@ delivered before are dropped by the state store, which remembers a key for
 by unit (a day, say) through the file sink.  Sources, state and sink share one
 checkpoint, so a run that was killed at any point goes on where it stopped and
 every row is written exactly once.  There is no control table and no commit
-log besides Spark's own.
+log besides Spark's own.  The units stand in for versions: a state as of a unit, an
+increment and the history of loads are filters and counts over partitions.
 
 The watermark runs on the arrival time of files, not on the rows' own times: a
 row that is late by its own time is still loaded.
@@ -73,6 +74,13 @@ def read_units(spark: SparkSession, target: str, after=None, upto=None) -> DataF
     return rows
 
 
+def unit_history(spark: SparkSession, target: str) -> DataFrame:
+    """What has been loaded so far: each unit's rows, and whether it is the latest."""
+    units = spark.read.parquet(target).groupBy(UNIT).agg(F.count("*").alias("n_rows"))
+    latest = units.agg(F.max(UNIT).alias("latest"))  # one row
+    return units.crossJoin(F.broadcast(latest)).select(UNIT, "n_rows", (F.col(UNIT) == F.col("latest")).alias("is_latest"))
+
+
 def deliver(rows: DataFrame, unit: Column, source: str) -> None:
     """Adds ``rows`` to a folder of arriving files, a folder for each unit; large units become several files."""
     rows.withColumn(UNIT, unit).hint("rebalance", UNIT).write.partitionBy(UNIT).mode("append").parquet(source)
