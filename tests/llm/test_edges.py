@@ -1,5 +1,6 @@
 """What the operators promise about table size, repeated rows and unknown ids."""
 
+import hashlib
 import os
 import random
 import sys
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
 import corpus_pipeline  # noqa: E402
-from zoneflow.llm import langid, toxicity, urlgraph  # noqa: E402
+from zoneflow.llm import jaccard, langid, quality, queries, toxicity, urlgraph  # noqa: E402
 from zoneflow.llm.common import bounded_sample  # noqa: E402
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -139,3 +140,75 @@ def test_stages_of_an_empty_table(spark, tables):
     docs = spark.read.parquet(f"{tables}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, tables).where(F.lit(True)).count() == 0, name
+
+
+# --- every operator on odd tables -----------------------------------------------------------
+
+ODD = "doc_id long, text string, lang string, key string, score double, predicted int, node long, block long, item long"
+
+
+def odd(spark, texts, ids=None):
+    ids = range(len(texts)) if ids is None else ids
+    return spark.createDataFrame([(i, t, "en", "k", 9.0, 9, 9, 9, 9) for i, t in zip(ids, texts, strict=True)], ODD)
+
+
+def test_language_id_ties_repeats_and_empty_tables(spark):
+    train = spark.createDataFrame([(i, "abc cab bca", lang) for i, lang in enumerate(["yy", "xx"] * 9)], "doc_id long, text string, lang string")
+    model = langid.fit(train)  # too few texts to set any apart: equal models
+    docs = odd(spark, ["abc cab", "abc cab", None, "a" * 200_000, ""], [1, 1, 2, None, None])
+    out = [(r.doc_id, r.lang_pred, r.score) for r in langid.predict(docs, model).collect()]
+    assert Counter(p for _, p, _ in out) == {"xx": 3, "und": 2}  # the smaller name
+    assert out[0] == out[1] and langid.predict(docs.limit(0), model).count() == 0
+
+
+def test_classifiers_on_long_repeated_and_no_rows(spark):
+    rng = random.Random(7)
+    texts = [prose(rng, 30) + (" vilewretch" if i % 5 == 0 else "") for i in range(100)]
+    docs = odd(spark, texts)
+    toxic = toxicity.fit(docs, spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(100)], "doc_id long, toxic int"))
+    good = quality.fit(docs, spark.createDataFrame([(i, 1) for i in range(0, 60, 2)], "doc_id long, quality int"))
+    asked = odd(spark, ["x" * 3_000_000, "vilewretch " * 100_000, "same text", "same text", None, ""], [1, 2, 3, 3, None, None])
+    for module, model in ((toxicity, toxic), (quality, good)):
+        rows = module.score(asked, model).collect()
+        assert len(rows) == 6 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
+        assert len({r.score for r in rows if r.doc_id == 3}) == 1 and len({r.score for r in rows if r.doc_id is None}) == 1
+        assert module.score(asked.limit(0), model).count() == 0
+    assert {r.doc_id: r.predicted for r in toxicity.score(asked, toxic).collect()}[2] == 1
+
+
+def test_urls_with_a_very_long_body(spark):
+    link = '<a href="https://bad.net/">x</a>'
+    pages = spark.createDataFrame([(1, "http://far.org/", "y" * 2_000_000 + link * 20_000), (1, "http://far.org/", None)], "page_id long, url string, html string")
+    out = urlgraph.judge(pages.withColumn("verdict", F.lit("x")).withColumn("trust", F.lit(1)), [urlgraph.Rule("block", "bad.net", "/")]).collect()
+    assert [(r.page_id, r.host, r.verdict) for r in out] == [(1, "far.org", "allow")] * 2  # bad.net has no page that a rule blocks
+    both = pages.unionByName(spark.createDataFrame([(2, "http://bad.net/x", None)], pages.schema))
+    assert {r.verdict for r in urlgraph.judge(both, [urlgraph.Rule("block", "bad.net", "/")]).collect()} == {"block"}
+
+
+def test_chat_of_odd_conversations(spark, tmp_path):
+    rows = [(1, None, "user", "b"), (1, 0, "assistant", "x"), (1, 0, "assistant", "x"), (1, 0, "assistant", "a"), (2, 3, None, None), (None, 1, "user", "h\\i<#"), (3, 1, "assistant", "z" * 300_000)]
+    schema = "conv_id long, turn long, role string, text string"
+    frame = spark.createDataFrame(rows, schema)
+    frame.withColumns({"formatted": F.lit("x"), "turns": F.lit(1), "record": F.lit(2)}).write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {r.conv_id: r for r in queries.op8_chat_format(spark, str(tmp_path)).collect()}
+    groups = {}
+    for conv, turn, role, text in rows + [(-7, i, r, "\\### Assistant: </turn> ok") for i, r in enumerate(("user", "assistant"))]:
+        groups.setdefault(conv, []).append((turn is not None, turn or 0, role or "", text or ""))
+    assert set(got) == set(groups)
+    for conv, turns in groups.items():
+        turns.sort()
+        said, loss = "".join(f"{r}\n{t}\n" for _, _, r, t in turns), "".join(t for _, _, r, t in turns if r == "assistant")
+        r = got[conv]
+        assert (r.n_turns, r.turns_sha256) == (len(turns), hashlib.sha256(said.encode()).hexdigest())
+        assert (r.loss_chars, r.loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    frame.limit(0).write.parquet(f"{tmp_path}/none/conversations.parquet")
+    assert [r.conv_id for r in queries.op8_chat_format(spark, f"{tmp_path}/none").collect()] == [-7]
+
+
+def test_groups_of_unknown_ids(spark):
+    rng = random.Random(8)
+    t, u = prose(rng, 60), prose(rng, 60)
+    near = " ".join([*t.split()[:-1], "other"])
+    docs = odd(spark, [t, near, u, u, None, "", "one two"], [None, 5, None, None, None, 6, None])
+    rows = [(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.similar_groups(docs).collect()]
+    assert Counter(rows) == Counter([(None, 56, 5), (5, 56, 5), (None, 56, None), (None, 56, None), (None, 0, None), (6, 0, 6), (None, 1, None)])
