@@ -26,7 +26,7 @@ def test_entry_has_every_corpus_query():
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} <= {x.split("_")[0] for x in names} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {x.split("_")[0] for x in names} and "pipeline" in names
     assert set(entry.oracle_sql()) <= names
 
 
