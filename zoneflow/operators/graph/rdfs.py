@@ -16,9 +16,10 @@ the set ``distinct`` and that of the type pairs.  The result is a fix-point.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from zoneflow.session import materialize as write_table
@@ -35,22 +36,33 @@ from zoneflow.operators.graph.tbox import (
 )
 
 
-def hierarchy_closure(spark: SparkSession, tbox: DataFrame, predicate: str) -> DataFrame:
-    """Transitive closure (sub, sup) of subClassOf / subPropertyOf.
+def hierarchy_closures(spark: SparkSession, tbox: DataFrame, predicates: Sequence[str]) -> DataFrame:
+    """Transitive closures (rule, sub, sup) of subClassOf and subPropertyOf, side by side.
 
     Path doubling: each round joins the pairs found so far with themselves, so
     a chain of depth d takes about log2(d) rounds; pairs are a set, so a cycle
     ends it too (its members then are above themselves).  Each round is a
-    table in the shared folder."""
-    statements = tbox.where(F.col("predicate") == predicate)
-    pairs = write_table(spark, statements.select(F.col("subject").alias("sub"), F.col("object").alias("sup")).distinct(), "rdfs-closure")
-    known, before = pairs.count(), -1
-    while known != before:
-        further = pairs.select(F.col("sub").alias("sup"), F.col("sup").alias("above"))
-        longer = pairs.join(further, "sup").select("sub", F.col("above").alias("sup"))
-        pairs = write_table(spark, pairs.unionByName(longer).distinct(), "rdfs-closure")
-        known, before = pairs.count(), known
-    return pairs
+    table in the shared folder, counted while it is written."""
+
+    def written(pairs: DataFrame) -> tuple[DataFrame, int]:
+        size = Observation()
+        out = write_table(spark, pairs.distinct().observe(size, F.count(F.lit(1)).alias("n")), "rdfs-closure")
+        return out, size.get["n"]
+
+    statements = tbox.where(F.col("predicate").isin(*predicates))
+    pairs, known = written(statements.select(F.col("predicate").alias("rule"), F.col("subject").alias("sub"), F.col("object").alias("sup")))
+    while True:
+        further = pairs.select("rule", F.col("sub").alias("sup"), F.col("sup").alias("above"))
+        longer = pairs.join(further, ["rule", "sup"]).select("rule", "sub", F.col("above").alias("sup"))
+        pairs, n = written(pairs.unionByName(longer))
+        if n == known:
+            return pairs
+        known = n
+
+
+def hierarchy_closure(spark: SparkSession, tbox: DataFrame, predicate: str) -> DataFrame:
+    """Transitive closure (sub, sup) of subClassOf or subPropertyOf."""
+    return hierarchy_closures(spark, tbox, [predicate]).select("sub", "sup")
 
 
 def _iri_triple(s, p, o) -> list:
@@ -62,8 +74,8 @@ def materialize(spark: SparkSession, abox: DataFrame, tbox: DataFrame) -> DataFr
     # Schema-sized tables are written first: their size is then known, and Spark
     # broadcasts them below its threshold and shuffles beyond it.
     tb = write_table(spark, tbox.select(*TRIPLE_COLS), "rdfs-tbox")
-    sub_prop = hierarchy_closure(spark, tb, RDFS_SUBPROPERTY)
-    sub_cls = hierarchy_closure(spark, tb, RDFS_SUBCLASS)
+    closures = hierarchy_closures(spark, tb, [RDFS_SUBPROPERTY, RDFS_SUBCLASS])
+    sub_prop, sub_cls = (closures.where(F.col("rule") == r).select("sub", "sup") for r in (RDFS_SUBPROPERTY, RDFS_SUBCLASS))
     supers = write_table(spark, sub_cls.groupBy("sub").agg(F.collect_set("sup").alias("supers")), "rdfs-supers")
 
     def classes_by(rule: str, prefix: str) -> DataFrame:
