@@ -42,30 +42,60 @@ from zoneflow.llm.bpe import _flat_gather
 from zoneflow.llm.common import ascii_words, keyed_rows, keyed_slices
 from zoneflow.session import materialize
 
-WORDS_A_CALL, KEPT_WORDS = 8192, 400_000
+WORDS_A_TEXT, WORDS_A_CALL, KEPT_WORDS = 64, 1 << 15, 400_000
+MARK = "\x01"
 # ASCII punctuation without the apostrophe, after an ASCII letter
 ENDING = r"([A-Za-z])[!-&(-/:-@\[-`{-~]+$"
 BROADCAST_PARTITIONS = 1 << 20
 
 
 class WordIds:
-    """Ids of words, kept for the words to come as long as there are at most ``KEPT_WORDS``."""
+    """Ids of words, kept for the words to come as long as there are at most ``KEPT_WORDS``.
 
-    def __init__(self, tokenizer):
-        self.tokenizer, self.known = tokenizer, {}
+    Words are encoded many to a text, with a mark between them that is one id and that no such word holds.
+    """
 
-    def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The words' ids, one after the other, and where each word's begin (one more than words)."""
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+        alone = tokenizer.encode(MARK, add_special_tokens=False).ids
+        self.mark = alone[0] if len(alone) == 1 else -1
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.flat, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, and how many each has."""
+        a_text = WORDS_A_TEXT if self.mark >= 0 else 1
+        between = f" {MARK} "
+        ids = []
+        for i in range(0, len(words), WORDS_A_CALL):
+            some = words[i : i + WORDS_A_CALL]
+            texts = [between.join(some[j : j + a_text]) + between * (a_text > 1) for j in range(0, len(some), a_text)]
+            ids += [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        if a_text == 1:
+            return np.concatenate(ids) if ids else self.flat[:0], np.array([len(x) for x in ids], np.int64)
+        flat = np.concatenate(ids) if ids else self.flat[:0]
+        marks = np.flatnonzero(flat == self.mark)
+        return np.delete(flat, marks), np.diff(marks, prepend=-1) - 1
+
+    def __call__(self, words: list[str]) -> np.ndarray:
+        """The words' numbers: word n has the ids flat[starts[n]:starts[n + 1]]."""
         new = [w for w in words if w not in self.known]
         if len(self.known) + len(new) > KEPT_WORDS:
-            self.known, new = {}, words
-        for i in range(0, len(new), WORDS_A_CALL):
-            some = new[i : i + WORDS_A_CALL]
-            for word, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.known[word] = np.array(found.ids, "<u4").tobytes()
-        lists = [self.known[w] for w in words]
-        starts = np.concatenate([[0], np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)))]) // 4
-        return np.frombuffer(b"".join(lists), "<u4").astype(np.int64), starts
+            self._forget()
+            new = words
+        plain = [w for w in new if MARK not in w]
+        flat, sizes = self._encode(plain)
+        marked = [w for w in new if MARK in w]
+        lists = [np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, np.uint32) for w in marked]
+        for word in (*plain, *marked):
+            self.known[word] = len(self.known)
+        self.flat = np.concatenate([self.flat, flat, *lists])
+        sizes = np.concatenate([np.diff(self.starts), sizes, np.array([len(x) for x in lists], np.int64)])
+        self.starts = np.concatenate([[0], np.cumsum(sizes)])
+        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
 
 def word_units(words: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -93,9 +123,9 @@ def encode_texts(word_ids: WordIds, texts: pa.Array, end_id: int) -> tuple[np.nd
     """
     offsets, codes, words = ascii_words(texts)
     units, parts, first = word_units(words)
-    flat, starts = word_ids(units.to_pylist())
-    sizes = np.concatenate([[0], np.cumsum(np.diff(starts)[parts])])
-    flat, starts = _flat_gather(parts, starts, flat), sizes[first]
+    parts = word_ids(units.to_pylist())[parts]
+    sizes = np.concatenate([[0], np.cumsum(np.diff(word_ids.starts)[parts])])
+    flat, starts = _flat_gather(parts, word_ids.starts, word_ids.flat), sizes[first]
     ends = np.concatenate([[0], np.cumsum(np.diff(starts)[codes])])[offsets]
     ids = np.insert(_flat_gather(codes, starts, flat), ends[1:], end_id).astype("<u4")
     return ids, ends + np.arange(len(ends))
