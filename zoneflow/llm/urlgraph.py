@@ -6,7 +6,8 @@ decides.  Pages without a rule get the verdict of their host: hosts are
 connected by the absolute links of their pages, trust spreads along the links
 from hosts in proportion to their allowed pages, distrust spreads against them
 from hosts in proportion to their blocked pages (a page that links to a bad
-host is suspect), both as personalised PageRank by a fixed number of rounds.
+host is suspect), both as personalised PageRank, in rounds until every host has
+settled.
 A host is blocked if distrust makes up at least ``threshold`` of its trust and
 distrust together; a host that neither reaches is allowed.
 
@@ -23,6 +24,7 @@ occur; links of a host to itself do not count.  Other columns are ignored.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,8 +74,11 @@ def host_edges(pages: DataFrame, host: str, html: str) -> DataFrame:
     return links.groupBy("source", "target").agg(F.count("*").alias("links"))
 
 
-def spread_trust(seeds: DataFrame, edges: DataFrame, rounds: int, damping: float) -> DataFrame:
-    """(host, trust, distrust) from (host, allowed, blocked) shares after ``rounds`` rounds."""
+def spread_trust(seeds: DataFrame, edges: DataFrame, rounds: int | None, damping: float, tolerance: float = 1e-6) -> DataFrame:
+    """(host, trust, distrust) from (host, allowed, blocked) shares after ``rounds`` rounds.
+
+    None: as many as it takes until no host is newly reached and none changes by more than ``tolerance`` of its value.
+    """
     spark = seeds.sparkSession
     start = seeds.select("host", F.col("allowed").alias("trust"), F.col("blocked").alias("distrust"))
     edges = materialize(spark, edges, "urls-edges")
@@ -86,21 +91,27 @@ def spread_trust(seeds: DataFrame, edges: DataFrame, rounds: int, damping: float
     ends = shares.select(F.col("source").alias("host")).unionByName(shares.select(F.col("target").alias("host"))).distinct()
     base = materialize(spark, start.join(ends, "host", "full").select("host", F.coalesce("trust", F.lit(0.0)).alias("trust0"), F.coalesce("distrust", F.lit(0.0)).alias("distrust0")), "urls-base")
     state = base.select("host", *(((1 - damping) * F.col(f"{c}0")).alias(c) for c in ("trust", "distrust")))
-    for _ in range(rounds):
+    for _ in count() if rounds is None else range(rounds):
         forward = shares.join(state.select(F.col("host").alias("source"), "trust"), "source").select(F.col("target").alias("host"), (F.col("trust") * F.col("forward")).alias("t"), F.lit(0.0).alias("d"))
         backward = shares.join(state.select(F.col("host").alias("target"), "distrust"), "target").select(F.col("source").alias("host"), F.lit(0.0).alias("t"), (F.col("distrust") * F.col("backward")).alias("d"))
         got = forward.unionByName(backward).groupBy("host").agg(F.sum("t").alias("t"), F.sum("d").alias("d"))
-        new = base.join(got, "host", "left")
+        new = base.join(got, "host", "left").join(state.select("host", F.col("trust").alias("trust_was"), F.col("distrust").alias("distrust_was")), "host")
         state = materialize(
             spark,
             new.select(
                 "host",
                 ((1 - damping) * F.col("trust0") + damping * F.coalesce("t", F.lit(0.0))).alias("trust"),
                 ((1 - damping) * F.col("distrust0") + damping * F.coalesce("d", F.lit(0.0))).alias("distrust"),
+                "trust_was",
+                "distrust_was",
             ),
             "urls-round",
         )
-    return state
+        # a host that is reached anew changes by its whole value
+        moves = [F.abs(F.col(c) - F.col(f"{c}_was")) > tolerance * F.col(c) for c in ("trust", "distrust")]
+        if rounds is None and state.where(moves[0] | moves[1]).isEmpty():
+            break
+    return state.select("host", "trust", "distrust")
 
 
 def judge(
@@ -109,7 +120,7 @@ def judge(
     id_column: str = "page_id",
     url: str = "url",
     html: str = "html",
-    rounds: int = 12,
+    rounds: int | None = None,
     damping: float = 0.6,
     threshold: float = 0.5,
 ) -> DataFrame:
