@@ -207,7 +207,10 @@ def fit(
     """Models of every language of ``docs`` (rows that may train), from bounded samples."""
     rows = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"), F.col(language).alias("language")).where(F.col("text").isNotNull())
     chars = F.length("text").cast("long")
-    sample = bounded_sample(rows, "id", "language", max_train_chars, chars, seed=101)
+    # a tenth of the texts (by id and text) is kept out of training, to calibrate with; languages of few texts train with all
+    sizes = {r.language: r["count"] for r in rows.where(F.col("language").isNotNull()).groupBy("language").count().collect()}
+    kept_out = F.col("language").isin([x for x, n in sizes.items() if n >= 20]) & (F.pmod(F.xxhash64(F.lit(303), F.col("id"), F.col("text")), F.lit(10)) == 0)
+    sample = bounded_sample(rows.where(~kept_out), "id", "language", max_train_chars, chars, seed=101)
     # letters-only words are made the same way as in scoring, once for each distinct raw word
     raw = sample.select("language", F.explode(F.split("text", r"[ \t\n\x0b\f\r]+")).alias("word")).groupBy("language", "word").count()
     table = raw.toArrow()
@@ -222,7 +225,7 @@ def fit(
     if not languages:
         return LanguageModels([], None)
     out = LanguageModels(languages, Lookup.of([fit_model(sorted(by[x]), np.array([by[x][w] for w in sorted(by[x])]), order) for x in languages]))
-    held = bounded_sample(rows, "id", "language", max_calibration_chars, chars, seed=202).toArrow()
+    held = bounded_sample(rows.where(kept_out), "id", "language", max_calibration_chars, chars, seed=202).toArrow()
     if held.num_rows:
         entropy, n = entropies(out.models, plain_strings(held.column("text").combine_chunks()))
         truth = np.array([languages.index(x) if x in by else -1 for x in held.column("language").to_pylist()])
