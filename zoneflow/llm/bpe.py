@@ -120,7 +120,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], pattern_text: str):
     """(block, rows, distinct pre-tokens, numbers of each text) of a task's blocks."""
     pattern, seq, part = regex.compile(pattern_text), 0, TaskContext.get().partitionId()
     for batch in batches:
-        for piece in text_slices(batch, max_bytes=8 << 20):
+        for piece in text_slices(batch, max_bytes=8 << 20, give_back=True):
             words, codes = block_pretokens(plain_strings(piece.column("text")), pattern)
             h = hashlib.blake2b(f"{part} {seq} {len(words)}".encode(), digest_size=8)
             h.update("\0".join(words).encode())

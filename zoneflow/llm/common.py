@@ -3,6 +3,7 @@ word dictionaries of a slice and vectorised 64-bit hashes."""
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
 
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 12 << 20
+_LIBC = ctypes.CDLL(None)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -45,20 +47,32 @@ def bounded_sample(rows: DataFrame, id_column: str, class_column: str, bound: in
     return rows.where(keep)
 
 
-def text_slices(batch: pa.RecordBatch, column: str = "text", max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Zero-copy pieces of a batch whose texts hold at most about ``max_bytes``; a longer single text is a piece of its own."""
+def _give_back() -> None:
+    """Returns freed memory to the system: workers live on and do one stage after another."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
+
+
+def text_slices(batch: pa.RecordBatch, column: str = "text", max_bytes: int = SLICE_BYTES, give_back: bool = False) -> Iterator[pa.RecordBatch]:
+    """Zero-copy pieces of a batch whose texts hold at most about ``max_bytes``; a longer single text is a piece of its own.
+
+    With ``give_back``, memory that was freed before a piece goes back to the system."""
     if not batch.num_rows:
         return
+    tidy = _give_back if give_back else pa.default_memory_pool().release_unused
+    if give_back:
+        tidy()
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
     for i, size in enumerate(sizes.tolist()):
         if i > start and held + size > max_bytes:
             yield batch.slice(start, i - start)
-            pa.default_memory_pool().release_unused()
+            tidy()
             start, held = i, 0
         held += size
     yield batch.slice(start)
-    pa.default_memory_pool().release_unused()
+    tidy()
 
 
 def keyed_rows(docs: DataFrame, id_column: str, keep: tuple[str, ...], text: str) -> DataFrame:
@@ -70,7 +84,7 @@ def keyed_rows(docs: DataFrame, id_column: str, keep: tuple[str, ...], text: str
 def keyed_slices(batch: pa.RecordBatch, text: str, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[pa.Array, pa.Array]]:
     """(key, texts without nulls) of the pieces of a batch of ``keyed_rows``."""
     own = batch.column("text") if "text" in batch.schema.names else batch.column("key").field(text)
-    for piece in text_slices(pa.RecordBatch.from_arrays([batch.column("key"), own], ["key", "text"]), max_bytes=max_bytes):
+    for piece in text_slices(pa.RecordBatch.from_arrays([batch.column("key"), own], ["key", "text"]), max_bytes=max_bytes, give_back=True):
         yield piece.column("key"), plain_strings(piece.column("text"))
 
 

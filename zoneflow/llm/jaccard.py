@@ -37,7 +37,7 @@ d(x + y) = floor((x + y) (q - p) / (q + p)) for sizes x and y.
 * Classes are connected components, by alternating large-star and small-star
   rounds.
 
-Sketch rows travel packed by block (about 12 MB of text) and hash bucket, and a
+Sketch rows travel packed by block (about 8 MB of text) and hash bucket, and a
 block sends one row a node and segment value however often a text repeats in
 it.  Intermediate tables lie in the shared checkpoint folder.
 
@@ -67,6 +67,7 @@ from zoneflow.session import materialize
 SKETCH_WORDS = 16  # 64-bit words of the short bit sketch
 SEED = np.uint64(0xC2B2AE3D27D4EB4F)
 LOG_COUNTERS, LOG_CHUNK = 20, 14
+LOOK_BYTES, BLOCK_BYTES = 6 << 20, 8 << 20  # of text that a task works on at a time
 
 
 @dataclass(frozen=True)
@@ -199,7 +200,7 @@ def _described(rows: DataFrame, width: int, local_share: float = 0.002, local_le
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters = np.zeros(1 << LOG_COUNTERS, np.int64)
         for batch in batches:
-            for piece in text_slices(batch):
+            for piece in text_slices(batch, max_bytes=LOOK_BYTES, give_back=True):
                 sets, nodes, first = _distinct_sets(piece, width)
                 low = [int(s[0].view(np.int64)) if len(s) else 0 for s in sets]
                 words = np.stack([bit_sketch(s) for s in sets])
@@ -270,7 +271,7 @@ def _packed_signatures(rows: DataFrame, plan: Plan) -> DataFrame:
         plan = shared.value
         shift = np.uint64(64 - plan.log_buckets)
         for batch in batches:
-            for piece in text_slices(batch):
+            for piece in text_slices(batch, max_bytes=BLOCK_BYTES, give_back=True):
                 sets, _, first = _distinct_sets(piece, plan.width)
                 if not first:
                     continue
@@ -385,7 +386,7 @@ def _linked(pairs: DataFrame, rows: DataFrame, width: int, threshold: Threshold)
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in text_slices(batch):
+            for piece in text_slices(batch, max_bytes=LOOK_BYTES, give_back=True):
                 sets, _, first = _distinct_sets(piece, width)
                 nodes = np.fromiter(first, np.int64, len(first))
                 at = mix64(nodes.view(np.uint64)) >> shift

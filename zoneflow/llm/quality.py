@@ -227,7 +227,7 @@ def _measured(rows: DataFrame) -> DataFrame:
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in text_slices(batch):
+            for piece in text_slices(batch, give_back=True):
                 x = statistics(plain_strings(piece.column("text")))
                 values = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1]), pa.int32()), pa.array(x.ravel()))
                 yield pa.RecordBatch.from_arrays([piece.column("key"), values], ["key", "x"])

@@ -152,7 +152,7 @@ def fit(
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals, sizes = np.zeros((2, 1 << grams.log_buckets), np.int64), np.zeros(2, np.int64)
         for batch in batches:
-            for piece in text_slices(batch, max_bytes=1 << 20):  # every n-gram of a slice is held at once
+            for piece in text_slices(batch, max_bytes=1 << 20, give_back=True):  # every n-gram of a slice is held at once
                 y = piece.column("y").to_numpy(zero_copy_only=False)
                 row, place = document_features(plain_strings(piece.column("text")), grams)
                 for k in (0, 1):
@@ -179,7 +179,7 @@ def fit(
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in text_slices(batch):
+            for piece in text_slices(batch, max_bytes=4 << 20, give_back=True):
                 row, feature = document_features(plain_strings(piece.column("text")), grams, shared.value)
                 starts = np.searchsorted(row, np.arange(piece.num_rows + 1))
                 lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(feature, pa.int32()))
