@@ -163,3 +163,33 @@ def test_positions_number_rows_in_order(spark):
     got = sample.positions(spark, spark.createDataFrame(rows, "a int, b int").repartition(6), ["a", "b"]).collect()
     assert sorted(r.pos for r in got) == list(range(500))
     assert [(r.a, r.b) for r in sorted(got, key=lambda r: r.pos)] == sorted(rows)
+
+
+def test_points_without_clusters_are_sent_once_a_region_not_once_a_leaf(spark):
+    x = np.random.default_rng(8).uniform(-1, 1, (400, 20))
+    p = metric.partition(frame(spark, x), 2.5, leaf_points=4, block_rows=50)
+    assert p.leaves.count() > 50 and p.regions.count <= 10
+    rows = lambda left, right, near, same: iter(left.select(["id"]).to_batches())
+    assert p.compared(rows, "id long").groupBy("id").count().agg({"count": "max"}).first()[0] <= 40
+
+
+def test_regions_hold_bounded_runs_of_leaves_and_parts_of_large_ones():
+    r = metric.Regions.of(np.array([3, 4, 2, 25, 1, 9]), 10)
+    assert r.first.tolist() == [0, 0, 0, 1, 4, 4] and r.parts.tolist() == [1, 1, 1, 3, 1, 1] and r.count == 5
+    assert [r.leaves(k) for k in range(5)] == [(0, 2), (3, 3), (3, 3), (3, 3), (4, 5)]
+
+
+def test_pairs_without_the_mark_are_left_out(spark):
+    x = np.random.default_rng(4).uniform(-1, 1, (120, 3))
+    marked = frame(spark, x).selectExpr("id", "v", "id % 3 = 0 AS mark")
+    import pyarrow as pa
+
+    def pairs(left, right, near, same):
+        a, b = np.nonzero(near)
+        yield pa.RecordBatch.from_arrays([left.column("id").combine_chunks().take(pa.array(a)), right.column("id").combine_chunks().take(pa.array(b)), pa.array([same] * len(a), pa.bool_())], ["a", "b", "same"])
+
+    p = metric.partition(marked, 0.5, leaf_points=10, block_rows=20)
+    rows = p.compared(pairs, "a long, b long, same boolean", skip_dense=False, columns=("id", "v", "mark"), only="mark").collect()
+    got = {(min(r.a, r.b), max(r.a, r.b)) for r in rows if r.a % 3 == 0 or r.b % 3 == 0}
+    dist = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    assert got == {(a, b) for a, b in np.argwhere(dist <= 0.5).tolist() if a <= b and (a % 3 == 0 or b % 3 == 0)}

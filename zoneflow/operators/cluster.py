@@ -197,14 +197,15 @@ def _dbscan_pieces(spark: SparkSession, points: DataFrame, id_col: str, vec_col:
         if not same:
             sides.append((right, near.T @ left.column("w").to_numpy()))
         for rows, found in sides:
-            yield pa.RecordBatch.from_arrays([rows.column("id").combine_chunks(), pa.array(found, pa.int64())], ["id", "deg"])
+            some = found > 0
+            yield pa.RecordBatch.from_arrays([rows.column("id").combine_chunks().filter(pa.array(some)), pa.array(found[some], pa.int64())], ["id", "deg"])
 
     own = p.homes.join(F.broadcast(dense), "leaf")  # leaves of the tree, which its sample bounds
     own = own.join(F.broadcast(own.groupBy("leaf").agg(F.sum("w").alias("deg"))), "leaf").select("id", "deg")
     degree = p.compared(degrees, f"id {kind}, deg long", columns=("id", "v", "w")).unionByName(own).groupBy("id").agg(F.sum("deg").alias("deg"))
     core = materialize(spark, degree.where(F.col("deg") >= min_samples).select("id", F.lit(True).alias("core")), "dbscan-cores")
     marked = lambda rows: rows.join(core, "id", "left").withColumn("core", F.coalesce("core", F.lit(False)))
-    p = replace(p, homes=materialize(spark, marked(p.homes), "dbscan-homes"), guests=materialize(spark, marked(p.guests), "dbscan-guests"))
+    p = replace(p, homes=materialize(spark, marked(p.homes), "dbscan-homes"))
 
     def links(left: pa.Table, right: pa.Table, near: np.ndarray, same: bool) -> Iterator[pa.RecordBatch]:
         a_ids, b_ids = left.column("id").combine_chunks(), right.column("id").combine_chunks()
@@ -219,7 +220,7 @@ def _dbscan_pieces(spark: SparkSession, points: DataFrame, id_col: str, vec_col:
             a, b = np.nonzero(near & a_core[:, None] & ~b_core[None, :])
             yield pa.RecordBatch.from_arrays([b_ids.take(pa.array(b)), a_ids.take(pa.array(a)), pa.array([False] * len(a), pa.bool_())], ["a", "b", "core"])
 
-    found = materialize(spark, p.compared(links, f"a {kind}, b {kind}, core boolean", columns=("id", "v", "core")), "dbscan-links")
+    found = materialize(spark, p.compared(links, f"a {kind}, b {kind}, core boolean", columns=("id", "v", "core"), only="core"), "dbscan-links")
     # in a dense leaf all cores, and so all points near a core, go with its smallest core
     inside = p.homes.join(F.broadcast(dense), "leaf")
     least = inside.where("core").groupBy("leaf").agg(F.min("id").alias("least"))

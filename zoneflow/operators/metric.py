@@ -5,17 +5,18 @@ its nearest pivots lead to, over all components.  Two points in different
 leaves can only be within ``eps`` if the one is near enough to the other's
 leaf, for which three lower bounds are at hand: the point's distance to the
 plane between two sibling pivots (at every level), and to the ball around the
-leaf's centre that holds all of its points.  A point is a guest in the leaves
-that these bounds leave open, and of two leaves only the later one sees
-guests of the earlier, so each pair meets at most once.
-
-Leaves of any size are worked on as cells of a grid: at most ``block_rows`` of
-their points against as many points or guests.  A leaf whose ball has a
-diameter of at most ``eps`` is *dense*: its points are neighbours of each other
-without comparison.
-
-The sample steers the work and not the result.  How much of all pairs is
-compared is ``Partition.share``; it falls with the clusteredness of the data, and
+leaf's centre that holds all of its points.
+
+Leaves that follow each other in the tree make up regions of at most
+``region_rows`` points (a larger leaf is dealt over several), and each two
+regions meet in one task.  A point is sent to the regions that the bounds leave
+open, so it is written at most once a region and not once a leaf.  There, blocks
+of ``block_rows`` points meet as far as the bounds allow, each pair at most
+once.  A leaf whose ball has a diameter of at most ``eps`` is *dense*: its points
+are neighbours of each other without comparison.
+
+The sample steers the work and not the result.  How many of all pairs the bounds
+leave open is ``Partition.share``; it falls with the clusteredness of the data, and
 in many dimensions without clusters it is near 1 for any such index.
 """
 
@@ -26,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -41,9 +43,11 @@ def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def within(x: np.ndarray, y: np.ndarray, eps: float) -> np.ndarray:
     """Which rows of x and y lie within eps: by the scalar product, and by the differences where rounding could decide."""
     nx, ny = (x * x).sum(1), (y * y).sum(1)
-    square = nx[:, None] + ny[None, :] - 2 * (x @ y.T)
-    near = square <= eps * eps
-    unsure = np.abs(square - eps * eps) <= 1e-11 * (nx.max(initial=0) + ny.max(initial=0) + eps * eps)
+    # |x|^2 + |y|^2 - 2xy as one product
+    square = np.column_stack([-2 * x, nx, np.ones(len(x))]) @ np.column_stack([y, np.ones(len(y)), ny]).T
+    slack = 1e-11 * (nx.max(initial=0) + ny.max(initial=0) + eps * eps)
+    near = square <= eps * eps - slack
+    unsure = (square <= eps * eps + slack) & ~near
     for a, b in (np.argwhere(unsure)[i : i + 10_000].T for i in range(0, int(unsure.sum()), 10_000)):
         near[a, b] = np.sqrt(((x[a] - y[b]) ** 2).sum(1)) <= eps
     return near
@@ -71,6 +75,7 @@ class Node:
     pivots: np.ndarray
     between: np.ndarray  # distances of the pivots
     children: list[Node | int]  # an int is a leaf
+    leaves: list[tuple[int, int]]  # first and last leaf below each child
 
 
 class Tree:
@@ -92,7 +97,12 @@ class Tree:
                 pivots = np.unique(np.stack([points[own == k].mean(0) if (own == k).any() else p for k, p in enumerate(pivots)]), axis=0)
                 own = distances(points, pivots).argmin(1)
                 if len(pivots) > 1 and (np.bincount(own) < len(points)).all():
-                    return Node(pivots, distances(pivots, pivots), [self._grow(points[own == k], leaf_points, fanout) for k in range(len(pivots))])
+                    children, leaves = [], []
+                    for k in range(len(pivots)):
+                        first = len(self.centres)
+                        children.append(self._grow(points[own == k], leaf_points, fanout))
+                        leaves.append((first, len(self.centres) - 1))
+                    return Node(pivots, distances(pivots, pivots), children, leaves)
         self.centres.append(points.mean(0) if len(points) else np.zeros(points.shape[1]))
         return len(self.centres) - 1
 
@@ -108,8 +118,9 @@ class Tree:
                 open_ += [(child, rows[own == k]) for k, child in enumerate(node.children)]
         return out
 
-    def reach(self, x: np.ndarray, eps: float, radius: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, leaf) of the leaves that may have a point within ``eps`` of the row."""
+    def reach(self, x: np.ndarray, eps: float, radius: np.ndarray, first: int = 0, last: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(row, leaf) of the leaves from ``first`` to ``last`` that may have a point within ``eps`` of the row."""
+        last = len(self.centres) - 1 if last is None else last
         slack = eps + 1e-7 * (eps + np.abs(x).max(initial=0.0))
         rows_out, leaves_out, open_ = [], [], [(self.root, np.arange(len(x)))]
         while open_:
@@ -123,6 +134,8 @@ class Tree:
                 continue
             square = distances(x[rows], node.pivots) ** 2
             for k, child in enumerate(node.children):
+                if node.leaves[k][1] < first or node.leaves[k][0] > last:
+                    continue
                 others = np.arange(len(node.pivots)) != k
                 plane = ((square[:, [k]] - square[:, others]) / (2 * node.between[k, others])).max(1)
                 open_.append((child, rows[plane <= slack]))
@@ -132,53 +145,154 @@ class Tree:
 Work = Callable[[pa.Table, pa.Table, np.ndarray, bool], Iterator[pa.RecordBatch]]
 
 
+@dataclass
+class Regions:
+    """Which leaves make up which region: a leaf's first region, and how many it is dealt over."""
+
+    first: np.ndarray
+    parts: np.ndarray
+    count: int
+
+    @classmethod
+    def of(cls, sizes: np.ndarray, rows: int) -> Regions:
+        first, parts = np.zeros(len(sizes), np.int64), np.maximum(1, -(-sizes // rows))
+        region = filled = 0
+        for leaf, n in enumerate(sizes.tolist()):
+            if filled and filled + n > rows:
+                region, filled = region + 1, 0
+            first[leaf] = region
+            if parts[leaf] > 1:
+                region += int(parts[leaf])
+            else:
+                filled += n
+        return cls(first, parts, region + 1)
+
+    def leaves(self, region: int) -> tuple[int, int]:
+        """The first and the last leaf of a region."""
+        held = np.flatnonzero((self.first <= region) & (region < self.first + self.parts))
+        return (int(held[0]), int(held[-1])) if len(held) else (0, -1)
+
+
+@dataclass
+class Block:
+    """Some points of a cell that are met at once, and which leaves of the other region each may have neighbours in."""
+
+    rows: pa.Table
+    x: np.ndarray
+    leaf: np.ndarray
+    flagged: bool
+    first: int
+    open: np.ndarray
+
+    def reaching(self, other: Block) -> np.ndarray:
+        return self.open[:, np.unique(other.leaf) - self.first].any(1)
+
+
 @dataclass
 class Partition:
     homes: DataFrame  # leaf, id, v and further columns
-    guests: DataFrame  # the same, in the later leaves that a point may have neighbours in
-    leaves: DataFrame  # leaf, n, guests, dense
+    leaves: DataFrame  # leaf, n, dense
     eps: float
     block_rows: int
+    tree: Broadcast[Tree]
+    radii: Broadcast[np.ndarray]
+    regions: Regions
 
     def share(self) -> float:
-        """How much of all pairs (of a point with another) is compared."""
-        row = self.leaves.agg(F.sum("n").alias("n"), F.sum(F.when(F.col("dense"), 0).otherwise(F.col("n") * (F.col("n") - 1) / 2) + F.col("n") * F.col("guests")).alias("met")).first()
+        """How many of all pairs (of a point with another) the bounds leave open."""
+        tree, radii, eps = self.tree, self.radii, self.eps
+
+        def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            count = np.zeros(len(radii.value), np.int64)
+            for batch in batches:
+                for at in range(0, batch.num_rows, 1024):
+                    piece = batch.slice(at, 1024)
+                    row, leaf = tree.value.reach(matrix(piece.column("v")), eps, radii.value)
+                    count += np.bincount(leaf[leaf > piece.column("leaf").to_numpy()[row]], minlength=len(count))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(count)), pa.int32()), pa.array(count)], ["leaf", "guests"])
+
+        guests = self.homes.select("leaf", "v").mapInArrow(visits, "leaf int, guests long").groupBy("leaf").agg(F.sum("guests").alias("guests"))
+        met = self.leaves.join(guests, "leaf", "left").withColumn("guests", F.coalesce("guests", F.lit(0)))
+        row = met.agg(F.sum("n").alias("n"), F.sum(F.when(F.col("dense"), 0).otherwise(F.col("n") * (F.col("n") - 1) / 2) + F.col("n") * F.col("guests")).alias("met")).first()
         return row.met / (row.n * (row.n - 1) / 2) if row.n and row.n > 1 else 0.0
 
-    def compared(self, work: Work, schema: str, skip_dense: bool = True, columns: tuple[str, ...] = ("id", "v")) -> DataFrame:
-        """``work(left, right, near, same)`` for each cell of the grid: two blocks of rows, which of them are within eps,
-        and whether they are one block (each pair is in ``near`` twice then).  With ``skip_dense``, dense leaves' own
-        pairs are left out."""
-        blocks = self.leaves.select(
-            "leaf",
-            F.ceil(F.col("n") / self.block_rows).cast("int").alias("blocks"),
-            F.ceil(F.col("guests") / self.block_rows).cast("int").alias("guest_blocks"),
-            F.when(F.col("dense") & F.lit(skip_dense), 0).otherwise(1).alias("own"),
-        )
-        block = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-        upto = lambda n: F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>"))
-        homes = self.homes.join(F.broadcast(blocks), "leaf").withColumn("b", block("blocks"))  # the leaves are those of the tree
-        guests = self.guests.join(F.broadcast(blocks), "leaf").withColumn("b", block("guest_blocks"))
-        cell = ["leaf", "kind", "i", "j"]
-        mine = homes.where("own = 1")
-        left = mine.select("leaf", F.lit(0).alias("kind"), F.col("b").alias("i"), F.explode(F.sequence("b", F.col("blocks") - 1)).alias("j"), *columns).unionByName(
-            guests.select("leaf", F.lit(1).alias("kind"), F.col("b").alias("i"), F.explode(upto("blocks")).alias("j"), *columns)
-        )
-        right = mine.select("leaf", F.lit(0).alias("kind"), F.explode(F.sequence(F.lit(0), F.col("b"))).alias("i"), F.col("b").alias("j"), *columns).unionByName(
-            homes.select("leaf", F.lit(1).alias("kind"), F.explode(upto("guest_blocks")).alias("i"), F.col("b").alias("j"), *columns)
-        )
-        right = right.select(*(F.col(c).alias(c) for c in right.columns))  # columns of its own
-        eps = self.eps
-
-        def joined(key: tuple[pa.Scalar, ...], a: pa.Table, b: pa.Table) -> pa.Table:
-            if not a.num_rows or not b.num_rows:
-                return empty
-            _, kind, i, j = (k.as_py() for k in key)
-            found = list(work(a, b, within(matrix(a.column("v")), matrix(b.column("v")), eps), kind == 0 and i == j))
+    def compared(self, work: Work, schema: str, skip_dense: bool = True, columns: tuple[str, ...] = ("id", "v"), only: str | None = None) -> DataFrame:
+        """``work(left, right, near, same)`` for blocks of rows that may be near: two blocks, which of their rows are within
+        eps, and whether they are one block (each pair is in ``near`` twice then).  With ``skip_dense``, dense leaves' own
+        pairs are left out; with ``only`` (a column of booleans), pairs of which neither has it."""
+        spark = self.homes.sparkSession
+        tree, radii, regions, eps, block_rows = self.tree, self.radii, self.regions, self.eps, self.block_rows
+        dense = np.zeros(len(radii.value), bool)
+        if skip_dense:
+            dense[[r.leaf for r in self.leaves.where("dense").select("leaf").collect()]] = True  # leaves of the tree
+        kind = {f.name: f.dataType.simpleString() for f in self.homes.schema}
+
+        def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, 1024):
+                    piece = batch.slice(at, 1024)
+                    leaf = piece.column("leaf").to_numpy()
+                    own = regions.first[leaf] + piece.column("hash").to_numpy() % regions.parts[leaf]
+                    open_ = np.zeros((len(own), regions.count), bool)
+                    row, to = tree.value.reach(matrix(piece.column("v")), eps, radii.value)
+                    for k in range(int(regions.parts[to].max(initial=1))):
+                        some = regions.parts[to] > k
+                        open_[row[some], regions.first[to[some]] + k] = True
+                    open_[np.arange(len(own)), own] = True
+                    row, other = np.nonzero(open_)
+                    for n in range(0, len(row), 4096):
+                        r, o = row[n : n + 4096], other[n : n + 4096]
+                        cell = [np.minimum(own[r], o), np.maximum(own[r], o), own[r], leaf[r].astype(np.int64)]
+                        yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cell), *(piece.column(c).take(pa.array(r)) for c in columns)], ["i", "j", "region", "leaf", *columns])
+
+        def blocks(rows: pa.Table, against: int) -> list[Block]:
+            """The rows in the order of their leaves; a large dense leaf and those with ``only`` have blocks of their own."""
+            leaf = rows.column("leaf").to_numpy()
+            flagged = rows.column(only).to_numpy() if only else np.ones(len(leaf), bool)
+            order = np.lexsort((leaf, flagged))
+            rows, leaf, flagged = rows.take(pa.array(order)), leaf[order], flagged[order]
+            alone = np.where(dense[leaf] & (np.bincount(leaf)[leaf] >= min(256, block_rows)), leaf, -1) if len(leaf) else leaf
+            cuts = np.flatnonzero((np.diff(flagged.astype(int)) != 0) | (np.diff(alone) != 0)) + 1
+            first, last = regions.leaves(against)
+            out = []
+            for start, end in zip([0, *cuts], [*cuts, len(leaf)], strict=True):
+                for at in range(start, end, block_rows):
+                    some = rows.slice(at, min(block_rows, end - at))
+                    x = matrix(some.column("v"))
+                    open_ = np.zeros((len(x), last - first + 1), bool)
+                    row, to = tree.value.reach(x, eps, radii.value, first, last)
+                    open_[row, to - first] = True
+                    out.append(Block(some, x, leaf[at : at + len(x)], bool(flagged[at]), first, open_))
+            return out
+
+        def met(a: Block, b: Block, same: bool) -> Iterator[pa.RecordBatch]:
+            if a.leaf[0] == a.leaf[-1] == b.leaf[0] == b.leaf[-1] and dense[a.leaf[0]]:
+                return
+            left, right = a.reaching(b), b.reaching(a)
+            if same:
+                left = right = left | right
+            if left.any() and right.any():
+                near = within(a.x[left], b.x[right], eps)
+                if dense[a.leaf].any():
+                    near &= ~((a.leaf[left][:, None] == b.leaf[right][None, :]) & dense[a.leaf[left]][:, None])
+                if near.any():
+                    yield from work(a.rows.filter(pa.array(left)), b.rows.filter(pa.array(right)), near, same)
+
+        def joined(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+            i, j = (k.as_py() for k in key)
+            own = rows.column("region").to_numpy()
+            left = blocks(rows.filter(pa.array(own == i)), j)
+            right = left if i == j else blocks(rows.filter(pa.array(own == j)), i)
+            pairs = ((a, b, n == m) for n, a in enumerate(left) for m, b in enumerate(right) if i != j or n <= m)
+            found = [batch for a, b, same in pairs if a.flagged or b.flagged for batch in met(a, b, same and i == j)]
             return pa.Table.from_batches(found) if found else empty
 
-        empty = to_arrow(left.sparkSession.createDataFrame([], schema))
-        return left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInArrow(joined, schema)
+        empty = to_arrow(spark.createDataFrame([], schema))
+        rest = "".join(f", {c} {kind[c]}" for c in columns)
+        cells = self.homes.withColumn("hash", F.xxhash64("id")).mapInArrow(sent, f"i long, j long, region long, leaf long{rest}")
+        # cells are work even where their rows are few: about a task each
+        cells = cells.repartition(regions.count * (regions.count + 1), "i", "j")
+        return cells.groupBy("i", "j").applyInArrow(joined, schema)
 
 
 def to_arrow(frame: DataFrame) -> pa.Table:
@@ -186,7 +300,7 @@ def to_arrow(frame: DataFrame) -> pa.Table:
     return to_arrow_schema(frame.schema).empty_table()
 
 
-def partition(points: DataFrame, eps: float, sample_points: int = 100_000, leaf_points: int = 64, fanout: int = 16, block_rows: int = 2048) -> Partition:
+def partition(points: DataFrame, eps: float, sample_points: int = 100_000, leaf_points: int = 64, fanout: int = 16, block_rows: int = 2048, region_rows: int = 1 << 16) -> Partition:
     """``points`` (id, v and further columns; vectors of one length, finite) dealt out by a tree from about ``sample_points`` of them."""
     spark = points.sparkSession
     others = [c for c in points.columns if c not in ("id", "v")]
@@ -212,22 +326,14 @@ def partition(points: DataFrame, eps: float, sample_points: int = 100_000, leaf_
     sizes = homes.groupBy("leaf").agg(F.count("*").alias("n"), F.max("far").alias("far"))
     # one row a leaf of the tree, which the sample bounds
     radius = np.full(len(tree.value.centres), -np.inf)
-    for row in sizes.collect():
+    held = sizes.collect()
+    for row in held:
         radius[row.leaf] = row.far
     radii = spark.sparkContext.broadcast(radius)
-
-    def guests_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                piece = batch.slice(at, 1024)
-                row, leaf = tree.value.reach(matrix(piece.column("v")), eps, radii.value)
-                later = leaf > piece.column("leaf").to_numpy()[row]
-                row, leaf = row[later], leaf[later]
-                for i in range(0, len(row), 4096):
-                    some = pa.array(row[i : i + 4096])
-                    yield pa.RecordBatch.from_arrays([pa.array(leaf[i : i + 4096], pa.int32()), *(piece.column(c).take(some) for c in ("id", "v", *others))], ["leaf", "id", "v", *others])
-
-    guests = materialize(spark, homes.mapInArrow(guests_of, f"leaf int, id {kind['id']}, v array<double>{rest}"), "metric-guests")
-    visits = guests.groupBy("leaf").agg(F.count("*").alias("guests"))
-    leaves = sizes.join(visits, "leaf", "left").select("leaf", "n", F.coalesce("guests", F.lit(0)).alias("guests"), (F.col("far") <= eps / 2 * (1 - 1e-9)).alias("dense"))
-    return Partition(homes.drop("far"), guests, materialize(spark, leaves, "metric-leaves"), eps, block_rows)
+    count = np.zeros(len(radius), np.int64)
+    for row in held:
+        count[row.leaf] = row.n
+    # large enough to write a point few times, small enough for several tasks
+    regions = Regions.of(count, min(region_rows, max(block_rows, -(-n // 8))))
+    leaves = sizes.select("leaf", "n", (F.col("far") <= eps / 2 * (1 - 1e-9)).alias("dense"))
+    return Partition(homes.drop("far"), materialize(spark, leaves, "metric-leaves"), eps, block_rows, tree, radii, regions)
