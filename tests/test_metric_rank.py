@@ -193,3 +193,26 @@ def test_pairs_without_the_mark_are_left_out(spark):
     got = {(min(r.a, r.b), max(r.a, r.b)) for r in rows if r.a % 3 == 0 or r.b % 3 == 0}
     dist = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
     assert got == {(a, b) for a, b in np.argwhere(dist <= 0.5).tolist() if a <= b and (a % 3 == 0 or b % 3 == 0)}
+
+
+def test_link_ranks_in_tiles_tell_scores_apart_that_single_precision_does_not(spark, monkeypatch):
+    monkeypatch.setattr(score, "TILE", 7)
+    rng = np.random.default_rng(2)
+    base = rng.normal(0, 1, 8)
+    ents = {f"e{i}": base + rng.normal(0, 1e-9, 8) * (i % 4) for i in range(30)}
+    as_rows = lambda m: spark.createDataFrame([(k, v.tolist()) for k, v in m.items()], "id string, embedding array<double>")
+    test = spark.createDataFrame([(f"e{i}", "r", f"e{i + 1}") for i in range(20)], "head string, relation string, tail string")
+    ranks = score.link_ranking(test, test, as_rows(ents), as_rows({"r": np.full(8, 0.25)})).where("side = 'tail'")
+    square = lambda h, t: ((ents[h] + 0.25 - ents[t]) ** 2).sum()
+    for r in ranks.collect():
+        others = [square(r.head, e) for e in ents if e != r.tail]
+        own = square(r.head, r.tail)
+        assert (r.optimistic, r.pessimistic) == (1 + sum(o < own for o in others), 1 + sum(o <= own for o in others))
+
+
+def test_pools_are_not_broadcast(spark):
+    pools = spark.createDataFrame([("film", str(i)) for i in range(50)], "kind string, item string")
+    users = spark.createDataFrame([(i,) for i in range(20)], "user long")
+    drawn = sample.draw_from_pools(spark, users, "user", pools, {"film": (1, 3)}, seed=1)
+    assert "Broadcast" not in drawn._jdf.queryExecution().executedPlan().toString()
+    assert drawn.groupBy("user").count().count() == 20

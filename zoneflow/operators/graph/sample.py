@@ -77,7 +77,7 @@ def sample_k_per_key(
     drawn_idx = _floyd(F.lit(m), F.col("__k"), lambda i: h32(seed, F.col(key_col), i.cast("string")))
     state = state.select(F.col(key_col), drawn_idx.alias("__s"))
     drawn = state.select(F.col(key_col), F.explode("__s").alias("idx"))
-    return drawn.join(idx, "idx").select(key_col, item_col)
+    return drawn.join(idx.hint("merge"), "idx").select(key_col, item_col)  # items are as many as their table has, see draw_from_pools
 
 
 def _indexed(spark: SparkSession, triples: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -109,7 +109,9 @@ def draw_from_pools(spark: SparkSession, keys: DataFrame, key_col: str, pools: D
     k = F.col("lo") + F.pmod(h32(seed, F.col("kind"), F.col(key_col), "k"), F.col("hi") - F.col("lo") + 1)
     asked = asked.withColumn("__k", F.least(k, F.col("m")).cast("bigint"))
     drawn = asked.select(key_col, "kind", "offset", F.explode(_floyd(F.col("m"), F.col("__k"), lambda i: h32(seed, F.col("kind"), F.col(key_col), i.cast("string")))).alias("t"))
-    return drawn.withColumn("idx", F.col("offset") + F.col("t")).join(numbered.select("idx", "item"), "idx").select(key_col, "kind", "item")
+    # the pools are as large as their tables, whatever their size when compressed: never held whole by the driver or a task
+    items = numbered.select("idx", "item").hint("merge")
+    return drawn.withColumn("idx", F.col("offset") + F.col("t")).join(items, "idx").select(key_col, "kind", "item")
 
 
 def _floyd(m: Column, k: Column, draw) -> Column:

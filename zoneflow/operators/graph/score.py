@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 from zoneflow.operators.blocks import BLOCK_BYTES, in_query_blocks
 from zoneflow.operators.graph.sample import positions
 from zoneflow.operators.metric import matrix
-from zoneflow.session import materialize
+from zoneflow.session import materialize, spread
+
+
+TILE = 2048  # links and entities that are met at once
 
 
 def l2_distance(a: Column, b: Column) -> Column:
@@ -76,7 +79,7 @@ def link_ranking(
     triples = plain(known).withColumn("asked", F.lit(False)).unionByName(plain(test).withColumn("asked", F.lit(True)))
     triples = triples.groupBy("h", "r", "t").agg(F.max("asked").alias("asked"))
     vectors = entities.select(F.col(id_col).alias("e"), F.col(vec_col).cast("array<double>").alias("v")).where("e IS NOT NULL AND v IS NOT NULL")
-    vectors = materialize(spark, vectors, "rank-entities")
+    vectors = materialize(spark, spread(vectors), "rank-entities")
     rel_vectors = relations.select(F.col(id_col).alias("r"), F.col(vec_col).cast("array<double>").alias("rv"))
     whole = triples.join(rel_vectors, "r").join(vectors.select(F.col("e").alias("h"), F.col("v").alias("hv")), "h").join(vectors.select(F.col("e").alias("t"), F.col("v").alias("tv")), "t")
     tail_side = whole.select("h", "r", "t", "asked", F.lit("tail").alias("side"), F.zip_with("hv", "rv", lambda x, y: x + y).alias("q"), F.col("tv").alias("truth"))
@@ -110,18 +113,29 @@ def link_ranking(
             n, q, own = shared.value
             better, equal = np.zeros(len(n), np.int64), np.zeros(len(n), np.int64)
             norms = (q * q).sum(1)
-            step = max(64, (1 << 22) // max(1, len(n)))
             for batch in batches:
-                for at in range(0, batch.num_rows if len(n) else 0, step):
-                    x = matrix(batch.slice(at, step).column("v"))
+                for at in range(0, batch.num_rows if len(n) else 0, TILE):
+                    x = matrix(batch.slice(at, TILE).column("v"))
                     lengths = (x * x).sum(1)
-                    gap = norms[:, None] + lengths[None, :] - 2 * (q @ x.T) - own[:, None]
-                    # rounding could decide here: those are summed as the links' own scores were
-                    unsure = np.abs(gap) <= 1e-11 * (norms.max() + lengths.max(initial=0.0) + 1)
-                    for a, b in (np.argwhere(unsure)[i : i + 10_000].T for i in range(0, int(unsure.sum()), 10_000)):
-                        gap[a, b] = _square(q[a], x[b]) - own[a]
-                    better += (gap < 0).sum(1)
-                    equal += (gap == 0).sum(1)
+                    largest = 2 * (norms.max() + lengths.max(initial=0.0)) + own.max()
+                    # halves of the precision do where numbers fit them: what rounding could decide is summed anew
+                    kind, slack = (np.float32, 4e-6 * largest + 1e-30) if largest < 1e30 else (np.float64, 1e-11 * largest)
+                    against = np.column_stack([x, np.ones(len(x)), lengths]).astype(kind).T
+                    for start in range(0, len(n), TILE):
+                        some = slice(start, start + TILE)
+                        # |q|^2 + |x|^2 - 2qx less the link's own square, as one product
+                        gap = np.column_stack([-2 * q[some], norms[some] - own[some], np.ones(len(q[some]))]).astype(kind) @ against
+                        surely, open_ = gap < -slack, gap <= slack
+                        sure = np.count_nonzero(surely, 1)
+                        better[some] += sure
+                        maybe = np.count_nonzero(open_, 1)
+                        if (maybe > sure).any():
+                            # those are summed as the links' own scores were
+                            pairs = np.argwhere(open_ & ~surely)
+                            for a, b in (pairs[i : i + 10_000].T for i in range(0, len(pairs), 10_000)):
+                                exact = _square(q[start + a], x[b]) - own[start + a]
+                                better += np.bincount(start + a[exact < 0], minlength=len(n))
+                                equal += np.bincount(start + a[exact == 0], minlength=len(n))
             yield pa.RecordBatch.from_arrays([pa.array(n), pa.array(better), pa.array(equal)], ["n", "better", "equal"])
 
         return vectors.select("v").mapInArrow(run, "n long, better long, equal long")
