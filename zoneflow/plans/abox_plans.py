@@ -12,6 +12,7 @@ from zoneflow.functions.ids import ONT, RDF_TYPE, RES
 from zoneflow.operators.graph import abox, metrics, sample
 from zoneflow.plans import text_plans
 from zoneflow.plans.registry import register, table
+from zoneflow.session import in_tasks_of
 
 SEED = 7
 
@@ -84,7 +85,8 @@ SPORTS_SQL = _set_sql(
 
 def sports_sources(spark, d) -> dict[str, DataFrame]:
     """Orders as matches, nations as leagues, suppliers as teams and venues."""
-    orders, nation, region, supplier = (table(spark, d, t) for t in ("orders", "nation", "region", "supplier"))
+    nation, region = (table(spark, d, t) for t in ("nation", "region"))
+    orders, supplier = (in_tasks_of(table(spark, d, t)) for t in ("orders", "supplier"))
     price = F.expr("CAST(o_totalprice AS BIGINT)")
     matches = orders.select(
         F.col("o_orderkey").alias("fixture_id"),
@@ -152,7 +154,7 @@ MOVIES_SQL = _set_sql(
 
 def movie_sources(spark, d) -> dict[str, DataFrame]:
     """Parts as films: their facts, genres and the three category tables."""
-    part = table(spark, d, "part")
+    part = in_tasks_of(table(spark, d, "part"))
     film, genre = F.col("p_partkey").alias("film_id"), F.substring(F.sha2("p_type", 256), 1, 8).alias("genre_id")
     movie = part.select(
         film,

@@ -20,7 +20,7 @@ from zoneflow.operators.graph.tbox import (
     values_sql,
 )
 from zoneflow.plans.registry import register, table
-from zoneflow.session import scratch_path, spread
+from zoneflow.session import in_tasks_of, scratch_path, spread
 from zoneflow.sources import files, sinks
 
 SEED = 7
@@ -34,9 +34,9 @@ def kg_triples(spark, d):
     """G1-G3 + U4 over the test tables (nation = countries, customer = users,
     part = movies + genres, orders = matches + competitions)."""
     nation = table(spark, d, "nation")
-    customer = spread(table(spark, d, "customer"))
-    part = spread(table(spark, d, "part"))
-    orders = spread(table(spark, d, "orders"))
+    customer = in_tasks_of(spread(table(spark, d, "customer")))
+    part = in_tasks_of(spread(table(spark, d, "part")))
+    orders = in_tasks_of(spread(table(spark, d, "orders")))
     pri = F.col("o_orderpriority")
     maps = [
         (nation, gm.TableMap(_country("n_nationkey"), "Country", [gm.literal("country_name", F.lower("n_name"))])),

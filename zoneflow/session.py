@@ -93,3 +93,10 @@ def spread(df, min_partitions: int | None = None):
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
+
+
+def in_tasks_of(df, rows: int = 1 << 18):
+    """``df`` in tasks of about ``rows`` rows: what an aggregate holds of a task's rows then does not
+    grow with the table.  A table that is dealt finely enough already is left as it is."""
+    tasks = -(-df.count() // rows)
+    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
