@@ -173,6 +173,20 @@ def test_points_without_clusters_are_sent_once_a_region_not_once_a_leaf(spark):
     assert p.compared(rows, "id long").groupBy("id").count().agg({"count": "max"}).first()[0] <= 40
 
 
+def test_points_are_stored_once_and_not_shuffled_for_each_region(spark):
+    x = np.random.default_rng(8).uniform(-1, 1, (400, 20))
+    p = metric.partition(frame(spark, x), 2.5, leaf_points=4, block_rows=50)
+    met = p.compared(lambda left, right, near, same: iter(left.select(["id"]).to_batches()), "id long")
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "FlatMapGroups" not in plan
+
+
+def test_whole_vectors_that_differ_in_the_sign_of_zero_are_copies(spark):
+    x = [[0.0, 1.0, -0.0], [-0.0, 1.0, 0.0], [0.0, 1.0, 0.0], [0.0, 9.0, 0.0], [-0.0, 9.0, 0.0], [5.0, 5.0, 5.0]]
+    got = {r.id: r.cluster for r in cl.dbscan(spark, frame(spark, x), "id", "v", 0.5, 3).collect()}
+    assert got == {0: 0, 1: 0, 2: 0, 3: -1, 4: -1, 5: -1}
+
+
 def test_regions_hold_bounded_runs_of_leaves_and_parts_of_large_ones():
     r = metric.Regions.of(np.array([3, 4, 2, 25, 1, 9]), 10)
     assert r.first.tolist() == [0, 0, 0, 1, 4, 4] and r.parts.tolist() == [1, 1, 1, 3, 1, 1] and r.count == 5

@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +32,7 @@ from pyspark.sql import functions as F
 
 from zoneflow.operators.graph.sample import dense_index, sample_cap
 from zoneflow.operators.metric import matrix, partition
-from zoneflow.session import materialize
+from zoneflow.session import materialize, spread
 
 
 def standardize(df: DataFrame, vec_col: str = "embedding", out_col: str = "scaled") -> DataFrame:
@@ -107,19 +106,17 @@ def eps_pairs(points: DataFrame, id_col: str, vec_col: str, eps: float, include_
 
 
 def _vectors(points: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(id, v) of the points that have an id and a vector of finite components, dealt out by id."""
+    """(id, v) of the points that have an id and a vector of finite components."""
     v = F.col(vec_col).cast("array<double>")
     p = points.select(F.col(id_col).alias("id"), v.alias("v")).where("id IS NOT NULL AND v IS NOT NULL")
-    p = p.where(F.forall("v", lambda x: x.isNotNull() & (F.abs(x) < float("inf"))))
-    tasks = max(points.sparkSession.sparkContext.defaultParallelism, p.count() // 2048)
-    return p.repartition(tasks, "id")
+    return p.where(F.forall("v", lambda x: x.isNotNull() & (F.abs(x) < float("inf"))))
 
 
 def near_pairs(points: DataFrame, id_col: str, vec_col: str, eps: float) -> DataFrame:
     """J10 for vectors of one length with many dimensions, by a metric partition over all of
     them: all (a, b, dist) with a <= b and distance(a, b) <= eps, a point being its
     own neighbour as in DBSCAN.  Points with a null or non-finite component have no neighbour."""
-    p = partition(_vectors(points, id_col, vec_col), eps)
+    p = partition(spread(_vectors(points, id_col, vec_col)), eps)
 
     def work(left: pa.Table, right: pa.Table, near: np.ndarray, same: bool) -> Iterator[pa.RecordBatch]:
         x, y = matrix(left.column("v")), matrix(right.column("v"))
@@ -154,7 +151,7 @@ def k_distance(points: DataFrame, id_col: str, vec_col: str, k: int, quantile: f
         row, place = np.nonzero(np.isfinite(best))
         yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(best[row, place])], ["q", "dist"])
 
-    found = p.mapInArrow(nearest, "q long, dist double")
+    found = spread(p).mapInArrow(nearest, "q long, dist double")
     rank = F.row_number().over(Window.partitionBy("q").orderBy("dist"))
     kth = found.withColumn("rank", rank).where(F.col("rank") == k)
     at = kth.agg(F.expr(f"percentile_disc({quantile}) WITHIN GROUP (ORDER BY dist)")).first()[0]
@@ -183,10 +180,11 @@ def _dbscan_pieces(spark: SparkSession, points: DataFrame, id_col: str, vec_col:
     """Cores (id), edges (src, dst) that connect them as their neighbourhoods do, and (a, b) of the other points with
     the cores near them (fewer than ``min_samples`` each).
 
-    Equal vectors are one point with a weight.  Cells of the partition report sums and spanning edges, never all
-    pairs; the points of a dense leaf are neighbours of each other without a look.
+    Equal vectors are one point with a weight.  Pairs of regions report sums and spanning edges, never all
+    pairs; the points of a dense leaf are neighbours of each other without a look.  Points whose only neighbours
+    are their copies have no edge to look for and are left out of the second comparison.
     """
-    whole = materialize(spark, _vectors(points, id_col, vec_col), "vectors")
+    whole = _vectors(points, id_col, vec_col)
     distinct = whole.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("w"))
     p = partition(distinct, eps)
     kind = whole.schema["id"].dataType.simpleString()
@@ -203,9 +201,11 @@ def _dbscan_pieces(spark: SparkSession, points: DataFrame, id_col: str, vec_col:
     own = p.homes.join(F.broadcast(dense), "leaf")  # leaves of the tree, which its sample bounds
     own = own.join(F.broadcast(own.groupBy("leaf").agg(F.sum("w").alias("deg"))), "leaf").select("id", "deg")
     degree = p.compared(degrees, f"id {kind}, deg long", columns=("id", "v", "w")).unionByName(own).groupBy("id").agg(F.sum("deg").alias("deg"))
-    core = materialize(spark, degree.where(F.col("deg") >= min_samples).select("id", F.lit(True).alias("core")), "dbscan-cores")
-    marked = lambda rows: rows.join(core, "id", "left").withColumn("core", F.coalesce("core", F.lit(False)))
-    p = replace(p, homes=materialize(spark, marked(p.homes), "dbscan-homes"))
+    degree = materialize(spark, degree, "dbscan-degrees").withColumn("core", F.col("deg") >= min_samples)
+    core = degree.where("core").select("id")
+    homes = p.homes.select("leaf", "id", "w").join(degree, "id", "left").withColumn("core", F.coalesce("core", F.lit(False)))
+    linked = p.homes.join(degree, "id").where("deg > w").select("leaf", "id", "v", "core")
+    linked = p.of(materialize(spark, linked, "dbscan-linked"))
 
     def links(left: pa.Table, right: pa.Table, near: np.ndarray, same: bool) -> Iterator[pa.RecordBatch]:
         a_ids, b_ids = left.column("id").combine_chunks(), right.column("id").combine_chunks()
@@ -220,16 +220,20 @@ def _dbscan_pieces(spark: SparkSession, points: DataFrame, id_col: str, vec_col:
             a, b = np.nonzero(near & a_core[:, None] & ~b_core[None, :])
             yield pa.RecordBatch.from_arrays([b_ids.take(pa.array(b)), a_ids.take(pa.array(a)), pa.array([False] * len(a), pa.bool_())], ["a", "b", "core"])
 
-    found = materialize(spark, p.compared(links, f"a {kind}, b {kind}, core boolean", columns=("id", "v", "core"), only="core"), "dbscan-links")
+    found = materialize(spark, linked.compared(links, f"a {kind}, b {kind}, core boolean", columns=("id", "v", "core"), only="core"), "dbscan-links")
     # in a dense leaf all cores, and so all points near a core, go with its smallest core
-    inside = p.homes.join(F.broadcast(dense), "leaf")
+    inside = homes.join(F.broadcast(dense), "leaf")
     least = inside.where("core").groupBy("leaf").agg(F.min("id").alias("least"))
     inside = inside.join(F.broadcast(least), "leaf").select(F.col("id").alias("a"), F.col("least").alias("b"), "core")
-    # equal vectors share the core and the cluster of the one that stands for them
-    copies = whole.join(p.homes.select("v", F.col("id").alias("stands"), "core"), "v").where("id <> stands")
+    # equal vectors share the core and the cluster of the one that stands for them; digests tell them apart, as groups
+    # of vectors do (0.0 and -0.0 are equal), and no vector is shuffled for it
+    digest = F.sha2(F.transform("v", lambda x: F.when(x == 0, 0.0).otherwise(x)).cast("string"), 256).alias("digest")
+    stands = p.homes.where("w > 1").select("id", digest).join(degree.select("id", "core"), "id", "left")
+    stands = stands.select("digest", F.col("id").alias("stands"), F.coalesce("core", F.lit(False)).alias("core"))
+    copies = whole.select("id", digest).join(stands, "digest").where("id <> stands")
     copies = copies.select(F.col("id").alias("a"), F.col("stands").alias("b"), "core")
     found = found.unionByName(inside)
-    cores = core.select("id").unionByName(copies.where("core").select(F.col("a").alias("id")))
+    cores = core.unionByName(copies.where("core").select(F.col("a").alias("id")))
     edges = found.unionByName(copies).where("core AND a <> b").select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct()
     border = found.where("NOT core").select("a", "b")
     of_copies = copies.where("NOT core").join(border.select(F.col("a").alias("s"), F.col("b").alias("near")), F.col("b") == F.col("s")).select("a", F.col("near").alias("b"))

@@ -8,12 +8,13 @@ plane between two sibling pivots (at every level), and to the ball around the
 leaf's centre that holds all of its points.
 
 Leaves that follow each other in the tree make up regions of at most
-``region_rows`` points (a larger leaf is dealt over several), and each two
-regions meet in one task.  A point is sent to the regions that the bounds leave
-open, so it is written at most once a region and not once a leaf.  There, blocks
-of ``block_rows`` points meet as far as the bounds allow, each pair at most
-once.  A leaf whose ball has a diameter of at most ``eps`` is *dense*: its points
-are neighbours of each other without comparison.
+``region_bytes`` of vectors (a larger leaf is dealt over several).  A region is
+stored once, as one row with the regions that the bounds leave open for it, and
+the regions that are open to each other are joined row by row: no point is
+written for each region it meets, so the disk grows with the points alone.
+There, blocks of ``block_rows`` points meet as far as the bounds allow, each pair
+at most once.  A leaf whose ball has a diameter of at most ``eps`` is *dense*: its
+points are neighbours of each other without comparison.
 
 The sample steers the work and not the result.  How many of all pairs the bounds
 leave open is ``Partition.share``; it falls with the clusteredness of the data, and
@@ -23,14 +24,13 @@ in many dimensions without clusters it is near 1 for any such index.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from zoneflow.session import materialize
 
@@ -167,6 +167,11 @@ class Regions:
                 filled += n
         return cls(first, parts, region + 1)
 
+    @staticmethod
+    def rows(n: int, block_rows: int, most: int) -> int:
+        """How many of ``n`` points a region may have: few enough for several tasks, and not more than ``most``."""
+        return max(1, min(most, max(block_rows, -(-n // 8))))
+
     def leaves(self, region: int) -> tuple[int, int]:
         """The first and the last leaf of a region."""
         held = np.flatnonzero((self.first <= region) & (region < self.first + self.parts))
@@ -194,10 +199,19 @@ class Partition:
     leaves: DataFrame  # leaf, n, dense
     eps: float
     block_rows: int
+    region_bytes: int
     tree: Broadcast[Tree]
     radii: Broadcast[np.ndarray]
     regions: Regions
 
+    def of(self, homes: DataFrame) -> Partition:
+        """The partition for some of its points only (a stored table of them)."""
+        count = np.zeros(len(self.radii.value), np.int64)
+        for row in homes.groupBy("leaf").count().collect():  # leaves of the tree
+            count[row["leaf"]] = row["count"]
+        most = self.region_bytes // (8 * self.tree.value.centres.shape[1])
+        return replace(self, homes=homes, regions=Regions.of(count, Regions.rows(int(count.sum()), self.block_rows, most)))
+
     def share(self) -> float:
         """How many of all pairs (of a point with another) the bounds leave open."""
         tree, radii, eps = self.tree, self.radii, self.eps
@@ -227,23 +241,25 @@ class Partition:
             dense[[r.leaf for r in self.leaves.where("dense").select("leaf").collect()]] = True  # leaves of the tree
         kind = {f.name: f.dataType.simpleString() for f in self.homes.schema}
 
-        def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for at in range(0, batch.num_rows, 1024):
-                    piece = batch.slice(at, 1024)
-                    leaf = piece.column("leaf").to_numpy()
-                    own = regions.first[leaf] + piece.column("hash").to_numpy() % regions.parts[leaf]
-                    open_ = np.zeros((len(own), regions.count), bool)
-                    row, to = tree.value.reach(matrix(piece.column("v")), eps, radii.value)
-                    for k in range(int(regions.parts[to].max(initial=1))):
-                        some = regions.parts[to] > k
-                        open_[row[some], regions.first[to[some]] + k] = True
-                    open_[np.arange(len(own)), own] = True
-                    row, other = np.nonzero(open_)
-                    for n in range(0, len(row), 4096):
-                        r, o = row[n : n + 4096], other[n : n + 4096]
-                        cell = [np.minimum(own[r], o), np.maximum(own[r], o), own[r], leaf[r].astype(np.int64)]
-                        yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cell), *(piece.column(c).take(pa.array(r)) for c in columns)], ["i", "j", "region", "leaf", *columns])
+                leaf = batch.column("leaf").to_numpy()
+                own = regions.first[leaf] + batch.column("hash").to_numpy() % regions.parts[leaf]
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(leaf, pa.int64()), *(batch.column(c) for c in columns)], ["region", "leaf", *columns])
+
+        def packed(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+            """A region as one row: its points as an Arrow stream, and the regions that they may have neighbours in."""
+            open_ = np.zeros(regions.count, bool)
+            open_[key[0].as_py()] = True
+            for at in range(0, rows.num_rows, 1024):
+                to = np.unique(tree.value.reach(matrix(rows.column("v").slice(at, 1024)), eps, radii.value)[1])
+                for k in range(int(regions.parts[to].max(initial=1))):
+                    open_[regions.first[to[regions.parts[to] > k]] + k] = True
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, rows.schema) as out:
+                out.write_table(rows)
+            some = bool(rows.column(only).to_numpy().any()) if only else True
+            return pa.table({"region": [key[0].as_py()], "open": pa.array([np.flatnonzero(open_)], pa.list_(pa.int64())), "some": [some], "points": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
 
         def blocks(rows: pa.Table, against: int) -> list[Block]:
             """The rows in the order of their leaves; a large dense leaf and those with ``only`` have blocks of their own."""
@@ -278,29 +294,31 @@ class Partition:
                 if near.any():
                     yield from work(a.rows.filter(pa.array(left)), b.rows.filter(pa.array(right)), near, same)
 
-        def joined(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-            i, j = (k.as_py() for k in key)
-            own = rows.column("region").to_numpy()
-            left = blocks(rows.filter(pa.array(own == i)), j)
-            right = left if i == j else blocks(rows.filter(pa.array(own == j)), i)
-            pairs = ((a, b, n == m) for n, a in enumerate(left) for m, b in enumerate(right) if i != j or n <= m)
-            found = [batch for a, b, same in pairs if a.flagged or b.flagged for batch in met(a, b, same and i == j)]
-            return pa.Table.from_batches(found) if found else empty
+        def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for n in range(batch.num_rows):
+                    i, j = batch.column("i")[n].as_py(), batch.column("j")[n].as_py()
+                    left_rows, right_rows = (pa.ipc.open_stream(batch.column(c)[n].as_buffer()).read_all() for c in ("left", "right"))
+                    left = blocks(left_rows.drop_columns("region"), j)
+                    right = left if i == j else blocks(right_rows.drop_columns("region"), i)
+                    for n_a, a in enumerate(left):
+                        for n_b, b in enumerate(right):
+                            if (i != j or n_a <= n_b) and (a.flagged or b.flagged):
+                                yield from met(a, b, i == j and n_a == n_b)
 
-        empty = to_arrow(spark.createDataFrame([], schema))
         rest = "".join(f", {c} {kind[c]}" for c in columns)
-        cells = self.homes.withColumn("hash", F.xxhash64("id")).mapInArrow(sent, f"i long, j long, region long, leaf long{rest}")
-        # cells are work even where their rows are few: about a task each
-        cells = cells.repartition(regions.count * (regions.count + 1), "i", "j")
-        return cells.groupBy("i", "j").applyInArrow(joined, schema)
-
-
-def to_arrow(frame: DataFrame) -> pa.Table:
-    """An empty frame as an Arrow table with its types."""
-    return to_arrow_schema(frame.schema).empty_table()
-
-
-def partition(points: DataFrame, eps: float, sample_points: int = 100_000, leaf_points: int = 64, fanout: int = 16, block_rows: int = 2048, region_rows: int = 1 << 16) -> Partition:
+        rows = self.homes.withColumn("hash", F.xxhash64("id")).mapInArrow(dealt, f"region long, leaf long{rest}")
+        # regions are work even where their rows are few; each two parts of the stored table are a task
+        parts = max(1, min(regions.count, max(spark.sparkContext.defaultParallelism, regions.count // 4)))
+        stored = rows.repartition(parts, "region").groupBy("region").applyInArrow(packed, "region long, open array<long>, some boolean, points binary")
+        stored = materialize(spark, stored, "metric-regions")
+        left = stored.select(F.col("region").alias("i"), F.col("open").alias("i_open"), F.col("some").alias("i_some"), F.col("points").alias("left"))
+        right = stored.select(F.col("region").alias("j"), F.col("open").alias("j_open"), F.col("some").alias("j_some"), F.col("points").alias("right"))
+        meet = F.expr("i <= j AND (i_some OR j_some) AND array_contains(i_open, j) AND array_contains(j_open, i)")
+        return left.join(right, meet).select("i", "j", "left", "right").mapInArrow(joined, schema)
+
+
+def partition(points: DataFrame, eps: float, sample_points: int = 100_000, leaf_points: int = 64, fanout: int = 16, block_rows: int = 2048, region_bytes: int = 4 << 20) -> Partition:
     """``points`` (id, v and further columns; vectors of one length, finite) dealt out by a tree from about ``sample_points`` of them."""
     spark = points.sparkSession
     others = [c for c in points.columns if c not in ("id", "v")]
@@ -333,7 +351,6 @@ def partition(points: DataFrame, eps: float, sample_points: int = 100_000, leaf_
     count = np.zeros(len(radius), np.int64)
     for row in held:
         count[row.leaf] = row.n
-    # large enough to write a point few times, small enough for several tasks
-    regions = Regions.of(count, min(region_rows, max(block_rows, -(-n // 8))))
+    regions = Regions.of(count, Regions.rows(n, block_rows, region_bytes // (8 * sample.shape[1])))
     leaves = sizes.select("leaf", "n", (F.col("far") <= eps / 2 * (1 - 1e-9)).alias("dense"))
-    return Partition(homes.drop("far"), materialize(spark, leaves, "metric-leaves"), eps, block_rows, tree, radii, regions)
+    return Partition(homes.drop("far"), materialize(spark, leaves, "metric-leaves"), eps, block_rows, region_bytes, tree, radii, regions)
