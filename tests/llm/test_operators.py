@@ -48,6 +48,33 @@ def test_bpe_equals_the_library_on_awkward_texts(spark):
     assert base64.b64encode(next(iter(ranks))) is not None
 
 
+def test_bpe_decodes_large_batches_in_slices(spark, monkeypatch):
+    seen = []
+
+    def slices(batch, column="text", max_bytes=0, give_back=False):
+        seen.append((column, max_bytes, give_back))
+        return (batch.slice(i, 1) for i in range(batch.num_rows))
+
+    monkeypatch.setattr(bpe, "text_slices", slices)
+
+    class Encoded:
+        """Stands for a frame whose tasks run here."""
+
+        columns, sparkSession = ["doc_id", "ids"], spark
+
+        def select(self, *columns):
+            return spark.createDataFrame([(1, "", "")], "doc_id long, ids_sha256 string, decoded_sha256 string")
+
+        def mapInArrow(self, work, schema):  # noqa: N802
+
+            batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "ids": [np.array([72, 73], "<u4").tobytes(), b""]})
+            return list(work(iter([batch])))
+
+    out = bpe.decode(Encoded(), BPE_RANKS, digests=True)
+    assert [b.num_rows for b in out] == [1, 1] and seen == [("ids", 4 << 20, True)]
+    assert out[1].column("decoded_sha256").to_pylist() == [hashlib.sha256(b"").hexdigest()]
+
+
 def test_bpe_repeated_rows_and_empty_table(spark):
     docs = table(spark, ["one two", "one two"])
     assert bpe.encode(docs.unionByName(docs), BPE_RANKS, public_tokenizers.PATTERN).count() == 4

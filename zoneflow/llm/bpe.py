@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
-from zoneflow.llm.common import plain_strings, string_hashes, text_slices
+from zoneflow.llm.common import free_memory, plain_strings, string_hashes, text_slices
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -189,8 +189,13 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", k
                         known[word] = np.array(encoder(word), "<u4").tobytes()
                 found.append(_pack_lists([known[w] for w in words]))
             yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("numbers"), pa.array(found, pa.binary())], ["block", "numbers", "ids"])
+            del batch, found
+            free_memory()
+        del encoder, known
+        free_memory()
 
     def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
+        free_memory()  # what the block before held
         asked = left.column("words").to_pylist()
         lists = [b""] * (asked[0] if asked else 0)
         answered = 0
@@ -235,14 +240,15 @@ def decode(encoded: DataFrame, ranks_path: str, digests: bool = False) -> DataFr
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_id = table.value
+        kind = pa.string() if digests else pa.binary()
         for batch in batches:
-            first, second = [], []
-            for blob in batch.column("ids"):
-                ids = np.frombuffer(blob.as_py(), "<u4").tolist()
-                raw = b"".join([by_id[i] for i in ids])
-                first.append(hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest() if digests else blob.as_py())
-                second.append(hashlib.sha256(raw).hexdigest() if digests else raw)
-            kind = pa.string() if digests else pa.binary()
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(first, kind), pa.array(second, kind)], schema.fieldNames())
+            for piece in text_slices(batch, "ids", max_bytes=4 << 20, give_back=True):
+                first, second = [], []
+                for blob in piece.column("ids"):
+                    ids = np.frombuffer(blob.as_py(), "<u4").tolist()
+                    raw = b"".join([by_id[i] for i in ids])
+                    first.append(hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest() if digests else blob.as_py())
+                    second.append(hashlib.sha256(raw).hexdigest() if digests else raw)
+                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in others), pa.array(first, kind), pa.array(second, kind)], schema.fieldNames())
 
     return encoded.mapInArrow(joined, schema)

@@ -47,7 +47,7 @@ def bounded_sample(rows: DataFrame, id_column: str, class_column: str, bound: in
     return rows.where(keep)
 
 
-def _give_back() -> None:
+def free_memory() -> None:
     """Returns freed memory to the system: workers live on and do one stage after another."""
     pa.default_memory_pool().release_unused()
     if hasattr(_LIBC, "malloc_trim"):
@@ -60,7 +60,7 @@ def text_slices(batch: pa.RecordBatch, column: str = "text", max_bytes: int = SL
     With ``give_back``, memory that was freed before a piece goes back to the system."""
     if not batch.num_rows:
         return
-    tidy = _give_back if give_back else pa.default_memory_pool().release_unused
+    tidy = free_memory if give_back else pa.default_memory_pool().release_unused
     if give_back:
         tidy()
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
