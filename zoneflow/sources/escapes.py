@@ -27,4 +27,5 @@ def unescape(c: Column, codes: dict[str, str]) -> Column:
             piece = F.replace(piece, F.lit("\\" + code), F.lit(char))
         return piece
 
-    return F.array_join(F.transform(F.split(c, r"\\\\", -1), decode), "\\")
+    # most texts hold no escape
+    return F.when(F.contains(c, F.lit("\\")), F.array_join(F.transform(F.split(c, r"\\\\", -1), decode), "\\")).otherwise(c)

@@ -113,27 +113,31 @@ def write_ntriples(triples: DataFrame, path: str) -> None:
 
 
 # The literal runs to the last quote of the line: a datatype holds none.
-_NT = r'(?s)^<([^>]*)> <([^>]*)> (?:<([^>]*)>|"(.*)"(?:\^\^<([^>"]*)>)?) \.$'
+_NT = r'(?s)^<([^>]*+)> <([^>]*+)> (?:<([^>]*+)>|"(.*)"(?:\^\^<([^>"]*+)>)?) \.$'
+# subject, predicate, IRI, datatype, text: only the last one may hold a ">"
+_NT_PARTS = "$1>$2>$3>$5>$4"
 
 
 def read_ntriples(spark: SparkSession, path: str, require_rows: bool = True) -> DataFrame:
     """Parse N-Triples lines back into the triples table; an empty
     input raises (the bulk-load empty-file check), and so does a line that is
     neither a triple nor blank nor a comment."""
-    lines = spark.read.text(path).where(~F.col("value").rlike(r"^\s*(#.*)?$"))
-    if require_rows and lines.limit(1).count() == 0:
+    lines = spark.read.text(path)
+    blank = F.col("value").rlike(r"^\s*(#.*)?$")
+    if require_rows and lines.where(~blank).limit(1).count() == 0:
         raise ValueError(f"no triples in {path}")
-    g = lambda i: F.regexp_extract("value", _NT, i)
-    is_triple = F.col("value").rlike(_NT)
-    lines = lines.where(F.when(is_triple, F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("not a triple: "), F.col("value"))).cast("boolean")))
-    unescaped = unescape(g(4), QUOTED)
-    is_iri = g(3) != ""
-    return lines.select(
-        g(1).alias("subject"),
-        g(2).alias("predicate"),
-        F.when(is_iri, g(3)).otherwise(unescaped).alias("object"),
+    wrong = F.raise_error(F.concat(F.lit("not a triple: "), F.col("value"))).cast("boolean")
+    lines = lines.where(F.when(F.col("value").rlike(_NT), F.lit(True)).when(blank, F.lit(False)).otherwise(wrong))
+    # one match gives all parts of a line; ".*" takes a line break that "$" leaves
+    parsed = lines.select(F.split(F.regexp_replace("value", _NT + ".*", _NT_PARTS), ">", 5).alias("p"))
+    part = lambda i: F.col("p")[i]
+    is_iri = part(2) != ""
+    return parsed.select(
+        part(0).alias("subject"),
+        part(1).alias("predicate"),
+        F.when(is_iri, part(2)).otherwise(unescape(part(4), QUOTED)).alias("object"),
         F.when(is_iri, F.lit("iri")).otherwise(F.lit("literal")).alias("object_kind"),
-        F.when(is_iri | (g(5) == ""), F.lit(None)).otherwise(F.replace(g(5), F.lit(XSD), F.lit(""))).alias("datatype"),
+        F.when(is_iri | (part(3) == ""), F.lit(None)).otherwise(F.replace(part(3), F.lit(XSD), F.lit(""))).alias("datatype"),
     )
 
 
