@@ -24,3 +24,10 @@ def test_ntriples_line_is_matched_for_all_parts_at_once(spark):
     back = sinks.read_ntriples(spark, path)
     assert sorted(map(tuple, back.collect()), key=repr) == sorted(rows, key=repr)
     assert "regexp_extract" not in _plan(back)
+
+
+def test_cleaning_rule_is_one_lookup_a_character(spark):
+    every = "".join(chr(c) for c in [*range(1, 0x250), 0x2028, 0x212A, 0x4E2D, 0xFF21, 0x1F600, 0x10FFFF])
+    out = spark.range(1).select(F.regexp_replace(F.lit(every), text.NON_ALNUM_SPACE, " "), F.regexp_replace(F.lit(every), text.NON_ALPHA_SPACE, " ")).first()
+    assert list(out) == [re.sub(p, " ", every, flags=re.ASCII) for p in (r"[^a-zA-Z0-9\s]", r"[^a-zA-Z\s]")]
+    assert "a-z" not in text.NON_ALNUM_SPACE + text.NON_ALPHA_SPACE
