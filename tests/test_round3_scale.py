@@ -31,3 +31,14 @@ def test_cleaning_rule_is_one_lookup_a_character(spark):
     out = spark.range(1).select(F.regexp_replace(F.lit(every), text.NON_ALNUM_SPACE, " "), F.regexp_replace(F.lit(every), text.NON_ALPHA_SPACE, " ")).first()
     assert list(out) == [re.sub(p, " ", every, flags=re.ASCII) for p in (r"[^a-zA-Z0-9\s]", r"[^a-zA-Z\s]")]
     assert "a-z" not in text.NON_ALNUM_SPACE + text.NON_ALPHA_SPACE
+
+
+def test_match_facts_are_made_once(spark, tmp_path, monkeypatch):
+    spark.sql(
+        """SELECT id AS o_orderkey, id % 7 AS o_custkey, IF(id % 2 = 0, 'F', 'O') AS o_orderstatus, id * 10.5D AS o_totalprice,
+           TIMESTAMP_NTZ '1995-05-25 00:00:00' + make_interval(0, 0, 0, CAST(id AS INT)) AS o_orderdate FROM range(1, 20)"""
+    ).write.parquet(str(tmp_path / "orders.parquet"))
+    plans, write = {}, flow_plans.materialize
+    monkeypatch.setattr(flow_plans, "materialize", lambda s, df, name: plans.setdefault(name, _plan(df)) and write(s, df, name))
+    assert flow_plans.sports_matches_trusted(spark, str(tmp_path)).count() == 19
+    assert "o_orderkey" in plans["matches-facts"] and "o_orderkey" not in plans["matches"]

@@ -307,7 +307,7 @@ def sports_matches_trusted(spark, d):
 
     full, again = sports_records(spark, d)
     batch = lambda df: sports.trusted_matches(sports.expand(df, sports.SPOKEN))
-    facts = batch(full.unionByName(again).unionByName(again))
+    facts = materialize(spark, batch(full.unionByName(again).unionByName(again)), "matches-facts")  # both loads read them
     cut = F.lit("1995-06-01").cast("timestamp")
     trusted = materialize(spark, sports.load_matches(None, facts.where(F.col("timestamp") < cut)), "matches")
     second = facts.where(F.col("timestamp") >= cut).unionByName(batch(again).where(F.col("timestamp") < cut))
