@@ -152,12 +152,14 @@ def negatives(spark: SparkSession, triples: DataFrame, known: DataFrame, n_entit
     put = lambda df, neg: df.withColumns({"ns": F.when(F.col("head"), neg).otherwise(F.col("s")), "no": F.when(F.col("head"), F.col("o")).otherwise(neg)})
     for r in range(rounds):
         drawn = put(rest, F.pmod(key(f"neg{r}"), F.lit(n_entities)))
-        drawn = materialize(spark, drawn.join(have, ["ns", "p", "no"], "left"), "neg-drawn")
+        # few are drawn again: their table's size is known, so the known triples are not shuffled for them
+        met = have.join(drawn.select("ns", "p", "no"), ["ns", "p", "no"], "left_semi") if r else have
+        drawn = materialize(spark, drawn.join(met, ["ns", "p", "no"], "left"), "neg-drawn")
         done.append(drawn.where("known IS NULL").select("s", "p", "o", "ns", "no"))
-        rest = drawn.where("known").select("s", "p", "o", "head")
+        rest = materialize(spark, drawn.where("known").select("s", "p", "o", "head"), "neg-rest")
         if rest.isEmpty():
             return reduce(DataFrame.unionByName, done)
-    return reduce(DataFrame.unionByName, [*done, _unknown_ones(spark, materialize(spark, rest, "neg-rest"), known, n_entities, key("last"), put)])
+    return reduce(DataFrame.unionByName, [*done, _unknown_ones(spark, rest, known, n_entities, key("last"), put)])
 
 
 def _unknown_ones(spark: SparkSession, rest: DataFrame, known: DataFrame, n_entities: int, draw: Column, put) -> DataFrame:
