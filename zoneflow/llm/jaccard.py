@@ -37,6 +37,9 @@ d(x + y) = floor((x + y) (q - p) / (q + p)) for sizes x and y.
 * Classes are connected components, by alternating large-star and small-star
   rounds.
 
+Sets, sketches and signatures are made for many texts at once, in flat arrays;
+for the exact comparison one text of each node that a pair names is read again.
+
 Sketch rows travel packed by block (about 8 MB of text) and hash bucket, and a
 block sends one row a node and segment value however often a text repeats in
 it.  Intermediate tables lie in the shared checkpoint folder.
@@ -61,13 +64,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from zoneflow.llm.common import ascii_words, mix64, plain_strings, string_hashes, text_slices
+from zoneflow.llm.common import mix64, plain_strings, row_of, text_slices, word_hashes
 from zoneflow.session import materialize
 
 SKETCH_WORDS = 16  # 64-bit words of the short bit sketch
-SEED = np.uint64(0xC2B2AE3D27D4EB4F)
+SEED, BASE = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x9E3779B97F4A7C15)
 LOG_COUNTERS, LOG_CHUNK = 20, 14
 LOOK_BYTES, BLOCK_BYTES = 6 << 20, 8 << 20  # of text that a task works on at a time
+PART = 256  # sets of which sketches are made at a time
 
 
 @dataclass(frozen=True)
@@ -94,84 +98,146 @@ class Threshold:
         return d + 1 + -(-(d + 1) * 3 // 20) + 1, d
 
 
-def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each text."""
-    offsets, codes, words = ascii_words(pc.ascii_lower(texts))
-    h = string_hashes(words)[codes]
-    total = np.zeros(max(0, len(h) - width + 1), np.uint64)
+@dataclass(frozen=True)
+class Sets:
+    """Sets of shingle hashes, one after another: set ``i`` is the sorted ``values[offsets[i]:offsets[i + 1]]``."""
+
+    values: np.ndarray
+    offsets: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.offsets) - 1
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        return self.values[self.offsets[i] : self.offsets[i + 1]]
+
+    @property
+    def sizes(self) -> np.ndarray:
+        return np.diff(self.offsets)
+
+    def lowest(self) -> np.ndarray:
+        """Each set's smallest shingle (0: empty)."""
+        low, filled = np.zeros(len(self), np.int64), self.sizes > 0
+        low[filled] = self.values[self.offsets[:-1][filled]].view(np.int64)
+        return low
+
+    def take(self, chosen: np.ndarray) -> Sets:
+        sizes = self.sizes[chosen]
+        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        return Sets(self.values[np.arange(offsets[-1]) + np.repeat(self.offsets[:-1][chosen] - offsets[:-1], sizes)], offsets)
+
+    def parts(self, chosen: np.ndarray) -> Iterator[Sets]:
+        """The chosen sets, some at a time, so that what is made of them stays small."""
+        for a in range(0, len(chosen), PART):
+            yield self.take(chosen[a : a + PART])
+
+
+def shingle_sets(texts: pa.Array, width: int) -> Sets:
+    """The distinct shingle hashes of each text."""
+    offsets, h = word_hashes(pc.ascii_lower(texts))
+    lengths, n = np.diff(offsets), max(0, len(h) - width + 1)
+    values = np.zeros(len(h), np.uint64)
     for i in range(width):
-        total = total * np.uint64(0x9E3779B97F4A7C15) + h[i : len(h) - width + 1 + i]
-    total = mix64(total)
-    out = []
+        values[:n] = values[:n] * BASE + h[i : n + i]
+    values = mix64(values)
+    # a shingle lies at its first word, that of a shorter text at its only place
+    kept = np.arange(len(h)) + width <= np.repeat(offsets[1:], lengths)
+    short = np.flatnonzero((lengths > 0) & (lengths < width))
+    whole = lengths[short].astype(np.uint64)
+    for i in range(width - 1):
+        on = lengths[short] > i
+        whole[on] = mix64((whole[on] + h[offsets[short[on]] + i]) * BASE)
+    values[offsets[short]], kept[offsets[short]] = whole, True
+    values = values[kept]
+    offsets = np.concatenate([[0], np.cumsum(kept)])[offsets]
     for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-        if b - a >= width:
-            out.append(np.unique(total[a : b - width + 1]))
-        elif b > a:
-            whole = np.array([b - a], np.uint64)
-            for x in h[a:b]:
-                whole = mix64((whole + x) * np.uint64(0x9E3779B97F4A7C15))
-            out.append(whole)
-        else:
-            out.append(np.zeros(0, np.uint64))
-    return out
+        values[a:b].sort()
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    new[offsets[:-1][np.diff(offsets) > 0]] = True
+    return Sets(values[new], np.concatenate([[0], np.cumsum(new)])[offsets])
+
 
+def nodes_of(sets: Sets) -> np.ndarray:
+    """A 64-bit identity of each set (0: empty)."""
+    nodes, filled = np.zeros(len(sets), np.int64), sets.sizes > 0
+    if filled.any():
+        nodes[filled] = np.bitwise_xor.reduceat(mix64(sets.values + SEED), sets.offsets[:-1][filled]).view(np.int64)
+    return nodes
 
-def node_of(shingles: np.ndarray) -> int:
-    """A 64-bit identity of a set."""
-    return int(np.bitwise_xor.reduce(mix64(shingles + SEED)).view(np.int64)) if len(shingles) else 0
+
+def bit_sketches(sets: Sets) -> np.ndarray:
+    """Parity of each set's shingles at each of 64 * SKETCH_WORDS bits: two sets differ in at least as many shingles as sketches in bits."""
+    bits = 64 * SKETCH_WORDS
+    out = [np.zeros((0, SKETCH_WORDS), "<i8")]
+    for some in sets.parts(np.arange(len(sets))):
+        place = (mix64(some.values ^ SEED) >> np.uint64(40)).astype(np.int64) % bits
+        odd = (np.bincount(row_of(some.offsets) * bits + place, minlength=len(some) * bits) & 1).astype(np.uint8)
+        out.append(np.packbits(odd, bitorder="little").view("<i8").reshape(-1, SKETCH_WORDS))
+    return np.concatenate(out)
 
 
 def bit_sketch(shingles: np.ndarray) -> np.ndarray:
-    """Parity of the shingles at each of 64 * SKETCH_WORDS bits: two sets differ in at least as many shingles as sketches in bits."""
-    place = (mix64(shingles ^ SEED) >> np.uint64(40)).astype(np.int64) % (64 * SKETCH_WORDS)
-    bits = (np.bincount(place, minlength=64 * SKETCH_WORDS) & 1).astype(np.uint8)
-    return np.packbits(bits, bitorder="little").view("<i8")
+    """``bit_sketches`` of one set."""
+    return bit_sketches(Sets(shingles, np.array([0, len(shingles)])))[0]
 
 
-def segment_values(shingles: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
-    """XOR of the shingles of each of ``m`` segments, and how many each holds."""
-    segment = ((shingles >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)).astype(np.int64)  # sorted, as the shingles are
-    values, held = np.zeros(m, np.uint64), np.bincount(segment, minlength=m)
-    if len(shingles):
+def segment_values(sets: Sets, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """XOR of the shingles of each of the ``m[i]`` segments of set ``i``, all in a row, and which of them hold any."""
+    first = np.concatenate([[0], np.cumsum(m)])
+    row = row_of(sets.offsets)
+    segment = ((sets.values >> np.uint64(32)) * m.astype(np.uint64)[row] >> np.uint64(32)).astype(np.int64) + first[row]  # sorted, as the shingles are
+    values, filled = np.zeros(first[-1], np.uint64), np.zeros(first[-1], bool)
+    if len(segment):
         starts = np.flatnonzero(np.diff(segment, prepend=-1))
-        values[segment[starts]] = np.bitwise_xor.reduceat(mix64(shingles), starts)
-    return values, held
+        values[segment[starts]] = np.bitwise_xor.reduceat(mix64(sets.values), starts)
+        filled[segment[starts]] = True
+    return values, filled
 
 
-def signatures(shingles: np.ndarray, common: np.ndarray, threshold: Threshold, ends: list[int]) -> np.ndarray:
-    """The join keys of a set: hashes of (sketch, band, segment, value)."""
-    n = len(shingles)
-    rare = shingles[~common[(shingles >> np.uint64(64 - LOG_COUNTERS)).astype(np.int64)]]
-    own = int(np.searchsorted(ends, n))
-    keys = []
+def signatures_of(sets: Sets, common: np.ndarray, threshold: Threshold, ends: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """The join keys of some sets, hashes of (sketch, band, segment, value), and the set that each belongs to."""
+    n, last = sets.sizes, np.array(ends)
+    counts, bounds = np.array([threshold.segments(end) for end in ends]).T
+    out = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+    own = np.searchsorted(last, n)
     for band in (own, own + 1):
-        if band >= len(ends) or n * threshold.q // threshold.p <= ends[band - 1] and band > own:
-            continue
-        m, d = threshold.segments(ends[band])
-        if d == 0:
-            continue  # only equal sets link, and those are one node
-        slack = m - d - 1
-        for kind, some in enumerate((rare, shingles)):
-            values, held = segment_values(some, m)
-            filled = held > 0
-            poor = m - int(filled.sum()) > slack
-            used = np.arange(m) if kind and poor else np.flatnonzero(filled)
-            place = np.uint64(((kind * 4096 + band) << 32) & 0xFFFFFFFFFFFFFFFF) + used.astype(np.uint64)
-            keys.append(mix64(mix64(place) + values[used]))
-            if not poor:
+        here = np.flatnonzero((band < len(ends)) & ((band == own) | (n * threshold.q // threshold.p > last[np.minimum(band, len(ends)) - 1])))
+        here = here[bounds[band[here]] > 0]  # elsewhere only equal sets link, and those are one node
+        for kind in range(2):
+            if not len(here):
                 break
-    return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+            some = sets.take(here)
+            if not kind:  # the rare shingles
+                rare = ~common[(some.values >> np.uint64(64 - LOG_COUNTERS)).astype(np.int64)]
+                some = Sets(some.values[rare], np.concatenate([[0], np.cumsum(rare)])[some.offsets])
+            m = counts[band[here]]
+            slack = m - bounds[band[here]] - 1
+            values, used = segment_values(some, m)
+            row = np.repeat(np.arange(len(here)), m)
+            poor = m - np.bincount(row[used], minlength=len(here)) > slack
+            if kind:
+                used |= poor[row]
+            used = np.flatnonzero(used)
+            segment = used - (np.cumsum(m) - m)[row[used]]
+            place = ((kind * 4096 + band[here][row[used]]) << 32).astype(np.uint64) + segment.astype(np.uint64)
+            out.append((mix64(mix64(place) + values[used]), here[row[used]]))
+            here = here[poor]
+    keys, owners = zip(*out, strict=True)
+    return np.concatenate(keys), np.concatenate(owners)
 
 
-def _distinct_sets(piece: pa.RecordBatch, width: int) -> tuple[list[np.ndarray], list[int], dict[int, int]]:
-    """Sets and nodes of a slice's texts, and for each node with a shingle the first text that has it."""
+def signatures(shingles: np.ndarray, common: np.ndarray, threshold: Threshold, ends: list[int]) -> np.ndarray:
+    """The join keys of one set."""
+    return signatures_of(Sets(shingles, np.array([0, len(shingles)])), common, threshold, ends)[0]
+
+
+def _distinct_sets(piece: pa.RecordBatch, width: int) -> tuple[Sets, np.ndarray, np.ndarray]:
+    """Sets and nodes of a slice's texts, and of each node with a shingle the first text that has it."""
     sets = shingle_sets(plain_strings(piece.column("text")), width)
-    nodes = [node_of(s) for s in sets]
-    first: dict[int, int] = {}
-    for i, (node, s) in enumerate(zip(nodes, sets, strict=True)):
-        if len(s):
-            first.setdefault(node, i)
-    return sets, nodes, first
+    nodes = nodes_of(sets)
+    filled = np.flatnonzero(sets.sizes > 0)
+    return sets, nodes, np.sort(filled[np.unique(nodes[filled], return_index=True)[1]])
 
 
 @dataclass(frozen=True)
@@ -191,56 +257,55 @@ def linked(x: np.ndarray, y: np.ndarray, threshold: Threshold) -> bool:
     return shared * threshold.q >= (len(x) + len(y) - shared) * threshold.p
 
 
-DESCRIBED = "kind int, id {id}, node long, n long, sketch array<long>, low long, shingles binary"
+DESCRIBED = "kind int, id {id}, mark long, node long, n long, sketch array<long>, low long, shingles binary"
 
 
 def _described(rows: DataFrame, width: int, local_share: float = 0.002, local_least: int = 8) -> DataFrame:
-    """kind 0: a row for each text; kind 1: counters of the shingles in a task's distinct sets, chunk ``node`` of task ``n``; kind 2: the smallest node of ``n`` distinct sets of a block that have the smallest shingle ``low``."""
+    """kind 0: a row for each text (``mark`` tells texts apart); kind 1: counters of the shingles in a task's distinct sets, chunk ``node`` of task ``n``; kind 2: the smallest node of ``n`` distinct sets of a block that have the smallest shingle ``low``."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters = np.zeros(1 << LOG_COUNTERS, np.int64)
         for batch in batches:
             for piece in text_slices(batch, max_bytes=LOOK_BYTES, give_back=True):
                 sets, nodes, first = _distinct_sets(piece, width)
-                low = [int(s[0].view(np.int64)) if len(s) else 0 for s in sets]
-                words = np.stack([bit_sketch(s) for s in sets])
-                yield _batch(0, piece.column("id"), nodes, [len(s) for s in sets], words, low, None)
-                if not first:
+                low = sets.lowest()
+                yield _batch(0, piece.column("id"), piece.column("mark"), nodes, sets.sizes, bit_sketches(sets), low, None)
+                if not len(first):
                     continue
                 least = max(local_least, local_share * len(first))
-                held = np.concatenate([sets[i] for i in first.values()]) >> np.uint64(64 - LOG_COUNTERS)
-                counters += np.bincount(held.astype(np.int64), minlength=len(counters))
-                by: dict[int, list[int]] = {}
-                for node, i in first.items():
-                    by.setdefault(low[i], []).append(node)
+                counters += np.bincount((sets.take(first).values >> np.uint64(64 - LOG_COUNTERS)).astype(np.int64), minlength=len(counters))
+                by: dict[int, list[tuple[int, int]]] = {}
+                for node, i in zip(nodes[first].tolist(), first.tolist(), strict=True):
+                    by.setdefault(int(low[i]), []).append((node, i))
                 large = [(x, min(members), len(members)) for x, members in sorted(by.items()) if len(members) >= least]
                 if large:
                     lows, leaders, sizes = zip(*large, strict=True)
-                    yield _batch(2, pa.nulls(len(large), piece.column("id").type), leaders, sizes, None, lows, [sets[first[x]].astype("<u8").tobytes() for x in leaders])
+                    yield _batch(2, pa.nulls(len(large), piece.column("id").type), None, [x for x, _ in leaders], sizes, None, lows, [sets[i].astype("<u8").tobytes() for _, i in leaders])
         chunks = counters.reshape(-1, 1 << LOG_CHUNK)
         used = np.flatnonzero(chunks.any(1))
         if len(used):
             none = pa.nulls(len(used), id_type)
-            yield _batch(1, none, used, np.full(len(used), TaskContext.get().partitionId()), None, None, [chunks[c].astype("<u4").tobytes() for c in used])
+            yield _batch(1, none, None, used, np.full(len(used), TaskContext.get().partitionId()), None, None, [chunks[c].astype("<u4").tobytes() for c in used])
 
     id_type = to_arrow_type(rows.schema["id"].dataType)
     return rows.mapInArrow(describe, DESCRIBED.format(id=rows.schema["id"].dataType.simpleString()))
 
 
-def _batch(kind: int, ids: pa.Array, node, n, sketch: np.ndarray | None, low, shingles) -> pa.RecordBatch:
+def _batch(kind: int, ids: pa.Array, marks: pa.Array | None, node, n, sketch: np.ndarray | None, low, shingles) -> pa.RecordBatch:
     k = len(ids)
     lists = pa.nulls(k, pa.list_(pa.int64())) if sketch is None else pa.ListArray.from_arrays(pa.array(np.arange(0, sketch.size + 1, SKETCH_WORDS), pa.int32()), pa.array(sketch.ravel().astype(np.int64)))
     return pa.RecordBatch.from_arrays(
         [
             pa.array(np.full(k, kind), pa.int32()),
             ids,
+            pa.nulls(k, pa.int64()) if marks is None else marks,
             pa.array(np.asarray(node, np.int64)),
             pa.array(np.asarray(n, np.int64)),
             lists,
             pa.nulls(k, pa.int64()) if low is None else pa.array(low, pa.int64()),
             pa.nulls(k, pa.binary()) if shingles is None else pa.array(shingles, pa.binary()),
         ],
-        ["kind", "id", "node", "n", "sketch", "low", "shingles"],
+        ["kind", "id", "mark", "node", "n", "sketch", "low", "shingles"],
     )
 
 
@@ -272,20 +337,20 @@ def _packed_signatures(rows: DataFrame, plan: Plan) -> DataFrame:
         shift = np.uint64(64 - plan.log_buckets)
         for batch in batches:
             for piece in text_slices(batch, max_bytes=BLOCK_BYTES, give_back=True):
-                sets, _, first = _distinct_sets(piece, plan.width)
-                if not first:
+                sets, nodes, first = _distinct_sets(piece, plan.width)
+                if not len(first):
                     continue
-                nodes = np.fromiter(first, np.int64, len(first))
+                nodes = nodes[first]
                 leaders = nodes.copy()
-                each = []
-                for k, i in enumerate(first.values()):
-                    each.append(signatures(sets[i], plan.common, plan.threshold, plan.ends))
-                    leader = plan.leaders.get(int(sets[i][0].view(np.int64)))
+                for k, (i, low) in enumerate(zip(first.tolist(), sets.lowest()[first].tolist(), strict=True)):
+                    leader = plan.leaders.get(low)
                     if leader and leader[0] != nodes[k] and linked(sets[i], leader[1], plan.threshold):
                         leaders[k] = leader[0]
+                each = [(k, *signatures_of(some, plan.common, plan.threshold, plan.ends)) for k, some in enumerate(sets.parts(first))]
                 del sets
-                keys = np.concatenate(each)
-                owner = np.repeat(np.arange(len(each)), [len(x) for x in each])
+                keys = np.concatenate([k for _, k, _ in each])
+                owner = np.concatenate([PART * part + o for part, _, o in each])
+                del each
                 bucket = (keys >> shift).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 keys, owner, bucket = (keys[order] << np.uint64(plan.log_buckets) >> np.uint64(32)).astype("<u4"), owner[order], bucket[order]
@@ -303,14 +368,14 @@ def _packed_signatures(rows: DataFrame, plan: Plan) -> DataFrame:
                     bucket_column, *others = zip(*lists[a : a + 512], strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(bucket_column, pa.int32()), *(pa.array(x, pa.binary()) for x in others)], ["bucket", "keys", "owners", "nodes", "leaders"])
 
-    return rows.mapInArrow(sketch, "bucket int, keys binary, owners binary, nodes binary, leaders binary")
+    return rows.select("text").mapInArrow(sketch, "bucket int, keys binary, owners binary, nodes binary, leaders binary")
 
 
 def _groups(packed: DataFrame, small_group: int) -> DataFrame:
     """kind 1: (a, b) linked, b's leader is a; kind 0: (a, b) may link; kind 2: a group ``a`` whose ``nodes`` (of families ``leaders``) the pairs of ``firsts``, one node of each family, may not settle."""
 
     def group(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        keys, nodes, leaders, out = [], [], [], []
+        keys, nodes, leaders, out, pairs = [], [], [], [], [np.zeros((2, 0), np.int64)]
         for k, o, n, f in zip(*(table.column(c).to_pylist() for c in ("keys", "owners", "nodes", "leaders")), strict=True):
             own, family, some = np.frombuffer(n, "<i8"), np.frombuffer(f, "<i8"), np.frombuffer(k, "<u4")
             if not len(some):
@@ -329,24 +394,38 @@ def _groups(packed: DataFrame, small_group: int) -> DataFrame:
             keys, nodes, leaders = keys[new], nodes[new], leaders[new]
             starts = np.flatnonzero(np.diff(keys.astype(np.int64), prepend=-1))
             ends = np.append(starts[1:], len(keys))
-            for s, e in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist(), strict=True):
+            sizes = ends - starts
+            again = np.zeros(len(keys), bool)  # a family's further nodes
+            again[1:] = (keys[1:] == keys[:-1]) & (leaders[1:] == leaders[:-1])
+            plain = (sizes <= small_group) & ~np.logical_or.reduceat(again, starts)
+            for size in np.unique(sizes[plain & (sizes > 1)]).tolist():
+                members = np.sort(nodes[starts[plain & (sizes == size)][:, None] + np.arange(size)], axis=1)
+                i, j = np.triu_indices(size, 1)
+                pairs.append(np.stack([members[:, i].ravel(), members[:, j].ravel()]))
+            for s, e in zip(starts[~plain & (sizes > 1)].tolist(), ends[~plain & (sizes > 1)].tolist(), strict=True):
                 families, firsts = np.unique(leaders[s:e], return_index=True)
                 if len(families) == 1:
                     continue
                 one = np.sort(nodes[s:e][firsts])
-                if len(one) <= small_group:
-                    out += [(0, int(x), int(y), None, None, None) for i, x in enumerate(one) for y in one[i + 1 :]]
-                else:
-                    out += [(0, int(one[0]), int(y), None, None, None) for y in one[1:]]
+                i, j = np.triu_indices(len(one), 1) if len(one) <= small_group else (np.zeros(len(one) - 1, np.int64), np.arange(1, len(one)))
+                pairs.append(np.stack([one[i], one[j]]))
                 if len(one) > small_group or len(one) < e - s:
                     # groups of the same nodes get the same number
                     name = int((np.bitwise_xor.reduce(mix64(nodes[s:e].view(np.uint64))) + np.uint64(e - s)).view(np.int64))
                     out.append((2, name, 0, one.tolist(), nodes[s:e].tolist(), leaders[s:e].tolist()))
         out = list({x[:3]: x for x in out}.values())
-        columns = list(zip(*out, strict=True)) if out else [[]] * 6
-        kinds = [pa.int32(), pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * 3]
-        return pa.table([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], ["kind", "a", "b", "firsts", "nodes", "leaders"])
-
+        columns = [list(c) for c in zip(*out, strict=True)] if out else [[]] * 6
+        others = pa.table([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
+        a, b = np.concatenate(pairs, axis=1)
+        order = np.lexsort((b, a))
+        a, b = a[order], b[order]
+        new = np.ones(len(a), bool)
+        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        a, b = a[new], b[new]
+        return pa.concat_tables([others, pa.table([pa.array(np.zeros(len(a), np.int32)), pa.array(a), pa.array(b), *(pa.nulls(len(a), t) for t in schema.types[3:])], schema=schema)])
+
+    lists = pa.list_(pa.int64())
+    schema = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("firsts", lists), ("nodes", lists), ("leaders", lists)])
     return packed.groupBy("bucket").applyInArrow(group, "kind int, a long, b long, firsts array<long>, nodes array<long>, leaders array<long>")
 
 
@@ -365,17 +444,18 @@ def _possible(pairs: DataFrame, nodes: DataFrame, threshold: Threshold) -> DataF
     return both.where(_near(F.col("n_a"), F.col("n_b"), F.col("sketch_a"), F.col("sketch_b"), threshold)).select("a", "b")
 
 
-def _linked(pairs: DataFrame, rows: DataFrame, width: int, threshold: Threshold) -> DataFrame:
-    """The (a, b) pairs that link, by the exact intersection; sets are made anew for the nodes that a pair names."""
+def _linked(pairs: DataFrame, rows: DataFrame, nodes: DataFrame, width: int, threshold: Threshold) -> DataFrame:
+    """The (a, b) pairs that link, by the exact intersection; sets are made anew from one text of each node that a pair names."""
     spark = rows.sparkSession
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    # Nodes of no pair are left out by a bit map of at most 4 MB; what it lets through by chance joins with nothing.
+    named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = materialize(spark, named.join(nodes, "node").select("mark"), "jaccard-wanted")
+    # Other texts are left out by a bit map of at most 4 MB, before their words are read; what it lets through by chance joins with nothing.
     log_bits = int(min(25, max(10, np.ceil(np.log2(16 * wanted.count() + 1)))))
     shift = np.uint64(64 - log_bits)
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = mix64(batch.column("node").to_numpy().view(np.uint64)) >> shift
+            at = mix64(batch.column("mark").to_numpy().view(np.uint64)) >> shift
             word, bit = (at >> np.uint64(6)).astype(np.int64), (np.uint64(1) << (at & np.uint64(63))).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(bit)], ["word", "bit"])
 
@@ -387,21 +467,19 @@ def _linked(pairs: DataFrame, rows: DataFrame, width: int, threshold: Threshold)
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in text_slices(batch, max_bytes=LOOK_BYTES, give_back=True):
-                sets, _, first = _distinct_sets(piece, width)
-                nodes = np.fromiter(first, np.int64, len(first))
-                at = mix64(nodes.view(np.uint64)) >> shift
-                named = np.flatnonzero(shared_bits.value[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1))
-                where = list(first.values())
-                for a in range(0, len(named), 1000):
-                    some = named[a : a + 1000]
-                    yield pa.RecordBatch.from_arrays([pa.array(nodes[some]), pa.array([sets[where[i]].astype("<u8").tobytes() for i in some], pa.binary())], ["node", "shingles"])
+                at = mix64(piece.column("mark").to_numpy().view(np.uint64)) >> shift
+                asked = shared_bits.value[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)
+                sets, own, first = _distinct_sets(piece.filter(pa.array(asked.astype(bool))), width)
+                for a in range(0, len(first), 1000):
+                    some = first[a : a + 1000]
+                    yield pa.RecordBatch.from_arrays([pa.array(own[some]), pa.array([sets[i].astype("<u8").tobytes() for i in some.tolist()], pa.binary())], ["node", "shingles"])
 
     def intersect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = [linked(np.frombuffer(x.as_py(), "<u8"), np.frombuffer(y.as_py(), "<u8"), threshold) for x, y in zip(batch.column("set_a"), batch.column("set_b"), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    sets = materialize(spark, rows.mapInArrow(sets_of, "node long, shingles binary").dropDuplicates(["node"]), "jaccard-sets")
+    sets = materialize(spark, rows.select("text", "mark").mapInArrow(sets_of, "node long, shingles binary").dropDuplicates(["node"]), "jaccard-sets")
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
     return pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "set_a", "set_b").mapInArrow(intersect, "a long, b long")
@@ -480,12 +558,12 @@ def similar_groups(
     of them; it steers the work and not the result.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("mark"))
     described = materialize(spark, _described(rows, width), "jaccard-texts")
     texts = described.where("kind = 0").select("id", "node", "n")
     best = F.min(F.struct(F.col("id").isNull().alias("unknown"), F.col("id"))).alias("best")
     filled = described.where("kind = 0 and n > 0")
-    nodes = materialize(spark, filled.groupBy("node").agg(best, F.min("n").alias("n"), F.min("sketch").alias("sketch")), "jaccard-nodes")
+    nodes = materialize(spark, filled.groupBy("node").agg(best, F.min("n").alias("n"), F.min("sketch").alias("sketch"), F.min("mark").alias("mark")), "jaccard-nodes")
     total, largest = nodes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
 
     frequent = described.where("kind = 2").groupBy("low").agg(F.sum("n").alias("n"), F.min_by(F.struct("node", "shingles"), "node").alias("first"))
@@ -500,7 +578,7 @@ def similar_groups(
     groups = materialize(spark, _groups(_packed_signatures(rows, plan), small_group), "jaccard-groups")
     edges = groups.where("kind = 1").select("a", "b").distinct()
     pairs = materialize(spark, _possible(groups.where("kind = 0").select("a", "b").distinct(), nodes, threshold), "jaccard-pairs")
-    links = materialize(spark, edges.unionByName(_linked(pairs, rows, width, threshold)), "jaccard-links")
+    links = materialize(spark, edges.unionByName(_linked(pairs, rows, nodes, width, threshold)), "jaccard-links")
     labels = components(links)
     # a few nodes of a group's largest class settle most of what is left; the last step compares the rest with all
     for some in (centres, None):
@@ -509,7 +587,7 @@ def similar_groups(
             break
         more = materialize(spark, _across_classes(members, threshold, some).join(pairs, ["a", "b"], "left_anti"), "jaccard-pairs")
         if not more.isEmpty():
-            links = materialize(spark, links.unionByName(_linked(more, rows, width, threshold)), "jaccard-links")
+            links = materialize(spark, links.unionByName(_linked(more, rows, nodes, width, threshold)), "jaccard-links")
             pairs = pairs.unionByName(more)
             labels = components(links)
 
