@@ -59,3 +59,22 @@ def test_only_texts_of_named_marks_are_read_for_linking(spark):
     for second, links in ((marks[1], 1), (marks[2], 0)):  # the second node's text is left unread if another is named for it
         nodes = spark.createDataFrame([(ids[0], marks[0]), (ids[1], second), (ids[2], marks[2])], "node long, mark long")
         assert jaccard._linked(pairs, rows, nodes, 5, jaccard.Threshold()).count() == links
+
+
+def test_blocks_send_few_rows_however_many_buckets():
+    rng = np.random.default_rng(4)
+    owner, nodes = rng.integers(0, 700, 20000), rng.integers(-(1 << 62), 1 << 62, 700)
+    keys, leaders = rng.integers(0, 1 << 63, 20000).astype(np.uint64) << np.uint64(1), np.where(np.arange(700) % 3, nodes, 5)
+    assert jaccard.log_buckets(0) == 4 and jaccard.log_buckets(85 << 20) == 12 and jaccard.log_buckets(1 << 40) == jaccard.MAX_LOG_BUCKETS <= 14
+    for log in (4, 12):
+        got = []
+        for batch in jaccard._by_bucket(keys, owner, nodes, leaders, log):
+            for row in batch.to_pylist():
+                some = np.frombuffer(row["keys"], "<u4").astype(np.uint64)
+                at = np.frombuffer(row["owners"], "<u2")
+                assert len(np.unique(at)) * 8 == len(row["nodes"]) == len(row["leaders"])
+                whole = (some | np.uint64(row["bucket"]) << np.uint64(32)) << np.uint64(32 - log)
+                got += zip(whole.tolist(), np.frombuffer(row["nodes"], "<i8")[at].tolist(), np.frombuffer(row["leaders"], "<i8")[at].tolist(), strict=True)
+        kept = keys >> np.uint64(32 - log) << np.uint64(32 - log)
+        assert sorted(got) == sorted(zip(kept.tolist(), nodes[owner].tolist(), leaders[owner].tolist(), strict=True))
+    assert not list(jaccard._by_bucket(keys[:0], owner[:0], nodes, leaders, 4))

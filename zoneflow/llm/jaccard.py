@@ -72,6 +72,8 @@ SEED, BASE = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x9E3779B97F4A7C15)
 LOG_COUNTERS, LOG_CHUNK = 20, 14
 LOOK_BYTES, BLOCK_BYTES = 6 << 20, 8 << 20  # of text that a task works on at a time
 PART = 256  # sets of which sketches are made at a time
+MAX_LOG_BUCKETS = 14
+PACKED = ["bucket", "keys", "owners", "nodes", "leaders"]
 
 
 @dataclass(frozen=True)
@@ -326,6 +328,32 @@ def _common(described: DataFrame) -> np.ndarray:
     return (counters > mean + 8 * np.sqrt(mean) + 8).ravel()
 
 
+def log_buckets(total: int) -> int:
+    """Parts of the key space for sets of ``total`` shingles: some 2 ** 15 each, but so few that a block's rows hold tens of keys however large the input is."""
+    return int(min(MAX_LOG_BUCKETS, max(4, np.ceil(np.log2(total / (1 << 15) + 1)))))
+
+
+def _by_bucket(keys: np.ndarray, owner: np.ndarray, nodes: np.ndarray, leaders: np.ndarray, log_buckets: int) -> Iterator[pa.RecordBatch]:
+    """A block's join keys and the nodes that own them, a row for each bucket of the key space."""
+    bucket = (keys >> np.uint64(64 - log_buckets)).astype(np.int64)
+    order = np.lexsort((owner, bucket))
+    keys, owner, bucket = (keys[order] << np.uint64(log_buckets) >> np.uint64(32)).astype("<u4"), owner[order], bucket[order]
+    starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+    new = np.diff(owner, prepend=-1) != 0
+    new[starts] = True
+    at = np.cumsum(new) - 1  # each key's place among the owners of all buckets, then of its own
+    first = at[starts]
+    at -= np.repeat(first, np.diff(starts, append=len(keys)))
+    at = at.astype("<u2" if len(at) and at.max() < 65536 else "<u4")
+    columns = [pa.array(bucket[starts], pa.int32())]
+    for values, begins in ((keys, starts), (at, starts), (nodes[owner[new]], first), (leaders[owner[new]], first)):
+        ends = np.append(begins, len(values)) * values.itemsize
+        columns.append(pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(values)]))
+    batch = pa.RecordBatch.from_arrays(columns, PACKED)
+    for a in range(0, len(starts), 512):
+        yield batch.slice(a, 512)
+
+
 def _packed_signatures(rows: DataFrame, plan: Plan) -> DataFrame:
     """(bucket, keys, owners, nodes, leaders): for each block and bucket of the key space the join keys, the
     place of each key's node in ``nodes``, and the nodes' leaders (a node's own number: none).  Rows without
@@ -351,22 +379,16 @@ def _packed_signatures(rows: DataFrame, plan: Plan) -> DataFrame:
                 keys = np.concatenate([k for _, k, _ in each])
                 owner = np.concatenate([PART * part + o for part, _, o in each])
                 del each
-                bucket = (keys >> shift).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                keys, owner, bucket = (keys[order] << np.uint64(plan.log_buckets) >> np.uint64(32)).astype("<u4"), owner[order], bucket[order]
-                cuts = np.searchsorted(bucket, np.arange((1 << plan.log_buckets) + 1))
-                lists = []
-                for s in np.flatnonzero(np.diff(cuts)).tolist():
-                    present, at = np.unique(owner[cuts[s] : cuts[s + 1]], return_inverse=True)
-                    lists.append((s, keys[cuts[s] : cuts[s + 1]].tobytes(), at.astype("<u2" if len(present) < 65536 else "<u4").tobytes(), nodes[present].tobytes(), leaders[present].tobytes()))
+                yield from _by_bucket(keys, owner, nodes, leaders, plan.log_buckets)
                 led = np.flatnonzero(leaders != nodes)
                 home = (mix64(nodes[led].view(np.uint64)) >> shift).astype(np.int64)
+                lists = []
                 for s in np.unique(home).tolist():
                     some = led[home == s]
                     lists.append((s, b"", b"", nodes[some].tobytes(), leaders[some].tobytes()))
                 for a in range(0, len(lists), 512):
                     bucket_column, *others = zip(*lists[a : a + 512], strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(bucket_column, pa.int32()), *(pa.array(x, pa.binary()) for x in others)], ["bucket", "keys", "owners", "nodes", "leaders"])
+                    yield pa.RecordBatch.from_arrays([pa.array(bucket_column, pa.int32()), *(pa.array(x, pa.binary()) for x in others)], PACKED)
 
     return rows.select("text").mapInArrow(sketch, "bucket int, keys binary, owners binary, nodes binary, leaders binary")
 
@@ -573,7 +595,7 @@ def similar_groups(
         if held > leader_bytes:
             break
         leaders[row.low] = (row.first.node, np.frombuffer(row.first.shingles, "<u8"))
-    plan = Plan(width, threshold, threshold.bands(max(1, largest)), _common(described), leaders, int(min(20, max(4, np.ceil(np.log2(total / (1 << 15) + 1))))))
+    plan = Plan(width, threshold, threshold.bands(max(1, largest)), _common(described), leaders, log_buckets(total))
 
     groups = materialize(spark, _groups(_packed_signatures(rows, plan), small_group), "jaccard-groups")
     edges = groups.where("kind = 1").select("a", "b").distinct()
