@@ -20,7 +20,7 @@ from zoneflow.operators.graph.tbox import (
     values_sql,
 )
 from zoneflow.plans.registry import register, table
-from zoneflow.session import in_tasks_of, materialize, scratch_path, spread
+from zoneflow.session import in_tasks_of, materialize, scratch_path, shuffles_dropped, spread
 from zoneflow.sources import files, sinks
 
 SEED = 7
@@ -192,16 +192,19 @@ def ntriples_roundtrip(spark, d):
     the N-Triples path."""
     triples = kg_triples(spark, d)
     nt_path = scratch_path(spark, "kg-nt")
-    sinks.write_ntriples(triples, nt_path)
+    with shuffles_dropped(spark):
+        sinks.write_ntriples(triples, nt_path, compression="gzip")
     loaded = materialize(spark, sinks.read_ntriples(spark, nt_path), "kg-loaded")  # parsed once, for the export and the join
     tsv_path = scratch_path(spark, "kg-tsv")
-    sinks.write_tsv(pattern.all_triples(loaded), tsv_path)
+    sinks.write_tsv(pattern.all_triples(loaded), tsv_path, compression="gzip")
     spo = files.read_triples_tsv(spark, tsv_path)
     # kind/datatype are not part of the 3-column TSV export: re-attach them
     # from the N-Triples load (same triples, equi-join on s, p, o).
     # The hash comes first in the join's order: IRIs share their first letters, numbers sort faster.
+    # The rows are dealt out as the join needs them before the hash is made, so that it is not shuffled itself.
     spo_cols = ["subject", "predicate", "object"]
-    keyed = lambda df: df.withColumn("key", F.xxhash64(*spo_cols))
+    key = F.xxhash64(*spo_cols)
+    keyed = lambda df: df.repartition(key, *spo_cols).withColumn("key", key)
     return keyed(spo).join(keyed(loaded), ["key", *spo_cols]).select(*spo_cols, "object_kind", "datatype")
 
 

@@ -12,10 +12,13 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 _CKPT_KEY = "spark.checkpoint.dir"
+_CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "zoneflow") -> SparkSession:
@@ -84,6 +87,21 @@ def materialize(spark: SparkSession, df, name: str):
     return spark.read.parquet(path)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """A write in this block drops its shuffle files as it ends.  Otherwise they stay, beside all that
+    is written next, until the driver happens to collect its garbage."""
+    before = spark.conf.get(_CLEANUP_KEY, None)
+    spark.conf.set(_CLEANUP_KEY, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP_KEY)
+        else:
+            spark.conf.set(_CLEANUP_KEY, before)
+
+
 def spread(df, min_partitions: int | None = None):
     """Round-robin repartition only when a scan yields fewer partitions than
     the cluster's parallelism (e.g. one big row group); on large inputs it is

@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from zoneflow.functions.ids import XSD
@@ -82,6 +82,14 @@ def reset_namespace(spark: SparkSession, records: DataFrame) -> DataFrame:
     return spark.createDataFrame([], records.schema)
 
 
+# Lines of a compressed file: it is read in one piece, so its size decides how finely the next read is dealt out.
+FILE_LINES = 1 << 19
+
+
+def _compressed(w: DataFrameWriter, compression: str | None) -> DataFrameWriter:
+    return w.option("compression", compression).option("maxRecordsPerFile", FILE_LINES) if compression else w
+
+
 def write_tsv(df: DataFrame, path: str, compression: str | None = None) -> None:
     """Tab-separated export with a header line; backslash, tab and line
     breaks in texts are escaped, null and the empty text are an empty field."""
@@ -89,9 +97,7 @@ def write_tsv(df: DataFrame, path: str, compression: str | None = None) -> None:
     df = df.select(*[escape(F.col(c), LINE).alias(c) if c in texts else F.col(c) for c in df.columns])
     w = df.write.mode("overwrite").option("sep", "\t").option("header", "true").option("quote", "").option("emptyValue", "")
     w = w.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
-    if compression:
-        w = w.option("compression", compression)
-    w.csv(path)
+    _compressed(w, compression).csv(path)
 
 
 def ntriples_lines(triples: DataFrame) -> DataFrame:
@@ -108,8 +114,8 @@ def ntriples_lines(triples: DataFrame) -> DataFrame:
     return triples.select(line.alias("value"))
 
 
-def write_ntriples(triples: DataFrame, path: str) -> None:
-    ntriples_lines(triples).write.mode("overwrite").text(path)
+def write_ntriples(triples: DataFrame, path: str, compression: str | None = None) -> None:
+    _compressed(ntriples_lines(triples).write.mode("overwrite"), compression).text(path)
 
 
 # The literal runs to the last quote of the line: a datatype holds none.
